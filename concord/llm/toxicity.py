@@ -29,7 +29,9 @@ SAMPLE, FEATURES, FOLDS = 16_384, 2_048, 3
 #: Lengths of word beginnings.
 BEGINNINGS = (3, 4, 5, 6)
 #: A feature must be in so many labelled texts.
-LEAST_TEXTS = 4
+LEAST_TEXTS = 3
+#: Standard errors by which a feature's texts must differ from the base rate.
+LEAST_SCORE = 3.0
 THRESHOLD = 0.5
 _WORD = re.compile(r"[^\W\d_]{2,}")
 
@@ -75,14 +77,19 @@ def predict(w: np.ndarray, x: list[np.ndarray], extra: np.ndarray, n_features: i
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit_chain(x: list[np.ndarray], labels: np.ndarray, n_features: int, folds: int = FOLDS) -> list[np.ndarray | float]:
-    """One model per column of ``labels``; a float stands for a category that has one value only."""
+def fit_chain(rows: list[np.ndarray], labels: np.ndarray, own: np.ndarray, folds: int = FOLDS) -> list[np.ndarray | float]:
+    """One model per column of ``labels``; a float stands for a category that has one value only.
+
+    ``own``: for each category the mask of its features; a model's other weights stay 0.
+    """
+    n_features = own.shape[1]
     models: list[np.ndarray | float] = []
-    n = len(x)
+    n = len(rows)
     before = np.zeros((n, 0))
     fold = np.arange(n) % folds
     for k in range(labels.shape[1]):
         y = labels[:, k].astype(float)
+        x = [r[own[k][r]] for r in rows]
         if n == 0 or y.min() == y.max():
             models.append(float(y[0]) if n else 0.0)
             out = np.full(n, models[-1])
@@ -100,9 +107,9 @@ def fit_chain(x: list[np.ndarray], labels: np.ndarray, n_features: int, folds: i
     return models
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, categories: dict[str, tuple[str, int]], text: str = "text", doc_id: str = "doc_id", sample: int = SAMPLE):
-    """(features, models).  ``categories``: name -> (label column, the value that means yes), in the order of the chain."""
-    marks = [F.max((F.col(c) == v).cast("int")).alias(f"y{i}") for i, (c, v) in enumerate(categories.values())]
+def fit_toxicity(docs: DataFrame, labels: DataFrame, categories: dict[str, tuple[str, int, bool]], text: str = "text", doc_id: str = "doc_id", sample: int = SAMPLE):
+    """(features, models).  ``categories``, in the order of the chain: name -> (label column, the value that means yes, whether features that speak against it count too)."""
+    marks = [F.max((F.col(c) == v).cast("int")).alias(f"y{i}") for i, (c, v, _) in enumerate(categories.values())]
     known = labels.where(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("id")).agg(*marks).na.drop()
     known = known.orderBy(F.xxhash64("id"), "id").limit(sample)
     # At most ``sample`` short rows: a proven bound for the broadcast.
@@ -129,15 +136,16 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, categories: dict[str, tuple
     counted = rows.mapInArrow(count, schema).groupBy("feature").agg(*[F.sum(c).alias(c) for c in [*(f"n{i}" for i in range(n)), "n"]]).where(f"n >= {LEAST_TEXTS}")
     # How far a feature's texts differ from the base rate, in standard errors.
     scores = []
-    for i in range(n):
+    for i, (_, _, against) in enumerate(categories.values()):
         p = (totals[f"n{i}"] or 0) / max(1, totals["n"])
         if 0 < p < 1:
-            scores.append(F.abs(F.col(f"n{i}") - F.col("n") * p) / F.sqrt(F.col("n") * (p * (1 - p))))
-    names: list[str] = []
-    for score in scores:
-        best = counted.orderBy(score.desc(), "feature").limit(FEATURES // len(scores))
-        names += [r[0] for r in best.select("feature").collect()]
-    names = sorted(set(names))
+            score = (F.col(f"n{i}") - F.col("n") * p) / F.sqrt(F.col("n") * (p * (1 - p)))
+            scores.append(F.abs(score) if against else score)
+        else:
+            scores.append(F.lit(0.0))
+    chosen = [{r[0] for r in counted.where(score >= LEAST_SCORE).orderBy(score.desc(), "feature").limit(FEATURES // n).select("feature").collect()} for score in scores]
+    names = sorted(set().union(*chosen))
+    own = np.array([[f in c for f in names] for c in chosen], bool).reshape(n, len(names))
     number = {f: i for i, f in enumerate(names)}
 
     def encode(batches):
@@ -149,7 +157,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, categories: dict[str, tuple
     data = sorted(rows.mapInArrow(encode, f"id string, x array<int>, {ys}").collect(), key=lambda r: (r[0], r[1]))
     x = [np.array(r[1], np.int64) for r in data]
     y = np.array([r[2:] for r in data], np.int64).reshape(len(data), n)
-    return names, fit_chain(x, y, len(names))
+    return names, fit_chain(x, y, own)
 
 
 def score_toxicity(docs: DataFrame, features: list[str], models: list, categories: list[str], text: str = "text", keep_text: bool = True) -> DataFrame:
@@ -188,7 +196,7 @@ def score_toxicity(docs: DataFrame, features: list[str], models: list, categorie
 
 
 #: The categories of the labels table, in chain order.
-CATEGORIES = {"low_quality": ("quality", 0), "toxic": ("toxic", 1)}
+CATEGORIES = {"low_quality": ("quality", 0, True), "toxic": ("toxic", 1, False)}
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", keep_text: bool = True) -> DataFrame:
