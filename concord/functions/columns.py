@@ -138,6 +138,7 @@ def without_code(label: Column) -> Column:
 
 
 def percent(part: Column, whole: Column, places: int = 2) -> Column:
-    """100 * part / whole, rounded half away from zero; null where the whole is 0."""
-    exact = F.lit(100).cast("decimal(20,4)") * part.cast("decimal(15,0)") / F.nullif(whole.cast("decimal(15,0)"), F.lit(0).cast("decimal(15,0)"))
-    return F.round(exact, places).cast("double")
+    """100 * part / whole for counts, rounded half up in whole numbers; null where the whole is 0."""
+    scale = 10**places
+    part, whole = part.cast("long"), F.nullif(whole.cast("long"), F.lit(0).cast("long"))
+    return F.call_function("div", part * (200 * scale) + whole, whole * 2).cast("double") / scale

@@ -229,7 +229,7 @@ def reproject(geom: Column, source: int, target: int) -> Column:
     """Every point from one CRS (4326, 3857 or one of CONICS) to another; shifts between datums are ignored."""
     if source == target:
         return geom
-    into = (lambda p: p) if source == 4326 else mercator_to_lonlat if source == 3857 else CONICS[source].inverse
+    into = (lambda p: p) if source == 4326 else mercator_to_lonlat if source == 3857 else lambda p: CONICS[source].inverse(p)
     out = (lambda p: p) if target == 4326 else lonlat_to_mercator if target == 3857 else CONICS[target].forward
     return F.transform(geom, lambda rings: F.transform(rings, lambda r: F.transform(F.transform(r, into), out)))
 
@@ -284,7 +284,7 @@ def repaired_ring(ring: list[tuple[float, float]]) -> list[list[tuple[float, flo
 def repaired_geometry(geom) -> list | None:
     """None for a geometry that can't be repaired."""
     out = []
-    for part in geom or []:
+    for part in geom if geom is not None else []:
         rings = [repaired_ring([(p["x"], p["y"]) for p in r]) for r in part]
         if not rings or not rings[0]:
             continue

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -110,3 +112,12 @@ def export(tables: Mapping[str, DataFrame], root: str, small: tuple[str, ...] =
             plain.write.mode("overwrite").json(f"{root}/json/{name}")
     for name, geom in (features or {}).items():
         feature_columns(tables[name], geom).write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/features/{name}")
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in ``spark.checkpoint.dir``, which the cluster shares; a temporary one only where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="concord-")
+    path = f"{base.rstrip('/')}/concord-{name}-{uuid.uuid4().hex}"
+    fs, p = _fs(spark, path)
+    fs.deleteOnExit(p)
+    return path
