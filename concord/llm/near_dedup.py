@@ -9,10 +9,11 @@ smallest of the set under as many hash functions; a class is posted under each (
 * Prefix: a pair that collides in ``MATCHES`` coordinates shares one of each side's
   COORDINATES - MATCHES + 1 rarest values.  Values that occur once are the rarest, so only classes
   with at least MATCHES values shared by others post anything, and never their most frequent values.
-* Merge without all pairs: in two rounds each posting list pairs its members with one of them; what
-  is confirmed joins components.  Then every pair of a list that is still in different components
-  is tried, from the side of the list's smaller components.  Pairs inside a component can't change
-  the result, so large groups of copies cost as many pairs as members.
+* Merge without all pairs: in two rounds each posting list pairs its members with one of them, first
+  the one with most shared values, then any; what is confirmed joins components.  Classes in lists that still hold several components are compared
+  once more, across components only, with prefix and position filters on their full sets.  Pairs
+  inside a component can't change the result, so large groups of copies cost as many pairs as
+  members.
 * Candidates need MATCHES equal coordinates (a pair at the limit of 0.75 has fewer with a chance of
   1e-8), and then their full sets decide: 100 * intersection >= 75 * union.
 
@@ -151,7 +152,8 @@ def _classes(docs: DataFrame) -> DataFrame:
 
 def _signed(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """class, keys (of all coordinates), sig (32 bits a coordinate) and packed text of the wanted classes."""
-    both = packed(texts, "text").join(wanted, ["key_a", "key_b"]).select("class", "text")
+    # A merge join brings the copies of a text together, of which one is taken.
+    both = packed(texts, "text").join(wanted.hint("merge"), ["key_a", "key_b"]).select("class", "text")
 
     def run(batches):
         last = None
@@ -207,6 +209,47 @@ def _linked(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary")
 
 
+def _shingle_rows(signed: DataFrame) -> DataFrame:
+    """class, component, n and shingle: the full sets, a row for each element."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                sets = []
+                for z in part.column(2).to_pylist():
+                    data = np.frombuffer(unpack(z), np.uint8)
+                    sets.append(shingle_sets(data, np.array([0, len(data)]))[0])
+                n = np.array([len(s) for s in sets], np.int32)
+                take = pa.array(np.repeat(np.arange(len(sets), dtype=np.int32), n))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), pa.array(np.repeat(n, n)), pa.array(np.concatenate(sets).view(np.int64))], names=["class", "component", "n", "shingle"])
+
+    return signed.select("class", "component", "text").mapInArrow(run, "class binary, component binary, n int, shingle long")
+
+
+def _rest_of_pairs(members: DataFrame, signed: DataFrame) -> DataFrame:
+    """Pairs of different components, among classes that are still near others, that may be similar enough; none is missed.
+
+    Prefix and position filter on the full sets: with the shingles of every class in order of their
+    frequency here, two similar sets share one of each side's first n - ceil(0.75 n) + 1, and the
+    places of the first one shared leave room for the overlap that the limit asks for.
+    """
+    rows = _shingle_rows(signed.join(members, "class"))
+    frequent = rows.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    own = rows.join(frequent, "shingle").groupBy("class", "component", "n").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("own"))
+    # Shingles that are in no other class come first in the order; places count them.
+    unique = F.col("n") - F.size("own")
+    reach = F.expr(f"n - (({SIMILARITY} * n + 99) div 100) + 1").cast("int") - unique
+    own = own.where(reach > 0).select("class", "component", "n", unique.alias("unique"), F.posexplode(F.slice("own", 1, reach)).alias("at", "post"))
+    posts = stored(own.select("class", "component", "n", (F.col("unique") + F.col("at")).alias("at"), F.col("post.shingle").alias("shingle")), "shingles")
+    main = posts.groupBy("shingle", "component").agg(F.count("*").alias("m")).groupBy("shingle").agg(F.max_by("component", "m").alias("main"), F.count("*").alias("several")).where("several > 1")
+    rest = posts.join(main, "shingle").where("component <> main")
+    other = posts.select("shingle", F.col("class").alias("other"), F.col("component").alias("other_component"), F.col("n").alias("m"), F.col("at").alias("other_at"))
+    near = f"component <> other_component and (other_component = main or class < other) and 100 * least(n, m) >= {SIMILARITY} * greatest(n, m)"
+    room = f"{100 + SIMILARITY} * least(n - at, m - other_at) >= {SIMILARITY} * (n + m)"
+    return rest.join(other, "shingle").where(f"{near} and {room}").select("class", "other")
+
+
 def _with_component(rows: DataFrame, components: DataFrame | None, on: str = "class") -> DataFrame:
     if components is None:
         return rows.withColumn("component", F.col(on))
@@ -230,23 +273,20 @@ def links(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[
     posts = signed.select("class", F.explode("keys").alias("key"))
     frequent = posts.groupBy("key").agg(F.count("*").alias("df")).where("df > 1")
     own = posts.join(frequent, "key").groupBy("class").agg(F.sort_array(F.collect_set(F.struct("df", "key"))).alias("own")).where(F.size("own") >= MATCHES)
-    own = own.select("class", F.explode(F.slice("own", 1, F.size("own") - MATCHES + 1)).alias("post"))
-    lists = stored(own.select("class", F.col("post.key").alias("key")), "prefixes")
+    # A class with many shared values is in the middle of its like.
+    own = own.select("class", F.size("own").alias("shared"), F.explode(F.slice("own", 1, F.size("own") - MATCHES + 1)).alias("post"))
+    lists = stored(own.select("class", "shared", F.col("post.key").alias("key")), "prefixes")
     edges = tried = components = None
     for turn in range(STAR_ROUNDS + 1):
         members = _with_component(lists, components)
         open_lists = members.withColumn("h", F.xxhash64("component")).groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi").select("key")
         members = stored(members.join(open_lists, "key", "left_semi"), "members")
         if turn < STAR_ROUNDS:
-            order = F.xxhash64("component", F.lit(turn))
-            centre = members.groupBy("key").agg(F.min_by(F.struct("class", "component"), F.struct(order, F.xxhash64("class"))).alias("centre"))
+            order = F.struct(-F.col("shared"), F.xxhash64("class")) if turn == 0 else F.struct(F.xxhash64("component", F.lit(turn)), F.xxhash64("class"))
+            centre = members.groupBy("key").agg(F.min_by(F.struct("class", "component"), order).alias("centre"))
             pairs = members.join(centre, "key").where("component <> centre.component").select("class", F.col("centre.class").alias("other"))
         else:
-            by = members.groupBy("key", "component").agg(F.count("*").alias("m"))
-            main = by.groupBy("key").agg(F.max_by("component", "m").alias("main"))
-            rest = members.join(main, "key").where("component <> main")
-            other = members.select("key", F.col("class").alias("other"), F.col("component").alias("other_component"))
-            pairs = rest.join(other, "key").where("component <> other_component and (other_component = main or class < other)").select("class", "other")
+            pairs = _rest_of_pairs(members.select("class", "component").distinct(), signed)
         pairs = pairs.select(F.least("class", "other").alias("a"), F.greatest("class", "other").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")

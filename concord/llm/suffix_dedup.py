@@ -157,7 +157,8 @@ def unpack(data: bytes, tool=zstandard.ZstdDecompressor()) -> bytes:
 def _contexts(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """One row for each wanted context: seed, context, n, hot, lead (leading bytes of the anchor's suffix) and its bytes."""
     lists = wanted.groupBy("key_a", "key_b").agg(F.collect_list(F.struct("seed", "context", "lo", "n", "ahead", "hot")).alias("wanted"))
-    both = packed(texts.select("key_a", "key_b", "text"), "text").join(lists, ["key_a", "key_b"])
+    # A merge join brings the copies of a text together, of which one is taken.
+    both = packed(texts.select("key_a", "key_b", "text"), "text").join(lists.hint("merge"), ["key_a", "key_b"])
 
     def run(batches):
         last = None
