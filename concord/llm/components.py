@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import stored
+from .store import discard, stored
 
 
 def connected_components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
@@ -23,7 +23,8 @@ def connected_components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = stored(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        before, now = now, stored(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        discard(before)
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == seen:
             break

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import connected_components
-from .store import stored
+from .store import discard, stored
 from .suffix_dedup import packed, unpack
 from .text import blocks, byte_buffer
 
@@ -227,12 +227,13 @@ def _shingle_rows(signed: DataFrame) -> DataFrame:
     return signed.select("class", "component", "text").mapInArrow(run, "class binary, component binary, n int, shingle long")
 
 
-def _rest_of_pairs(members: DataFrame, signed: DataFrame) -> DataFrame:
+def _rest_of_pairs(members: DataFrame, signed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs of different components, among classes that are still near others, that may be similar enough; none is missed.
 
     Prefix and position filter on the full sets: with the shingles of every class in order of their
     frequency here, two similar sets share one of each side's first n - ceil(0.75 n) + 1, and the
-    places of the first one shared leave room for the overlap that the limit asks for.
+    places of the first one shared leave room for the overlap that the limit asks for.  Also gives
+    the stored table that the pairs are read from.
     """
     rows = _shingle_rows(signed.join(members, "class"))
     frequent = rows.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
@@ -247,7 +248,7 @@ def _rest_of_pairs(members: DataFrame, signed: DataFrame) -> DataFrame:
     other = posts.select("shingle", F.col("class").alias("other"), F.col("component").alias("other_component"), F.col("n").alias("m"), F.col("at").alias("other_at"))
     near = f"component <> other_component and (other_component = main or class < other) and 100 * least(n, m) >= {SIMILARITY} * greatest(n, m)"
     room = f"{100 + SIMILARITY} * least(n - at, m - other_at) >= {SIMILARITY} * (n + m)"
-    return rest.join(other, "shingle").where(f"{near} and {room}").select("class", "other")
+    return rest.join(other, "shingle").where(f"{near} and {room}").select("class", "other"), posts
 
 
 def _with_component(rows: DataFrame, components: DataFrame | None, on: str = "class") -> DataFrame:
@@ -277,6 +278,7 @@ def links(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[
     own = own.select("class", F.size("own").alias("shared"), F.explode(F.slice("own", 1, F.size("own") - MATCHES + 1)).alias("post"))
     lists = stored(own.select("class", "shared", F.col("post.key").alias("key")), "prefixes")
     edges = tried = components = None
+    done = [signed, lists]
     for turn in range(STAR_ROUNDS + 1):
         members = _with_component(lists, components)
         open_lists = members.withColumn("h", F.xxhash64("component")).groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi").select("key")
@@ -286,16 +288,20 @@ def links(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[
             centre = members.groupBy("key").agg(F.min_by(F.struct("class", "component"), order).alias("centre"))
             pairs = members.join(centre, "key").where("component <> centre.component").select("class", F.col("centre.class").alias("other"))
         else:
-            pairs = _rest_of_pairs(members.select("class", "component").distinct(), signed)
+            pairs, posts = _rest_of_pairs(members.select("class", "component").distinct(), signed)
+            done.append(posts)
         pairs = pairs.select(F.least("class", "other").alias("a"), F.greatest("class", "other").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         found = stored(_linked(pairs, signed), "links")
+        done += [members, pairs, found]
         tried = pairs if tried is None else tried.unionByName(pairs)
         edges = found if edges is None else edges.unionByName(found)
         if not found.isEmpty():
+            done.append(components)
             components = stored(connected_components(edges), "components")
+    discard(*done)
     return rows.select("id", "n", "class"), components
 
 

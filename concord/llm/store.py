@@ -22,7 +22,7 @@ def shared_folder(spark: SparkSession) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: cuts the lineage, survives lost executors.
 
-    The table is deleted when the driver's JVM ends.
+    The table is deleted by discard(), or else when the driver's JVM ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/concord-{name}-{uuid.uuid4().hex}"
@@ -30,4 +30,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._concord_path = where
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Deletes stored tables that nothing still to be computed reads."""
+    for t in tables:
+        where = getattr(t, "_concord_path", None)
+        if where is not None:
+            where.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

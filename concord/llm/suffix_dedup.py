@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .store import stored
+from .store import discard, stored
 from .text import blocks, byte_buffer, cover, free_name, runs, sha256_hex
 
 LENGTH = 200
@@ -263,9 +263,10 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, ho
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     keys = [F.xxhash64(F.lit(k), whole) for k in (1, 2)]
     texts = docs.select(keys[0].alias("key_a"), keys[1].alias("key_b"), whole.alias("text")).where(F.octet_length("text") >= length)
-    rows = stored(_anchor_rows(texts, length), "anchors")
-    again = rows.groupBy("seed").agg(F.count("*").alias("m")).where("m > 1").select("seed")
-    rows = stored(rows.join(again, "seed", "left_semi"), "repeated-seeds")
+    every = stored(_anchor_rows(texts, length), "anchors")
+    again = every.groupBy("seed").agg(F.count("*").alias("m")).where("m > 1").select("seed")
+    rows = stored(every.join(again, "seed", "left_semi"), "repeated-seeds")
+    discard(every)
     # All of these first() are of one row: any occurrence of the context will do.
     one = rows.groupBy("seed", "context").agg(F.count("*").alias("m"), *[F.first(c).alias(c) for c in ("key_a", "key_b", "lo", "n", "ahead")])
     one = stored(one, "contexts")
