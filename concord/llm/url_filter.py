@@ -64,8 +64,12 @@ def rule_borders(rules: DataFrame) -> DataFrame:
     return both.select("host", "at", "state", F.when(F.col("closes") == 1, -F.length("path")).otherwise(F.length("path")).alias("turn"))
 
 
-def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow", salts: int = 16) -> DataFrame:
-    """Adds host, path, rule (host + path of the rule that holds, else null) and verdict; such columns of the input are replaced."""
+def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow", salts: int | None = None) -> DataFrame:
+    """Adds host, path, rule (host + path of the rule that holds, else null) and verdict; such columns of the input are replaced.
+
+    ``salts``: sort ranges for each host, by default as many as shuffle partitions, so they grow with the cluster.
+    """
+    salts = salts or int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = ("host", "path", "rule", "verdict")
     pages = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c.lower() not in own], url_host(F.col(f"`{url}`")).alias("host"), url_path(F.col(f"`{url}`")).alias("path"))
     rules = rules.select("host", "path", "verdict")
