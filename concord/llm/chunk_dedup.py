@@ -4,7 +4,7 @@ The gear hash of a position covers the 32 bytes up to it.  A chunk ends where th
 smallest within ``REACH`` bytes on either side: the cut depends on those bytes alone, so an insertion
 moves no cut further away than that.  Chunks are known by 128-bit digests; of a chunk that occurs
 more than once, the occurrence in the document with the smallest id (its first there) stays and the
-others are cut out.  Short chunks (under ``MIN_BYTES``) are never cut out.
+others are cut out.  Every chunk counts, however short: the last one of a text and a short text too.
 
 Defined results: a null text has no bytes and no chunks; an empty text likewise.  Null ids sort
 last.  Rows that share the smallest id all keep the chunk; rows equal in id and text share a result.
@@ -24,7 +24,8 @@ from .text import blocks, byte_buffer, cover, free_name, runs, sha256_hex
 
 WINDOW = 32
 REACH = 24
-MIN_BYTES = 32
+#: Least size of a chunk that is compared: any.
+MIN_BYTES = 1
 
 
 def _gear_table() -> np.ndarray:
@@ -64,13 +65,12 @@ def cuts(raw: np.ndarray) -> np.ndarray:
 
 
 def chunk_rows(text: bytes, raw: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """(start, size, digest high, digest low) of each chunk long enough."""
+    """(start, size, digest high, digest low) of each chunk."""
     ends = cuts(raw).tolist()
     out, a = [], 0
     for b in ends:
-        if b - a >= MIN_BYTES:
-            d = hashlib.blake2b(text[a:b], digest_size=16).digest()
-            out.append((a, b - a, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)))
+        d = hashlib.blake2b(text[a:b], digest_size=16).digest()
+        out.append((a, b - a, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)))
         a = b
     return out
 

@@ -223,6 +223,17 @@ def test_chunk_dedup_against_brute_force(spark):
     assert chunk_dedup.chunk_dedup(nulls).count() == 3
 
 
+def test_chunk_dedup_leaves_no_short_chunk(spark):
+    """Of an exact copy nothing stays, and a short text that repeats goes as well."""
+    rng = random.Random(4)
+    long = "".join(rng.choice("abcdefghij klmn") for _ in range(5_000))
+    ends = [0, *chunk_dedup.cuts(np.frombuffer(long.encode(), np.uint8)).tolist()]
+    assert min(b - a for a, b in zip(ends, ends[1:])) < 32
+    docs = spark.createDataFrame([(1, long), (2, long), (3, "short"), (4, "short"), (5, "alone")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_repeated, r.n_removed, r.text) for r in chunk_dedup.chunk_dedup(docs).collect()}
+    assert got == {1: (5_000, 0, long), 2: (5_000, 5_000, ""), 3: (5, 0, "short"), 4: (5, 5, ""), 5: (0, 0, "alone")}
+
+
 def test_chunks_resist_insertions():
     rng = random.Random(1)
     text = bytes(rng.choice(b"abcdefghij klmn") for _ in range(20_000))
