@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from .components import connected_components
 from .store import discard, stored
 from .suffix_dedup import packed, unpack
-from .text import blocks, byte_buffer
+from .text import blocks, byte_buffer, free_name
 
 WIDTH = 5
 SIMILARITY = 75
@@ -258,7 +258,7 @@ def _with_component(rows: DataFrame, components: DataFrame | None, on: str = "cl
 
 
 def links(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[DataFrame, DataFrame | None]:
-    """(documents with id, n and class; components of the classes that have any link)."""
+    """(documents with id, key_a and key_b of the text, n and class; components of the classes that have any link)."""
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     keys = [F.xxhash64(F.lit(k), whole).alias(c) for k, c in ((1, "key_a"), (2, "key_b"))]
     texts = docs.select(F.col(f"`{doc_id}`").alias("id"), *keys, whole.alias("text"))
@@ -302,12 +302,13 @@ def links(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[
             done.append(components)
             components = stored(connected_components(edges), "components")
     discard(*done)
-    return rows.select("id", "n", "class"), components
+    return rows.select("id", "key_a", "key_b", "n", "class"), components
 
 
 def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document: the id column, n_shingles, component_id and kept (the component's document with the smallest id)."""
     rows, components = links(docs, text, doc_id)
+    rows = rows.select("id", "n", "class")
     named = _with_component(rows.where("class is not null").select("id", "class"), components)
     smallest = named.groupBy("component").agg(F.min("id").alias("smallest"))
     classes = _with_component(rows.where("class is not null").select("class").distinct(), components).join(smallest, "component").select("class", "smallest")
@@ -316,9 +317,33 @@ def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The documents without those linked, directly or not, with one of a smaller id.
+    """One document of each component: that with the smallest id, null ids last.
 
-    Rows with a null id stay, and so do all rows that share the smallest id of their component.
+    Of several with that id the one with the smallest hash of its text stays, and of rows equal in id and
+    text the smallest by their other columns, as JSON.  Documents without words link with nothing; all stay.
     """
-    gone = near_dedup(docs, text, doc_id).where("not kept").select(doc_id).distinct()
-    return docs.join(gone, doc_id, "left_anti").select(*docs.columns)
+    rows, components = links(docs, text, doc_id)
+    rows = rows.where("class is not null").select("id", "key_a", "key_b", "class")
+    # Ids don't tell rows apart: they may be repeated or null.
+    own = F.struct(F.col("id").isNull().alias("no_id"), "id", "key_a", "key_b")
+    best = _with_component(rows, components).groupBy("component").agg(F.min(own).alias("best"))
+    classes = _with_component(rows.select("class").distinct(), components).join(best, "component").select("class", "best")
+    gone = rows.join(classes, "class").where(~own.eqNullSafe(F.col("best"))).select("id", "key_a", "key_b").distinct()
+    again = rows.groupBy("id", "key_a", "key_b").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    keys = {"id": F.col(f"`{doc_id}`"), "key_a": F.xxhash64(F.lit(1), whole), "key_b": F.xxhash64(F.lit(2), whole)}
+
+    def matched(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        names = {c: free_name(left.columns, c) for c in keys}
+        right = right.withColumnsRenamed(names)
+        same = [keys[c].eqNullSafe(F.col(names[c])) for c in keys]
+        return left.join(right, same[0] & same[1] & same[2], how)
+
+    left = matched(docs, gone, "left_anti")
+    if again.isEmpty():
+        return left.select(*[F.col(f"`{c}`") for c in docs.columns])
+    repeated = matched(left, again, "left_semi")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rest = F.to_json(F.struct(F.lit(0), *[F.col(f"`{c}`") for c in docs.columns if c not in (text, doc_id)]))
+    one = repeated.groupBy(*keys.values()).agg(F.min_by(row, rest).alias("row")).select("row.*")
+    return matched(left, again, "left_anti").unionByName(one)

@@ -17,7 +17,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked documents the one with the smallest id stays."""
+    """Of linked documents one row stays, that with the smallest id."""
     ship_package(spark)
     return near_dedup.drop_near_duplicates(docs)
 

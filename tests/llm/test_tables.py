@@ -113,6 +113,18 @@ def test_near_dedup_nulls_and_repeated_rows(spark):
     assert near_dedup.near_dedup(docs.limit(0)).count() == 0
 
 
+def test_drop_near_duplicates_leaves_one_row_of_each_component(spark):
+    t, u, v = "one two three four five six seven", "some quite different words of a clean row here", "words of rows that have no id at all"
+    rows = [(1, t, "a"), (1, t, "b"), (1, t, "b"), (2, t, "a"), (2, u, "a"), (3, u, "a"), (None, t, "a"), (None, v, "a"), (None, v.upper(), "b"), (5, None, "a"), (5, None, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key_a string").repartition(3)
+    got = sorted(map(str, map(tuple, near_dedup.drop_near_duplicates(docs).collect())))
+    free = [x for x in got if v in x.lower()]
+    assert len(free) == 1 and sorted(set(got) - set(free)) == sorted(map(str, {(1, t, "a"), (2, u, "a"), (5, None, "a")})) and len(got) == 5
+    assert near_dedup.drop_near_duplicates(docs.limit(0)).count() == 0
+    unique = spark.createDataFrame([(1, t), (2, t), (None, t), (4, u)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in near_dedup.drop_near_duplicates(unique).collect()) == [1, 4]
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + k) for k in range(1, 60)] + [(300 + rng.randrange(60), 300 + rng.randrange(60)) for _ in range(50)]
