@@ -6,8 +6,9 @@ the chain are logistic; model k sees the features and the probabilities of categ
 When a later model is trained, those probabilities are out-of-fold predictions, so that it doesn't
 learn from probabilities better than it will get.
 
-The chain is fitted on at most ``SAMPLE`` labelled rows, those with the smallest hash of their id:
-a fixed bound, whatever the size of the corpus.  Every document is scored, by its whole text.
+The chain is fitted on at most ``SAMPLE`` labelled documents, those with the smallest hash of their id:
+a fixed bound, whatever the size of the corpus.  Of documents that share an id one counts, that with
+the smallest hash of its text.  Every document is scored, by its whole text.
 
 Defined results: a null or empty text has no features and gets each model's base rate; labels with a
 null id or category, or without a document, are left out; without any labelled rows of both kinds a
@@ -24,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .store import discard, stored
+
 #: Bounds of the fit: labelled rows, features, folds for out-of-fold predictions.
 SAMPLE, FEATURES, FOLDS = 16_384, 2_048, 3
 #: Lengths of word beginnings.
@@ -111,9 +114,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, categories: dict[str, tuple
     """(features, models).  ``categories``, in the order of the chain: name -> (label column, the value that means yes, whether features that speak against it count too)."""
     marks = [F.max((F.col(c) == v).cast("int")).alias(f"y{i}") for i, (c, v, _) in enumerate(categories.values())]
     known = labels.where(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("id")).agg(*marks).na.drop()
-    known = known.orderBy(F.xxhash64("id"), "id").limit(sample)
-    # At most ``sample`` short rows: a proven bound for the broadcast.
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(known), "id")
+    whole = F.coalesce(F.col(text), F.lit(""))
+    # Ids without texts: labels that have a document, one row each, before the sample is taken.
+    there = docs.groupBy(F.col(doc_id).alias("id")).agg(F.min(F.xxhash64(whole)).alias("own"))
+    known = stored(known.join(there, "id").orderBy(F.xxhash64("id"), "id").limit(sample), "labelled")
+    # At most ``sample`` short rows: a proven bound for the broadcast.  Rows repeated whole are one.
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.xxhash64(whole).alias("own")).join(F.broadcast(known), ["id", "own"])
+    rows = stored(rows.select("id", "text", *[f"y{i}" for i in range(len(categories))]).dropDuplicates(["id"]), "sample")
     n = len(categories)
 
     def count(batches):
@@ -155,6 +162,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, categories: dict[str, tuple
 
     ys = ", ".join(f"y{i} int" for i in range(n))
     data = sorted(rows.mapInArrow(encode, f"id string, x array<int>, {ys}").collect(), key=lambda r: (r[0], r[1]))
+    discard(known, rows)
     x = [np.array(r[1], np.int64) for r in data]
     y = np.array([r[2:] for r in data], np.int64).reshape(len(data), n)
     return names, fit_chain(x, y, own)

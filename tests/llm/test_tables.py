@@ -272,3 +272,15 @@ def test_toxicity_odd_rows(spark):
     assert toxicity.toxicity(docs, labels).count() == 5
     assert toxicity.toxicity(docs, labels.limit(0)).where("toxic").count() == 0
     assert toxicity.toxicity(docs.limit(0), labels).count() == 0
+
+
+def test_toxicity_sample_bounds_what_is_fitted(spark, monkeypatch):
+    """An id on many rows counts once, and labels without a document take no place in the sample."""
+    fitted = []
+    monkeypatch.setattr(toxicity, "fit_chain", lambda x, y, own: fitted.append(y.tolist()) or [0.0] * y.shape[1])
+    docs = spark.createDataFrame([(1, f"text {i % 3}") for i in range(60)] + [(i, "a friend") for i in range(2, 7)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i == 1)) for i in range(1, 200)], "doc_id long, quality int, toxic int")
+    for sample, n in ((6, 6), (4, 4), (50, 6)):
+        toxicity.fit_toxicity(docs, labels, toxicity.CATEGORIES, sample=sample)
+        assert len(fitted[-1]) == n
+    assert sorted(fitted[-1]) == [[0, 0]] * 5 + [[0, 1]]
