@@ -284,3 +284,14 @@ def test_toxicity_sample_bounds_what_is_fitted(spark, monkeypatch):
         toxicity.fit_toxicity(docs, labels, toxicity.CATEGORIES, sample=sample)
         assert len(fitted[-1]) == n
     assert sorted(fitted[-1]) == [[0, 0]] * 5 + [[0, 1]]
+
+
+def test_toxicity_misses_only_texts_without_a_toxic_word(spark):
+    """The ten words are in 113 labelled toxic documents each, or more, and in none of the others."""
+    words = {"trash", "pathetic", "idiot", "worthless", "disgusting", "stupid", "clown", "scum", "loser", "moron"}
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    test = labels.where("doc_id % 4 = 0 and toxic = 1").select("doc_id")
+    out = toxicity.toxicity(docs.join(labels.select("doc_id").distinct(), "doc_id"), labels.where("doc_id % 4 <> 0")).join(test, "doc_id").collect()
+    missed = {r.doc_id: toxicity.words_of(r.text) & words for r in out if not r.toxic}
+    assert len(out) > 100 and not any(missed.values()), missed
