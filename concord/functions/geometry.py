@@ -1,7 +1,8 @@
 """Polygons as nested arrays: parts -> rings -> points struct<x:double,y:double>, without a geometry kernel.
 
-Rings are closed (first point = last point); shells run counter-clockwise and holes clockwise once
-``wound`` has been applied.  Everything but repair and simplification is one Catalyst expression.
+Rings are closed (first point = last point); the first ring of a part is its shell.  What looks at single
+points is one Catalyst expression; what compares edges with edges (validity, overlaps, unions) is an
+Arrow function in numpy over whole batches, in ``shapes``.
 """
 
 from __future__ import annotations
@@ -9,11 +10,15 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import shapes
+
 POINT = "struct<x:double,y:double>"
 RING = f"array<{POINT}>"
 GEOMETRY = f"array<array<{RING}>>"
@@ -29,13 +34,38 @@ def polygon(points: list[tuple[Column, Column]]) -> Column:
     return F.array(F.array(ring))
 
 
+def multi(rings: Column) -> Column:
+    """A single polygon, its rings, as a geometry of one part; null and empty ones as they are."""
+    return F.when(rings.isNotNull(), F.when(F.size(rings) > 0, F.array(rings)).otherwise(F.array().cast(GEOMETRY)))
+
+
 def rectangle(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     return polygon([(x0, y0), (x1, y0), (x1, y1), (x0, y1)])
 
 
-def multi(part: Column) -> Column:
-    """A single polygon (rings) as a geometry of one part."""
-    return F.array(part)
+def with_srid(geom: Column, srid: Column | int) -> Column:
+    """A geometry with the number of its reference system (0: not known), as a struct; null stays null."""
+    return F.when(geom.isNotNull(), F.struct((F.lit(srid) if isinstance(srid, int) else srid).cast("int").alias("srid"), geom.alias("shape")))
+
+
+def srid(tagged: Column) -> Column:
+    return tagged.srid
+
+
+def shape(tagged: Column) -> Column:
+    """The geometry of with_srid()."""
+    return tagged.shape
+
+
+def srid_fits(tagged: Column, declared: Column | int) -> Column:
+    """Whether a geometry is in the declared reference system, or states none."""
+    return (tagged.srid == 0) | (tagged.srid == declared)
+
+
+def transformed(tagged: Column, target: int, sources: tuple[int, ...]) -> Column:
+    """A geometry in the target system, whichever of the sources it is in; null if it is in none of them."""
+    cases = [F.when(tagged.srid == s, with_srid(reproject(tagged.shape, s, target), target)) for s in sources]
+    return F.coalesce(*cases)
 
 
 def points(geom: Column) -> Column:
@@ -82,45 +112,14 @@ def area(geom: Column) -> Column:
     return F.aggregate(F.filter(geom, lambda rings: F.size(rings) > 0), F.lit(0.0), lambda s, rings: s + part(rings))
 
 
-def wound(geom: Column) -> Column:
-    """Shells counter-clockwise, holes clockwise."""
-    turn = lambda r, i: F.when((signed_area(r) > 0) == (i == 0), r).otherwise(F.reverse(r))
-    return F.transform(geom, lambda rings: F.transform(rings, turn))
-
-
-def overlap_of_edges(a: Column, b: Column) -> Column:
-    """Area common to two wound geometries, from their edges (with y above 0).
-
-    The area under an edge is signed by its direction; the overlap is the signed sum, over all pairs
-    of edges, of the area under both at once.
-    """
-
-    def under_both(e: Column, f: Column) -> Column:
-        lo = F.greatest(F.least(e.x1, e.x2), F.least(f.x1, f.x2))
-        hi = F.least(F.greatest(e.x1, e.x2), F.greatest(f.x1, f.x2))
-        at = lambda g, x: g.y1 + (x - g.x1) * (g.y2 - g.y1) / (g.x2 - g.x1)
-        e0, e1, f0, f1 = at(e, lo), at(e, hi), at(f, lo), at(f, hi)
-        d0, d1 = e0 - f0, e1 - f1
-        m0, m1 = F.least(e0, f0), F.least(e1, f1)
-        cross = (d0 < 0) & (d1 > 0) | (d0 > 0) & (d1 < 0)
-        t = d0 / F.when(d0 == d1, F.lit(1.0)).otherwise(d0 - d1)
-        mid = e0 + t * (e1 - e0)
-        height = F.when(cross, t * (m0 + mid) + (1 - t) * (mid + m1)).otherwise(m0 + m1) / 2
-        sign = F.signum(e.x2 - e.x1) * F.signum(f.x2 - f.x1)
-        return F.when((e.x1 != e.x2) & (f.x1 != f.x2) & (lo < hi), sign * (hi - lo) * height).otherwise(0.0)
-
-    return F.abs(F.aggregate(a, F.lit(0.0), lambda s, e: s + F.aggregate(b, F.lit(0.0), lambda u, f: u + under_both(e, f))))
-
-
-def moved(geom: Column, dx: Column, dy: Column) -> Column:
-    return F.transform(geom, lambda rings: F.transform(rings, lambda r: F.transform(r, lambda p: point(p.x + dx, p.y + dy))))
+def overlap_area(a: Column, b: Column) -> Column:
+    """Area common to two geometries of simple rings."""
+    return F.arrow_udf(lambda g, h: pa.array(shapes.overlap_areas(g, h)), "double")(a, b)
 
 
-def overlap_area(a: Column, b: Column) -> Column:
-    """Area common to two geometries of simple rings, in coordinates local to both (against cancellation)."""
-    p = F.concat(points(a), points(b))
-    dx, dy = -F.array_min(F.transform(p, lambda q: q.x)), -F.array_min(F.transform(p, lambda q: q.y))
-    return overlap_of_edges(edges(wound(moved(a, dx, dy))), edges(wound(moved(b, dx, dy))))
+def union_area(geom: Column) -> Column:
+    """Area that the parts of a geometry cover, what they share counted once; null for a null geometry."""
+    return F.arrow_udf(lambda g: pa.array(shapes.union_areas(g), pa.float64()), "double")(geom)
 
 
 def contains(geom: Column, x: Column, y: Column) -> Column:
@@ -129,21 +128,14 @@ def contains(geom: Column, x: Column, y: Column) -> Column:
     return F.size(F.filter(edges(geom), hits)) % 2 == 1
 
 
-def ring_is_valid(ring: Column) -> Column:
-    """Closed, at least 4 points, all finite, some area, and no edge across another."""
-    closed = F.get(ring, F.lit(0)) == F.get(ring, F.size(ring) - 1)
-    finite = F.forall(ring, lambda p: p.x.isNotNull() & p.y.isNotNull() & ~F.isnan(p.x) & ~F.isnan(p.y) & (F.abs(p.x) < 1e300) & (F.abs(p.y) < 1e300))
-    side = lambda e, x, y: F.signum((e.x2 - e.x1) * (y - e.y1) - (e.y2 - e.y1) * (x - e.x1))
-    crosses = lambda e, f: (side(e, f.x1, f.y1) * side(e, f.x2, f.y2) < 0) & (side(f, e.x1, e.y1) * side(f, e.x2, e.y2) < 0)
-    es = ring_edges(ring)
-    simple = ~F.exists(es, lambda e: F.exists(es, lambda f: crosses(e, f)))
-    return F.coalesce((F.size(ring) >= 4) & closed & finite & (F.abs(signed_area(ring)) > 0) & simple, F.lit(False))
-
-
 def is_valid(geom: Column) -> Column:
-    """Null for a null geometry; false for an empty one."""
-    rings = F.flatten(geom)
-    return F.when(geom.isNotNull(), (F.size(rings) > 0) & F.forall(rings, ring_is_valid))
+    """Whether a geometry is valid in the sense of simple features: null for a null one, false for an empty one.
+
+    Rings are closed, finite and simple (no edge meets another but at the vertex they share, no spike) and have
+    an area; holes lie inside their shell and not in each other, parts lie outside each other; rings may
+    touch in points.  Whether holes that touch cut the interior in two is not tested.
+    """
+    return F.arrow_udf(lambda g: pa.array(shapes.valid(g), pa.bool_()), "boolean")(geom)
 
 
 def to_geojson(geom: Column) -> Column:
@@ -152,6 +144,11 @@ def to_geojson(geom: Column) -> Column:
     return F.when(geom.isNotNull(), F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), coords.alias("coordinates"))))
 
 
+def to_wkb(geom: Column) -> Column:
+    """Well-known binary of a MultiPolygon, little-endian; null for a null geometry."""
+    return F.arrow_udf(lambda g: pa.array(shapes.wkb(g), pa.binary()), "binary")(geom)
+
+
 # Fixed value: radius in metres of the sphere of web Mercator.
 _SPHERE = 6378137.0
 
@@ -251,38 +248,47 @@ def _crossing(a, b, c, d):
     return (a[0] + t * (b[0] - a[0]), a[1] + t * (b[1] - a[1])) if 0 < t < 1 and 0 < u < 1 else None
 
 
-def repaired_ring(ring: list[tuple[float, float]]) -> list[list[tuple[float, float]]]:
-    """The valid rings that a ring makes: closed, without repeated points and spikes, a bow-tie split at its one crossing."""
+def _without_spikes(pts: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    """An open ring without repeated points and without tips at which it turns back on itself."""
+    out = list(pts)
+    i = 0
+    while len(out) > 2 and i < len(out):
+        a, b, c = out[i - 1], out[i], out[(i + 1) % len(out)]
+        cross = (b[0] - a[0]) * (c[1] - b[1]) - (b[1] - a[1]) * (c[0] - b[0])
+        back = (b[0] - a[0]) * (c[0] - b[0]) + (b[1] - a[1]) * (c[1] - b[1])
+        if a == b or (cross == 0 and back < 0):
+            out.pop(i)
+            i = max(i - 2, 0)
+        else:
+            i += 1
+    return out
+
+
+def repaired_ring(ring: list[tuple[float, float]], most: int = 64) -> list[list[tuple[float, float]]]:
+    """The rings that a ring makes: closed, without repeated points and spikes, split wherever it crosses itself.
+
+    Splitting stops after ``most`` crossings; what is left then, like loops that overlap, fails the test of validity.
+    """
     if any(not (math.isfinite(x) and math.isfinite(y)) for x, y in ring):
         return []
-    pts = [p for i, p in enumerate(ring) if i == 0 or p != ring[i - 1]]
-    if pts and pts[0] == pts[-1]:
-        pts.pop()
-    again = True
-    while again and len(pts) > 2:  # a spike goes out and comes back
-        again = False
-        for i in range(len(pts)):
-            if pts[i - 1] == pts[(i + 1) % len(pts)]:
-                drop = {i, (i + 1) % len(pts)}
-                pts = [p for k, p in enumerate(pts) if k not in drop]
-                again = True
-                break
-    if len(pts) < 3:
-        return []
-    n = len(pts)
-    found = [(i, j, x) for i in range(n) for j in range(i + 2, n) if (x := _crossing(pts[i], pts[(i + 1) % n], pts[j], pts[(j + 1) % n]))]
-    if len(found) > 1:
-        return []
-    loops = [pts]
-    if found:
-        i, j, x = found[0]
-        loops = [[x, *pts[i + 1 : j + 1]], [x, *pts[j + 1 :], *pts[: i + 1]]]
-    closed = [[*p, p[0]] for p in loops if len(p) > 2]
-    return [r for r in closed if _area(r) != 0]
+    done, todo = [], [ring[:-1] if len(ring) > 1 and ring[0] == ring[-1] else list(ring)]
+    while todo:
+        pts = _without_spikes(todo.pop())
+        n = len(pts)
+        if n < 3:
+            continue
+        found = next(((i, j, x) for i in range(n) for j in range(i + 2, n) if (x := _crossing(pts[i], pts[(i + 1) % n], pts[j], pts[(j + 1) % n]))), None) if most else None
+        if found:
+            i, j, x = found
+            todo += [[x, *pts[j + 1 :], *pts[: i + 1]], [x, *pts[i + 1 : j + 1]]]
+            most -= 1
+        else:
+            done.append([*pts, pts[0]])
+    return [r for r in done if _area(r) != 0]
 
 
 def repaired_geometry(geom) -> list | None:
-    """None for a geometry that can't be repaired."""
+    """None for a geometry of which nothing can be kept."""
     out = []
     for part in geom if geom is not None else []:
         rings = [repaired_ring([(p["x"], p["y"]) for p in r]) for r in part]
@@ -320,22 +326,27 @@ def simplified_ring(ring: list[tuple[float, float]], tolerance: float) -> list[t
 
 
 def repair(df: DataFrame, geom: str = "geom") -> DataFrame:
-    """Adds geometry_repaired and repairs what is_valid() rejects; what can't be repaired stays as it is, invalid.
+    """Adds geometry_repaired and repairs what is not valid; what isn't valid after that either stays as it was.
 
-    Only invalid rows go through Python.
+    Validity is tested for a batch at once; only invalid shapes are taken apart one by one.
     """
-    schema = df.withColumn("geometry_repaired", F.lit(True)).schema
-    valid = F.coalesce(is_valid(F.col(geom)), F.lit(True))
-    sound = df.where(valid).withColumn("geometry_repaired", F.lit(False))
-
-    def run(frames):
-        for pdf in frames:
-            new = [repaired_geometry(g) for g in pdf[geom]]
-            pdf["geometry_repaired"] = [g is not None for g in new]
-            pdf[geom] = [g if g is not None else old for g, old in zip(new, pdf[geom])]
-            yield pdf
-
-    return sound.unionByName(df.where(~valid).mapInPandas(run, T.StructType(schema.fields)))
+    schema = T.StructType([*(f for f in df.schema.fields if f.name != "geometry_repaired"), T.StructField("geometry_repaired", T.BooleanType(), False)])
+    df = df.select(*[F.col(f"`{f.name}`") for f in schema.fields[:-1]])
+    at = df.columns.index(geom)
+
+    def run(batches):
+        for batch in batches:
+            shape = batch.column(at)
+            bad = [i for i, ok in enumerate(shapes.valid(shape)) if ok is False]
+            new = pa.array([repaired_geometry(g) for g in shape.take(pa.array(bad, pa.int64())).to_pylist()], shape.type)
+            sound = [k for k, ok in enumerate(shapes.valid(new)) if ok]
+            index = np.arange(len(shape))
+            index[[bad[k] for k in sound]] = len(shape) + np.array(sound, np.int64)
+            columns = list(batch.columns)
+            columns[at] = pa.concat_arrays([shape, new]).take(pa.array(index))
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(index >= len(shape))], names=[f.name for f in schema.fields])
+
+    return df.mapInArrow(run, schema)
 
 
 def simplify(df: DataFrame, geom: str = "geom", tolerance: float = 1e-5) -> DataFrame:

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import geometry as G
+
 
 def expect_not_null(df: DataFrame, *columns: str) -> DataFrame:
     return df.where(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns]))
@@ -62,6 +64,18 @@ def partition_checks(long: DataFrame, source: str, checks: Sequence[str]) -> Dat
     return long.where(F.col("check_name").isin(*checks)).groupBy(source, "check_name").agg(F.sum("n").cast("long").alias("n"), F.max("total_records").alias("total_records")).where("n <> total_records")
 
 
+def geometry_contracts(df: DataFrame, tagged: str, srid: int) -> dict[str, DataFrame]:
+    """What a map's geometries must be: there, not empty, in one reference system and valid."""
+    t = F.col(tagged)
+    there = df.where(t.isNotNull())
+    return {
+        "geometry_present": df.where(t.isNull()),
+        "geometry_not_empty": there.where(G.is_empty(G.shape(t))),
+        "geometry_srid": there.where(G.srid(t) != srid),
+        "geometry_valid": there.withColumn("_valid", G.is_valid(G.shape(t))).where("not _valid"),
+    }
+
+
 def violation_counts(contracts: Mapping[str, DataFrame], severity: Mapping[str, str] | None = None) -> DataFrame:
     """(contract, severity, violations), one row for each contract."""
     severity = severity or {}

@@ -44,12 +44,17 @@ def finding_primary() -> Column:
 
 
 def feature_ids(df: DataFrame, prefix: str, uid: str, size: Column, tiebreak: list[Column]) -> DataFrame:
-    """feature_id: the uid with a prefix for its origin, and ``#n`` where several rows share it (the largest first, nulls first)."""
+    """feature_id: the uid with a prefix for its origin, and ``#n`` where several rows share it (the largest first, nulls first).
+
+    Rows without a uid are known by their ``tiebreak`` columns; they don't meet in one window.
+    """
+    unknown = df.where(F.col(uid).isNull()).withColumn("feature_id", F.concat(F.lit(f"{prefix}no-id:"), F.concat_ws("|", *[c.cast("string") for c in tiebreak])))
+    df = df.where(F.col(uid).isNotNull())
     w = W.partitionBy(uid)
     n = F.row_number().over(w.orderBy(size.desc_nulls_first(), *tiebreak))
     several = F.count("*").over(w) > 1
     tail = F.when(several, F.concat(F.lit("#"), n.cast("string"))).otherwise("")
-    return df.withColumn("feature_id", F.concat(F.lit(prefix), F.col(uid), tail))
+    return df.withColumn("feature_id", F.concat(F.lit(prefix), F.col(uid), tail)).unionByName(unknown)
 
 
 def union_findings(published: DataFrame, theirs: DataFrame, quarantined: DataFrame) -> DataFrame:

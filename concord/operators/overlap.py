@@ -9,10 +9,13 @@ grids in the coarser one, so no box is posted more than a bounded number of time
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import geometry as G
+from ..functions.shapes import overlap_areas
 
 STEP = 8
 
@@ -68,9 +71,11 @@ def candidate_pairs(df: DataFrame, key: str, source: str, cell: float, box: str
 def overlap_pairs(df: DataFrame, key: str, source: str, geom: str = "geom", parent: str | None = None, stacked: str | None = None, least_area: float = 1.0, cell: float | None = None) -> DataFrame:
     """Pairs that overlap by more than ``least_area``: overlap_area and overlap_ratio (to the smaller of the two).
 
-    Records of one ``parent`` never pair, nor do two ``stacked`` ones.
+    ``key`` is unique; records of one ``parent`` never pair, nor do two ``stacked`` ones.  The grid join moves
+    keys and boxes only; geometries join what is left of the pairs, and the area comes from an Arrow
+    function over them, which the optimiser neither repeats nor pulls into the join.
     """
-    keep = tuple(c for c in (geom, "area", parent, stacked) if c)
+    keep = tuple(c for c in ("area", parent, stacked) if c)
     rows = df.where(F.col(geom).isNotNull() & ~G.is_empty(F.col(geom)))
     rows = rows.withColumn("box", G.bbox(F.col(geom))).withColumn("area", G.area(F.col(geom)))
     extra = None
@@ -80,9 +85,19 @@ def overlap_pairs(df: DataFrame, key: str, source: str, geom: str = "geom", pare
         not_both = ~(F.coalesce(F.col(f"a.{stacked}"), F.lit(False)) & F.coalesce(F.col(f"b.{stacked}"), F.lit(False)))
         extra = not_both if extra is None else extra & not_both
     pairs = candidate_pairs(rows, key, source, cell or choose_cell(rows), extra=extra, keep=keep)
-    # Candidates are dealt out evenly before the dear part, which is computed once.
-    pairs = pairs.withColumn("overlap_area", G.overlap_area(F.col(f"{geom}_a"), F.col(f"{geom}_b"))).where(F.col("overlap_area") > least_area)
-    return pairs.withColumn("overlap_ratio", F.col("overlap_area") / F.nullif(F.least("area_a", "area_b"), F.lit(0.0))).drop(f"{geom}_a", f"{geom}_b")
+    for t in "ab":
+        pairs = pairs.join(rows.select(F.col(key).alias(f"{key}_{t}"), F.col(geom).alias(f"{geom}_{t}")), f"{key}_{t}")
+    stay = [c for c in pairs.columns if c not in (f"{geom}_a", f"{geom}_b")]
+    pairs = pairs.select(*stay, f"{geom}_a", f"{geom}_b")
+    schema = T.StructType([*pairs.schema.fields[: len(stay)], T.StructField("overlap_area", T.DoubleType(), False)])
+
+    def run(batches):
+        for batch in batches:
+            area = overlap_areas(batch.column(len(stay)), batch.column(len(stay) + 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(stay)], pa.array(area)], names=[f.name for f in schema.fields])
+
+    pairs = pairs.mapInArrow(run, schema).where(F.col("overlap_area") > least_area)
+    return pairs.withColumn("overlap_ratio", F.col("overlap_area") / F.nullif(F.least("area_a", "area_b"), F.lit(0.0)))
 
 
 def classify_overlaps(pairs: DataFrame, stacked: str | None = None, coincident: float = 0.8) -> DataFrame:
@@ -92,6 +107,23 @@ def classify_overlaps(pairs: DataFrame, stacked: str | None = None, coincident:
     return out.withColumn("unflagged_coincident", (F.col("overlap_class") == "coincident") & ~flagged[0] & ~flagged[1])
 
 
+def overlap_invariants(key: str, parent: str, stacked: str, least_area: float = 1.0, coincident: float = 0.8) -> dict[str, Column]:
+    """What no pair may be, by name: conditions on classified pairs that only wrong code can make true."""
+    both = F.coalesce(F.col(f"{stacked}_a"), F.lit(False)) & F.coalesce(F.col(f"{stacked}_b"), F.lit(False))
+    either = F.coalesce(F.col(f"{stacked}_a"), F.lit(False)) | F.coalesce(F.col(f"{stacked}_b"), F.lit(False))
+    is_coincident = F.col("overlap_class") == "coincident"
+    return {
+        "both_stacked": both,
+        "not_ordered": F.col(f"{key}_a") >= F.col(f"{key}_b"),
+        "one_parent": F.col(f"{parent}_a") == F.col(f"{parent}_b"),
+        "ratio_out_of_range": F.col("overlap_ratio").isNull() | (F.col("overlap_ratio") <= 0) | (F.col("overlap_ratio") > 1.0000001),
+        "area_too_small": F.col("overlap_area") <= least_area,
+        "wrongly_unflagged": F.col("unflagged_coincident") & (~is_coincident | either),
+        "class_unknown": ~F.coalesce(F.col("overlap_class").isin("coincident", "encroachment"), F.lit(False)),
+        "class_against_ratio": (F.col("overlap_ratio") >= coincident) != is_coincident,
+    }
+
+
 def both_directions(pairs: DataFrame, columns: dict[str, tuple[str, str]], shared: list[str]) -> DataFrame:
     """Each pair once from either side: ``columns`` gives for each output the pair's column seen from a and from b."""
     sides = [F.struct(*[F.col(c[i]).alias(n) for n, c in columns.items()]) for i in (0, 1)]

@@ -41,4 +41,6 @@ def duplicated_ids(df: DataFrame, ident: str) -> DataFrame:
 def flag_duplicates(df: DataFrame, ident: str, flag: str = "duplicate_id") -> DataFrame:
     """Every row whose id more than one row has; the counts are aggregated before the join."""
     again = duplicated_ids(df, ident).select(ident, F.lit(True).alias(flag))
-    return df.join(again, ident, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+    # Rows without an id, however many, stay where they are: the join would send them to one task.
+    known = df.where(F.col(ident).isNotNull()).join(again, ident, "left").select(*df.columns, F.coalesce(flag, F.lit(False)).alias(flag))
+    return known.unionByName(df.where(F.col(ident).isNull()).withColumn(flag, F.lit(False)))

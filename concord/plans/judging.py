@@ -60,7 +60,7 @@ FROM (SELECT *, {_REASON} AS reason FROM documents) GROUP BY ALL
 
 def quarantine_summary_(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, quarantined = split(judged_lines(spark, sf_dir))
-    return quarantine_summary(quarantined, RECORD_RULES[:2], "source", F.col("source_record_count"))
+    return quarantine_summary(quarantined, RECORD_RULES[:2], "source", F.col("source_record_count")).orderBy("source", "rejection_reason")
 
 
 QUARANTINE_SUMMARY = f"""
@@ -85,7 +85,7 @@ WITH {JUDGED_SQL}
 SELECT l_returnflag AS source, count(*) AS staged,
        (SELECT CAST(sum(source_record_count) AS BIGINT) FROM judged WHERE source = l_returnflag AND rejection_reason IS NULL) AS published,
        (SELECT CAST(sum(source_record_count) AS BIGINT) FROM judged WHERE source = l_returnflag AND rejection_reason IS NOT NULL) AS rejected,
-       CAST(0 AS BIGINT) AS violations
+       (SELECT count(*) FROM (SELECT l_returnflag AS f, count(*) AS n FROM lineitem GROUP BY 1) x WHERE n <> coalesce((SELECT sum(source_record_count) FROM judged WHERE source = f), 0)) AS violations
 FROM lineitem GROUP BY l_returnflag
 """
 
@@ -122,7 +122,7 @@ UNION ALL SELECT 'reasons_known', 'error', count(DISTINCT rejection_reason) FROM
 UNION ALL SELECT 'published_have_ids', 'error', count(*) FROM judged WHERE rejection_reason IS NULL AND record_key IS NULL
 UNION ALL SELECT 'rejected_have_ids', 'error', count(*) FROM judged WHERE rejection_reason IS NOT NULL AND record_key IS NULL
 UNION ALL SELECT 'reject_rate', 'error', count(*) FROM (SELECT source, sum(source_record_count) FILTER (rejection_reason IS NOT NULL) AS r, sum(source_record_count) AS n FROM judged GROUP BY source) WHERE r / n >= 0.05
-UNION ALL SELECT 'total_count', 'error', 0
+UNION ALL SELECT 'total_count', 'error', CASE WHEN (SELECT sum(source_record_count) FROM judged) = count(*) THEN 0 ELSE 1 END FROM keyed
 UNION ALL SELECT 'price_present', 'warn', count(*) FROM orders WHERE NOT coalesce(o_totalprice > 1000, false)
 """
 
@@ -149,7 +149,7 @@ def merge_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.groupBy("source").agg(F.count("*").alias("n"), F.sum("n").cast("long").alias("n_rows"), F.count_if(F.col("n") != F.col("source_record_count")).alias("n_off"))
 
 
-MERGE_PROVENANCE = f"WITH {MERGED_SQL} SELECT source, count(*) AS n, CAST(sum(source_record_count) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_off FROM merged WHERE record_key IS NOT NULL AND source_record_count > 1 GROUP BY source"
+MERGE_PROVENANCE = f"WITH {MERGED_SQL} SELECT source, count(*) AS n, CAST(sum(m) AS BIGINT) AS n_rows, count(*) FILTER (m <> source_record_count) AS n_off FROM merged FULL JOIN (SELECT record_key, count(*) AS m FROM keyed WHERE record_key IS NOT NULL GROUP BY 1 HAVING count(*) > 1) USING (record_key) WHERE record_key IS NOT NULL AND (m IS NOT NULL OR source_record_count > 1) GROUP BY source"
 
 QUERIES = {
     "rule_case": rule_case,

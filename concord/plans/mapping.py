@@ -9,11 +9,19 @@ from ..functions import geometry as G
 from ..functions.columns import ordered_case
 from ..operators import findings as X
 from ..operators import overlap as O
+from ..operators import contracts as C
+from ..operators.reconcile import Comparable, disagreement_text, reconcile
 from ..operators.records import merge_records
 from ..sources.sinks import export, feature_columns, scratch_folder
 from .common import table
 
 PARENT = "p_partkey div 2"
+SOURCE_SQL = "CASE p_partkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'N' ELSE 'R' END"
+
+
+def source() -> Column:
+    """Another division of the parts, by which the scorecard counts."""
+    return F.element_at(F.array(F.lit("A"), F.lit("N"), F.lit("R")), (F.col("p_partkey") % 3 + 1).cast("int"))
 
 
 def corner() -> tuple[Column, Column, Column]:
@@ -24,19 +32,28 @@ def rectangles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A square for each part: its source is the brand, two parts share a parent, some are stacked."""
     x, y, s = corner()
     p = table(spark, sf_dir, "part")
-    return p.select("p_partkey", "p_brand", "p_size", F.expr(PARENT).alias("parent"), (F.col("p_type") == "ECONOMY").alias("stacked"), G.rectangle(x, y, x + s, y + s).alias("geom"))
+    return p.select("p_partkey", "p_brand", "p_size", source().alias("source"), F.expr(PARENT).alias("parent"), (F.col("p_type") == "ECONOMY").alias("stacked"), G.rectangle(x, y, x + s, y + s).alias("geom"))
+
 
+def pairs(spark: SparkSession, sf_dir: str, by: str = "p_brand") -> DataFrame:
+    return O.classify_overlaps(O.overlap_pairs(rectangles(spark, sf_dir), "p_partkey", by, parent="parent", stacked="stacked"), "stacked")
 
-def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return O.classify_overlaps(O.overlap_pairs(rectangles(spark, sf_dir), "p_partkey", "p_brand", parent="parent", stacked="stacked"), "stacked")
+
+def outcome() -> Column:
+    return F.when(F.col("unflagged_coincident"), "coincident_unflagged").otherwise(F.col("overlap_class"))
 
 
 def overlap_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs(spark, sf_dir).select("p_brand", "p_partkey_a", "p_partkey_b", "overlap_area", "overlap_ratio", "overlap_class", "unflagged_coincident")
 
 
-PAIRS_SQL = """
-shapes AS (SELECT p_partkey AS k, p_brand, p_partkey // 2 AS parent, p_type = 'ECONOMY' AS stacked, p_partkey * 37 % 1000 AS x, p_partkey * 91 % 1000 AS y, p_size AS s FROM part),
+def pairs_sql(source: str = "p_brand") -> str:
+    """The pairs of one source, whose shapes are squares."""
+    return _PAIRS_SQL.replace("{source}", source)
+
+
+_PAIRS_SQL = """
+shapes AS (SELECT p_partkey AS k, {source} AS p_brand, p_partkey // 2 AS parent, p_type = 'ECONOMY' AS stacked, p_partkey * 37 % 1000 AS x, p_partkey * 91 % 1000 AS y, p_size AS s FROM part),
 pairs AS (
   SELECT a.p_brand, a.k AS p_partkey_a, b.k AS p_partkey_b, a.parent AS parent_a, b.parent AS parent_b, a.stacked AS stacked_a, b.stacked AS stacked_b,
          CAST((least(a.x + a.s, b.x + b.s) - greatest(a.x, b.x)) * (least(a.y + a.s, b.y + b.s) - greatest(a.y, b.y)) AS DOUBLE) AS overlap_area,
@@ -47,19 +64,24 @@ classed AS (
   SELECT *, CASE WHEN overlap_ratio >= 0.8 THEN 'coincident' ELSE 'encroachment' END AS overlap_class,
          overlap_ratio >= 0.8 AND NOT stacked_a AND NOT stacked_b AS unflagged_coincident
   FROM pairs WHERE overlap_area > 1)"""
+PAIRS_SQL = pairs_sql()
 
 
 def overlap_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs by source and outcome, and the invariants they break (none)."""
     p = pairs(spark, sf_dir)
-    outcome = F.when(F.col("unflagged_coincident"), "coincident_unflagged").otherwise(F.col("overlap_class"))
-    broken = F.count_if((F.col("p_partkey_a") >= F.col("p_partkey_b")) | (F.col("parent_a") == F.col("parent_b")) | (F.col("stacked_a") & F.col("stacked_b")) | ~F.col("overlap_ratio").between(0, 1.000001) | (F.col("overlap_area") <= 1))
-    return p.groupBy("p_brand", outcome.alias("outcome")).agg(F.count("*").alias("n"), F.sum("overlap_area").alias("area"), broken.alias("violations"))
+    broken = [F.count_if(c).alias(n) for n, c in O.overlap_invariants("p_partkey", "parent", "stacked").items()]
+    return p.groupBy("p_brand", outcome().alias("outcome")).agg(F.count("*").alias("n"), F.sum("overlap_area").alias("area"), *broken)
 
 
 OVERLAP_CLASSES = f"""
 WITH {PAIRS_SQL}
-SELECT p_brand, CASE WHEN unflagged_coincident THEN 'coincident_unflagged' ELSE overlap_class END AS outcome, count(*) AS n, sum(overlap_area) AS area, CAST(0 AS BIGINT) AS violations FROM classed GROUP BY ALL
+SELECT p_brand, CASE WHEN unflagged_coincident THEN 'coincident_unflagged' ELSE overlap_class END AS outcome, count(*) AS n, sum(overlap_area) AS area,
+       count(*) FILTER (stacked_a AND stacked_b) AS both_stacked, count(*) FILTER (p_partkey_a >= p_partkey_b) AS not_ordered, count(*) FILTER (parent_a = parent_b) AS one_parent,
+       count(*) FILTER (overlap_ratio IS NULL OR overlap_ratio <= 0 OR overlap_ratio > 1.0000001) AS ratio_out_of_range, count(*) FILTER (overlap_area <= 1) AS area_too_small,
+       count(*) FILTER (unflagged_coincident AND (overlap_class <> 'coincident' OR stacked_a OR stacked_b)) AS wrongly_unflagged,
+       count(*) FILTER (overlap_class NOT IN ('coincident', 'encroachment')) AS class_unknown, count(*) FILTER ((overlap_ratio >= 0.8) <> (overlap_class = 'coincident')) AS class_against_ratio
+FROM classed GROUP BY ALL
 """
 
 
@@ -105,40 +127,60 @@ lists AS (
 )
 
 
-def _source_of_part(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The three origins of findings: parts with findings, suppliers that parts lack, parts too small to publish."""
+RECONCILED_FIELDS = [Comparable("brand", text=True), Comparable("size", "sum")]
+
+
+def _answer_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other side's records: most parents of parts, some of another brand, and suppliers, some ids twice."""
+    p = table(spark, sf_dir, "part").where(f"({PARENT}) % 11 <> 0")
+    brand = F.when(F.expr(PARENT) % 9 == 0, F.lit("Other")).otherwise(F.col("p_brand"))
+    parts = p.select(F.concat(F.lit("P-"), F.expr(PARENT).cast("string")).alias("uid"), brand.alias("brand"), F.when(F.col("p_size") >= 3, F.col("p_size")).cast("long").alias("size"), F.col("p_size").cast("double").alias("area"), F.col("p_partkey").alias("row"))
+    s = table(spark, sf_dir, "supplier").where("s_suppkey % 4 = 1")
+    area = F.when(F.col("s_acctbal") > 0, F.col("s_acctbal"))
+    return parts.unionByName(s.select(F.concat(F.lit("S-"), (F.col("s_suppkey") % 40).cast("string")).alias("uid"), F.lit(None).cast("string").alias("brand"), F.lit(None).cast("long").alias("size"), area.alias("area"), F.col("s_suppkey").alias("row")))
+
+
+def _origins(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three origins of findings: published shapes with one, records only the other side has, shapes too small to publish."""
     r = rectangles(spark, sf_dir).withColumn("uid", F.concat(F.lit("P-"), F.col("parent").cast("string"))).withColumn("area", G.area(F.col("geom")))
-    recon = F.when(F.col("parent") % 9 == 0, "both_differ").when(F.col("parent") % 11 == 0, "ours_only").otherwise("both_match")
-    fine = r.where("p_size >= 3").join(counterpart_list(spark, sf_dir), "p_partkey", "left").withColumn("reconciliation_class", recon).withColumn("geometry_repaired", F.col("p_partkey") % 29 == 0)
+    published, key = r.where("p_size >= 3"), _answer_key(spark, sf_dir)
+    recon = reconcile(published.select("uid", F.col("p_brand").alias("brand"), F.col("p_size").cast("long").alias("size")), key, "uid", RECONCILED_FIELDS)
+    classes = recon.select("uid", "reconciliation_class", disagreement_text(RECONCILED_FIELDS).alias("disagreements"))
+    fine = published.join(counterpart_list(spark, sf_dir), "p_partkey", "left").join(classes, "uid", "left").withColumn("geometry_repaired", F.col("p_partkey") % 29 == 0)
     ours = X.feature_ids(fine.where(X.has_finding()), "ours-", "uid", F.col("area"), [F.col("p_partkey")])
-    s = table(spark, sf_dir, "supplier")
-    missing = s.where("s_suppkey % 4 = 1").select(F.concat(F.lit("S-"), (F.col("s_suppkey") % 40).cast("string")).alias("uid"), "s_suppkey", F.when(F.col("s_acctbal") > 0, F.col("s_acctbal")).alias("area"), F.lit("theirs_only").alias("reconciliation_class"))
-    theirs = X.feature_ids(missing, "theirs-", "uid", F.col("area"), [F.col("s_suppkey")])
+    missing = key.join(classes.where("reconciliation_class = 'theirs_only'").drop("disagreements"), "uid")
+    theirs = X.feature_ids(missing.select("uid", "area", "row", "reconciliation_class"), "theirs-", "uid", F.col("area"), [F.col("row")])
     rejected = X.feature_ids(r.where("p_size < 3").withColumn("rejection_reason", F.lit("too_small")), "quarantine-", "uid", F.col("area"), [F.col("p_partkey")])
     return ours, theirs, rejected
 
 
-FINDING_COLUMNS = ["feature_id", "uid", "area", "reconciliation_class", "has_encroachment", "has_unflagged_coincident", "n_counterparts", "counterparts", "geometry_repaired", "rejection_reason", "geom_source", "finding_primary"]
+FINDING_COLUMNS = ["feature_id", "uid", "area", "reconciliation_class", "disagreements", "has_encroachment", "has_unflagged_coincident", "n_counterparts", "counterparts", "geometry_repaired", "rejection_reason", "geom_source", "finding_primary"]
 
 
 def findings_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.union_findings(*_source_of_part(spark, sf_dir)).select(*FINDING_COLUMNS)
+    return X.union_findings(*_origins(spark, sf_dir)).select(*FINDING_COLUMNS)
 
 
 _IDS = "'{0}-' || uid || CASE WHEN count(*) OVER (PARTITION BY uid) > 1 THEN '#' || row_number() OVER (PARTITION BY uid ORDER BY area DESC NULLS FIRST, {1}) ELSE '' END AS feature_id"
 FINDINGS_UNION = f"""
 WITH {COUNTERPARTS_SQL},
 r AS (SELECT 'P-' || parent AS uid, parent, k, s, CAST(s * s AS DOUBLE) AS area FROM shapes),
-fine AS (SELECT r.*, l.n_counterparts, l.counterparts, l.has_encroachment, l.has_unflagged_coincident, CASE WHEN parent % 9 = 0 THEN 'both_differ' WHEN parent % 11 = 0 THEN 'ours_only' ELSE 'both_match' END AS reconciliation_class, k % 29 = 0 AS geometry_repaired
-         FROM r LEFT JOIN lists l ON k = p_partkey WHERE s >= 3),
+key AS (SELECT 'P-' || p_partkey // 2 AS uid, CASE WHEN p_partkey // 2 % 9 = 0 THEN 'Other' ELSE p_brand END AS brand, CASE WHEN p_size >= 3 THEN p_size END AS size, CAST(p_size AS DOUBLE) AS area, p_partkey AS row FROM part WHERE p_partkey // 2 % 11 <> 0
+        UNION ALL SELECT 'S-' || s_suppkey % 40, NULL, NULL, CASE WHEN s_acctbal > 0 THEN s_acctbal END, s_suppkey FROM supplier WHERE s_suppkey % 4 = 1),
+sides AS (SELECT * FROM (SELECT uid, min(p_brand) AS a_brand, sum(s) AS a_size, 1 AS a FROM (SELECT 'P-' || parent AS uid, p_brand, s FROM shapes WHERE s >= 3) GROUP BY uid)
+          FULL JOIN (SELECT uid, min(brand) AS b_brand, sum(size) AS b_size, 1 AS b FROM key GROUP BY uid) USING (uid)),
+recon AS (SELECT uid, CASE WHEN a IS NULL THEN 'theirs_only' WHEN b IS NULL THEN 'ours_only' WHEN upper(a_brand) <> upper(b_brand) OR coalesce(a_size <> b_size, false) THEN 'both_differ' ELSE 'both_match' END AS reconciliation_class,
+                 nullif(concat_ws('; ', CASE WHEN upper(a_brand) <> upper(b_brand) THEN 'brand: ' || a_brand || ' ≠ ' || b_brand END, CASE WHEN a_size <> b_size THEN 'size: ' || CAST(a_size AS BIGINT) || ' ≠ ' || CAST(b_size AS BIGINT) END), '') AS disagreements FROM sides),
+fine AS (SELECT r.*, l.n_counterparts, l.counterparts, l.has_encroachment, l.has_unflagged_coincident, reconciliation_class, disagreements, k % 29 = 0 AS geometry_repaired
+         FROM r LEFT JOIN lists l ON k = p_partkey LEFT JOIN recon USING (uid) WHERE s >= 3),
 found AS (SELECT * FROM fine WHERE coalesce(has_encroachment, false) OR coalesce(has_unflagged_coincident, false) OR reconciliation_class <> 'both_match' OR geometry_repaired),
-missing AS (SELECT 'S-' || s_suppkey % 40 AS uid, s_suppkey, CASE WHEN s_acctbal > 0 THEN s_acctbal END AS area FROM supplier WHERE s_suppkey % 4 = 1)
+missing AS (SELECT key.uid, row, area FROM key JOIN recon USING (uid) WHERE reconciliation_class = 'theirs_only')
 SELECT *, CASE WHEN geom_source = 'quarantine' THEN 'quarantined' WHEN reconciliation_class = 'theirs_only' THEN 'missing_from_ours' WHEN has_encroachment THEN 'encroachment' WHEN has_unflagged_coincident THEN 'unflagged_coincident'
                 WHEN reconciliation_class = 'both_differ' THEN 'attribute_disagreement' WHEN reconciliation_class = 'ours_only' THEN 'missing_from_theirs' WHEN geometry_repaired THEN 'geometry_repaired' END AS finding_primary
 FROM (
-  SELECT {_IDS.format("ours", "k")}, uid, area, reconciliation_class, has_encroachment, has_unflagged_coincident, n_counterparts, counterparts, geometry_repaired, CAST(NULL AS VARCHAR) AS rejection_reason, 'ours' AS geom_source FROM found
-  UNION ALL SELECT {_IDS.format("theirs", "s_suppkey")}, uid, area, 'theirs_only', NULL, NULL, NULL, NULL, NULL, NULL, 'theirs' FROM missing
-  UNION ALL SELECT {_IDS.format("quarantine", "k")}, uid, area, NULL, NULL, NULL, NULL, NULL, NULL, 'too_small', 'quarantine' FROM r WHERE s < 3)
+  SELECT {_IDS.format("ours", "k")}, uid, area, reconciliation_class, disagreements, has_encroachment, has_unflagged_coincident, n_counterparts, counterparts, geometry_repaired, CAST(NULL AS VARCHAR) AS rejection_reason, 'ours' AS geom_source FROM found
+  UNION ALL SELECT {_IDS.format("theirs", "row")}, uid, area, 'theirs_only', NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'theirs' FROM missing
+  UNION ALL SELECT {_IDS.format("quarantine", "k")}, uid, area, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'too_small', 'quarantine' FROM r WHERE s < 3)
 """
 
 
@@ -154,21 +196,26 @@ FROM part WINDOW w AS (PARTITION BY p_partkey // 3)
 
 
 def merged_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shapes of a brand and parent gathered as parts of one; what the parts share is found by the overlap join."""
+    """Shapes of a brand and parent gathered as parts of one; what the parts share, and what they cover together."""
     r = rectangles(spark, sf_dir).withColumn("key", F.concat_ws("-", "p_brand", F.expr("p_partkey div 100").cast("string"))).withColumn("record_signature", F.col("p_partkey").cast("string"))
     r = r.withColumn("geom", F.when(F.col("p_size") > 2, F.col("geom")))
     merged = merge_records(r, "key", "record_signature", {"geom": "union", "stacked": "any"})
     own = O.overlap_pairs(r, "p_partkey", "key", least_area=0.0).groupBy("key").agg(F.sum("overlap_area").alias("overlap"))
     out = merged.join(own, "key", "left")
-    return out.select("key", "stacked", "source_record_count", F.coalesce(F.size("geom"), F.lit(0)).alias("n_parts"), F.coalesce(G.area(F.col("geom")), F.lit(0.0)).alias("area"), F.coalesce("overlap", F.lit(0.0)).alias("union_overlap_area"))
+    return out.select("key", "stacked", "source_record_count", F.coalesce(F.size("geom"), F.lit(0)).alias("n_parts"), F.coalesce(G.area(F.col("geom")), F.lit(0.0)).alias("area"), F.coalesce("overlap", F.lit(0.0)).alias("shared_area"), F.coalesce(G.union_area(F.col("geom")), F.lit(0.0)).alias("union_area"))
 
 
 MERGED_GEOMETRY = """
 WITH r AS (SELECT p_partkey AS k, p_brand || '-' || p_partkey // 100 AS key, p_type = 'ECONOMY' AS stacked, p_partkey * 37 % 1000 AS x, p_partkey * 91 % 1000 AS y, CASE WHEN p_size > 2 THEN p_size END AS s FROM part),
 o AS (SELECT a.key, sum(CAST((least(a.x + a.s, b.x + b.s) - greatest(a.x, b.x)) * (least(a.y + a.s, b.y + b.s) - greatest(a.y, b.y)) AS DOUBLE)) AS overlap
-      FROM r a JOIN r b ON a.key = b.key AND a.k < b.k AND a.x < b.x + b.s AND b.x < a.x + a.s AND a.y < b.y + b.s AND b.y < a.y + a.s GROUP BY 1)
-SELECT key, bool_or(stacked) AS stacked, count(*) AS source_record_count, CAST(count(s) AS INTEGER) AS n_parts, CAST(coalesce(sum(s * s), 0) AS DOUBLE) AS area, coalesce(max(overlap), 0.0) AS union_overlap_area
-FROM r LEFT JOIN o USING (key) GROUP BY key
+      FROM r a JOIN r b ON a.key = b.key AND a.k < b.k AND a.x < b.x + b.s AND b.x < a.x + a.s AND a.y < b.y + b.s AND b.y < a.y + a.s GROUP BY 1),
+-- What squares cover together: the cells between all their borders that lie in one of them.
+xs AS (SELECT key, v AS x0, lead(v) OVER (PARTITION BY key ORDER BY v) AS x1 FROM (SELECT key, x AS v FROM r WHERE s IS NOT NULL UNION SELECT key, x + s FROM r WHERE s IS NOT NULL)),
+ys AS (SELECT key, v AS y0, lead(v) OVER (PARTITION BY key ORDER BY v) AS y1 FROM (SELECT key, y AS v FROM r WHERE s IS NOT NULL UNION SELECT key, y + s FROM r WHERE s IS NOT NULL)),
+cells AS (SELECT DISTINCT xs.key, x0, x1, y0, y1 FROM xs JOIN ys USING (key) JOIN r ON r.key = xs.key AND x <= x0 AND x1 <= x + s AND y <= y0 AND y1 <= y + s),
+u AS (SELECT key, CAST(sum((x1 - x0) * (y1 - y0)) AS DOUBLE) AS covered FROM cells GROUP BY key)
+SELECT key, bool_or(stacked) AS stacked, count(*) AS source_record_count, CAST(count(s) AS INTEGER) AS n_parts, CAST(coalesce(sum(s * s), 0) AS DOUBLE) AS area, coalesce(max(overlap), 0.0) AS shared_area, coalesce(max(covered), 0.0) AS union_area
+FROM r LEFT JOIN o USING (key) LEFT JOIN u USING (key) GROUP BY key
 """
 
 
@@ -190,16 +237,17 @@ def odd_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def geometry_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A spike lies on itself and doesn't cross: it is valid here and in the repaired form goes."""
-    g = F.col("geom")
-    declared, observed = F.lit(2927), F.when(F.col("p_partkey") % 3 == 0, 2927).when(F.col("p_partkey") % 3 == 1, 0).otherwise(4326)
-    shapes = odd_shapes(spark, sf_dir)
-    return shapes.select("p_partkey", G.is_empty(g).alias("is_empty"), G.is_valid(g).alias("is_valid"), G.area(g).alias("area"), ((observed == 0) | (observed == declared)).alias("srid_ok"))
+    """Validity, emptiness, area and reference system; a ring with a spike isn't simple, so it is invalid."""
+    observed = F.when(F.col("p_partkey") % 3 == 0, 2927).when(F.col("p_partkey") % 3 == 1, 0).otherwise(4326)
+    tagged = odd_shapes(spark, sf_dir).withColumn("tagged", G.with_srid(F.col("geom"), observed))
+    g = G.shape(F.col("tagged"))
+    return tagged.select("p_partkey", G.is_empty(g).alias("is_empty"), G.is_valid(g).alias("is_valid"), G.area(g).alias("area"), G.srid(F.col("tagged")).alias("srid"), G.srid_fits(F.col("tagged"), 2927).alias("srid_ok"))
 
 
 GEOMETRY_VALIDITY = """
-SELECT p_partkey, CASE WHEN p_partkey % 7 < 6 THEN p_partkey % 7 = 4 END AS is_empty, CASE WHEN p_partkey % 7 < 6 THEN p_partkey % 7 IN (0, 2) END AS is_valid,
-       CAST(CASE p_partkey % 7 WHEN 0 THEN p_size * p_size WHEN 1 THEN p_size * p_size WHEN 2 THEN p_size * p_size WHEN 6 THEN NULL ELSE 0 END AS DOUBLE) AS area, p_partkey % 3 <> 2 AS srid_ok
+SELECT p_partkey, CASE WHEN p_partkey % 7 < 6 THEN p_partkey % 7 = 4 END AS is_empty, CASE WHEN p_partkey % 7 < 6 THEN p_partkey % 7 = 0 END AS is_valid,
+       CAST(CASE p_partkey % 7 WHEN 0 THEN p_size * p_size WHEN 1 THEN p_size * p_size WHEN 2 THEN p_size * p_size WHEN 6 THEN NULL ELSE 0 END AS DOUBLE) AS area,
+       CASE WHEN p_partkey % 7 < 6 THEN CASE p_partkey % 3 WHEN 0 THEN 2927 WHEN 1 THEN 0 ELSE 4326 END END AS srid, CASE WHEN p_partkey % 7 < 6 THEN p_partkey % 3 <> 2 END AS srid_ok
 FROM part
 """
 
@@ -207,17 +255,39 @@ FROM part
 def geometry_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = G.repair(odd_shapes(spark, sf_dir))
     g = F.col("geom")
-    return out.select("p_partkey", "geometry_repaired", G.is_valid(g).alias("is_valid"), F.size(g).alias("n_parts"), G.area(g).alias("area"))
+    return out.select("p_partkey", "geometry_repaired", G.is_valid(g).alias("is_valid"), F.size(g).alias("n_parts"), G.area(g).alias("area"), F.size(G.points(g)).alias("n_points"))
 
 
 GEOMETRY_REPAIR = """
-SELECT p_partkey, p_partkey % 7 IN (1, 3) AS geometry_repaired, CASE WHEN p_partkey % 7 < 6 THEN p_partkey % 7 < 4 END AS is_valid,
+SELECT p_partkey, p_partkey % 7 IN (1, 2, 3) AS geometry_repaired, CASE WHEN p_partkey % 7 < 6 THEN p_partkey % 7 < 4 END AS is_valid,
        CASE p_partkey % 7 WHEN 3 THEN 2 WHEN 4 THEN 0 WHEN 6 THEN NULL ELSE 1 END AS n_parts,
-       CAST(CASE p_partkey % 7 WHEN 3 THEN p_size * p_size / 2 WHEN 4 THEN 0 WHEN 5 THEN 0 WHEN 6 THEN NULL ELSE p_size * p_size END AS DOUBLE) AS area
+       CAST(CASE p_partkey % 7 WHEN 3 THEN p_size * p_size / 2 WHEN 4 THEN 0 WHEN 5 THEN 0 WHEN 6 THEN NULL ELSE p_size * p_size END AS DOUBLE) AS area,
+       CASE p_partkey % 7 WHEN 3 THEN 8 WHEN 4 THEN 0 WHEN 6 THEN NULL ELSE 5 END AS n_points
 FROM part
 """
 
 
+def geometry_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extract's geometries: there, not empty, in one reference system, valid (a warning); and a vintage for each row."""
+    observed = F.when(F.col("p_partkey") % 3 == 2, 2927).otherwise(4326)
+    rows = G.repair(odd_shapes(spark, sf_dir)).withColumn("tagged", G.with_srid(F.col("geom"), observed))
+    quarantined = rows.where("p_size < 3").withColumn("location", F.lit("quarantine"))
+    lines = table(spark, sf_dir, "lineitem")
+    last = lines.where("l_returnflag <> 'A'").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.max("l_shipdate").alias("vintage"))
+    out = C.geometry_contracts(rows, "tagged", 4326) | {"vintage_present": C.expect_not_null(rows.join(last, "p_partkey", "left"), "vintage"), "quarantine_location": C.expect_true(quarantined, F.col("location") == "quarantine")}
+    return C.violation_counts(out, {"geometry_valid": "warn"})
+
+
+GEOMETRY_CONTRACTS = """
+SELECT 'geometry_present' AS contract, 'error' AS severity, count(*) AS violations FROM part WHERE p_partkey % 7 = 6
+UNION ALL SELECT 'geometry_not_empty', 'error', count(*) FROM part WHERE p_partkey % 7 = 4
+UNION ALL SELECT 'geometry_srid', 'error', count(*) FROM part WHERE p_partkey % 7 < 6 AND p_partkey % 3 = 2
+UNION ALL SELECT 'geometry_valid', 'warn', count(*) FROM part WHERE p_partkey % 7 IN (4, 5)
+UNION ALL SELECT 'vintage_present', 'error', count(*) FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag <> 'A')
+UNION ALL SELECT 'quarantine_location', 'error', count(*) FROM part WHERE p_size < 3 AND 'quarantine' <> 'quarantine'
+"""
+
+
 def geometry_simplify(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Squares with a point in the middle of two sides, one of them a little off the line."""
     x, y, s = corner()
@@ -278,18 +348,35 @@ def export_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
         "parquet/shapes": spark.read.parquet(f"{root}/parquet/shapes"),
         "csv/shapes": spark.read.csv(f"{root}/csv/shapes", header=True),
         "json/kinds": spark.read.json(f"{root}/json/kinds"),
+        "json_array/kinds": spark.read.json(f"{root}/json_array/kinds", multiLine=True),
         "features/shapes": spark.read.parquet(f"{root}/features/shapes"),
+        "features_wkb/shapes": spark.read.parquet(f"{root}/features_wkb/shapes"),
     }
-    parts = [d.agg(F.count("*").alias("n_rows")).select(F.lit(k).alias("output"), "n_rows", F.lit(len(d.columns)).alias("n_columns")) for k, d in back.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    figures = {"kinds": ("n", F.length("p_brand")), "shapes": ("p_partkey", F.col("p_size"))}
+    extra = {"features/shapes": F.length("geom_json"), "features_wkb/shapes": F.length("geom_wkb")}
+
+    def summed(output: str, d: DataFrame) -> DataFrame:
+        first, second = figures[output.split("/")[1]]
+        sums = [F.sum(c.cast("long")).alias(n) for n, c in (("first", F.col(first)), ("second", second), ("third", extra.get(output, F.lit(0))))]
+        return d.agg(F.count("*").alias("n_rows"), *sums).select(F.lit(output).alias("output"), "n_rows", F.lit(len(d.columns)).alias("n_columns"), "first", "second", "third")
+
+    out = None
+    for k, d in back.items():
+        out = summed(k, d) if out is None else out.unionByName(summed(k, d))
     return out
 
 
 EXPORT_SHAPE = """
-SELECT o AS output, CASE WHEN o = 'json/kinds' THEN (SELECT count(DISTINCT p_brand) FROM part) ELSE (SELECT count(*) FROM part) END AS n_rows, CASE o WHEN 'json/kinds' THEN 2 WHEN 'features/shapes' THEN 6 ELSE 5 END AS n_columns
-FROM (SELECT unnest(['parquet/shapes', 'csv/shapes', 'json/kinds', 'features/shapes']) AS o)
+WITH kinds AS (SELECT p_brand, count(*) AS n FROM part GROUP BY 1),
+shapes AS (SELECT *, p_partkey * 37 % 1000 AS x, p_partkey * 91 % 1000 AS y FROM part),
+k AS (SELECT count(*) AS n_rows, CAST(sum(n) AS BIGINT) AS first, CAST(sum(length(p_brand)) AS BIGINT) AS second FROM kinds),
+s AS (SELECT count(*) AS n_rows, CAST(sum(p_partkey) AS BIGINT) AS first, CAST(sum(p_size) AS BIGINT) AS second,
+             CAST(sum(83 + length('' || x) * 3 + length('' || (x + p_size)) * 2 + length('' || y) * 3 + length('' || (y + p_size)) * 2) AS BIGINT) AS text FROM shapes)
+SELECT o AS output, n_rows, CASE WHEN o LIKE 'json%' THEN 2 WHEN o LIKE 'features%' THEN 7 ELSE 6 END AS n_columns, first, second,
+       CASE o WHEN 'features/shapes' THEN text WHEN 'features_wkb/shapes' THEN n_rows * 102 ELSE 0 END AS third
+FROM (SELECT unnest(['json/kinds', 'json_array/kinds']) AS o), (SELECT *, NULL AS text FROM k)
+UNION ALL SELECT o, n_rows, CASE WHEN o LIKE 'features%' THEN 7 ELSE 6 END, first, second, CASE o WHEN 'features/shapes' THEN text WHEN 'features_wkb/shapes' THEN n_rows * 102 ELSE 0 END
+FROM (SELECT unnest(['parquet/shapes', 'csv/shapes', 'features/shapes', 'features_wkb/shapes']) AS o), s
 """
 
 
@@ -317,6 +404,7 @@ QUERIES = {
     "merged_geometry": merged_geometry,
     "geometry_validity": geometry_validity,
     "geometry_repair": geometry_repair,
+    "geometry_contracts": geometry_contracts,
     "geometry_simplify": geometry_simplify,
     "point_lookup": point_lookup,
     "reproject": reproject,
@@ -333,6 +421,7 @@ SQL = {
     "merged_geometry": MERGED_GEOMETRY,
     "geometry_validity": GEOMETRY_VALIDITY,
     "geometry_repair": GEOMETRY_REPAIR,
+    "geometry_contracts": GEOMETRY_CONTRACTS,
     "geometry_simplify": GEOMETRY_SIMPLIFY,
     "point_lookup": POINT_LOOKUP,
     "reproject": REPROJECT,

@@ -131,7 +131,19 @@ def balance_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-BALANCE_CHECK = "SELECT unnest(['keys_balance', 'class_fits_statuses', 'class_vocabulary', 'key_present', 'key_unique', 'drift_is_measured']) AS contract, 'error' AS severity, CAST(0 AS BIGINT) AS violations"
+BALANCE_CHECK = f"""
+WITH {RECONCILED_SQL},
+got AS (SELECT uid % 4 AS s, count(*) FILTER (NOT ours_absent) AS a, count(*) FILTER (NOT theirs_absent) AS b FROM recon GROUP BY 1),
+ours_keys AS (SELECT l_orderkey % 4 AS s, count(DISTINCT l_orderkey) AS a FROM lineitem GROUP BY 1),
+their_keys AS (SELECT o_orderkey % 4 AS s, count(DISTINCT o_orderkey) AS b FROM orders WHERE o_custkey % 10 <> 3 GROUP BY 1)
+SELECT 'keys_balance' AS contract, 'error' AS severity, count(*) AS violations FROM got FULL JOIN ours_keys USING (s) FULL JOIN their_keys USING (s)
+ WHERE coalesce(got.a, 0) <> coalesce(ours_keys.a, 0) OR coalesce(got.b, 0) <> coalesce(their_keys.b, 0)
+UNION ALL SELECT 'class_fits_statuses', 'error', count(*) FROM recon WHERE NOT ours_absent AND NOT theirs_absent AND ('disagree' IN (lines_status, status_status, priority_status)) <> (reconciliation_class = 'both_differ')
+UNION ALL SELECT 'class_vocabulary', 'error', count(DISTINCT reconciliation_class) FROM recon WHERE reconciliation_class NOT IN ('both_match', 'both_differ', 'ours_only', 'theirs_only')
+UNION ALL SELECT 'key_present', 'error', count(*) FROM recon WHERE uid IS NULL
+UNION ALL SELECT 'key_unique', 'error', count(*) FROM (SELECT uid FROM recon GROUP BY uid HAVING count(*) > 1)
+UNION ALL SELECT 'drift_is_measured', 'error', count(*) FROM recon WHERE value_drift IS NULL
+"""
 
 QUERIES = {
     "field_status": field_status_,

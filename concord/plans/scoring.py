@@ -6,21 +6,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import tri_state
+from ..functions.geometry import is_valid, repair
 from ..operators import scorecard as S
+from ..operators.records import flag_duplicates
 from ..operators.rules import Rule, registry_frame, split
+from ..sources.sinks import materialise
 from .common import JUDGED_SQL, judged_lines, table
+from .mapping import SOURCE_SQL, odd_shapes, outcome, pairs, pairs_sql, source
 from .reconciling import RECONCILED_SQL, reconciled, theirs
 
 CHECKS = [
     Rule("unit_price_off", "price for each unit against the usual one", ""),
     Rule("discount_high", "discount above the usual", ""),
-    Rule("price_valid", "price above zero", ""),
+    Rule("duplicate_uid", "ids that several records have", ""),
+    Rule("geometry_valid", "shapes that are valid as stored", ""),
+    Rule("geometry_overlap", "pairs of shapes that overlap", ""),
     Rule("discount_coverage", "records whose discount can be judged", ""),
     Rule("status_coverage", "records with a mapped status", ""),
     Rule("attribute_completeness", "any of status and discount known", ""),
     Rule("merge_provenance", "records made of several rows", ""),
     Rule("stacked_components", "records flagged as final", ""),
-    Rule("quantity_repaired", "records with a repaired quantity", ""),
+    Rule("geometry_repaired", "shapes that were repaired", ""),
     Rule("rejection", "rejected records by reason", ""),
     Rule("reconciliation", "records against the answer key", ""),
     Rule("value_drift", "records whose value has moved", ""),
@@ -28,33 +34,43 @@ CHECKS = [
     Rule("key_duplicate_groups", "ids with several rows in the answer key", ""),
     Rule("key_unidentified", "answer-key rows without an id", ""),
     Rule("key_vintage", "last order date in the answer key", ""),
+    Rule("source_vintage", "last ship date of the source itself", ""),
 ]
 FIELD_NAMES = ["lines", "status", "priority", "year"]
 
 
 def scorecard_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     published, rejected = split(judged_lines(spark, sf_dir))
-    # Both are read by several blocks below; the records are merged once.
-    published, recon = published.persist(), reconciled(spark, sf_dir).persist()
+    # Both are layers of their own, read by several blocks below; they go with the session.
+    published = materialise(flag_duplicates(published, "uid", "duplicate_uid"), "published_lines")
+    recon = materialise(reconciled(spark, sf_dir), "reconciled_orders")
     records = S.record_checks(
         published,
         "source",
         {
             "unit_price_off": tri_state(F.col("unit_price_off")),
             "discount_high": tri_state(F.col("discount_high")),
-            "price_valid": F.when(F.col("price") > 0, "valid").otherwise("invalid"),
+            "duplicate_uid": tri_state(F.col("duplicate_uid")),
             "discount_coverage": F.when(F.col("discount") > 0, "measurable").otherwise("no_roll_figure"),
             "status_coverage": F.coalesce(F.when(F.col("status") == "F", "derived"), F.lit("unmapped")),
             "attribute_completeness": F.when(F.coalesce(F.nullif(F.col("status"), F.lit("O")), F.col("discount").cast("string")).isNotNull(), "complete").otherwise("attribute_sparse"),
             "merge_provenance": F.when(F.col("source_record_count") > 1, "merged").otherwise("single"),
             "stacked_components": F.when(F.col("is_final"), "stacked").otherwise("not_stacked"),
-            "quantity_repaired": F.when(F.col("quantity") > 60, "repaired"),
         },
     )
+    stored = repair(odd_shapes(spark, sf_dir).withColumn("source", source())).withColumn("valid", is_valid(F.col("geom")))
+    shapes = S.record_checks(stored, "source", {"geometry_valid": F.when(F.col("valid"), "valid").when(~F.col("valid"), "invalid"), "geometry_repaired": F.when(F.col("geometry_repaired"), "repaired")})
+    # The date that each source was last published, beside the number of its records: aggregated before the join.
+    last = table(spark, sf_dir, "lineitem").groupBy(F.col("l_returnflag").alias("source")).agg(F.max(F.col("l_shipdate").cast("date")).cast("string").alias("outcome"))
+    counted = published.groupBy("source").agg(F.countDistinct("record_key").alias("n"))
+    vintage = last.join(counted, "source", "left").select("source", F.lit("source_vintage").alias("check_name"), "outcome", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
     key = table(spark, sf_dir, "orders").select(F.element_at(F.array(F.lit("A"), F.lit("N"), F.lit("R"), F.lit("X")), (F.col("o_orderkey") % 4 + 1).cast("int")).alias("source"), F.when(F.col("o_custkey") % 19 != 0, F.col("o_orderkey") - F.col("o_orderkey") % 8 + F.col("o_orderkey") % 4).alias("ident"), F.col("o_orderdate").cast("date").alias("day"))
     groups = key.where("ident is not null").groupBy("source", "ident").agg(F.count("*").alias("n")).where("n > 1")
     parts = [
         records,
+        shapes,
+        S.group_check(pairs(spark, sf_dir, "source"), "source", "geometry_overlap", outcome()),
+        vintage,
         S.group_check(rejected, "source", "rejection", F.col("rejection_reason")),
         S.group_check(recon, "source", "reconciliation", F.col("reconciliation_class")),
         S.group_check(recon.where("value_drift"), "source", "value_drift", F.lit("drifted")),
@@ -67,27 +83,33 @@ def scorecard_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = published.groupBy("source").agg(F.count("*").alias("total_records"))
     long = S.long_scorecard(parts, totals, "source")
     described = registry_frame(spark, CHECKS, ("check_name", "check_description"))
-    return long.join(F.broadcast(described), "check_name", "left")
+    return long.join(F.broadcast(described), "check_name", "left").orderBy("source", "check_name", "outcome")
 
 
 _OUTCOMES = [
     ("unit_price_off", "CASE WHEN unit_price_off THEN 'flagged' WHEN unit_price_off IS NULL THEN 'not_measurable' ELSE 'clear' END"),
     ("discount_high", "CASE WHEN discount_high THEN 'flagged' WHEN discount_high IS NULL THEN 'not_measurable' ELSE 'clear' END"),
-    ("price_valid", "CASE WHEN price > 0 THEN 'valid' ELSE 'invalid' END"),
+    ("duplicate_uid", "CASE WHEN uid IS NOT NULL AND count(*) OVER (PARTITION BY uid) > 1 THEN 'flagged' ELSE 'clear' END"),
     ("discount_coverage", "CASE WHEN discount > 0 THEN 'measurable' ELSE 'no_roll_figure' END"),
     ("status_coverage", "CASE WHEN status = 'F' THEN 'derived' ELSE 'unmapped' END"),
     ("attribute_completeness", "CASE WHEN status <> 'O' OR discount IS NOT NULL THEN 'complete' ELSE 'attribute_sparse' END"),
     ("merge_provenance", "CASE WHEN source_record_count > 1 THEN 'merged' ELSE 'single' END"),
     ("stacked_components", "CASE WHEN is_final THEN 'stacked' ELSE 'not_stacked' END"),
-    ("quantity_repaired", "CASE WHEN quantity > 60 THEN 'repaired' END"),
 ]
 LONG_SQL = (
     JUDGED_SQL
     + ","
     + RECONCILED_SQL
+    + ","
+    + pairs_sql(SOURCE_SQL)
     + ",\nanswer AS (SELECT CASE o_orderkey % 4 WHEN 0 THEN 'A' WHEN 1 THEN 'N' WHEN 2 THEN 'R' ELSE 'X' END AS source, CASE WHEN o_custkey % 19 <> 0 THEN o_orderkey - o_orderkey % 8 + o_orderkey % 4 END AS ident, CAST(o_orderdate AS DATE) AS day FROM orders),\nblocks AS (\n"
-    + "\nUNION ALL ".join(f"SELECT source, '{n}' AS check_name, {o} AS outcome, count(*) AS n FROM judged WHERE rejection_reason IS NULL GROUP BY ALL" for n, o in _OUTCOMES)
-    + """
+    + "\nUNION ALL ".join(f"SELECT source, '{n}' AS check_name, outcome, count(*) AS n FROM (SELECT source, {o} AS outcome FROM judged WHERE rejection_reason IS NULL) GROUP BY ALL" for n, o in _OUTCOMES)
+    + f"""
+UNION ALL SELECT {SOURCE_SQL}, 'geometry_valid', CASE WHEN p_partkey % 7 < 4 THEN 'valid' ELSE 'invalid' END, count(*) FROM part WHERE p_partkey % 7 < 6 GROUP BY ALL
+UNION ALL SELECT {SOURCE_SQL}, 'geometry_repaired', 'repaired', count(*) FROM part WHERE p_partkey % 7 IN (1, 2, 3) GROUP BY ALL
+UNION ALL SELECT p_brand, 'geometry_overlap', CASE WHEN unflagged_coincident THEN 'coincident_unflagged' ELSE overlap_class END, count(*) FROM classed GROUP BY ALL
+UNION ALL SELECT l_returnflag, 'source_vintage', CAST(CAST(max(l_shipdate) AS DATE) AS VARCHAR), coalesce((SELECT count(DISTINCT record_key) FROM judged WHERE rejection_reason IS NULL AND source = l_returnflag), 0) FROM lineitem GROUP BY l_returnflag
+""" + """
 UNION ALL SELECT source, 'rejection', rejection_reason, count(*) FROM judged WHERE rejection_reason IS NOT NULL GROUP BY ALL
 UNION ALL SELECT source, 'reconciliation', reconciliation_class, count(*) FROM recon GROUP BY ALL
 UNION ALL SELECT source, 'value_drift', 'drifted', count(*) FROM recon WHERE value_drift GROUP BY ALL
@@ -131,7 +153,7 @@ def scorecard_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = S.wide_scorecard(scorecard_long(spark, sf_dir), "source", WIDE)
     for d, n in ((published, "published_source_rows"), (rejected, "rejected_source_rows")):
         wide = wide.join(d.groupBy("source").agg(F.sum("source_record_count").cast("long").alias(n)), "source", "left").withColumn(n, F.coalesce(n, F.lit(0)).cast("long"))
-    return S.with_rates(wide, RATES)
+    return S.with_rates(wide, RATES).orderBy("source")
 
 
 def _cell(name: str, check: str, outcome: str) -> str:
@@ -180,12 +202,21 @@ def scorecard_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.contracts import expect_true, partition_checks, violation_counts
 
     long = scorecard_long(spark, sf_dir)
-    whole = ["unit_price_off", "discount_high", "price_valid", "discount_coverage", "status_coverage", "attribute_completeness", "merge_provenance", "stacked_components"]
+    whole = ["unit_price_off", "discount_high", "duplicate_uid", "discount_coverage", "status_coverage", "attribute_completeness", "merge_provenance", "stacked_components"]
     counted = long.where("check_name = 'reconciliation'").agg(F.sum("n").alias("n"))
     keys = theirs(spark, sf_dir).select("uid").union(table(spark, sf_dir, "lineitem").select("l_orderkey")).distinct().where("uid % 4 <> 3").agg(F.count("*").alias("m"))
     return violation_counts({"checks_sum_to_total": partition_checks(long, "source", whole), "classes_cover_keys": expect_true(counted.crossJoin(F.broadcast(keys)), F.col("n") == F.col("m"))})  # one row each
 
 
+SCORECARD_CONSISTENCY = f"""
+WITH {LONG_SQL},
+sums AS (SELECT source, check_name, sum(n) AS n, max(total_records) AS m FROM long
+         WHERE check_name IN ('unit_price_off', 'discount_high', 'duplicate_uid', 'discount_coverage', 'status_coverage', 'attribute_completeness', 'merge_provenance', 'stacked_components') GROUP BY ALL),
+keys AS (SELECT count(*) AS m FROM (SELECT o_orderkey AS uid FROM orders WHERE o_custkey % 10 <> 3 UNION SELECT l_orderkey FROM lineitem) WHERE uid % 4 <> 3)
+SELECT 'checks_sum_to_total' AS contract, 'error' AS severity, count(*) AS violations FROM sums WHERE n <> m
+UNION ALL SELECT 'classes_cover_keys', 'error', CASE WHEN (SELECT sum(n) FROM long WHERE check_name = 'reconciliation') = m THEN 0 ELSE 1 END FROM keys
+"""
+
 QUERIES = {
     "scorecard_long": scorecard_long,
     "scorecard_wide": scorecard_wide,
@@ -198,5 +229,5 @@ SQL = {
     "scorecard_wide": f"WITH {WIDE_SQL} SELECT * FROM rated",
     "field_coverage": FIELD_COVERAGE,
     "kpi_rollup": KPI_ROLLUP,
-    "scorecard_consistency": "SELECT unnest(['checks_sum_to_total', 'classes_cover_keys']) AS contract, 'error' AS severity, CAST(0 AS BIGINT) AS violations",
+    "scorecard_consistency": SCORECARD_CONSISTENCY,
 }

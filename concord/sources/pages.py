@@ -49,10 +49,17 @@ def scan_windows(df: DataFrame, key: str, window_frame: DataFrame, where: str |
     return rows.join(window_frame, "start").where((F.col(key) >= F.col("start")) & (F.col(key) < F.col("stop"))).drop("stop")
 
 
-def read_jdbc_windows(spark: SparkSession, url: str, table: str, key: str, low: int, high: int, size: int, **options: str) -> DataFrame:
-    """A table over JDBC, one partition for each key window; filters and columns are pushed to the source."""
-    n = max(1, -(-(high + 1 - low) // size))
-    return spark.read.format("jdbc").options(url=url, dbtable=table, partitionColumn=key, lowerBound=str(low), upperBound=str(high + 1), numPartitions=str(n), **options).load()
+def read_jdbc_windows(spark: SparkSession, url: str, table: str, key: str, low: int, high: int, size: int, most: int = 64, **options: str) -> DataFrame:
+    """A table over JDBC, one partition and connection for each key window; filters and columns are pushed to the source.
+
+    There are at most ``most`` windows, so that no more connections than that are open; windows get wider instead.
+    """
+    return spark.read.format("jdbc").options(**jdbc_windows(key, low, high, size, most), url=url, dbtable=table, **options).load()
+
+
+def jdbc_windows(key: str, low: int, high: int, size: int, most: int) -> dict[str, str]:
+    n = min(most, max(1, -(-(high + 1 - low) // size)))
+    return {"partitionColumn": key, "lowerBound": str(low), "upperBound": str(high + 1), "numPartitions": str(n)}
 
 
 def safe_names(names: Sequence[str], geometry: str | None = None) -> list[str]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from collections.abc import Mapping
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.geometry import GEOMETRY, to_geojson
+from ..functions.geometry import GEOMETRY, to_geojson, to_wkb
 
 
 @dataclass(frozen=True)
@@ -62,27 +63,64 @@ def _fs(spark: SparkSession, path: str):
 def contracted_load(df: DataFrame, root: str, table: str, version: str, key: str | None = None, expected: int | None = None) -> LoadReport:
     """Writes a version, validates it as written, and only then points the table at it.
 
-    On failure the staged files go, the table stays as it was, and ContractError is raised.
+    The pointer is a file that is written beside the old one and renamed over it in one step, so that the table
+    always has a whole version.  On failure, or if the version is there already, the staged files go, the
+    table stays as it was, and ContractError is raised.
     """
     spark = df.sparkSession
-    staged, final = f"{root}/{table}/__loading_{version}", f"{root}/{table}/version={version}"
+    staged, final = f"{root}/{table}/__loading_{version}_{uuid.uuid4().hex}", f"{root}/{table}/version={version}"
     df.write.mode("overwrite").parquet(staged)
     report = check_load(spark.read.parquet(staged), key, expected)
     fs, staged_path = _fs(spark, staged)
     if not report.ok:
         fs.delete(staged_path, True)
         raise ContractError(f"{table}: {', '.join(report.problems)}")
-    fs.rename(staged_path, _fs(spark, final)[1])
-    spark.range(1).select(F.lit(version).alias("version")).coalesce(1).write.mode("overwrite").json(f"{root}/{table}/_current")
+    final_path = _fs(spark, final)[1]
+    # An existing folder would take the staged one in as a child.
+    if fs.exists(final_path) or not fs.rename(staged_path, final_path):
+        fs.delete(staged_path, True)
+        raise ContractError(f"{table}: version {version} is there already")
+    _point(spark, f"{root}/{table}", version)
     return report
 
 
+def _point(spark: SparkSession, folder: str, version: str) -> None:
+    """Renames a new pointer over the old one."""
+    fs, new = _fs(spark, f"{folder}/__pointer_{uuid.uuid4().hex}")
+    out = fs.create(new, True)
+    try:
+        out.write(bytearray(json.dumps({"version": version}).encode()))
+    finally:
+        out.close()
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jvm.org.apache.hadoop.fs
+    kind = getattr(hadoop, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(fs.makeQualified(new), fs.makeQualified(_fs(spark, f"{folder}/current.json")[1]), options)
+
+
 def current(spark: SparkSession, root: str, table: str) -> DataFrame:
     """The version that the table points at."""
-    version = spark.read.schema("version string").json(f"{root}/{table}/_current").first()["version"]
+    version = spark.read.schema("version string").json(f"{root}/{table}/current.json").first()["version"]
     return spark.read.parquet(f"{root}/{table}/version={version}")
 
 
+def materialise(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
+    """A layer kept as a table: written under ``root`` (or a scratch folder that goes with the session), named, and read again."""
+    spark = df.sparkSession
+    path = f"{root}/{name}" if root else scratch_folder(spark, name)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.createOrReplaceTempView(name)
+    return out
+
+
+def as_view(df: DataFrame, name: str) -> DataFrame:
+    """A layer kept as a view: named, computed again by each reader."""
+    df.createOrReplaceTempView(name)
+    return df.sparkSession.table(name)
+
+
 def append_history(df: DataFrame, path: str, run: str = "captured_at") -> None:
     """Appends a run to a history that is only ever added to, partitioned by the run."""
     df.write.mode("append").partitionBy(run).parquet(path)
@@ -97,26 +135,48 @@ def without_geometry(df: DataFrame) -> DataFrame:
     return df.select(*[f.name for f in df.schema.fields if not is_geometry(f)])
 
 
-def feature_columns(df: DataFrame, geom: str = "geom") -> DataFrame:
-    """All columns but the geometry, which comes last as GeoJSON text."""
-    return df.select(*[c for c in df.columns if c != geom], to_geojson(F.col(geom)).alias(f"{geom}_json"))
+def feature_columns(df: DataFrame, geom: str = "geom", form: str = "geojson") -> DataFrame:
+    """All columns but the geometry, which comes last as GeoJSON text or as well-known binary (``form="wkb"``)."""
+    last = to_wkb(F.col(geom)).alias(f"{geom}_wkb") if form == "wkb" else to_geojson(F.col(geom)).alias(f"{geom}_json")
+    return df.select(*[c for c in df.columns if c != geom], last)
+
+
+def json_array(df: DataFrame) -> DataFrame:
+    """A small table as one row of text, a JSON array of objects ordered by their text; nulls are written."""
+    rows = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("row"))
+    return rows.agg(F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list("row")), ","), F.lit("]")).alias("value"))
 
 
 def export(tables: Mapping[str, DataFrame], root: str, small: tuple[str, ...] = (), features: Mapping[str, str] | None = None) -> None:
-    """One snapshot, overwritten: every table as zstd Parquet and CSV, the small ones as JSON too, features as Parquet with GeoJSON."""
+    """One snapshot: every table as zstd Parquet and CSV, the small ones as JSON (lines, and one array), features as Parquet with GeoJSON and WKB.
+
+    It replaces the one before: outputs that this one doesn't have are deleted.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    wanted = {"parquet": tables, "csv": tables, "json": small, "json_array": small, "features": features or {}, "features_wkb": features or {}}
+    for form, names in wanted.items():
+        fs, folder = _fs(spark, f"{root}/{form}")
+        for status in fs.listStatus(folder) if fs.exists(folder) else []:
+            if status.getPath().getName() not in names:
+                fs.delete(status.getPath(), True)
     for name, df in tables.items():
         plain = without_geometry(df)
         plain.write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/parquet/{name}")
         plain.write.mode("overwrite").csv(f"{root}/csv/{name}", header=True)
         if name in small:
             plain.write.mode("overwrite").json(f"{root}/json/{name}")
+            json_array(plain).write.mode("overwrite").text(f"{root}/json_array/{name}")
     for name, geom in (features or {}).items():
-        feature_columns(tables[name], geom).write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/features/{name}")
+        for form, folder in (("geojson", "features"), ("wkb", "features_wkb")):
+            feature_columns(tables[name], geom, form).write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/{folder}/{name}")
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder in ``spark.checkpoint.dir``, which the cluster shares; a temporary one only where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="concord-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    base = base or tempfile.mkdtemp(prefix="concord-")
     path = f"{base.rstrip('/')}/concord-{name}-{uuid.uuid4().hex}"
     fs, p = _fs(spark, path)
     fs.deleteOnExit(p)

@@ -30,6 +30,79 @@ def test_area_box_and_validity(spark):
         assert value(spark, G.is_valid(F.col("a")), shape) is ok
 
 
+BOX = lambda x, y, w: [(x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y)]
+
+
+@pytest.mark.parametrize(
+    "shape, ok",
+    [
+        ([[(0, 0), (2, 0), (4, 0), (2, 0), (2, 2), (0, 2), (0, 0)]], False),  # a spike
+        ([[(0, 0), (4, 0), (4, 4), (2, 0), (0, 4), (0, 0)]], False),  # touches itself
+        ([BOX(0, 0, 4), BOX(1, 1, 1)], True),
+        ([BOX(0, 0, 4), BOX(0, 1, 1)], False),  # the hole's side lies on the shell's
+        ([BOX(0, 0, 4), [(0, 2), (1, 1), (1, 3), (0, 2)]], True),  # the hole touches in a point
+        ([BOX(0, 0, 4), BOX(6, 6, 1)], False),  # a hole outside
+        ([BOX(0, 0, 4), BOX(3, 3, 3)], False),  # a hole across the shell
+        ([BOX(0, 0, 9), BOX(1, 1, 4), BOX(2, 2, 1)], False),  # a hole in a hole
+        ([[(0, 0), (1, 0), (1, 0), (1, 1), (0, 0)]], True),  # a point twice
+    ],
+)
+def test_validity_of_rings(spark, shape, ok):
+    assert value(spark, G.is_valid(F.col("a")), geom(shape)) is ok
+
+
+def test_validity_of_parts(spark):
+    for second, ok in ((BOX(5, 5, 1), True), (BOX(1, 1, 1), False), (BOX(3, 3, 3), False), (BOX(4, 4, 2), True), (BOX(4, 0, 4), False)):
+        assert value(spark, G.is_valid(F.col("a")), geom([BOX(0, 0, 4)], [second])) is ok
+    assert value(spark, G.is_valid(F.col("a")), geom([BOX(0, 0, 9), BOX(1, 1, 6)], [BOX(2, 2, 1)])) is True  # an island
+
+
+def test_union_area_and_blocks(spark, monkeypatch):
+    from concord.functions import shapes
+
+    parts = geom([BOX(0, 0, 4)], [BOX(2, 2, 4)], [BOX(3, 3, 1)], [[(10, 0), (12, 0), (11, 2), (10, 0)]], [[(10, 2), (12, 2), (11, 0), (10, 2)]])
+    for block in (1 << 20, 5):
+        monkeypatch.setattr(shapes, "BLOCK", block)
+        import pyarrow as pa
+
+        kind = pa.list_(pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))))
+        got = shapes.union_areas(pa.array([parts, None, geom(), geom([BOX(1, 1, 2)])], kind))
+        assert got[0] == pytest.approx(16 + 16 - 4 + 3) and got[1:] == [None, 0, 4]
+        assert shapes.overlap_areas(pa.array([parts[:1], geom()], kind), pa.array([parts[1:2], parts[:1]], kind)).tolist() == [4, 0]
+        assert shapes.valid(pa.array([parts[:1], parts[:2], None, geom()], kind)) == [True, False, None, False]
+
+
+def test_overlap_area_is_not_in_the_join(spark):
+    df = squares(spark, *[(k, "A", f"p{k}", False, k, 0, 10) for k in range(5)])
+    plan = overlap.overlap_pairs(df, "key", "source", cell=5.0)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins and not any("overlap_area" in j for j in joins) and plan.count("MapInArrow") == 1
+
+
+def test_srid_and_wkb(spark):
+    import struct
+
+    tagged = G.with_srid(F.col("a"), 2927)
+    assert value(spark, G.srid(tagged), geom([SQUARE])) == 2927 and value(spark, tagged, None) is None
+    assert value(spark, G.srid_fits(tagged, 4326), geom([SQUARE])) is False and value(spark, G.srid_fits(G.with_srid(F.col("a"), 0), 4326), geom([SQUARE])) is True
+    p = geom([[(-122.3, 47.6), (-122.2, 47.6), (-122.2, 47.7), (-122.3, 47.6)]])
+    moved = value(spark, G.transformed(G.with_srid(F.col("a"), 4326), 3857, (4326, 2927)), p)
+    assert moved.srid == 3857 and abs(moved.shape[0][0][0].x + 122.3 * math.pi / 180 * 6378137) < 1e-6
+    got = value(spark, G.to_wkb(F.col("a")), geom([SQUARE]))
+    assert bytes(got) == struct.pack("<BIIBIII10d", 1, 6, 1, 1, 3, 1, 5, *[v for p in SQUARE for v in p])
+    assert value(spark, G.to_wkb(F.col("a")), None) is None
+    rings = F.col("a")[0]
+    assert len(value(spark, G.multi(rings), geom([SQUARE]))) == 1 and value(spark, G.multi(rings), None) is None
+
+
+def test_state_plane_against_published_coordinates(spark):
+    """The zone's origin lies at its false easting and northing; along its central meridian x stays."""
+    for srid, lat0, lon0 in ((2926, 47.0, -120.0 - 50 / 60), (2927, 45.0 + 20 / 60, -120.5)):
+        p = value(spark, G.reproject(F.col("a"), 4326, srid), geom([[(lon0, lat0), (lon0, lat0 + 1), (lon0, lat0), (lon0, lat0)]]))[0][0]
+        assert abs(p[0].x - 1640416.6666667) < 1e-3 and abs(p[0].y) < 1e-3 and abs(p[1].x - 1640416.6666667) < 1e-3
+        assert abs(p[1].y * 1200 / 3937 / 111_180 - 1) < 2e-3  # about 111.2 km for a degree of latitude here
+
+
 @pytest.mark.parametrize(
     "a, b, area",
     [

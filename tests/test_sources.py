@@ -31,6 +31,49 @@ def test_features(spark, layer):
     assert [(p.x, p.y) for p in g[0][0]] == [(0, 0), (1, 0), (1, 1), (0, 0)]
 
 
+def test_attribute_pages_and_seeds(spark, tmp_path):
+    """Tables without geometry publish ``attributes``; a seed keeps its codes as text."""
+    (tmp_path / "0.json").write_text(json.dumps({"features": [{"attributes": {"objectid": 1, "pin": "a"}}, {"attributes": {"objectid": 2}}]}))
+    schema = pages.declared_schema([("OBJECTID", "esriFieldTypeOID"), ("PIN", "esriFieldTypeString")])
+    rows = pages.read_features(spark, str(tmp_path / "0.json"), schema, key="attributes", geometry=False)
+    assert rows.columns == ["objectid", "pin"] and sorted(map(tuple, rows.collect()), key=str) == [(1, "a"), (2, None)]
+    (tmp_path / "seed.csv").write_text("code,label,note\n007,Seven,\n,none,x\n")
+    assert sorted(map(tuple, pages.read_seed(spark, str(tmp_path / "seed.csv")).collect()), key=str) == [("007", "Seven", None), (None, "none", "x")]
+
+
+def test_jdbc_windows():
+    """A window for each partition, but never more connections than allowed."""
+    assert pages.jdbc_windows("k", 1, 100, 10, 64) == {"partitionColumn": "k", "lowerBound": "1", "upperBound": "101", "numPartitions": "10"}
+    assert pages.jdbc_windows("k", 1, 10**9, 10, 64)["numPartitions"] == "64" and pages.jdbc_windows("k", 5, 5, 10, 64)["numPartitions"] == "1"
+
+
+def test_layers(spark):
+    df = spark.range(3).withColumnRenamed("id", "k")
+    kept = sinks.materialise(df, "kept_layer")
+    assert spark.table("kept_layer").count() == 3 and "parquet" in kept._jdf.queryExecution().executedPlan().toString().lower()
+    assert sinks.as_view(df.where("k > 0"), "seen_layer").count() == 2 and spark.table("seen_layer").count() == 2
+
+
+def test_snapshot_replaces_the_one_before(spark, tmp_path):
+    import os
+
+    a, b = spark.range(2).toDF("k"), spark.createDataFrame([(2, None), (1, "x")], "k int, v string")
+    sinks.export({"a": a, "b": b}, str(tmp_path), small=("b",))
+    assert json.loads(next((tmp_path / "json_array" / "b").glob("part*")).read_text()) == [{"k": 1, "v": "x"}, {"k": 2, "v": None}]
+    sinks.export({"b": b}, str(tmp_path))
+    assert os.listdir(tmp_path / "parquet") == ["b"] and os.listdir(tmp_path / "json") == []
+
+
+def test_rows_without_ids_are_not_gathered(spark):
+    from concord.operators.findings import feature_ids
+    from concord.operators.records import flag_duplicates
+
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, None)], "k int, uid string")
+    ids = {r.k: r.feature_id for r in feature_ids(df, "p-", "uid", F.col("k"), [F.col("k")]).collect()}
+    assert ids == {1: "p-a#2", 2: "p-a#1", 3: "p-no-id:3", 4: "p-no-id:4"}
+    assert {r.k: r.duplicate_id for r in flag_duplicates(df, "uid").collect()} == {1: True, 2: True, 3: False, 4: False}
+
+
 def test_metadata(spark, layer):
     meta = pages.read_metadata(spark, str(layer[1]))
     snap = pages.field_snapshot(meta, "2026-01-01 00:00:00").collect()
@@ -69,7 +112,9 @@ def test_contracted_load_swaps_only_what_is_sound(spark, tmp_path):
     assert not list(tmp_path.glob("t/__loading*"))
     sinks.contracted_load(spark.range(7), root, "t", "v2", "id")
     assert sinks.current(spark, root, "t").count() == 7
-    assert sinks.check_load(good, "nokey").ok
+    with pytest.raises(sinks.ContractError):  # a version is never written twice
+        sinks.contracted_load(spark.range(9), root, "t", "v2", "id")
+    assert sinks.current(spark, root, "t").count() == 7 and sinks.check_load(good, "nokey").ok
 
 
 def test_history_and_export(spark, tmp_path):
