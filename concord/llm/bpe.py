@@ -7,8 +7,10 @@ or the predecessor is taken back.  Each position is given up at most once, so th
 Decoding gathers bytes from one blob by the offsets of the ids.
 
 Defined results: a null text counts as empty; an empty text has no tokens and decodes to ``""``.
-Texts of any length are taken whole.  Columns of the input are kept; those the operator adds
-replace columns of the same name.
+Texts of any length are taken whole, in blocks bounded by bytes.  Each row is encoded by itself: rows
+that repeat give equal rows, and ids that repeat or are null play no part.  There are no ties: each
+text has one encoding.  An empty table gives an empty table of the same columns.  Columns of the
+input are kept whatever their names; those the operator adds replace columns of the same name.
 """
 
 from __future__ import annotations
@@ -24,10 +26,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from .text import sha256_hex
+from .text import blocks, mapped, sha256_hex
 
-#: A worker forgets its word table when it holds so many words; results don't depend on it.
-WORD_TABLE = 400_000
+#: A task forgets a table of words, word pieces or pairs when it holds so many; results don't depend on it.
+WORD_TABLE, PIECE_TABLE, PAIR_TABLE = 500_000, 200_000, 150_000
+#: Longer words are encoded where they stand and not kept.
+KEPT_LENGTH = 64
 _END = 0xE000  # a word's last symbol is moved here, so that it differs from the same byte inside
 
 
@@ -76,8 +80,13 @@ class WordBpe:
         #: Fixed value: the pattern for which _LATIN is a faster equal.
         self.plain = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
         self.texts = {**{i: t for t, i in vocab.items()}, **{i: t for t, i in self.special.items()}}
-        self.table: dict[str, tuple[bytes, bytes]] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.table: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def forget(self) -> None:
+        """Empties the tables that grow with the texts; called when a task ends."""
+        for table in (self.table, self.pieces, self.fits):
+            table.clear()
 
     def _own(self, token: str) -> str:
         if token.endswith(self.suffix) and len(token) > len(self.suffix):
@@ -124,7 +133,7 @@ class WordBpe:
                 else:
                     b = nxt
         if below is None:
-            if len(self.fits) >= 4 * WORD_TABLE:
+            if len(self.fits) >= PAIR_TABLE:
                 self.fits.clear()
             self.fits[key] = result
         return result
@@ -164,22 +173,22 @@ class WordBpe:
             return [p if p.isascii() and p.isprintable() else "".join([self.symbols[b] for b in p.encode()]) for p in _LATIN.findall(chunk.lower())]
         return [p for p, _ in self.split(self.normalise(chunk))]
 
-    def chunk(self, chunk: str) -> tuple[bytes, bytes]:
-        """The ids of a text without white space, as int32 bytes and as decimals that each end in a space."""
-        ids: list[int] = []
+    def chunk(self, chunk: str) -> bytes:
+        """The ids of a text without white space, as int32 bytes."""
+        out: list[bytes] = []
         for piece in self.split_word(chunk):
             got = self.pieces.get(piece)
             if got is None:
-                if len(self.pieces) >= WORD_TABLE:
-                    self.pieces.clear()
-                got = self.ids[self.encode_word(piece[:-1] + chr(_END + ord(piece[-1])))].tolist()
-                if len(piece) <= 64:
+                got = self.ids[self.encode_word(piece[:-1] + chr(_END + ord(piece[-1])))].astype(np.int32).tobytes()
+                if len(piece) <= KEPT_LENGTH:
+                    if len(self.pieces) >= PIECE_TABLE:
+                        self.pieces.clear()
                     self.pieces[piece] = got
-            ids += got
-        return np.array(ids, np.int32).tobytes(), "".join([f"{i} " for i in ids]).encode()
+            out.append(got)
+        return b"".join(out)
 
-    def found(self, text: str) -> list[tuple[bytes, bytes]]:
-        """What chunk() gives for each chunk of a text; special strings in it become their own ids."""
+    def encode(self, text: str) -> np.ndarray:
+        """All ids of a text; special strings in it become their own ids."""
         if any(m in text for m in self.special):
             parts, marks = self.split_special.split(text), self.split_special.findall(text)
         else:
@@ -189,19 +198,15 @@ class WordBpe:
             for c in _CHUNK.findall(part) if any(c in part for c in _ODD_SPACE) else part.split():
                 got = table.get(c)
                 if got is None:
-                    if len(table) >= WORD_TABLE:
-                        table.clear()
                     got = self.chunk(c)
-                    if len(c) <= 64:
+                    if len(c) <= KEPT_LENGTH:
+                        if len(table) >= WORD_TABLE:
+                            table.clear()
                         table[c] = got
                 out.append(got)
             if i < len(marks):
-                out.append((np.array([self.special[marks[i]]], np.int32).tobytes(), b"%d " % self.special[marks[i]]))
-        return out
-
-    def encode(self, text: str) -> np.ndarray:
-        """All ids of a text."""
-        return np.frombuffer(b"".join([f[0] for f in self.found(text)]), np.int32)
+                out.append(np.array([self.special[marks[i]]], np.int32).tobytes())
+        return np.frombuffer(b"".join(out), np.int32)
 
 
 # str.split() breaks at four control characters that aren't white space in Unicode.
@@ -236,15 +241,20 @@ class OffsetTable:
     def text(self, ids: np.ndarray, step: int = 1 << 18) -> bytes:
         return b"".join([self.gather(ids[at : at + step])[0] for at in range(0, len(ids), step)])[:-1]
 
+    def digest(self, ids: np.ndarray) -> str:
+        return sha256_hex(self.text(ids))
+
 
-_models: dict[str, tuple[WordBpe, OffsetTable]] = {}
+_models: dict[str, tuple[WordBpe, OffsetTable, OffsetTable]] = {}
 
 
-def _model(spec: str) -> tuple[WordBpe, OffsetTable]:
+def _model(spec: str) -> tuple[WordBpe, OffsetTable, OffsetTable]:
+    """The encoder, the tokens' texts and the ids' decimals: fixed by the vocabulary, one at a time in a worker."""
     key = sha256_hex(spec.encode())
     if key not in _models:
+        _models.clear()
         bpe = WordBpe(spec)
-        _models[key] = bpe, OffsetTable(bpe.texts)
+        _models[key] = bpe, OffsetTable(bpe.texts), OffsetTable({i: str(i) for i in bpe.texts})
     return _models[key]
 
 
@@ -263,17 +273,19 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str =
     keep = [c for c in docs.columns if c.lower() != ids.lower()]
     docs = docs.select(*[F.col(f"`{c}`") for c in keep])
     schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)])
+    at = keep.index(text)
 
     def run(batches):
-        bpe, _ = _model(spec.value)
+        bpe = _model(spec.value)[0]
         for batch in batches:
-            for part in _pieces(batch):
-                got = [bpe.encode(t or "") for t in part.column(keep.index(text)).to_pylist()]
+            for part in blocks(batch, at):
+                got = [bpe.encode(t or "") for t in part.column(at).to_pylist()]
                 offs = np.concatenate(([0], np.cumsum([len(g) for g in got]))).astype(np.int32)
                 flat = np.concatenate(got) if got else np.zeros(0, np.int32)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(offs, pa.array(flat, pa.int32()))], names=[*keep, ids])
+        bpe.forget()
 
-    return docs.mapInArrow(run, schema)
+    return mapped(docs, run, schema)
 
 
 def bpe_decode(tokens: DataFrame, vocabulary: str, ids: str = "token_ids", decoded: str = "decoded") -> DataFrame:
@@ -282,16 +294,16 @@ def bpe_decode(tokens: DataFrame, vocabulary: str, ids: str = "token_ids", decod
     keep = [c for c in tokens.columns if c.lower() != decoded.lower()]
     tokens = tokens.select(*[F.col(f"`{c}`") for c in keep])
     schema = T.StructType([*tokens.schema.fields, T.StructField(decoded, T.StringType(), False)])
+    at = keep.index(ids)
 
     def run(batches):
-        _, words = _model(spec.value)
+        words = _model(spec.value)[1]
         for batch in batches:
-            for part in _pieces(batch):
-                column = part.column(keep.index(ids))
-                out = [words.text(np.asarray(v.values, np.int64)).decode() if v.is_valid else "" for v in column]
+            for part in blocks(batch, at):
+                out = [words.text(np.asarray(v.values, np.int64)).decode() if v.is_valid else "" for v in part.column(at)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.string())], names=[*keep, decoded])
 
-    return tokens.mapInArrow(run, schema)
+    return mapped(tokens, run, schema)
 
 
 def bpe_round_trip(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
@@ -302,28 +314,24 @@ def bpe_round_trip(docs: DataFrame, vocabulary: str, text: str = "text") -> Data
     spec = docs.sparkSession.sparkContext.broadcast(vocabulary)
     own = ["n_tokens", "ids_sha256", "decoded_sha256"]
     keep = [c for c in docs.columns if c.lower() not in own and c != text]
-    docs = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("text"))
+    # The text goes last and is known by its place: other columns may have any name.
+    docs = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`"))
     schema = T.StructType([*docs.schema.fields[:-1], T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
 
     def run(batches):
-        bpe, words = _model(spec.value)
+        bpe, words, decimals = _model(spec.value)
         for batch in batches:
-            for part in _pieces(batch):
+            for part in blocks(batch, len(keep)):
                 n, first, second = [], [], []
                 for t in part.column(len(keep)).to_pylist():
-                    got = bpe.found(t or "")
-                    ids = np.frombuffer(b"".join([g[0] for g in got]), np.int32)
+                    ids = bpe.encode(t or "")
                     n.append(len(ids))
-                    first.append(sha256_hex(b"".join([g[1] for g in got])[:-1]))
-                    second.append(sha256_hex(words.text(ids)))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(n, pa.int64()), pa.array(first), pa.array(second)], names=[*keep, *own])
-
-    return docs.mapInArrow(run, schema)
-
+                    first.append(decimals.digest(ids))
+                    second.append(words.digest(ids))
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(n, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())], names=[*keep, *own])
+        bpe.forget()
 
-def _pieces(batch: pa.RecordBatch, rows: int = 512):
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
+    return mapped(docs, run, schema)
 
 
 def default_vocabulary(spark: SparkSession) -> str:

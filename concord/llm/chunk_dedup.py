@@ -1,13 +1,19 @@
 """Substring dedup by content-defined chunks under a gear rolling hash.
 
 The gear hash of a position covers the 32 bytes up to it.  A chunk ends where that hash is the
-smallest within ``REACH`` bytes on either side: the cut depends on those bytes alone, so an insertion
-moves no cut further away than that.  Chunks are known by 128-bit digests; of a chunk that occurs
-more than once, the occurrence in the document with the smallest id (its first there) stays and the
-others are cut out.  Every chunk counts, however short: the last one of a text and a short text too.
-
-Defined results: a null text has no bytes and no chunks; an empty text likewise.  Null ids sort
-last.  Rows that share the smallest id all keep the chunk; rows equal in id and text share a result.
+smallest within ``reach`` bytes on either side: the cut depends on those bytes alone, so an insertion
+moves no cut further away than that.  (A mask with a least size, the other common rule, takes several
+chunks to fall into step after an insertion; a mask without one leaves chunks of a few bytes, which
+repeat by chance.)  So a chunk is longer than ``reach``, about twice as long on average, but for a
+text's last.  Chunks are known by 128-bit digests and computed once, into a table; of a chunk that
+occurs more than once, the occurrence in the document with the smallest id (its first there) stays
+and the others are cut out.  Every chunk counts, however short: the last one of a text and a short text
+too.  Chunks on many rows are not shuffled to meet their count (see ``skew``).
+
+Defined results: a null text has no bytes and no chunks; an empty text likewise; a very long text is
+chunked whole.  Ids may be of any type with an order; null ids sort last.  Ties: rows that share the
+smallest id all keep the chunk; rows equal in id and text share a result.  An empty table gives an empty
+table.  Columns of any name are kept, but those that have the name of a result are replaced.
 """
 
 from __future__ import annotations
@@ -20,12 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import blocks, byte_buffer, cover, free_name, runs, sha256_hex
+from .skew import split_join
+from .store import stored
+from .text import blocks, byte_buffer, cover, free_name, mapped, runs, sha256_hex
 
 WINDOW = 32
-REACH = 24
-#: Least size of a chunk that is compared: any.
-MIN_BYTES = 1
+#: Bytes on either side among which a cut's hash is the smallest.
+REACH = 32
 
 
 def _gear_table() -> np.ndarray:
@@ -47,26 +54,26 @@ def gear(raw: np.ndarray) -> np.ndarray:
     return h
 
 
-def cuts(raw: np.ndarray) -> np.ndarray:
+def cuts(raw: np.ndarray, reach: int = REACH) -> np.ndarray:
     """Ends (exclusive) of the chunks of a text, the text's own end last."""
     n = len(raw)
-    if n <= 2 * REACH:
+    if n <= 2 * reach:
         return np.array([n] if n else [], np.int64)
     h = gear(raw)
-    # Smallest of the REACH positions before and after each position, by doubling.
+    # Smallest of the ``reach`` positions before and after each position, by doubling.
     low, size = h.copy(), 1
-    while size < REACH:
-        step = min(size, REACH - size)
+    while size < reach:
+        step = min(size, reach - size)
         np.minimum(low[: n - step], low[step:], out=low[: n - step])
         size += step
-    i = np.arange(REACH, n - REACH)
-    at = i[(h[i] < low[i - REACH]) & (h[i] < low[i + 1])] + 1
+    i = np.arange(reach, n - reach)
+    at = i[(h[i] < low[i - reach]) & (h[i] < low[i + 1])] + 1
     return np.append(at, n)
 
 
-def chunk_rows(text: bytes, raw: np.ndarray) -> list[tuple[int, int, int, int]]:
+def chunk_rows(text: bytes, raw: np.ndarray, reach: int = REACH) -> list[tuple[int, int, int, int]]:
     """(start, size, digest high, digest low) of each chunk."""
-    ends = cuts(raw).tolist()
+    ends = cuts(raw, reach).tolist()
     out, a = [], 0
     for b in ends:
         d = hashlib.blake2b(text[a:b], digest_size=16).digest()
@@ -75,21 +82,18 @@ def chunk_rows(text: bytes, raw: np.ndarray) -> list[tuple[int, int, int, int]]:
     return out
 
 
-_CHUNKS = "key_a long, key_b long, id long, start int, size int, again boolean, high long, low long"
-
-
-def chunks(docs: DataFrame) -> DataFrame:
-    """One row per chunk of key_a, key_b, id, text."""
+def chunks(docs: DataFrame, reach: int = REACH) -> DataFrame:
+    """One row per chunk of key_a, key_b, id, text; ``again``: its text had the same chunk before."""
 
     def run(batches):
         for batch in batches:
-            for part in blocks(batch, "text"):
+            for part in blocks(batch, 3):
                 raw, offs = byte_buffer(part.column(3))
                 data, at = raw.tobytes(), offs.tolist()
                 row, found, again = [], [], []
                 for k, (i, j) in enumerate(zip(at, at[1:])):
                     seen: set[tuple[int, int]] = set()
-                    for c in chunk_rows(data[i:j], raw[i:j]):
+                    for c in chunk_rows(data[i:j], raw[i:j], reach):
                         row.append(k)
                         found.append(c)
                         again.append(c[2:] in seen)
@@ -99,10 +103,11 @@ def chunks(docs: DataFrame) -> DataFrame:
                     take = pa.array(row, pa.int32())
                     yield pa.RecordBatch.from_arrays([*(part.column(c).take(take) for c in range(3)), pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(again), pa.array(high), pa.array(low)], names=["key_a", "key_b", "id", "start", "size", "again", "high", "low"])
 
-    return docs.select("key_a", "key_b", "id", "text").mapInArrow(run, _CHUNKS)
+    schema = T.StructType([docs.schema[c] for c in ("key_a", "key_b", "id")] + list(T._parse_datatype_string("start int, size int, again boolean, high long, low long").fields))
+    return mapped(docs.select("key_a", "key_b", "id", "text"), run, schema)
 
 
-def chunk_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep_text: bool = True) -> DataFrame:
+def chunk_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep_text: bool = True, reach: int = REACH) -> DataFrame:
     """Cuts repeated chunks out of the texts and adds n_bytes, n_repeated, n_removed, n_spans and kept_sha256.
 
     n_repeated: bytes in chunks that occur elsewhere, kept or not; n_removed: bytes cut out, in n_spans runs.
@@ -111,15 +116,16 @@ def chunk_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", kee
     own = ("n_bytes", "n_repeated", "n_removed", "n_spans", "kept_sha256")
     keep = [c for c in docs.columns if c.lower() not in own and c != text]
     spans = free_name([*keep, text], "spans")
-    a, b = free_name(keep, "key_a"), free_name(keep, "key_b")
-    whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    id_ = F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(2**63 - 1))
+    a, b = free_name([*keep, text], "key_a"), free_name([*keep, text], "key_b")
+    whole, id_ = F.coalesce(F.col(f"`{text}`"), F.lit("")), F.col(f"`{doc_id}`")
     keys = [F.xxhash64(F.lit(k), id_, whole) for k in (1, 2)]
-    rows = chunks(docs.select(keys[0].alias("key_a"), keys[1].alias("key_b"), id_.alias("id"), whole.alias("text")))
-    # Partial aggregation combines the copies of a frequent chunk before the shuffle.
-    known = rows.groupBy("high", "low").agg(F.count("*").alias("n"), F.min("id").alias("first")).where("n > 1").drop("n")
-    hit = rows.join(known, ["high", "low"])
-    found = hit.select("key_a", "key_b", "start", "size", (F.col("again") | (F.col("id") > F.col("first"))).alias("out")).distinct()
+    texts = docs.select(keys[0].alias("key_a"), keys[1].alias("key_b"), id_.alias("id"), whole.alias("text"))
+    rows = stored(chunks(texts, reach), "chunks")
+    # Partial aggregation combines the copies of a frequent chunk before the shuffle; null ids come last.
+    order = F.struct(F.col("id").isNull().alias("no_id"), F.col("id"))
+    known = stored(rows.groupBy("high", "low").agg(F.count("*").alias("n"), F.min(order).alias("first")).where("n > 1"), "repeated-chunks")
+    hit = split_join(rows, known, ["high", "low"], "n")
+    found = hit.select("key_a", "key_b", "start", "size", (F.col("again") | (order > F.col("first"))).alias("out")).distinct()
     found = found.groupBy("key_a", "key_b").agg(F.collect_list(F.struct("start", "size", "out")).alias(spans))
     found = found.withColumnsRenamed({"key_a": a, "key_b": b})
     kept_columns = [F.col(f"`{c}`") for c in keep]
@@ -129,7 +135,7 @@ def chunk_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", kee
 
     def run(batches):
         for batch in batches:
-            for part in blocks(batch, text):
+            for part in blocks(batch, len(keep)):
                 raw, offs = byte_buffer(part.column(len(keep)))
                 data, at = raw.tobytes(), offs.tolist()
                 n_bytes, repeated, removed, n_spans, digest, left = [], [], [], [], [], []
@@ -154,4 +160,4 @@ def chunk_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", kee
                     columns.append(pa.array(left, pa.string()))
                 yield pa.RecordBatch.from_arrays([*columns, *(pa.array(x, pa.int64()) for x in (n_bytes, repeated, removed, n_spans)), pa.array(digest, pa.string())], names=names)
 
-    return both.mapInArrow(run, schema)
+    return mapped(both, run, schema)

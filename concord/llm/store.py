@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; only where the session has none, as in tests, a temporary folder."""
+    """``spark.checkpoint.dir``; only where a local session has none, as in tests, a temporary folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not folder:
         folder = getattr(shared_folder, "own", None) or tempfile.mkdtemp(prefix="concord-")
         shared_folder.own = folder

@@ -6,9 +6,12 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 #: Texts are handled in blocks of about this many bytes, which bounds a task's numpy memory.
 BLOCK_BYTES = 1 << 21
+#: Setting, Spark's default and ours: most bytes of an Arrow batch.
+_BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m")
 
 
 def sha256_hex(data: bytes) -> str:
@@ -38,17 +41,39 @@ def byte_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offs - offs[0]
 
 
-def blocks(batch: pa.RecordBatch, column: str, most: int = BLOCK_BYTES):
-    """Slices of ``batch`` whose texts hold about ``most`` bytes; one longer text is a slice of its own."""
-    _, offs = byte_buffer(batch.column(batch.schema.get_field_index(column)))
-    start, n = 0, batch.num_rows
+def blocks(batch: pa.RecordBatch, column: int, most: int = BLOCK_BYTES, rows: int = 4096):
+    """Slices of ``batch`` whose values in that column hold about ``most`` bytes, and at most ``rows`` rows; a longer value is a slice of its own."""
+    n = batch.num_rows
+    values = batch.column(column)
+    if pa.types.is_string(values.type) or pa.types.is_binary(values.type):  # what Spark sends
+        size = np.frombuffer(values.buffers()[1], np.int32, n + 1, values.offset * 4).astype(np.int64) if n else np.zeros(1, np.int64)
+    else:
+        size = np.arange(n + 1) * (max(values.nbytes // n, 1) if n else 1)
+    start = 0
     while start < n:
-        stop = int(np.searchsorted(offs, offs[start] + most, side="right")) - 1
-        stop = min(n, max(stop, start + 1))
+        stop = int(np.searchsorted(size, size[start] + most, side="right")) - 1
+        stop = min(n, start + rows, max(stop, start + 1))
         yield batch.slice(start, stop - start)
         start = stop
 
 
+def mapped(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` in batches of modest size, after which a worker gives its spare memory back.
+
+    Spark's default of 64 MB a batch, held on both sides of the pipe by every task, is lowered for the
+    session; a size that the session has set otherwise stays.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH[0]) == _BATCH[1]:
+        conf.set(_BATCH[0], _BATCH[2])
+
+    def released(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(released, schema)
+
+
 def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends (exclusive) of the runs of True in ``mask``."""
     edge = np.flatnonzero(np.diff(np.concatenate(([0], mask.view(np.int8), [0]))))
