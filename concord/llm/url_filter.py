@@ -1,20 +1,25 @@
 """URL rules by a sort-merge range join on canonical keys, in DataFrame operations only.
 
-A host is written with its labels reversed (``org.example.www``).  A rule fits a host and all its
-subdomains, so a URL stands for one key per ancestor host: (reversed host, path).  Under a host, a
-rule is the interval of all paths that start with the rule's path; the intervals of one host nest.
-Rule borders and URL keys are merged in one sort by (host, path) and swept: at each border the
-innermost rule that is still open is known (the top of a stack of nested rules), and each URL takes
-the state of the last border before it.
+A canonical key is a host with its labels reversed, ``/``, and a path (``org.example.www//es/1``; a host
+has no ``/``).  A rule fits a host and all its subdomains, so a URL stands for one key per ancestor
+host.  A rule is the interval of the keys that begin with its own; such intervals nest.  Rule borders
+and URL keys are range-partitioned by key (splitters that Spark samples) and swept in order, range by
+range, with a stack of the rules that are open:
+
+* the depth of the stack is a running sum, +1 where a rule opens and -1 where it closes;
+* the top of the stack is the last rule that opened at that depth, a running ``last`` per depth;
+* a rule whose interval crosses range borders is handed to each range that it reaches, as one more
+  opening: a range gets as many as the rules nest there, however many rules there are in all.
 
 Hot hosts: URLs are first reduced to distinct (host, path) by a hash aggregate with map-side
-combination, and each host is dealt over ``salts`` sort ranges, to each of which the (few) borders
-of that host's rules go.  Nothing is broadcast by hand.
+combination, and ranges split a host's paths.  Rows without a host and path, however many, meet a
+broadcast of one row instead of a shuffle.  Nothing else is broadcast by hand.
 
 Defined results: a null URL or one without ``://`` has an empty host and path and no rule but one
-for the empty host; rows are never merged or dropped, whatever their id; an empty table or no rules
-give the default verdict.  Of rules of equal total length the one with the longer host wins; equal
-(host, path) with different verdicts: block wins.
+for the empty host; rows are never merged or dropped, whether repeated or with null ids; an empty table
+gives an empty table; no rules give the default verdict; rules with a null part are left out.  Ties: of
+rules of equal total length the one with the longer host wins; equal (host, path) with different
+verdicts: block wins.  Columns of any name are kept, but host, path, rule and verdict are replaced.
 """
 
 from __future__ import annotations
@@ -23,8 +28,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Sorts behind every character of a UTF-8 text, so ``path + LAST`` is the end of a path's interval.
-LAST = "\U0010ffff"
+from .store import stored
+from .text import free_name
+
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
 
@@ -47,47 +53,55 @@ def rule_frame(spark, rules: list[tuple[str, str, str]]) -> DataFrame:
     return spark.range(1).select(F.inline(rows))
 
 
-def rule_borders(rules: DataFrame) -> DataFrame:
-    """The sweep over the rules alone: each border (host, path) with the rule that holds from there on.
+def _key(host: Column, path: Column) -> Column:
+    """The canonical key, as bytes."""
+    return F.encode(F.concat(F.array_join(F.reverse(F.split(host, r"\.")), "."), F.lit("/"), path), "utf-8")
 
-    A rule's interval opens at its path and closes at ``path + LAST``; on closing, the innermost rule
-    around it holds again, found by an equi-join on the prefixes of its path.
-    """
-    rules = rules.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))  # 'block' > 'allow'
-    above = rules.select("host", "path", F.explode(F.expr("transform(sequence(0, greatest(length(path) - 1, 0)), i -> substring(path, 1, i))")).alias("above")).where("length(above) < length(path)")
-    outer = above.join(rules.select("host", F.col("path").alias("above"), F.col("verdict").alias("outer_verdict")), ["host", "above"]).groupBy("host", "path")
-    outer = outer.agg(F.max_by(F.struct(F.col("above").alias("path"), F.col("outer_verdict").alias("verdict")), F.length("above")).alias("outer"))
-    own = rules.select("host", F.col("path").alias("at"), F.struct("path", "verdict").alias("state"), "path")
-    ends = rules.join(outer, ["host", "path"], "left").select("host", F.concat("path", F.lit(LAST)).alias("at"), F.col("outer").alias("state"), "path")
-    both = own.withColumn("closes", F.lit(0)).unionByName(ends.withColumn("closes", F.lit(1)))
-    # Intervals that close at one place close from the inside out: the outermost's state is the last.
-    return both.select("host", "at", "state", F.when(F.col("closes") == 1, -F.length("path")).otherwise(F.length("path")).alias("turn"))
 
+_EVENT = "key binary, turn int, step int, rule struct<host:string,path:string,verdict:string>, host string, path string"
 
-def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow", salts: int | None = None) -> DataFrame:
-    """Adds host, path, rule (host + path of the rule that holds, else null) and verdict; such columns of the input are replaced.
 
-    ``salts``: sort ranges for each host, by default as many as shuffle partitions, so they grow with the cluster.
+def _events(keys: DataFrame, rules: DataFrame) -> DataFrame:
+    """Openings (step 1) and ends (-1) of the rules' intervals, and the keys of each (host, path) to be judged (0)."""
+    rules = rules.where("host is not null and path is not null and verdict is not null")
+    rules = rules.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))  # 'block' > 'allow'
+    # 0xff is in no UTF-8 text: behind it end all keys that begin alike.
+    ends = F.array(*[F.struct(k.alias("key"), F.lit(turn).alias("turn"), F.lit(step).alias("step")) for k, turn, step in ((_key(F.col("host"), F.col("path")), 1, 1), (F.concat(_key(F.col("host"), F.col("path")), F.lit(bytearray(b"\xff"))), 0, -1))])
+    borders = rules.select(F.struct("host", "path", "verdict").alias("rule"), F.inline(ends))
+    labels = F.split("host", r"\.")
+    levels = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    points = keys.select("host", "path", F.explode(levels).alias("level")).select(_key(F.col("level"), F.col("path")).alias("key"), F.lit(2).alias("turn"), F.lit(0).alias("step"), "host", "path")
+    return points.unionByName(borders, allowMissingColumns=True)
+
+
+def sweep(events: DataFrame, ranges: int) -> DataFrame:
+    """host, path and the innermost rule around each key; a (host, path) comes once for each ancestor that has one."""
+    dealt = stored(events.repartitionByRange(ranges, "key").withColumn("range", F.spark_partition_id()), "ranges")
+    reach = dealt.where("step <> 0").groupBy("rule").agg(F.max(F.when(F.col("step") == 1, F.col("range"))).alias("first"), F.max("range").alias("last"), F.min("key").alias("key"))
+    handed = reach.where("last > first").select("rule", "key", F.lit(1).alias("turn"), F.lit(1).alias("step"), F.explode(F.sequence(F.col("first") + 1, F.col("last"))).alias("range"))
+    whole = dealt.unionByName(handed, allowMissingColumns=True)
+    # What is handed on has a key before all others of the range, the outer rule first.
+    so_far = W.orderBy("key", "turn").rowsBetween(W.unboundedPreceding, 0)
+    deep = whole.withColumn("depth", F.sum("step").over(so_far.partitionBy("range")))
+    top = F.last(F.when(F.col("step") == 1, F.col("rule")), ignorenulls=True).over(so_far.partitionBy("range", "depth"))
+    return deep.withColumn("top", top).where("step = 0 and top is not null").select("host", "path", F.col("top").alias("rule"))
+
+
+def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow", ranges: int | None = None) -> DataFrame:
+    """Adds host, path, rule (host + path of the rule that holds, else null) and verdict.
+
+    ``ranges``: of the sort, by default as many as shuffle partitions, so they grow with the cluster.
     """
-    salts = salts or int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = ranges or int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = ("host", "path", "rule", "verdict")
-    pages = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c.lower() not in own], url_host(F.col(f"`{url}`")).alias("host"), url_path(F.col(f"`{url}`")).alias("path"))
-    rules = rules.select("host", "path", "verdict")
-    # Each ancestor of the host, the whole host first.
-    keys = pages.select("host", "path").distinct()
-    keys = keys.withColumn("labels", F.split("host", r"\."))
-    keys = keys.select("host", "path", F.explode(F.expr("transform(sequence(1, size(labels)), i -> array_join(slice(labels, i, size(labels)), '.'))")).alias("level"))
-    keys = keys.join(rules.select(F.col("host").alias("level")).distinct(), "level", "left_semi")
-    deal = F.pmod(F.xxhash64("host", "path"), F.lit(salts)).cast("int")
-    reversed_host = lambda c: F.array_join(F.reverse(F.split(c, r"\.")), ".")
-    no_state = F.lit(None).cast("struct<path:string,verdict:string>")
-    points = keys.select(reversed_host("level").alias("key"), deal.alias("salt"), F.col("path").alias("at"), F.lit(2**31 - 1).alias("turn"), no_state.alias("state"), F.col("host").alias("url_host"), F.col("path").alias("url_path"), "level", F.lit(False).alias("is_border"))
-    borders = rule_borders(rules).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    borders = borders.select(reversed_host("host").alias("key"), "salt", "at", "turn", F.struct("state").alias("held"), F.lit(True).alias("is_border"))
-    merged = points.withColumn("held", F.lit(None).cast("struct<state:struct<path:string,verdict:string>>")).drop("state").unionByName(borders, allowMissingColumns=True)
-    sweep = W.partitionBy("key", "salt").orderBy("at", "turn").rowsBetween(W.unboundedPreceding, 0)
-    held = merged.withColumn("held", F.last("held", ignorenulls=True).over(sweep)).where("not is_border and held.state is not null")
-    size = F.length("level") + F.length("held.state.path")
-    best = held.groupBy(F.col("url_host").alias("host"), F.col("url_path").alias("path")).agg(F.max(F.struct(size.alias("size"), F.length("level").alias("of_host"), F.concat("level", "held.state.path").alias("rule"), F.col("held.state.verdict").alias("verdict"))).alias("best"))
-    out = pages.join(best, ["host", "path"], "left")
-    return out.select(*[F.col(f"`{c}`") for c in pages.columns], F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+    others = [c for c in pages.columns if c.lower() not in own]
+    # In a struct of their own, the other columns may have any name.
+    rows = pages.select(F.struct(F.lit(0).alias(free_name(others, "_")), *[F.col(f"`{c}`") for c in others]).alias("page"), url_host(F.col(f"`{url}`")).alias("host"), url_path(F.col(f"`{url}`")).alias("path"))
+    held = sweep(_events(rows.select("host", "path").distinct(), rules.select("host", "path", "verdict")), ranges)
+    size = F.length("rule.host") + F.length("rule.path")
+    best = held.groupBy("host", "path").agg(F.max(F.struct(size.alias("size"), F.length("rule.host").alias("of_host"), F.concat("rule.host", "rule.path").alias("rule"), F.col("rule.verdict").alias("verdict"))).alias("best"))
+    blank = (F.col("host") == "") & (F.col("path") == "")
+    one = best.where(blank).groupBy("host").agg(F.max("best").alias("best"))  # one row at most
+    named = rows.where(~blank).join(best, ["host", "path"], "left").select("page", "host", "path", "best")
+    named = named.unionByName(rows.where(blank).join(F.broadcast(one), "host", "left").select("page", "host", "path", "best"))
+    return named.select(*[F.col(f"page.`{c}`") for c in others], "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
