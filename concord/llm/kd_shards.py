@@ -3,42 +3,34 @@
 The tree splits all rows at the weighted median (weights: bytes) of the widest metadata dimension,
 again and again, until the leaves are the shards.  Medians come from histograms: each round counts
 the bytes in each bin of each open node and narrows the median to one bin, so that only nodes x bins
-rows move and one row per node reaches the driver, whatever the size of the table.
+rows move, whatever the size of the table.  A node is known by its first leaf; the nodes and splits of a
+level are small tables, of at most as many rows as there are leaves, and rows find theirs by a join.
+Nothing is collected, and no expression grows with the tree.
 
 Dimensions are functions of the text (log size, share of bytes beyond ASCII, line length), and a
 split also compares a hash of the text, so equal texts always fall on the same side and a median is
-exact to one group of equal texts.  A row's shard follows from its own columns: nothing is joined.
+exact to one group of equal texts.
 
-Defined results: a null text has no bytes (size 1, CRC 0) and groups with the empty text; null and
-repeated ids are rows like any other; an empty table gives no rows.
+Defined results: a null text has no bytes (size 1, CRC 0) and groups with the empty text; very long texts
+are measured whole; null and repeated ids and repeated rows are rows like any other.  Ties: of dimensions
+of equal width the first is split; of borders equally near the median the upper one is taken.  An empty
+table gives no rows.  Columns of any name are kept, but size, text_crc32, shard and slot are replaced.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .store import stored
+from .store import discard, stored
 from .text import free_name
 
 #: Bits of a dimension's place, of the hash that breaks its ties, and of one histogram round.
 PLACE_BITS, TIE_BITS, ROUND_BITS = 24, 24, 12
 _BITS = PLACE_BITS + TIE_BITS
-
-
-@dataclass
-class Node:
-    """A node of the tree: leaves below it, and the split once it is known."""
-
-    leaves: int
-    place: Column | None = None
-    border: int | None = None
-    left: Node | None = None
-    right: Node | None = None
-    number: int = 0
+#: Splits of a level are broadcast up to so many leaves.
+BROADCAST_LEAVES = 100_000
 
 
 def dimensions(text: Column) -> list[Column]:
@@ -52,73 +44,72 @@ def dimensions(text: Column) -> list[Column]:
     ]
 
 
-def _side(node: Node) -> Column:
-    """The number of the open node or leaf that a row falls into."""
-    if node.left is None:
-        return F.lit(node.number)
-    return F.when(node.place <= node.border, _side(node.left)).otherwise(_side(node.right))
-
-
-def _number(root: Node) -> list[Node]:
-    """Leaves of the tree as it stands, numbered from left to right."""
-    out: list[Node] = []
-
-    def walk(n: Node) -> None:
-        if n.left is None:
-            n.number = len(out)
-            out.append(n)
-        else:
-            walk(n.left)
-            walk(n.right)
-
-    walk(root)
-    return out
-
-
-def build_tree(rows: DataFrame, dims: list[str], tie: str, weight: str, shards: int) -> Node:
-    """Splits until ``shards`` leaves; ``rows`` should be materialised, it is read once per round."""
-    root = Node(shards)
-    while any(n.leaves > 1 for n in _number(root)):
-        leaves = _number(root)
-        node = _side(root)
-        # The widest dimension of each open node.
-        ends = [f(d).cast("double").alias(f"{k}{i}") for i, d in enumerate(dims) for k, f in (("lo", F.min), ("hi", F.max))]
-        spans = {r["node"]: r for r in rows.groupBy(node.alias("node")).agg(F.sum(weight).alias("total"), *ends).collect()}
-        if not spans:
-            return root
-        open_nodes = [n for n in leaves if n.leaves > 1]
-        places: dict[int, Column] = {}
-        want: dict[int, int] = {}
-        for n in open_nodes:
-            r = spans.get(n.number)
-            widths = [r[f"hi{i}"] - r[f"lo{i}"] for i in range(len(dims))] if r else [0.0] * len(dims)
-            i = max(range(len(dims)), key=lambda i: widths[i])
-            low, wide = (r[f"lo{i}"], widths[i] or 1.0) if r else (0.0, 1.0)
-            place = F.least(F.floor((F.col(dims[i]) - F.lit(low)) / F.lit(wide) * (1 << PLACE_BITS)), F.lit((1 << PLACE_BITS) - 1))
-            places[n.number] = F.shiftleft(F.greatest(place, F.lit(0)).cast("long"), TIE_BITS) + F.col(tie)
-            want[n.number] = int(r["total"]) * (n.leaves // 2) // n.leaves if r else 0
-        key = F.coalesce(*[F.when(node == F.lit(k), p) for k, p in places.items()])
-        prefix = {k: 0 for k in places}  # bits of the border found so far, and the weight below them
-        below = {k: 0 for k in places}
-        for shift in range(_BITS - ROUND_BITS, -1, -ROUND_BITS):
-            inside = F.coalesce(*[F.when(node == F.lit(k), F.shiftright(key, shift + ROUND_BITS) == F.lit(prefix[k])) for k in places])
-            bins = rows.select(node.alias("node"), key.alias("key"), inside.alias("inside"), F.col(weight).alias("w")).where("inside")
-            bins = bins.groupBy("node", F.shiftright("key", shift).alias("bin")).agg(F.sum("w").alias("w"))
-            up_to = F.sum("w").over(W.partitionBy("node").orderBy("bin"))
-            aim = F.coalesce(*[F.when(F.col("node") == k, F.lit(want[k] - below[k])) for k in places])
-            # The first bin that reaches the aim.
-            first = bins.withColumn("up_to", up_to).where(F.col("up_to") >= aim).groupBy("node").agg(F.min_by(F.struct("bin", "w", "up_to"), "bin").alias("b"))
-            for r in first.collect():
-                prefix[r["node"]] = r["b"]["bin"]
-                below[r["node"]] += r["b"]["up_to"] - r["b"]["w"]
-                last = r["b"]["w"]
-                # The nearer of the two borders of the last bin.
-                if shift == 0 and want[r["node"]] - below[r["node"]] < last / 2:
-                    prefix[r["node"]] -= 1
-        for n in open_nodes:
-            n.place, n.border = places[n.number], prefix[n.number]
-            n.left, n.right = Node(n.leaves // 2), Node(n.leaves - n.leaves // 2)
-    return root
+def _small(table: DataFrame, leaves: int) -> DataFrame:
+    """A table of at most one row a leaf, broadcast while that is few."""
+    return F.broadcast(table) if leaves <= BROADCAST_LEAVES else table
+
+
+def _key(dims: str, tie: str, split: str = "") -> Column:
+    """A row's place along the dimension that its node splits, then its hash; ``split``: the struct that has which, low and wide."""
+    at = F.floor((F.element_at(dims, F.col(f"{split}which")) - F.col(f"{split}low")) / F.col(f"{split}wide") * (1 << PLACE_BITS))
+    place = F.greatest(F.least(at, F.lit((1 << PLACE_BITS) - 1)), F.lit(0)).cast("long")
+    return F.shiftleft(place, TIE_BITS) + F.col(tie)
+
+
+def _splits(rows: DataFrame, nodes: DataFrame, shards: int, n_dims: int) -> DataFrame:
+    """node, leaves and what splits it: dimension (which), its low and wide, and the border key.  ``rows``: node, dims, tie, w; stored."""
+    ends = [f(F.element_at("dims", i + 1)).alias(f"{k}{i}") for i in range(n_dims) for k, f in (("lo", F.min), ("hi", F.max))]
+    widths = F.array(*[F.col(f"hi{i}") - F.col(f"lo{i}") for i in range(n_dims)])
+    which = F.array_position(widths, F.array_max(widths)).cast("int")  # the first of the widest
+    state = rows.groupBy("node").agg(F.sum("w").alias("total"), *ends).join(_small(nodes.where("leaves > 1"), shards), "node")
+    state = state.withColumn("which", which).select(
+        "node", "leaves", "which", F.element_at(F.array(*[F.col(f"lo{i}") for i in range(n_dims)]), F.col("which")).alias("low"),
+        F.coalesce(F.nullif(F.array_max(widths), F.lit(0.0)), F.lit(1.0)).alias("wide"), F.expr("total * (leaves div 2) div leaves").alias("aim"), F.lit(0).cast("long").alias("border"),
+    )
+    state = stored(state, "nodes")
+    for shift in range(_BITS - ROUND_BITS, -1, -ROUND_BITS):
+        # ``border``: the bits found so far; ``aim``: the weight still to reach among the keys that have them.
+        keyed = rows.join(_small(state, shards), "node").withColumn("key", _key("dims", "tie")).where(F.shiftright("key", shift + ROUND_BITS) == F.col("border"))
+        bins = keyed.groupBy("node", F.shiftright("key", shift).alias("bin")).agg(F.sum("w").alias("w"), F.max("aim").alias("aim"))
+        up_to = bins.withColumn("up_to", F.sum("w").over(W.partitionBy("node").orderBy("bin"))).where("up_to >= aim")
+        # The first bin that reaches the aim.
+        first = up_to.groupBy("node").agg(F.min_by(F.struct("bin", "w", "up_to"), "bin").alias("b"))
+        left = F.col("aim") - (F.col("b.up_to") - F.col("b.w"))
+        border = F.col("b.bin")
+        if shift == 0:  # the nearer of the two borders of the last bin
+            border = F.when(2 * left < F.col("b.w"), border - 1).otherwise(border)
+        before, state = state, stored(state.drop("border").join(first, "node").select("node", "leaves", "which", "low", "wide", left.alias("aim"), border.alias("border")), "nodes")
+        discard(before)
+    return state
+
+
+def _assigned(rows: DataFrame, splits: DataFrame, shards: int, node: str, dims: str, tie: str) -> DataFrame:
+    """``rows`` with the node one level down; ``splits`` has the columns of _splits()."""
+    split = free_name(rows.columns, "_split")
+    packed = splits.select(F.col("node").alias(node), F.struct("leaves", "which", "low", "wide", "border").alias(split))
+    both = rows.join(_small(packed, shards), node, "left")
+    down = F.when(_key(dims, tie, f"{split}.") > F.col(f"{split}.border"), F.col(node) + F.expr(f"{split}.leaves div 2").cast("int")).otherwise(F.col(node))
+    return both.select(*[F.col(f"`{c}`") for c in rows.columns if c != node], down.alias(node))
+
+
+def build_tree(rows: DataFrame, shards: int, n_dims: int) -> list[DataFrame]:
+    """The splits of each level, as stored tables, until ``shards`` leaves.  ``rows``: dims, tie and w."""
+    nodes = rows.sparkSession.range(1).select(F.lit(0).alias("node"), F.lit(shards).alias("leaves"))
+    rows = stored(rows.withColumn("node", F.lit(0)), "metadata")
+    levels: list[DataFrame] = []
+    most = shards
+    while most > 1:
+        splits = _splits(rows, nodes, shards, n_dims)
+        levels.append(splits)
+        half = F.expr("leaves div 2").cast("int")
+        below = F.array(F.struct(F.col("node"), half.alias("leaves")), F.struct((F.col("node") + half).alias("node"), (F.col("leaves") - half).alias("leaves")))
+        nodes = splits.select(F.inline(below))
+        most -= most // 2
+        if most > 1:
+            before, rows = rows, stored(_assigned(rows, splits, shards, "node", "dims", "tie"), "metadata")
+            discard(before)
+    discard(rows)
+    return levels
 
 
 def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | None = None, text: str = "text", ids: tuple[str, ...] = ("doc_id",), blocks: int | None = None) -> DataFrame:
@@ -131,22 +122,23 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
     own = ("size", "text_crc32", "shard", "slot")
     keep = [c for c in docs.columns if c.lower() not in own and c != text]
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    dims = [free_name(keep, f"dim{i}") for i in range(3)]
-    tie, deal, hash_ = free_name(keep, "tie"), free_name(keep, "block"), free_name(keep, "hash")
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], (F.octet_length(whole) + 1).cast("long").alias("size"), F.crc32(whole).alias("text_crc32"), F.xxhash64(whole).alias(hash_), *[d.alias(n) for d, n in zip(dimensions(whole), dims)])
+    names = [free_name(keep, c) for c in ("dims", "tie", "block", "hash", "before")]
+    dims, tie, deal, hash_, before = names
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], (F.octet_length(whole) + 1).cast("long").alias("size"), F.crc32(whole).alias("text_crc32"), F.xxhash64(whole).alias(hash_), F.array(*dimensions(whole)).alias(dims))
     rows = rows.withColumn(tie, F.shiftrightunsigned(hash_, 64 - TIE_BITS))
-    rows = stored(rows, "metadata")
+    rows = stored(rows, "measured")
     if shards is None:
         total = rows.agg(F.sum("size")).first()[0] or 0
         shards = max(1, -(-total // target_bytes))
-    tree = build_tree(rows, dims, tie, "size", shards)
-    rows = rows.withColumn("shard", _side(tree).cast("int"))
+    rows = rows.withColumn("shard", F.lit(0))
+    for splits in build_tree(rows.select(F.col(dims).alias("dims"), F.col(tie).alias("tie"), F.col("size").alias("w")), shards, 3):
+        rows = _assigned(rows, splits, shards, "shard", dims, tie)
     order = [F.col(f"`{c}`") for c in ids if c in keep]
     blocks = blocks or 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.withColumn(deal, F.pmod(F.xxhash64(*order, F.col(hash_)), F.lit(blocks)).cast("int"))
     counts = rows.groupBy("shard", deal).agg(F.count("*").alias("n"))
     # shards x blocks rows, however large the table.
-    start = counts.select("shard", deal, (F.sum("n").over(W.partitionBy("shard").orderBy(deal)) - F.col("n")).alias("n"))
+    start = counts.select("shard", deal, (F.sum("n").over(W.partitionBy("shard").orderBy(deal)) - F.col("n")).alias(before))
     slot = F.row_number().over(W.partitionBy("shard", deal).orderBy(*order, hash_)) - 1
     rows = rows.withColumn("slot", slot.cast("long")).join(F.broadcast(start) if shards * blocks <= 100_000 else start, ["shard", deal])
-    return rows.select(*[F.col(f"`{c}`") for c in keep], "size", "text_crc32", "shard", (F.col("slot") + F.col("n")).alias("slot"))
+    return rows.select(*[F.col(f"`{c}`") for c in keep], "size", "text_crc32", "shard", (F.col("slot") + F.col(before)).alias("slot"))
