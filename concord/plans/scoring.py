@@ -39,11 +39,18 @@ CHECKS = [
 FIELD_NAMES = ["lines", "status", "priority", "year"]
 
 
+def _layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Judged records and their reconciliation, kept as tables: several blocks read them. They go with the session."""
+    return materialise(judged_lines(spark, sf_dir), "judged_lines"), materialise(reconciled(spark, sf_dir), "reconciled_orders")
+
+
 def scorecard_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    published, rejected = split(judged_lines(spark, sf_dir))
-    # Both are layers of their own, read by several blocks below; they go with the session.
-    published = materialise(flag_duplicates(published, "uid", "duplicate_uid"), "published_lines")
-    recon = materialise(reconciled(spark, sf_dir), "reconciled_orders")
+    return _long(spark, sf_dir, *_layers(spark, sf_dir)).orderBy("source", "check_name", "outcome")
+
+
+def _long(spark: SparkSession, sf_dir: str, judged: DataFrame, recon: DataFrame) -> DataFrame:
+    published, rejected = split(judged)
+    published = flag_duplicates(published, "uid", "duplicate_uid")
     records = S.record_checks(
         published,
         "source",
@@ -83,7 +90,7 @@ def scorecard_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = published.groupBy("source").agg(F.count("*").alias("total_records"))
     long = S.long_scorecard(parts, totals, "source")
     described = registry_frame(spark, CHECKS, ("check_name", "check_description"))
-    return long.join(F.broadcast(described), "check_name", "left").orderBy("source", "check_name", "outcome")
+    return long.join(F.broadcast(described), "check_name", "left")
 
 
 _OUTCOMES = [
@@ -149,8 +156,9 @@ RATES = {
 
 
 def scorecard_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    published, rejected = split(judged_lines(spark, sf_dir))
-    wide = S.wide_scorecard(scorecard_long(spark, sf_dir), "source", WIDE)
+    judged, recon = _layers(spark, sf_dir)
+    published, rejected = split(judged)
+    wide = S.wide_scorecard(_long(spark, sf_dir, judged, recon), "source", WIDE)
     for d, n in ((published, "published_source_rows"), (rejected, "rejected_source_rows")):
         wide = wide.join(d.groupBy("source").agg(F.sum("source_record_count").cast("long").alias(n)), "source", "left").withColumn(n, F.coalesce(n, F.lit(0)).cast("long"))
     return S.with_rates(wide, RATES).orderBy("source")
