@@ -8,18 +8,28 @@ smallest of the set under as many hash functions; a class is posted under each (
   (a linked pair shares fewer with a chance of 1e-8) and its other values are never posted.
 * Prefix: a pair that collides in ``MATCHES`` coordinates shares one of each side's
   COORDINATES - MATCHES + 1 rarest values.  Values that occur once are the rarest, so only classes
-  with at least MATCHES values shared by others post anything, and never their most frequent values.
-* Merge without all pairs: in two rounds each posting list pairs its members with one of them, first
-  the one with most shared values, then any; what is confirmed joins components.  Classes in lists that still hold several components are compared
-  once more, across components only, with prefix and position filters on their full sets.  Pairs
-  inside a component can't change the result, so large groups of copies cost as many pairs as
-  members.
-* Candidates need MATCHES equal coordinates (a pair at the limit of 0.75 has fewer with a chance of
-  1e-8), and then their full sets decide: 100 * intersection >= 75 * union.
+  with at least MATCHES values shared by others are merged, and never in the lists of their most
+  frequent values.
+* Merge without all pairs: in two rounds each prefix list pairs its members with one of them, first
+  the one with most shared values, then any; what is confirmed joins components.  Then the lists that
+  still hold several components are merged once more, across components only: the frequencies are
+  those in these lists, so prefixes are shorter, and a pair must have room for MATCHES collisions behind
+  the places where it meets.  Classes are skipped that have too few shingles in common with all other
+  components together, and pairs whose intersection can't be large enough by that count (exact counts on
+  the full sets; without them near copies just below the limit make candidates with the square of their
+  number).  Pairs inside a component can't change the result, so large groups of
+  copies cost as many pairs as members.
+* Count: all collisions of a candidate pair are counted, also those in the long lists that the merge
+  skipped, as the size of the intersection of both sides' postings.  Pairs with MATCHES or more stay
+  (a pair at the limit of 0.75 has fewer with a chance of 1e-8), and then their full sets decide:
+  100 * intersection >= 75 * union.
 
 Defined results: null texts and texts without words have the empty set and link with nothing; a text
-of fewer than 5 words has one shingle, its whole sequence.  A null id never is a component's id
-unless no document of the component has one; such documents are kept if they are alone.
+of fewer than 5 words has one shingle, its whole sequence; very long texts are hashed whole, in pieces.
+Repeated rows link with each other and get equal rows.  Ties: of documents that share the smallest id
+of a component each is kept.  A null id never is a component's id unless no document of the component
+has one; such documents are kept if they are alone.  An empty table gives an empty table.  Only the id
+column is read beside the text, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -35,7 +45,7 @@ from pyspark.sql import types as T
 from .components import connected_components
 from .store import discard, stored
 from .suffix_dedup import packed, unpack
-from .text import blocks, byte_buffer, free_name
+from .text import blocks, byte_buffer, free_name, mapped
 
 WIDTH = 5
 SIMILARITY = 75
@@ -137,7 +147,7 @@ def _classes(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in blocks(batch, "text"):
+            for part in blocks(batch, 3):
                 sets = shingle_sets(*byte_buffer(part.column(3)))
                 n = np.array([len(s) for s in sets], np.int64)
                 digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
@@ -147,66 +157,79 @@ def _classes(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(n), pa.array(digest, pa.binary()), first], names=["id", "key_a", "key_b", "n", "class", "first"])
 
     schema = T.StructType([docs.schema["id"], *T._parse_datatype_string("key_a long, key_b long, n long, class binary, first array<long>").fields])
-    return docs.select("id", "key_a", "key_b", "text").mapInArrow(run, schema)
+    return mapped(docs.select("id", "key_a", "key_b", "text"), run, schema)
 
 
 def _signed(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """class, keys (of all coordinates), sig (32 bits a coordinate) and packed text of the wanted classes."""
+    """class, keys (under which it is posted, of all coordinates) and packed text of the wanted classes."""
     # A merge join brings the copies of a text together, of which one is taken.
     both = packed(texts, "text").join(wanted.hint("merge"), ["key_a", "key_b"]).select("class", "text")
 
     def run(batches):
         last = None
         for batch in batches:
-            keep, keys, sigs = [], [], []
+            keep, keys = [], []
             for i, (c, z) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
                 if c == last:
                     continue  # a copy of the text before
                 last = c
                 data = np.frombuffer(unpack(z), np.uint8)
-                k = _posting_keys(signature(shingle_sets(data, np.array([0, len(data)]))[0]))
                 keep.append(i)
-                keys.append(k)
-                sigs.append(k.astype(np.uint32).tobytes())
+                keys.append(_posting_keys(signature(shingle_sets(data, np.array([0, len(data)]))[0])))
             if keep:
                 b = batch.take(pa.array(keep))
                 offs = np.arange(0, (len(keep) + 1) * COORDINATES, COORDINATES, dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(offs), pa.array(np.concatenate(keys))), pa.array(sigs, pa.binary()), b.column(1)], names=["class", "keys", "sig", "text"])
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(offs), pa.array(np.concatenate(keys))), b.column(1)], names=["class", "keys", "text"])
 
-    return both.mapInArrow(run, "class binary, keys array<long>, sig binary, text binary")
+    return mapped(both, run, "class binary, keys array<long>, text binary")
 
 
-def _linked(pairs: DataFrame, signed: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) that collide in MATCHES coordinates and whose full sets are similar enough."""
-    left = signed.select(F.col("class").alias("a"), F.col("sig").alias("sig_a"), F.col("text").alias("text_a"))
-    right = signed.select(F.col("class").alias("b"), F.col("sig").alias("sig_b"), F.col("text").alias("text_b"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "sig_a", "sig_b", "text_a", "text_b")
+def _counted(pairs: DataFrame, signed: DataFrame) -> DataFrame:
+    """Those of the candidates (a, b) that collide in MATCHES coordinates or more."""
+    left, right = (signed.select(F.col("class").alias(c), F.col("keys").alias(f"keys_{c}")) for c in "ab")
+    return pairs.join(left, "a").join(right, "b").where(F.size(F.array_intersect("keys_a", "keys_b")) >= MATCHES).select("a", "b")
+
+
+def _linked(pairs: DataFrame, signed: DataFrame, most: int = 32 << 20) -> DataFrame:
+    """Those of the pairs (a, b) whose full sets are similar enough."""
+    left, right = (signed.select(F.col("class").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
 
     def run(batches):
         known: dict[bytes, np.ndarray] = {}
+        size = 0
 
         def shingles(c: bytes, z) -> np.ndarray:
+            nonlocal size
             got = known.get(c)
             if got is None:
-                if len(known) >= 256:
+                if size > most:
                     known.clear()
+                    size = 0
                 data = np.frombuffer(unpack(z.as_py()), np.uint8)
                 got = known[c] = shingle_sets(data, np.array([0, len(data)]))[0]
+                size += got.nbytes
             return got
 
         for batch in batches:
-            a, b, sig_a, sig_b = (batch.column(i).to_pylist() for i in range(4))
+            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             keep = []
             for i in range(batch.num_rows):
-                if (np.frombuffer(sig_a[i], np.uint32) == np.frombuffer(sig_b[i], np.uint32)).sum() < MATCHES:
-                    continue
-                x, y = shingles(a[i], batch.column(4)[i]), shingles(b[i], batch.column(5)[i])
+                x, y = shingles(a[i], batch.column(2)[i]), shingles(b[i], batch.column(3)[i])
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 if 100 * common >= SIMILARITY * (len(x) + len(y) - common):
                     keep.append(i)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int32())), batch.column(1).take(pa.array(keep, pa.int32()))], names=["a", "b"])
 
-    return both.mapInArrow(run, "a binary, b binary")
+    return mapped(both, run, "a binary, b binary")
+
+
+def _prefixes(posts: DataFrame, lists: DataFrame, others: list[str]) -> DataFrame:
+    """class, ``others``, key, shared (the class's postings in ``lists``: key, df) and at (the place among them) of each posting in the prefix."""
+    own = posts.join(lists, "key").groupBy("class", *others).agg(F.sort_array(F.collect_set(F.struct("df", "key"))).alias("own"))
+    shared = F.size("own")
+    own = own.where(shared >= MATCHES).select("class", *others, shared.alias("shared"), F.posexplode(F.slice("own", 1, shared - MATCHES + 1)).alias("at", "post"))
+    return own.select("class", *others, "shared", "at", F.col("post.key").alias("key"))
 
 
 def _shingle_rows(signed: DataFrame) -> DataFrame:
@@ -214,8 +237,7 @@ def _shingle_rows(signed: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for part in blocks(batch, 2, 1 << 19):
                 sets = []
                 for z in part.column(2).to_pylist():
                     data = np.frombuffer(unpack(z), np.uint8)
@@ -224,31 +246,37 @@ def _shingle_rows(signed: DataFrame) -> DataFrame:
                 take = pa.array(np.repeat(np.arange(len(sets), dtype=np.int32), n))
                 yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), pa.array(np.repeat(n, n)), pa.array(np.concatenate(sets).view(np.int64))], names=["class", "component", "n", "shingle"])
 
-    return signed.select("class", "component", "text").mapInArrow(run, "class binary, component binary, n int, shingle long")
+    return mapped(signed.select("class", "component", "text"), run, "class binary, component binary, n int, shingle long")
 
 
-def _rest_of_pairs(members: DataFrame, signed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs of different components, among classes that are still near others, that may be similar enough; none is missed.
+def _reach(members: DataFrame, signed: DataFrame) -> DataFrame:
+    """class, n and reach, of classes that may be linked with another component: as many shingles of theirs are in others."""
+    rows = _shingle_rows(signed.join(members, "class"))
+    h = F.xxhash64("component")
+    several = rows.groupBy("shingle").agg(F.min(h).alias("lo"), F.max(h).alias("hi")).where("lo < hi").select("shingle")
+    reach = rows.join(several, "shingle", "left_semi").groupBy("class").agg(F.max("n").alias("n"), F.count("*").cast("int").alias("reach"))
+    return reach.where(f"100 * reach >= {SIMILARITY} * n")
+
 
-    Prefix and position filter on the full sets: with the shingles of every class in order of their
-    frequency here, two similar sets share one of each side's first n - ceil(0.75 n) + 1, and the
-    places of the first one shared leave room for the overlap that the limit asks for.  Also gives
-    the stored table that the pairs are read from.
+def _rest_of_pairs(members: DataFrame, signed: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Candidates of different components, among classes in lists that hold several; none is missed.
+
+    Only such lists count here: a pair across components that collides in MATCHES coordinates does so in
+    them.  Also gives the stored tables that the pairs are read from.
     """
-    rows = _shingle_rows(signed.join(members, "class"))
-    frequent = rows.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
-    own = rows.join(frequent, "shingle").groupBy("class", "component", "n").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("own"))
-    # Shingles that are in no other class come first in the order; places count them.
-    unique = F.col("n") - F.size("own")
-    reach = F.expr(f"n - (({SIMILARITY} * n + 99) div 100) + 1").cast("int") - unique
-    own = own.where(reach > 0).select("class", "component", "n", unique.alias("unique"), F.posexplode(F.slice("own", 1, reach)).alias("at", "post"))
-    posts = stored(own.select("class", "component", "n", (F.col("unique") + F.col("at")).alias("at"), F.col("post.shingle").alias("shingle")), "shingles")
-    main = posts.groupBy("shingle", "component").agg(F.count("*").alias("m")).groupBy("shingle").agg(F.max_by("component", "m").alias("main"), F.count("*").alias("several")).where("several > 1")
-    rest = posts.join(main, "shingle").where("component <> main")
-    other = posts.select("shingle", F.col("class").alias("other"), F.col("component").alias("other_component"), F.col("n").alias("m"), F.col("at").alias("other_at"))
-    near = f"component <> other_component and (other_component = main or class < other) and 100 * least(n, m) >= {SIMILARITY} * greatest(n, m)"
-    room = f"{100 + SIMILARITY} * least(n - at, m - other_at) >= {SIMILARITY} * (n + m)"
-    return rest.join(other, "shingle").where(f"{near} and {room}").select("class", "other"), posts
+    reach = stored(_reach(members, signed), "reach")
+    posts = signed.select("class", F.explode("keys").alias("key")).join(members, "class").join(reach, "class")
+    h = F.xxhash64("component")
+    lists = posts.groupBy("key").agg(F.count("*").alias("df"), F.min(h).alias("lo"), F.max(h).alias("hi")).where("lo < hi").select("key", "df")
+    posts = stored(_prefixes(posts, lists, ["component", "n", "reach"]), "prefixes")
+    main = posts.groupBy("key", "component").agg(F.count("*").alias("m")).groupBy("key").agg(F.max_by("component", "m").alias("main"), F.count("*").alias("several")).where("several > 1")
+    rest = posts.join(main, "key").where("component <> main")
+    other = posts.select("key", F.col("class").alias("other"), F.col("component").alias("other_component"), F.col("shared").alias("other_shared"), F.col("at").alias("other_at"), F.col("n").alias("other_n"), F.col("reach").alias("other_reach"))
+    near = "component <> other_component and (other_component = main or class < other)"
+    room = f"least(shared - at, other_shared - other_at) >= {MATCHES}"
+    # The intersection is no larger than what either set has in common with other components at all.
+    full = f"{100 + SIMILARITY} * least(reach, other_reach) >= {SIMILARITY} * (n + other_n)"
+    return rest.join(other, "key").where(f"{near} and {room} and {full}").select("class", "other"), [reach, posts]
 
 
 def _with_component(rows: DataFrame, components: DataFrame | None, on: str = "class") -> DataFrame:
@@ -273,10 +301,8 @@ def links(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[
     # Prefix: the rarest values of each class, ties broken by the value itself.
     posts = signed.select("class", F.explode("keys").alias("key"))
     frequent = posts.groupBy("key").agg(F.count("*").alias("df")).where("df > 1")
-    own = posts.join(frequent, "key").groupBy("class").agg(F.sort_array(F.collect_set(F.struct("df", "key"))).alias("own")).where(F.size("own") >= MATCHES)
     # A class with many shared values is in the middle of its like.
-    own = own.select("class", F.size("own").alias("shared"), F.explode(F.slice("own", 1, F.size("own") - MATCHES + 1)).alias("post"))
-    lists = stored(own.select("class", "shared", F.col("post.key").alias("key")), "prefixes")
+    lists = stored(_prefixes(posts, frequent, []).select("class", "shared", "key"), "lists")
     edges = tried = components = None
     done = [signed, lists]
     for turn in range(STAR_ROUNDS + 1):
@@ -288,13 +314,13 @@ def links(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[
             centre = members.groupBy("key").agg(F.min_by(F.struct("class", "component"), order).alias("centre"))
             pairs = members.join(centre, "key").where("component <> centre.component").select("class", F.col("centre.class").alias("other"))
         else:
-            pairs, posts = _rest_of_pairs(members.select("class", "component").distinct(), signed)
-            done.append(posts)
+            pairs, read = _rest_of_pairs(members.select("class", "component").distinct(), signed)
+            done += read
         pairs = pairs.select(F.least("class", "other").alias("a"), F.greatest("class", "other").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        found = stored(_linked(pairs, signed), "links")
+        found = stored(_linked(_counted(pairs, signed), signed), "links")
         done += [members, pairs, found]
         tried = pairs if tried is None else tried.unionByName(pairs)
         edges = found if edges is None else edges.unionByName(found)
@@ -306,7 +332,7 @@ def links(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[
 
 
 def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per document: the id column, n_shingles, component_id and kept (the component's document with the smallest id)."""
+    """One row per document: the id column, n_shingles, component_id and kept (the component's documents with the smallest id)."""
     rows, components = links(docs, text, doc_id)
     rows = rows.select("id", "n", "class")
     named = _with_component(rows.where("class is not null").select("id", "class"), components)

@@ -49,9 +49,22 @@ def test_pipeline_against_brute_force(spark, sf):
     assert got == want and 0 < len(got) < docs.count()
 
 
-def test_stages_keep_the_columns(spark, sf):
+def test_stages_on_odd_rows(spark, sf):
+    """Null, empty, repeated and very long texts, null ids, columns with the operators' names and without n_chars; empty tables."""
     import corpus_pipeline
 
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    for name, stage in corpus_pipeline.STAGES[:1] + corpus_pipeline.STAGES[2:4]:
-        assert stage(spark, docs.limit(0), sf).dtypes == docs.dtypes, name
+    names = ["n_bytes", "items", "toxic", "p_toxic", "spans", "key_a", "others", "n_words", "kept", "class"]
+    long = " ".join(f"w{i % 7000}x{i % 11}" for i in range(60_000))
+    texts = [None, "", "a text of a few words", "a text of a few words", long, "w1"]
+    rows = [(None if i == 1 else min(i, 4), t, *("c" for _ in names)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{c} string" for c in names)).repartition(2)
+    left = {"toxicity": 6, "near_dedup": 5, "suffix_dedup": 6, "decontaminate": 6}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert len(got) == left[name] and all(r[c] == "c" for r in got for c in names), name
+        full = spark.read.parquet(f"{sf}/documents.parquet")
+        assert stage(spark, full.limit(0), sf).dtypes == full.dtypes and stage(spark, full.limit(0), sf).count() == 0, name
+    last = corpus_pipeline.STAGES[-1][1]
+    assert last(spark, docs, sf).count() == 6 and last(spark, docs.limit(0), sf).count() == 0
