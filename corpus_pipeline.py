@@ -6,38 +6,75 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concord.llm import bpe, decontaminate, near_dedup, store, suffix_dedup, toxicity
+from concord.llm.text import free_name
 from concord.session import ship_package
 
 
+def _apart(docs: DataFrame) -> DataFrame:
+    """The columns an operator reads, doc_id and text, beside one struct of all others, so that no name can clash."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(F.lit(0).alias(free_name(others, "_")), *[F.col(f"`{c}`") for c in others]).alias("others"))
+
+
+def _together(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again."""
+    return rows.select(*[F.col(c) if c in ("doc_id", "text") else F.col(f"others.`{c}`") for c in docs.columns])
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier chain, fitted on the labelled ones among them, calls toxic go."""
+    """Documents that the classifier chain, fitted on the labelled ones among them, calls toxic go.
+
+    Null and empty texts have no features and stay unless the models' base rate is toxic; rows that
+    repeat go or stay together; p_toxic at the threshold is toxic; an empty table stays empty, and
+    without labels nothing goes.  Columns of any name are kept as they are.
+    """
     ship_package(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return toxicity.toxicity(docs, labels).where("not toxic").select(*docs.columns)
+    return _together(toxicity.toxicity(_apart(docs), labels).where("not toxic"), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked documents one row stays, that with the smallest id."""
+    """Of linked documents one row stays, that with the smallest id.
+
+    Ties (rows that share the smallest id) are broken by a hash of the text, then by the other columns; of
+    rows that repeat whole one stays.  Null ids come last.  Null and empty texts link with nothing and
+    all stay.  An empty table stays empty.  Columns of any name are kept as they are.
+    """
     ship_package(spark)
-    return near_dedup.drop_near_duplicates(docs)
+    return _together(near_dedup.drop_near_duplicates(_apart(docs)), docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes in strings of 200 bytes that occur elsewhere are cut out of the texts; n_chars follows."""
+    """Bytes in strings of 200 bytes that occur elsewhere are cut out of the texts; a column n_chars follows, if there is one.
+
+    No row goes: a text that repeats whole is left empty in each of its rows, a null text becomes empty,
+    a text under 200 bytes stays.  There are no ties: every occurrence is cut.  An empty table stays
+    empty.  All other columns, of any name, are kept as they are.
+    """
     ship_package(spark)
-    out = suffix_dedup.suffix_dedup(docs)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    out = _together(suffix_dedup.suffix_dedup(_apart(docs)), docs)
+    if "n_chars" not in docs.columns:
+        return out
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a window of a benchmark item go."""
+    """Documents with a window of a benchmark item go.
+
+    Null and empty texts have no words and stay; rows that repeat go or stay together; there are no ties.
+    An empty table stays empty, and without benchmark items nothing goes.  Columns of any name are kept.
+    """
     ship_package(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate.find_contamination(docs, benchmark).where("n_hit = 0").select(*docs.columns)
+    return _together(decontaminate.find_contamination(_apart(docs), benchmark).where("n_hit = 0"), docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Tokens of the texts that are left: their number, and digests of the ids and of the decoded text."""
+    """Tokens of the texts that are left: their number, and digests of the ids and of the decoded text.
+
+    One row for each row, repeated or not; null and empty texts have no tokens; an empty table gives
+    none.  Only doc_id of the other columns is returned, whatever their names.
+    """
     ship_package(spark)
     return bpe.bpe_round_trip(docs.select("doc_id", "text"), bpe.default_vocabulary(spark))
 
