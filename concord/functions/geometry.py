@@ -11,7 +11,6 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -350,9 +349,18 @@ def repair(df: DataFrame, geom: str = "geom") -> DataFrame:
 
 
 def simplify(df: DataFrame, geom: str = "geom", tolerance: float = 1e-5) -> DataFrame:
-    def run(frames):
-        for pdf in frames:
-            pdf[geom] = pd.Series([None if g is None else [[[{"x": x, "y": y} for x, y in simplified_ring([(p["x"], p["y"]) for p in r], tolerance)] for r in part] for part in g] for g in pdf[geom]], dtype=object)
-            yield pdf
+    """Rings with fewer points; a valid shape that wouldn't be valid without them keeps all of its own."""
+    at = df.columns.index(geom)
+    names = df.columns
+
+    def run(batches):
+        for batch in batches:
+            shape = batch.column(at)
+            new = [None if g is None else [[[{"x": x, "y": y} for x, y in simplified_ring([(p["x"], p["y"]) for p in r], tolerance)] for r in part] for part in g] for g in shape.to_pylist()]
+            new = pa.array(new, shape.type)
+            spoilt = np.array([before is True and after is False for before, after in zip(shapes.valid(shape), shapes.valid(new))], bool)
+            columns = list(batch.columns)
+            columns[at] = pa.concat_arrays([new, shape]).take(pa.array(np.arange(len(shape)) + spoilt * len(shape)))
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return df.mapInPandas(run, df.schema)
+    return df.mapInArrow(run, df.schema)

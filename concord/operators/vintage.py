@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import code_or_name, squeezed
@@ -48,6 +48,15 @@ def labels_with_fallback(published: DataFrame, fallback: DataFrame, code: str) -
     return published.withColumn("label_source", F.lit("published")).unionByName(rest.withColumn("label_source", F.lit("fallback")), allowMissingColumns=True)
 
 
+def recorded_edits(spark: SparkSession, name: str, layer: str, column: str) -> DataFrame:
+    """layer, edited_at of a table of what was recorded; no rows, so nothing known, without the table or one of its columns."""
+    if spark.catalog.tableExists(name):
+        found = spark.table(name)
+        if {layer, column} <= set(found.columns):
+            return found.select(layer, F.col(column).cast("timestamp").alias("edited_at"))
+    return spark.createDataFrame([], f"`{layer}` string, edited_at timestamp")
+
+
 def freshness(remote: DataFrame, recorded: DataFrame, layer: str, force: bool = False) -> DataFrame:
     """A decision per layer; only proof that nothing changed allows a skip.
 

@@ -305,6 +305,35 @@ def geometry_simplify(spark: SparkSession, sf_dir: str) -> DataFrame:
 GEOMETRY_SIMPLIFY = "SELECT p_partkey, CAST(t AS DOUBLE) AS tolerance, CASE WHEN t = 0.1 THEN 6 ELSE 5 END AS n_points FROM part, (VALUES (0.1), (0.5)) v(t)"
 
 
+def dimension_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published dimension: names, types and order as declared, the geometry last, in one reference system."""
+    r = rectangles(spark, sf_dir)
+    tagged = G.with_srid(F.col("geom"), 2927)
+    columns = {
+        "uid": F.concat(F.lit("P-"), F.col("parent").cast("string")),
+        "record_key": F.concat_ws("|", F.lit("P"), F.col("p_partkey").cast("string")),
+        "source": F.col("source"),
+        "brand": F.upper("p_brand"),
+        "size_code": F.lpad(F.col("p_size").cast("string"), 3, "0"),
+        "size": F.col("p_size").cast("int"),
+        "stacked": F.coalesce("stacked", F.lit(False)),
+        "area": G.area(F.col("geom")),
+        "acres": F.round(G.area(F.col("geom")) / 43560, 6),
+        "geom_srid": G.srid(tagged),
+        "geom": G.to_geojson(G.shape(tagged)),
+    }
+    return r.select(*[c.alias(n) for n, c in columns.items()])
+
+
+DIMENSION_PROJECTION = """
+WITH s AS (SELECT *, p_partkey * 37 % 1000 AS x, p_partkey * 91 % 1000 AS y, p_partkey * 37 % 1000 + p_size AS u, p_partkey * 91 % 1000 + p_size AS v FROM part)
+SELECT 'P-' || p_partkey // 2 AS uid, 'P|' || p_partkey AS record_key, CASE p_partkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'N' ELSE 'R' END AS source, upper(p_brand) AS brand, lpad('' || p_size, 3, '0') AS size_code,
+       CAST(p_size AS INTEGER) AS size, p_type = 'ECONOMY' AS stacked, CAST(p_size * p_size AS DOUBLE) AS area, round(CAST(p_size * p_size AS DOUBLE) / 43560, 6) AS acres, 2927 AS geom_srid,
+       '{"type":"MultiPolygon","coordinates":[[[[' || x || '.0,' || y || '.0],[' || u || '.0,' || y || '.0],[' || u || '.0,' || v || '.0],[' || x || '.0,' || v || '.0],[' || x || '.0,' || y || '.0]]]]}' AS geom
+FROM s
+"""
+
+
 def point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     x, y, s = corner()
     r = rectangles(spark, sf_dir).withColumn("box", G.bbox(F.col("geom"))).withColumn("feature_id", F.col("p_partkey"))
@@ -407,6 +436,7 @@ QUERIES = {
     "geometry_contracts": geometry_contracts,
     "geometry_simplify": geometry_simplify,
     "point_lookup": point_lookup,
+    "dimension_projection": dimension_projection,
     "reproject": reproject,
     "export_shape": export_shape,
     "feature_text": feature_text,
@@ -424,6 +454,7 @@ SQL = {
     "geometry_contracts": GEOMETRY_CONTRACTS,
     "geometry_simplify": GEOMETRY_SIMPLIFY,
     "point_lookup": POINT_LOOKUP,
+    "dimension_projection": DIMENSION_PROJECTION,
     "reproject": REPROJECT,
     "export_shape": EXPORT_SHAPE,
     "feature_text": FEATURE_TEXT,

@@ -129,6 +129,15 @@ def test_repair_and_simplify():
     assert len(G.simplified_ring([(0, 0), (1e-7, 0), (1e-7, 1e-7), (0, 1e-7), (0, 0)], 1)) >= 4
 
 
+def test_simplification_keeps_shapes_valid(spark):
+    """Without the tip of the shell the hole in it would lie outside."""
+    shell = [(0, 0), (10, 0), (10, 10), (5, 10.4), (0, 10), (0, 0)]
+    hole = [(4.8, 10.1), (5.2, 10.1), (5, 10.2), (4.8, 10.1)]
+    df = spark.createDataFrame([(1, geom([shell, hole])), (2, geom([shell])), (3, None)], f"k int, geom {G.GEOMETRY}")
+    got = {r.k: None if r.geom is None else [len(ring) for ring in r.geom[0]] for r in G.simplify(df, tolerance=0.5).collect()}
+    assert got == {1: [6, 4], 2: [5], 3: None}
+
+
 def squares(spark, *rows):
     data = [(k, s, p, st, geom([[(x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y)]])) for k, s, p, st, x, y, w in rows]
     return spark.createDataFrame(data, f"key int, source string, parent string, stacked boolean, geom {G.GEOMETRY}")

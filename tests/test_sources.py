@@ -47,6 +47,17 @@ def test_jdbc_windows():
     assert pages.jdbc_windows("k", 1, 10**9, 10, 64)["numPartitions"] == "64" and pages.jdbc_windows("k", 5, 5, 10, 64)["numPartitions"] == "1"
 
 
+def test_recorded_edits_of_what_is_missing(spark):
+    from concord.operators import vintage
+
+    spark.createDataFrame([("a", "2024-01-02 00:00:00")], "layer string, edited string").createOrReplaceTempView("recorded_layers")
+    assert vintage.recorded_edits(spark, "recorded_layers", "layer", "edited").count() == 1
+    for name, column in (("recorded_layers", "nosuch"), ("no_such_table", "edited")):
+        recorded = vintage.recorded_edits(spark, name, "layer", column)
+        remote = spark.createDataFrame([("a",)], "layer string").withColumn("edited_at", F.current_timestamp())
+        assert recorded.count() == 0 and vintage.freshness(remote, recorded, "layer").first().reason == "never_recorded"
+
+
 def test_layers(spark):
     df = spark.range(3).withColumnRenamed("id", "k")
     kept = sinks.materialise(df, "kept_layer")
