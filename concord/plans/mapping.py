@@ -302,7 +302,12 @@ def geometry_simplify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-GEOMETRY_SIMPLIFY = "SELECT p_partkey, CAST(t AS DOUBLE) AS tolerance, CASE WHEN t = 0.1 THEN 6 ELSE 5 END AS n_points FROM part, (VALUES (0.1), (0.5)) v(t)"
+GEOMETRY_SIMPLIFY = """
+-- A point in the middle of a side stays if it is farther from that side than the tolerance: one is on it, one beside it.
+WITH s AS (SELECT p_partkey, p_partkey * 37 % 1000 AS x, p_partkey * 91 % 1000 AS y, p_size * 10 AS s FROM part),
+middle AS (SELECT p_partkey, abs(y - y) AS first, abs((x + s + 0.4) - (x + s)) AS second FROM s)
+SELECT p_partkey, CAST(t AS DOUBLE) AS tolerance, 5 + CAST(first > t AS INTEGER) + CAST(second > t AS INTEGER) AS n_points FROM middle, (VALUES (0.1), (0.5)) v(t)
+"""
 
 
 def dimension_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -354,16 +359,24 @@ def reproject(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = lambda g: F.get(G.points(g), F.lit(0))
     mercator = G.reproject(F.col("geom"), 4326, 3857)
     back = first(G.reproject(mercator, 3857, 4326))
-    plane = first(G.reproject(G.reproject(F.col("near"), 4326, 2927), 2927, 4326))
+    zone = G.reproject(F.col("near"), 4326, 2927)
+    plane, there = first(G.reproject(zone, 2927, 4326)), first(zone)
     m = first(mercator)
-    return p.select("p_partkey", F.round(m.x, 3).alias("x"), F.round(m.y, 3).alias("y"), F.round(back.x, 6).alias("lon"), F.round(back.y, 6).alias("lat"), F.round(plane.x, 6).alias("plane_lon"), F.round(plane.y, 6).alias("plane_lat"))
+    return p.select("p_partkey", F.round(m.x, 3).alias("x"), F.round(m.y, 3).alias("y"), F.round(back.x, 6).alias("lon"), F.round(back.y, 6).alias("lat"), F.round(plane.x, 6).alias("plane_lon"), F.round(plane.y, 6).alias("plane_lat"), F.round(there.x, 2).alias("plane_x"), F.round(there.y, 2).alias("plane_y"))
 
 
 REPROJECT = """
-WITH p AS (SELECT p_partkey, p_partkey % 360 - 180 + 0.25 AS lon, p_partkey % 160 - 80 + 0.5 AS lat FROM part)
+WITH p AS (SELECT p_partkey, p_partkey % 360 - 180 + 0.25 AS lon, p_partkey % 160 - 80 + 0.5 AS lat, -122.0::DOUBLE + (p_partkey % 40) / 10.0 AS a, 46.0::DOUBLE + (p_partkey % 25) / 10.0 AS b FROM part),
+-- The conformal conic of the zone, by the published formulas for two standard parallels on an ellipsoid.
+k AS (SELECT sqrt(2 * f - f * f) AS e, 1200 / 3937.0::DOUBLE AS unit FROM (SELECT 1 / 298.257222101::DOUBLE AS f)),
+z AS (SELECT name, cos(lat) / sqrt(1 - pow(e * sin(lat), 2)) AS m, tan(pi() / 4 - lat / 2) / pow((1 - e * sin(lat)) / (1 + e * sin(lat)), e / 2) AS t
+      FROM k, (VALUES (0, radians(45 + 20 / 60.0::DOUBLE)), (1, radians(45 + 50 / 60.0::DOUBLE)), (2, radians(47 + 20 / 60.0::DOUBLE))) v(name, lat)),
+c AS (SELECT max(t) FILTER (name = 0) AS t0, max(t) FILTER (name = 1) AS t1, max(t) FILTER (name = 2) AS t2, max(m) FILTER (name = 1) AS m1, max(m) FILTER (name = 2) AS m2 FROM z),
+g AS (SELECT n, t0, m1 / (n * pow(t1, n)) AS big FROM (SELECT *, (ln(m1) - ln(m2)) / (ln(t1) - ln(t2)) AS n FROM c)),
+q AS (SELECT p.*, unit, n, 6378137.0::DOUBLE * big * pow(t0, n) AS rho0, 6378137.0::DOUBLE * big * pow(tan(pi() / 4 - radians(b) / 2) / pow((1 - e * sin(radians(b))) / (1 + e * sin(radians(b))), e / 2), n) AS rho, radians(a + 120.5) * n AS theta FROM p, k, g)
 SELECT p_partkey, round(radians(CAST(lon AS DOUBLE)) * 6378137.0, 3) AS x, round(ln(tan(pi() / 4 + radians(CAST(lat AS DOUBLE)) / 2)) * 6378137.0, 3) AS y, CAST(lon AS DOUBLE) AS lon, CAST(lat AS DOUBLE) AS lat,
-       round(-122.0::DOUBLE + (p_partkey % 40) / 10.0, 6) AS plane_lon, round(46.0::DOUBLE + (p_partkey % 25) / 10.0, 6) AS plane_lat
-FROM p
+       round(a, 6) AS plane_lon, round(b, 6) AS plane_lat, round(rho * sin(theta) / unit + 500000 / unit, 2) AS plane_x, round((rho0 - rho * cos(theta)) / unit, 2) AS plane_y
+FROM q
 """
 
 
