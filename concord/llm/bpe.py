@@ -29,7 +29,7 @@ from tokenizers import Tokenizer
 from .text import blocks, mapped, sha256_hex
 
 #: A task forgets a table of words, word pieces or pairs when it holds so many; results don't depend on it.
-WORD_TABLE, PIECE_TABLE, PAIR_TABLE = 500_000, 200_000, 150_000
+WORD_TABLE, PIECE_TABLE, PAIR_TABLE = 300_000, 100_000, 100_000
 #: Longer words are encoded where they stand and not kept.
 KEPT_LENGTH = 64
 _END = 0xE000  # a word's last symbol is moved here, so that it differs from the same byte inside
@@ -83,11 +83,6 @@ class WordBpe:
         self.table: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
-    def forget(self) -> None:
-        """Empties the tables that grow with the texts; called when a task ends."""
-        for table in (self.table, self.pieces, self.fits):
-            table.clear()
-
     def _own(self, token: str) -> str:
         if token.endswith(self.suffix) and len(token) > len(self.suffix):
             token = token[: -len(self.suffix)]
@@ -245,17 +240,10 @@ class OffsetTable:
         return sha256_hex(self.text(ids))
 
 
-_models: dict[str, tuple[WordBpe, OffsetTable, OffsetTable]] = {}
-
-
 def _model(spec: str) -> tuple[WordBpe, OffsetTable, OffsetTable]:
-    """The encoder, the tokens' texts and the ids' decimals: fixed by the vocabulary, one at a time in a worker."""
-    key = sha256_hex(spec.encode())
-    if key not in _models:
-        _models.clear()
-        bpe = WordBpe(spec)
-        _models[key] = bpe, OffsetTable(bpe.texts), OffsetTable({i: str(i) for i in bpe.texts})
-    return _models[key]
+    """The encoder, the tokens' texts and the ids' decimals. Built in each task (a third of a second), so that an idle worker holds none."""
+    bpe = WordBpe(spec)
+    return bpe, OffsetTable(bpe.texts), OffsetTable({i: str(i) for i in bpe.texts})
 
 
 def read_vocabulary(path: str) -> str:
@@ -283,7 +271,6 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str =
                 offs = np.concatenate(([0], np.cumsum([len(g) for g in got]))).astype(np.int32)
                 flat = np.concatenate(got) if got else np.zeros(0, np.int32)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(offs, pa.array(flat, pa.int32()))], names=[*keep, ids])
-        bpe.forget()
 
     return mapped(docs, run, schema)
 
@@ -329,7 +316,6 @@ def bpe_round_trip(docs: DataFrame, vocabulary: str, text: str = "text") -> Data
                     first.append(decimals.digest(ids))
                     second.append(words.digest(ids))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(n, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())], names=[*keep, *own])
-        bpe.forget()
 
     return mapped(docs, run, schema)
 

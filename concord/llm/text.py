@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
 
 import numpy as np
@@ -69,7 +71,11 @@ def mapped(df: DataFrame, run, schema) -> DataFrame:
 
     def released(batches):
         yield from run(batches)
+        gc.collect()
         pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+        if trim:
+            trim(0)
 
     return df.mapInArrow(released, schema)
 
