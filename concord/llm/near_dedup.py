@@ -225,11 +225,12 @@ def _linked(pairs: DataFrame, signed: DataFrame, most: int = 32 << 20) -> DataFr
 
 
 def _prefixes(posts: DataFrame, lists: DataFrame, others: list[str]) -> DataFrame:
-    """class, ``others``, key, shared (the class's postings in ``lists``: key, df) and at (the place among them) of each posting in the prefix."""
+    """class, ``others``, key, shared (the class's postings in ``lists``: key, df), at (the place among them) and the whole prefix, for each posting in it."""
     own = posts.join(lists, "key").groupBy("class", *others).agg(F.sort_array(F.collect_set(F.struct("df", "key"))).alias("own"))
     shared = F.size("own")
-    own = own.where(shared >= MATCHES).select("class", *others, shared.alias("shared"), F.posexplode(F.slice("own", 1, shared - MATCHES + 1)).alias("at", "post"))
-    return own.select("class", *others, "shared", "at", F.col("post.key").alias("key"))
+    first = F.transform(F.slice("own", 1, shared - MATCHES + 1), lambda p: p["key"])
+    own = own.where(shared >= MATCHES).select("class", *others, shared.alias("shared"), first.alias("prefix"))
+    return own.select("class", *others, "shared", "prefix", F.posexplode("prefix").alias("at", "key"))
 
 
 def _shingle_rows(signed: DataFrame) -> DataFrame:
@@ -271,12 +272,14 @@ def _rest_of_pairs(members: DataFrame, signed: DataFrame) -> tuple[DataFrame, li
     posts = stored(_prefixes(posts, lists, ["component", "n", "reach"]), "prefixes")
     main = posts.groupBy("key", "component").agg(F.count("*").alias("m")).groupBy("key").agg(F.max_by("component", "m").alias("main"), F.count("*").alias("several")).where("several > 1")
     rest = posts.join(main, "key").where("component <> main")
-    other = posts.select("key", F.col("class").alias("other"), F.col("component").alias("other_component"), F.col("shared").alias("other_shared"), F.col("at").alias("other_at"), F.col("n").alias("other_n"), F.col("reach").alias("other_reach"))
+    other = posts.select("key", F.col("class").alias("other"), F.col("component").alias("other_component"), F.col("shared").alias("other_shared"), F.col("at").alias("other_at"), F.col("n").alias("other_n"), F.col("reach").alias("other_reach"), F.col("prefix").alias("other_prefix"))
     near = "component <> other_component and (other_component = main or class < other)"
     room = f"least(shared - at, other_shared - other_at) >= {MATCHES}"
     # The intersection is no larger than what either set has in common with other components at all.
     full = f"{100 + SIMILARITY} * least(reach, other_reach) >= {SIMILARITY} * (n + other_n)"
-    return rest.join(other, "key").where(f"{near} and {room} and {full}").select("class", "other"), [reach, posts]
+    # Prefixes are in one order, so a pair comes out once, at the first value that both have.
+    once = F.element_at(F.array_intersect("prefix", "other_prefix"), 1) == F.col("key")
+    return rest.join(other, "key").where(F.expr(f"{near} and {room} and {full}") & once).select("class", "other"), [reach, posts]
 
 
 def _with_component(rows: DataFrame, components: DataFrame | None, on: str = "class") -> DataFrame:
