@@ -11,14 +11,12 @@ smallest of the set under as many hash functions; a class is posted under each (
   with at least MATCHES values shared by others are merged, and never in the lists of their most
   frequent values.
 * Merge without all pairs: in two rounds each prefix list pairs its members with one of them, first
-  the one with most shared values, then any; what is confirmed joins components.  Then the lists that
-  still hold several components are merged once more, across components only: the frequencies are
-  those in these lists, so prefixes are shorter, and a pair must have room for MATCHES collisions behind
-  the places where it meets.  Classes are skipped that have too few shingles in common with all other
-  components together, and pairs whose intersection can't be large enough by that count (exact counts on
-  the full sets; without them near copies just below the limit make candidates with the square of their
-  number).  Pairs inside a component can't change the result, so large groups of
-  copies cost as many pairs as members.
+  the one with most shared values, then any; what is confirmed joins components.  Classes in lists that
+  still hold several components are compared once more, across components only.  There the lists of
+  coordinates can't tell near copies just below the limit from those above it, and would pair them with
+  the square of their number; exact prefix and position filters on the full sets choose the candidates.
+  Pairs inside a component can't change the result, so large groups of copies cost as many pairs as
+  members.
 * Count: all collisions of a candidate pair are counted, also those in the long lists that the merge
   skipped, as the size of the intersection of both sides' postings.  Pairs with MATCHES or more stay
   (a pair at the limit of 0.75 has fewer with a chance of 1e-8), and then their full sets decide:
@@ -225,12 +223,11 @@ def _linked(pairs: DataFrame, signed: DataFrame, most: int = 32 << 20) -> DataFr
 
 
 def _prefixes(posts: DataFrame, lists: DataFrame, others: list[str]) -> DataFrame:
-    """class, ``others``, key, shared (the class's postings in ``lists``: key, df), at (the place among them) and the whole prefix, for each posting in it."""
+    """class, ``others``, key, shared (the class's postings in ``lists``: key, df) and at (the place among them) of each posting in the prefix."""
     own = posts.join(lists, "key").groupBy("class", *others).agg(F.sort_array(F.collect_set(F.struct("df", "key"))).alias("own"))
     shared = F.size("own")
-    first = F.transform(F.slice("own", 1, shared - MATCHES + 1), lambda p: p["key"])
-    own = own.where(shared >= MATCHES).select("class", *others, shared.alias("shared"), first.alias("prefix"))
-    return own.select("class", *others, "shared", "prefix", F.posexplode("prefix").alias("at", "key"))
+    own = own.where(shared >= MATCHES).select("class", *others, shared.alias("shared"), F.posexplode(F.slice("own", 1, shared - MATCHES + 1)).alias("at", "post"))
+    return own.select("class", *others, "shared", "at", F.col("post.key").alias("key"))
 
 
 def _shingle_rows(signed: DataFrame) -> DataFrame:
@@ -250,36 +247,28 @@ def _shingle_rows(signed: DataFrame) -> DataFrame:
     return mapped(signed.select("class", "component", "text"), run, "class binary, component binary, n int, shingle long")
 
 
-def _reach(members: DataFrame, signed: DataFrame) -> DataFrame:
-    """class, n and reach, of classes that may be linked with another component: as many shingles of theirs are in others."""
-    rows = _shingle_rows(signed.join(members, "class"))
-    h = F.xxhash64("component")
-    several = rows.groupBy("shingle").agg(F.min(h).alias("lo"), F.max(h).alias("hi")).where("lo < hi").select("shingle")
-    reach = rows.join(several, "shingle", "left_semi").groupBy("class").agg(F.max("n").alias("n"), F.count("*").cast("int").alias("reach"))
-    return reach.where(f"100 * reach >= {SIMILARITY} * n")
-
+def _rest_of_pairs(members: DataFrame, signed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs of different components, among classes that are still near others, that may be similar enough; none is missed.
 
-def _rest_of_pairs(members: DataFrame, signed: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
-    """Candidates of different components, among classes in lists that hold several; none is missed.
-
-    Only such lists count here: a pair across components that collides in MATCHES coordinates does so in
-    them.  Also gives the stored tables that the pairs are read from.
+    Prefix and position filter on the full sets: with the shingles of every class in order of their
+    frequency here, two similar sets share one of each side's first n - ceil(0.75 n) + 1, and the
+    places of the first one shared leave room for the overlap that the limit asks for.  Also gives
+    the stored table that the pairs are read from.
     """
-    reach = stored(_reach(members, signed), "reach")
-    posts = signed.select("class", F.explode("keys").alias("key")).join(members, "class").join(reach, "class")
-    h = F.xxhash64("component")
-    lists = posts.groupBy("key").agg(F.count("*").alias("df"), F.min(h).alias("lo"), F.max(h).alias("hi")).where("lo < hi").select("key", "df")
-    posts = stored(_prefixes(posts, lists, ["component", "n", "reach"]), "prefixes")
-    main = posts.groupBy("key", "component").agg(F.count("*").alias("m")).groupBy("key").agg(F.max_by("component", "m").alias("main"), F.count("*").alias("several")).where("several > 1")
-    rest = posts.join(main, "key").where("component <> main")
-    other = posts.select("key", F.col("class").alias("other"), F.col("component").alias("other_component"), F.col("shared").alias("other_shared"), F.col("at").alias("other_at"), F.col("n").alias("other_n"), F.col("reach").alias("other_reach"), F.col("prefix").alias("other_prefix"))
-    near = "component <> other_component and (other_component = main or class < other)"
-    room = f"least(shared - at, other_shared - other_at) >= {MATCHES}"
-    # The intersection is no larger than what either set has in common with other components at all.
-    full = f"{100 + SIMILARITY} * least(reach, other_reach) >= {SIMILARITY} * (n + other_n)"
-    # Prefixes are in one order, so a pair comes out once, at the first value that both have.
-    once = F.element_at(F.array_intersect("prefix", "other_prefix"), 1) == F.col("key")
-    return rest.join(other, "key").where(F.expr(f"{near} and {room} and {full}") & once).select("class", "other"), [reach, posts]
+    rows = _shingle_rows(signed.join(members, "class"))
+    frequent = rows.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    own = rows.join(frequent, "shingle").groupBy("class", "component", "n").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("own"))
+    # Shingles that are in no other class come first in the order; places count them.
+    unique = F.col("n") - F.size("own")
+    reach = F.expr(f"n - (({SIMILARITY} * n + 99) div 100) + 1").cast("int") - unique
+    own = own.where(reach > 0).select("class", "component", "n", unique.alias("unique"), F.posexplode(F.slice("own", 1, reach)).alias("at", "post"))
+    posts = stored(own.select("class", "component", "n", (F.col("unique") + F.col("at")).alias("at"), F.col("post.shingle").alias("shingle")), "shingles")
+    main = posts.groupBy("shingle", "component").agg(F.count("*").alias("m")).groupBy("shingle").agg(F.max_by("component", "m").alias("main"), F.count("*").alias("several")).where("several > 1")
+    rest = posts.join(main, "shingle").where("component <> main")
+    other = posts.select("shingle", F.col("class").alias("other"), F.col("component").alias("other_component"), F.col("n").alias("m"), F.col("at").alias("other_at"))
+    near = f"component <> other_component and (other_component = main or class < other) and 100 * least(n, m) >= {SIMILARITY} * greatest(n, m)"
+    room = f"{100 + SIMILARITY} * least(n - at, m - other_at) >= {SIMILARITY} * (n + m)"
+    return rest.join(other, "shingle").where(f"{near} and {room}").select("class", "other"), posts
 
 
 def _with_component(rows: DataFrame, components: DataFrame | None, on: str = "class") -> DataFrame:
@@ -318,7 +307,7 @@ def links(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[
             pairs = members.join(centre, "key").where("component <> centre.component").select("class", F.col("centre.class").alias("other"))
         else:
             pairs, read = _rest_of_pairs(members.select("class", "component").distinct(), signed)
-            done += read
+            done.append(read)
         pairs = pairs.select(F.least("class", "other").alias("a"), F.greatest("class", "other").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
