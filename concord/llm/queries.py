@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import bpe, chunk_dedup, decontaminate, kd_shards, near_dedup, quality, suffix_dedup, token_count, toxicity, url_filter
+from . import bpe, chunk_dedup, decontaminate, fill_middle, filter_audit, kd_shards, near_dedup, quality, suffix_dedup, token_count, toxicity, url_filter
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -66,8 +66,19 @@ def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(docs, token_count.default_model(spark))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    failed = filter_audit.failures(_read(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    return filter_audit.audit(failed, _read(spark, sf_dir, "labels"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_middle.fill_in_middle(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    again = fill_middle.restored(F.col("fim"), F.col("form"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("fim", 256).alias("output_sha256"), F.sha2(again, 256).alias("restored_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_bpe, op2_near_dedup, op3_url_filter, op4_kd_shards, op5_decontaminate, op6_suffix_dedup, op7_chunk_dedup, op8_quality, op9_toxicity, op10_token_count)
+    found = (op1_bpe, op2_near_dedup, op3_url_filter, op4_kd_shards, op5_decontaminate, op6_suffix_dedup, op7_chunk_dedup, op8_quality, op9_toxicity, op10_token_count, op11_filter_audit, op12_fill_in_middle)
     return {f.__name__: f for f in found}
 
 
@@ -87,6 +98,61 @@ FROM parts LEFT JOIN hits ON parts.host = hits.host AND parts.path = hits.path
 """
 
 
+OP11_SQL = """
+WITH cut AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents),
+flags AS (
+  SELECT doc_id, part,
+         CASE WHEN len(words) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+  FROM cut),
+known AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+marked AS (SELECT part, fails, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic FROM flags LEFT JOIN known USING (doc_id)),
+letters(f) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (SELECT filter_order, CAST(s AS INT) AS step, filter_order[s] AS f, filter_order[1:s - 1] AS before FROM orders, range(1, 6) r(s)),
+judged AS (
+  SELECT part, filter_order, step, f, good, toxic, length(fails) AS k,
+         contains(fails, f) AS here, before <> '' AND regexp_matches(fails, '[' || before || '_]') AS earlier
+  FROM marked, steps),
+counted AS (
+  SELECT part, filter_order, step, f,
+         count(*) FILTER (NOT here AND NOT earlier) AS kept, count(*) FILTER (here AND NOT earlier) AS removed,
+         count(*) FILTER (here AND earlier) AS redundant, count(*) FILTER (here AND k = 1) AS unique_fails,
+         count(*) FILTER (here AND NOT earlier AND good = 1) AS good_lost, count(*) FILTER (here AND NOT earlier AND toxic = 1) AS toxic_lost
+  FROM judged GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counted
+"""
+
+OP12_SQL = """
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+hashed AS (
+  SELECT doc_id, t, units, CAST(len(units) AS BIGINT) AS n,
+         CAST('0x' || h[1:8] AS BIGINT) % (len(units) + 1) AS c1, CAST('0x' || h[9:16] AS BIGINT) % (len(units) + 1) AS c2,
+         CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4
+  FROM cut),
+parts AS (
+  SELECT doc_id, t, n, array_to_string(units[1:least(c1, c2)], '') AS p, array_to_string(units[least(c1, c2) + 1:greatest(c1, c2)], '') AS m,
+         array_to_string(units[greatest(c1, c2) + 1:], '') AS s,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM hashed)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL where it can express the operator in sensible time; tests/llm compares the others with brute force."""
-    return {"op3_url_filter": OP3_SQL}
+    return {"op3_url_filter": OP3_SQL, "op11_filter_audit": OP11_SQL, "op12_fill_in_middle": OP12_SQL}
