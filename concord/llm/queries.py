@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import bpe, chunk_dedup, decontaminate, fill_middle, filter_audit, kd_shards, near_dedup, quality, suffix_dedup, token_count, toxicity, url_filter
+from . import bpe, chat_format, chunk_dedup, decontaminate, fill_middle, filter_audit, kd_shards, near_dedup, quality, suffix_dedup, token_count, toxicity, url_filter
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -77,8 +77,15 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("fim", 256).alias("output_sha256"), F.sha2(again, 256).alias("restored_sha256"))
 
 
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    turns = F.array(*[F.struct(F.lit(-1).cast("long").alias("conv_id"), F.lit(i).cast("long").alias("turn"), F.lit(r).alias("role"), F.lit(said).alias("text")) for i, r in enumerate(("user", "assistant"))])
+    conversations = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(spark.range(1).select(F.inline(turns)))
+    return chat_format.digests(chat_format.format_chat(conversations))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_bpe, op2_near_dedup, op3_url_filter, op4_kd_shards, op5_decontaminate, op6_suffix_dedup, op7_chunk_dedup, op8_quality, op9_toxicity, op10_token_count, op11_filter_audit, op12_fill_in_middle)
+    found = (op1_bpe, op2_near_dedup, op3_url_filter, op4_kd_shards, op5_decontaminate, op6_suffix_dedup, op7_chunk_dedup, op8_quality, op9_toxicity, op10_token_count, op11_filter_audit, op12_fill_in_middle, op13_chat_format)
     return {f.__name__: f for f in found}
 
 
@@ -152,7 +159,42 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_c
 FROM parts
 """
 
+#: The windows' law again: turns on a line of tokens, cut by a grid; lengths with the escaped texts.
+OP13_SQL = """
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+costed AS (
+  SELECT *, 8 + len(regexp_extract_all(t, '[\\p{L}\\p{M}]+|\\p{N}|[^\\p{L}\\p{M}\\p{N}\\x20\\x09-\\x0D]')) AS cost,
+         20 + length(role) + len(regexp_extract_all(role, '[<\\[]\\\\*/?(?:s>|INST\\])')) + length(t) + len(regexp_extract_all(t, '[<\\[]\\\\*/?(?:s>|INST\\])')) AS chars
+  FROM said),
+ranked AS (
+  SELECT *, row_number() OVER line AS rank, sum(cost) OVER line - cost AS upto
+  FROM costed WINDOW line AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, t ROWS UNBOUNDED PRECEDING)),
+sized AS (
+  SELECT *, rank = 1 AND role = 'system' AS is_head,
+         coalesce(max(cost) FILTER (rank = 1 AND role = 'system') OVER whole, 0) AS head,
+         coalesce(max(cost) FILTER (NOT (rank = 1 AND role = 'system')) OVER whole, 0) AS longest,
+         max(upto) OVER whole AS before_last
+  FROM ranked WINDOW whole AS (PARTITION BY conv_id)),
+gridded AS (SELECT *, greatest(1024 - 128 - head - longest, 256) AS grid FROM sized),
+spans AS (
+  SELECT *, CASE WHEN is_head THEN 0 ELSE (upto - head) // grid END AS f,
+         CASE WHEN is_head THEN greatest(before_last - head, 0) // grid ELSE (upto - head + 128) // grid END AS l
+  FROM gridded),
+shown AS (SELECT conv_id, f, chars, unnest(range(CAST(f AS BIGINT), CAST(l AS BIGINT) + 1)) AS w FROM spans),
+sizes AS (
+  SELECT conv_id, CAST(sum(chars) AS BIGINT) AS formatted_chars
+  FROM (SELECT conv_id, w, sum(chars) AS chars FROM shown GROUP BY conv_id, w HAVING bool_or(f = w)) GROUP BY conv_id),
+whole AS (
+  SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY rank)) AS turns_sha256,
+         coalesce(string_agg(t, '' ORDER BY rank) FILTER (role = 'assistant'), '') AS loss
+  FROM ranked GROUP BY conv_id)
+SELECT whole.conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars
+FROM whole JOIN sizes ON whole.conv_id IS NOT DISTINCT FROM sizes.conv_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """SQL where it can express the operator in sensible time; tests/llm compares the others with brute force."""
-    return {"op3_url_filter": OP3_SQL, "op11_filter_audit": OP11_SQL, "op12_fill_in_middle": OP12_SQL}
+    return {"op3_url_filter": OP3_SQL, "op11_filter_audit": OP11_SQL, "op12_fill_in_middle": OP12_SQL, "op13_chat_format": OP13_SQL}
