@@ -405,10 +405,10 @@ def brute_chain(texts, ys, fold, scored):
         x = np.column_stack([x, extra, np.ones(len(y))])
         w = ahead = last = np.zeros(x.shape[1])
         weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y <= 0).sum()))
-        rate = 4 / (1 + x[:, : x.shape[1] - extra.shape[1] - 1].sum(axis=1).mean())
-        for t in range(1, 301):
+        rate = 1 / ((weight @ (x**2).sum(axis=1)) / 4 + 1e-2 / len(y))
+        for t in range(1, 601):
             grad = x.T @ ((1 / (1 + np.exp(-np.clip(x @ ahead, -30, 30))) - y) * weight) + 1e-3 * np.append(ahead[:-1], 0) / len(y) * 10
-            w = ahead - rate * 4 * grad
+            w = ahead - rate * grad
             ahead = w + (t - 1) / (t + 2) * (w - last)
             last = w
         return w
@@ -444,6 +444,19 @@ def test_toxicity_against_a_plain_chain(spark):
     assert np.abs(np.array([got[d] for d in texts]) - want).max() < 1e-6
 
 
+def test_toxicity_does_not_depend_on_row_order():
+    """The same rows in another order: the same weights but for the last bits, whatever number of features a row has."""
+    rng = np.random.default_rng(5)
+    for n_features, most in ((1, 1), (40, 12), (300, 200)):
+        x = [np.sort(rng.choice(n_features, rng.integers(0, min(most, n_features) + 1), replace=False)).astype(np.int32) for _ in range(400)]
+        y = np.array([float(len(r) > most / 2) if rng.random() < 0.9 else 1.0 for r in x])
+        extra = rng.random((400, 1))
+        w = toxicity.logistic(x, extra, y, n_features)
+        p = rng.permutation(400)
+        again = toxicity.logistic([x[i] for i in p], extra[p], y[p], n_features, block=50)
+        assert np.abs(toxicity.predict(w, x, extra, n_features) - toxicity.predict(again, x, extra, n_features)).max() < 1e-9
+
+
 def test_toxicity_odd_rows(spark):
     docs = spark.createDataFrame([(1, "an idiot"), (2, "a friend"), (None, None), (3, ""), (1, "an idiot")], "doc_id long, text string").withColumn("p_toxic", F.lit(1))
     labels = spark.createDataFrame([(1, 1, 1), (2, 1, 0), (None, 0, 1), (3, None, 0)], "doc_id long, quality int, toxic int")
