@@ -2,7 +2,7 @@
 
 Rings are closed (first point = last point); the first ring of a part is its shell.  What looks at single
 points is one Catalyst expression; what compares edges with edges (validity, overlaps, unions) is an
-Arrow function in numpy over whole batches, in ``shapes``.
+Arrow function in numpy over whole batches, in ``shapes``; repair and outlines walk the faces of a graph, in ``planar``.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import shapes
+from . import planar, shapes
 
 POINT = "struct<x:double,y:double>"
 RING = f"array<{POINT}>"
@@ -230,104 +230,26 @@ def reproject(geom: Column, source: int, target: int) -> Column:
     return F.transform(geom, lambda rings: F.transform(rings, lambda r: F.transform(F.transform(r, into), out)))
 
 
-# --- Repair and simplification: Arrow functions over small helpers.
+# --- Repair, dissolved outlines and simplification: Arrow functions.
 
 
-def _area(ring: list[tuple[float, float]]) -> float:
-    return sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:])) / 2
+def _arrays(geom) -> planar.Rings:
+    return [[np.array([(p["x"], p["y"]) for p in ring], float).reshape(-1, 2) for ring in part] for part in geom or []]
 
 
-def _crossing(a, b, c, d):
-    """Where open segments ab and cd cross, else None."""
-    den = (b[0] - a[0]) * (d[1] - c[1]) - (b[1] - a[1]) * (d[0] - c[0])
-    if den == 0:
-        return None
-    t = ((c[0] - a[0]) * (d[1] - c[1]) - (c[1] - a[1]) * (d[0] - c[0])) / den
-    u = ((c[0] - a[0]) * (b[1] - a[1]) - (c[1] - a[1]) * (b[0] - a[0])) / den
-    return (a[0] + t * (b[0] - a[0]), a[1] + t * (b[1] - a[1])) if 0 < t < 1 and 0 < u < 1 else None
-
-
-def _without_spikes(pts: list[tuple[float, float]]) -> list[tuple[float, float]]:
-    """An open ring without repeated points and without tips at which it turns back on itself."""
-    out = list(pts)
-    i = 0
-    while len(out) > 2 and i < len(out):
-        a, b, c = out[i - 1], out[i], out[(i + 1) % len(out)]
-        cross = (b[0] - a[0]) * (c[1] - b[1]) - (b[1] - a[1]) * (c[0] - b[0])
-        back = (b[0] - a[0]) * (c[0] - b[0]) + (b[1] - a[1]) * (c[1] - b[1])
-        if a == b or (cross == 0 and back < 0):
-            out.pop(i)
-            i = max(i - 2, 0)
-        else:
-            i += 1
-    return out
-
-
-def repaired_ring(ring: list[tuple[float, float]], most: int = 64) -> list[list[tuple[float, float]]]:
-    """The rings that a ring makes: closed, without repeated points and spikes, split wherever it crosses itself.
-
-    Splitting stops after ``most`` crossings; what is left then, like loops that overlap, fails the test of validity.
-    """
-    if any(not (math.isfinite(x) and math.isfinite(y)) for x, y in ring):
-        return []
-    done, todo = [], [ring[:-1] if len(ring) > 1 and ring[0] == ring[-1] else list(ring)]
-    while todo:
-        pts = _without_spikes(todo.pop())
-        n = len(pts)
-        if n < 3:
-            continue
-        found = next(((i, j, x) for i in range(n) for j in range(i + 2, n) if (x := _crossing(pts[i], pts[(i + 1) % n], pts[j], pts[(j + 1) % n]))), None) if most else None
-        if found:
-            i, j, x = found
-            todo += [[x, *pts[j + 1 :], *pts[: i + 1]], [x, *pts[i + 1 : j + 1]]]
-            most -= 1
-        else:
-            done.append([*pts, pts[0]])
-    return [r for r in done if _area(r) != 0]
+def _points(polygons: planar.Rings) -> list | None:
+    return [[[{"x": x, "y": y} for x, y in ring.tolist()] for ring in rings] for rings in polygons] or None
 
 
 def repaired_geometry(geom) -> list | None:
-    """None for a geometry of which nothing can be kept."""
-    out = []
-    for part in geom if geom is not None else []:
-        rings = [repaired_ring([(p["x"], p["y"]) for p in r]) for r in part]
-        if not rings or not rings[0]:
-            continue
-        if len(rings[0]) == 1:  # a sound shell keeps its sound holes
-            out.append([rings[0][0], *(h[0] for h in rings[1:] if len(h) == 1)])
-        else:
-            out += [[r] for r in rings[0]]
-    turned = [[r if (_area(r) > 0) == (i == 0) else r[::-1] for i, r in enumerate(part)] for part in out]
-    return [[[{"x": x, "y": y} for x, y in r] for r in part] for part in turned] or None
-
-
-def simplified_ring(ring: list[tuple[float, float]], tolerance: float) -> list[tuple[float, float]]:
-    """Douglas-Peucker between the first point and the one farthest from it; never below 4 points."""
-    if len(ring) <= 4:
-        return ring
-
-    def far(a, b, p):
-        dx, dy = b[0] - a[0], b[1] - a[1]
-        size = math.hypot(dx, dy)
-        return math.hypot(p[0] - a[0], p[1] - a[1]) if size == 0 else abs(dx * (a[1] - p[1]) - (a[0] - p[0]) * dy) / size
-
-    keep = {0, len(ring) - 1, max(range(len(ring)), key=lambda i: math.dist(ring[0], ring[i]))}
-    todo = list(zip(sorted(keep), sorted(keep)[1:]))
-    while todo:
-        i, j = todo.pop()
-        if j - i > 1:
-            k = max(range(i + 1, j), key=lambda k: far(ring[i], ring[j], ring[k]))
-            if far(ring[i], ring[j], ring[k]) > tolerance:
-                keep.add(k)
-                todo += [(i, k), (k, j)]
-    out = [ring[i] for i in sorted(keep)]
-    return out if len(out) >= 4 and _area(out) != 0 else ring
+    """What the rings of a geometry go round, as valid polygons (see planar.repaired); None if that is nothing."""
+    return _points(planar.repaired(_arrays(geom)))
 
 
 def repair(df: DataFrame, geom: str = "geom") -> DataFrame:
-    """Adds geometry_repaired and repairs what is not valid; what isn't valid after that either stays as it was.
+    """Adds geometry_repaired and repairs what is not valid; a shape of which nothing is left stays as it was.
 
-    Validity is tested for a batch at once; only invalid shapes are taken apart one by one.
+    Validity is tested for a batch at once; only invalid shapes are taken apart, each by itself.
     """
     schema = T.StructType([*(f for f in df.schema.fields if f.name != "geometry_repaired"), T.StructField("geometry_repaired", T.BooleanType(), False)])
     df = df.select(*[F.col(f"`{f.name}`") for f in schema.fields[:-1]])
@@ -349,18 +271,55 @@ def repair(df: DataFrame, geom: str = "geom") -> DataFrame:
 
 
 def simplify(df: DataFrame, geom: str = "geom", tolerance: float = 1e-5) -> DataFrame:
-    """Rings with fewer points; a valid shape that wouldn't be valid without them keeps all of its own."""
+    """Rings with fewer points, none of those left out farther than ``tolerance`` from the line; valid shapes stay valid (see shapes.simplified)."""
     at = df.columns.index(geom)
     names = df.columns
 
     def run(batches):
         for batch in batches:
-            shape = batch.column(at)
-            new = [None if g is None else [[[{"x": x, "y": y} for x, y in simplified_ring([(p["x"], p["y"]) for p in r], tolerance)] for r in part] for part in g] for g in shape.to_pylist()]
-            new = pa.array(new, shape.type)
-            spoilt = np.array([before is True and after is False for before, after in zip(shapes.valid(shape), shapes.valid(new))], bool)
             columns = list(batch.columns)
-            columns[at] = pa.concat_arrays([new, shape]).take(pa.array(np.arange(len(shape)) + spoilt * len(shape)))
+            columns[at] = shapes.simplified(columns[at], tolerance)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return df.mapInArrow(run, df.schema)
+
+
+def outline_edges(geom: Column) -> Column:
+    """Directed edges of all rings with what they bound on their left (shells counter-clockwise, holes clockwise), as a, b (a before b) and weight (1, or -1 if the edge runs from b to a)."""
+
+    def one(e: Column, turn: Column) -> Column:
+        a, b = F.struct(e.x1.alias("x"), e.y1.alias("y")), F.struct(e.x2.alias("x"), e.y2.alias("y"))
+        return F.struct(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), (turn * F.when(a <= b, 1).otherwise(-1)).cast("int").alias("weight"))
+
+    def ring(r: Column, i: Column) -> Column:
+        turn = F.when(i == 0, 1).otherwise(-1) * F.signum(signed_area(r))
+        return F.transform(ring_edges(r), lambda e: one(e, turn))
+
+    return F.flatten(F.flatten(F.transform(geom, lambda rings: F.transform(F.filter(rings, lambda r: F.size(r) > 3), ring))))
+
+
+def dissolve(df: DataFrame, keys: list[str], geom: str = "geom") -> DataFrame:
+    """``keys`` and ``geom``: for each key the outline of what its (valid) shapes cover together, as valid polygons.
+
+    Edges are summed by key and ends before they meet, so borders that two shapes share cancel wherever they are;
+    what is left of a key, no more than its outline where shapes just touch, is cut and put together by one task.  A key without a shape
+    that covers anything has no row.
+    """
+    rows = df.select(*keys, F.explode(outline_edges(F.col(geom))).alias("e")).select(*keys, "e.*")
+    left = rows.groupBy(*keys, "a", "b").agg(F.sum("weight").alias("weight")).where("weight <> 0 and a <> b")
+    left = left.select(*keys, *[F.col(f"{p}.{c}").alias(f"_{p}{c}") for p in "ab" for c in "xy"], "weight")
+    schema = T.StructType([*(df.schema[k] for k in keys), T.StructField(geom, T._parse_datatype_string(GEOMETRY))])
+    kind = pa.list_(pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))))
+
+    def run(table: pa.Table) -> pa.Table:
+        edges = np.column_stack([table.column(f"_{p}{c}").to_numpy() for p in "ab" for c in "xy"])
+        found = _points(planar.region(edges, table.column("weight").to_numpy(), lambda w: w[:, 0] > 0))
+        one = [table.column(k).combine_chunks().slice(0, 1) for k in keys]
+        return pa.Table.from_arrays([*one, pa.array([found], kind)], names=[f.name for f in schema.fields])
+
+    return left.groupBy(*keys).applyInArrow(run, schema).where(F.col(geom).isNotNull())
+
+
+def perimeter(geom: Column) -> Column:
+    """Length of all rings."""
+    return F.aggregate(edges(geom), F.lit(0.0), lambda s, e: s + F.hypot(e.x2 - e.x1, e.y2 - e.y1))

@@ -2,6 +2,7 @@
 
 All shapes of a batch are taken at once: pairs of edges are listed in blocks of at most ``BLOCK``,
 whatever the number of edges of one shape, so memory stays bounded and there is no loop over shapes.
+Edges of large shapes are swept in the order of one coordinate, each beside those alone that begin before it ends.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ import pyarrow as pa
 
 #: Pairs of edges looked at together.
 BLOCK = 1 << 20
+#: Shapes of so many edges are not worth sorting.
+FEW = 24
 
 
 # The byte order and type numbers of well-known binary.
@@ -107,6 +110,46 @@ def _blocks(first: np.ndarray, low: np.ndarray, high: np.ndarray):
         at = stop
 
 
+def _sweep(group: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The edges by group and where they begin; and for each in this order the place behind the last that begins before it ends."""
+    n = len(low)
+    order = np.lexsort((np.repeat((0, 1), n), np.concatenate((low, high)), np.concatenate((group, group))))
+    begins = order < n
+    stop = np.empty(n, np.int64)
+    stop[order[~begins] - n] = np.cumsum(begins)[~begins]
+    order = order[begins]
+    return order, stop[order]
+
+
+def near_pairs(group: np.ndarray, x1: np.ndarray, y1: np.ndarray, x2: np.ndarray, y2: np.ndarray):
+    """Blocks of pairs (i, j), i < j, of edges of one group whose boxes meet; edges come group by group.
+
+    A group is swept along the coordinate that leaves fewer pairs.
+    """
+    low, high = (np.minimum(x1, x2), np.minimum(y1, y2)), (np.maximum(x1, x2), np.maximum(y1, y2))
+    size = np.bincount(group, minlength=1) if len(group) else np.zeros(1, np.int64)
+
+    def boxes_meet(i, j):
+        near = np.flatnonzero((low[0][i] <= high[0][j]) & (low[0][j] <= high[0][i]) & (low[1][i] <= high[1][j]) & (low[1][j] <= high[1][i]))
+        return np.minimum(i[near], j[near]), np.maximum(i[near], j[near])
+
+    few = np.flatnonzero(size[group] <= FEW)
+    for i, j, _ in _blocks(few, few + 1, np.searchsorted(group, group[few], side="right")):
+        yield boxes_meet(i, j)
+    many = np.flatnonzero(size[group] > FEW)
+    if not len(many):
+        return
+    of = group[many]
+    pairs = []
+    for a, b in zip(low, high):
+        order, stop = _sweep(of, a[many], b[many])
+        pairs.append(np.bincount(of[order], stop - np.arange(len(many)), len(size)))
+    along_x = (pairs[0] <= pairs[1])[of]
+    order, stop = _sweep(of, *(np.where(along_x, b[0][many], b[1][many]) for b in (low, high)))
+    for i, j, _ in _blocks(np.arange(len(many)), np.arange(len(many)) + 1, stop):
+        yield boxes_meet(many[order[i]], many[order[j]])
+
+
 def overlap_areas(left: pa.Array, right: pa.Array) -> np.ndarray:
     """Area common to each pair of geometries of simple rings.
 
@@ -145,7 +188,13 @@ def overlap_areas(left: pa.Array, right: pa.Array) -> np.ndarray:
 
 def valid(geoms: pa.Array) -> list[bool | None]:
     """Validity of each geometry, as ``geometry.is_valid`` states it."""
+    return judged(geoms)[0]
+
+
+def judged(geoms: pa.Array) -> tuple[list[bool | None], np.ndarray]:
+    """Validity of each geometry, and a mask of the edges (in the order of ``edges_of``) that meet another as they may not."""
     e = edges_of(geoms)
+    crossed = np.zeros(len(e.x1), bool)
     n, n_rings = len(geoms), len(e.part)
     geom_of_ring = e.geom_of_part[e.part] if n_rings else np.zeros(0, np.int64)
     bad = np.bincount(geom_of_ring, minlength=n) == 0  # empty
@@ -153,8 +202,8 @@ def valid(geoms: pa.Array) -> list[bool | None]:
     # Edges of sound rings that have a length.
     with np.errstate(invalid="ignore"):
         keep = e.whole[e.ring] & ((e.x1 != e.x2) | (e.y1 != e.y2))
+    numbers = np.flatnonzero(keep)
     x1, y1, x2, y2, ring, geom = (v[keep] for v in (e.x1, e.y1, e.x2, e.y2, e.ring, e.geom))
-    end = np.searchsorted(geom, geom, side="right")
     ring_first, ring_last = np.searchsorted(ring, ring), np.searchsorted(ring, ring, side="right") - 1
 
     def side(i, x, y):
@@ -163,9 +212,7 @@ def valid(geoms: pa.Array) -> list[bool | None]:
     def within(i, x, y):
         return (np.minimum(x1[i], x2[i]) <= x) & (x <= np.maximum(x1[i], x2[i])) & (np.minimum(y1[i], y2[i]) <= y) & (y <= np.maximum(y1[i], y2[i]))
 
-    for i, j, _ in _blocks(np.arange(len(geom)), np.arange(len(geom)) + 1, end):
-        near = np.flatnonzero((np.minimum(x1[i], x2[i]) <= np.maximum(x1[j], x2[j])) & (np.minimum(x1[j], x2[j]) <= np.maximum(x1[i], x2[i])) & (np.minimum(y1[i], y2[i]) <= np.maximum(y1[j], y2[j])) & (np.minimum(y1[j], y2[j]) <= np.maximum(y1[i], y2[i])))
-        i, j = i[near], j[near]
+    for i, j in near_pairs(geom, x1, y1, x2, y2):
         s = [side(j, x1[i], y1[i]), side(j, x2[i], y2[i]), side(i, x1[j], y1[j]), side(i, x2[j], y2[j])]
         proper = (s[0] * s[1] < 0) & (s[2] * s[3] < 0)
         touch = proper | ((s[0] == 0) & within(j, x1[i], y1[i])) | ((s[1] == 0) & within(j, x2[i], y2[i])) | ((s[2] == 0) & within(i, x1[j], y1[j])) | ((s[3] == 0) & within(i, x2[j], y2[j]))
@@ -176,10 +223,92 @@ def valid(geoms: pa.Array) -> list[bool | None]:
         beside = same & ((j == i + 1) | ((i == ring_first[i]) & (j == ring_last[j])))
         wrong = np.where(beside, along, np.where(same, touch, proper | along))
         bad[geom[i[wrong]]] = True
+        crossed[numbers[i[wrong]]] = crossed[numbers[j[wrong]]] = True
     for g in np.flatnonzero(~bad & (np.bincount(geom_of_ring, minlength=n) > 1)):
         bad[g] = not _nested(e, int(g))
     known = geoms.is_valid().to_pylist()
-    return [not b if k else None for b, k in zip(bad.tolist(), known)]
+    return [not b if k else None for b, k in zip(bad.tolist(), known)], crossed
+
+
+def simplified(geoms: pa.Array, tolerance: float) -> pa.Array:
+    """Each ring with fewer points: a line between two that stay leaves out points at most ``tolerance`` from it.
+
+    All rings are split together, each line at its farthest point, until none is too far (a round for each depth of the
+    splits).  A ring keeps four points and an area.  Where a valid shape wouldn't be valid, the lines that meet others get
+    back their farthest points, and all lines of the shape where none meet (a hole outside, say), until it is.
+    """
+    n_parts = _sizes(geoms)
+    parts = geoms.flatten()
+    n_rings = _sizes(parts)
+    rings = parts.flatten()
+    n_points = _sizes(rings)
+    points = rings.flatten()
+    if not len(points):
+        return geoms
+    x, y = (points.field(i).cast(pa.float64()).to_numpy(zero_copy_only=False).astype(float) for i in (0, 1))
+    first = (np.cumsum(n_points) - n_points)[n_points > 0]
+    size = n_points[n_points > 0]
+    ring = np.repeat(np.arange(len(size)), size)
+    geom = np.repeat(np.arange(len(n_parts)), n_parts)[np.repeat(np.arange(len(n_rings)), n_rings)][n_points > 0]
+    keep = (size <= 4)[ring]
+    keep[first] = keep[first + size - 1] = True
+    away = np.hypot(x - x[first][ring], y - y[first][ring])
+    keep[_first_of_largest(away, first)] = True
+
+    def farthest() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The kept points; the farthest point behind each (itself where there is none before the next), and how far it is."""
+        at = np.flatnonzero(keep)
+        line = np.cumsum(keep) - 1
+        a, b = at[line], at[np.minimum(line + 1, len(at) - 1)]
+        dx, dy = x[b] - x[a], y[b] - y[a]
+        length = np.hypot(dx, dy)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            far = np.where(length == 0, np.hypot(x - x[a], y - y[a]), np.abs(dx * (y - y[a]) - (x - x[a]) * dy) / length)
+        far[keep] = -1.0
+        k = _first_of_largest(far, at)
+        return at, k, far[k]
+
+    def built() -> pa.Array:
+        left = np.add.reduceat(keep, first) if len(first) else first
+        sizes = np.zeros(len(n_points), np.int64)
+        sizes[n_points > 0] = left
+        out = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), points.filter(pa.array(keep)))
+        out = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n_rings))), pa.int32()), out)
+        null = pa.array(~geoms.is_valid().to_numpy(zero_copy_only=False))
+        return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n_parts))), pa.int32()), out, mask=null).cast(geoms.type)
+
+    while True:
+        _, k, far = farthest()
+        if not (far > tolerance).any():
+            break
+        keep[k[far > tolerance]] = True
+    was = np.array([v is True for v in valid(geoms)], bool)
+    while True:
+        new = built()
+        ok, crossed = judged(new)
+        at, k, far = farthest()
+        hides = far >= 0
+        e = edges_of(new)
+        flat = np.bincount(e.ring, minlength=len(n_points))[n_points > 0] < 3
+        flat |= e.area[n_points > 0] == 0
+        spoilt = was & np.array([v is False for v in ok], bool)
+        of_line = geom[ring[at]]
+        meets = np.zeros(len(at), bool)
+        ends = np.zeros(len(x), bool)
+        ends[first + size - 1] = True
+        meets[~ends[at]] = crossed
+        named = np.bincount(of_line[meets & hides], minlength=len(n_parts)) > 0
+        again = hides & (flat[ring[at]] | (spoilt[of_line] & (meets | ~named[of_line])))
+        if not again.any():
+            return new
+        keep[k[again]] = True
+
+
+def _first_of_largest(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """For each run of values, from one start to the next, the place of its largest, the first of equal ones."""
+    run = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(values))))
+    top = np.flatnonzero(values >= np.maximum.reduceat(values, starts)[run])
+    return top[np.searchsorted(run[top], np.arange(len(starts)))]
 
 
 def _inside(e: Edges, ring: slice, x: np.ndarray, y: np.ndarray) -> bool | None:

@@ -1,10 +1,16 @@
-"""The spatial self-join: pairs of polygons of one source that overlap, on a grid.
-
-Each record is posted under the grid cells that its box touches, and records of one (source, cell)
-are joined.  A pair is kept only in the cell that holds the lower left corner of the two boxes'
-intersection, so it comes out once and no shuffle is needed to drop repeats.  Boxes that touch more
-than ``most_cells`` cells go to coarser grids, each coarser by a factor of 8; records meet across
-grids in the coarser one, so no box is posted more than a bounded number of times at its own level.
+"""The spatial self-join: pairs of polygons of one source that overlap, on a hierarchy of grids.
+
+Level k of the hierarchy has cells ``STEP`` times as wide as level k - 1.  A box lives on the finest level whose
+cells are as wide as the box, where it touches four cells at most; so space is divided finely where boxes are
+small and coarsely where they are large, whatever their mixture in one place.  Two boxes meet on the level of
+the larger one: every box is posted there on the levels above its own as well, where it touches four cells at
+most too, and only boxes at home on a level are looked for.  A pair is kept only in the cell that holds the lower
+left corner of the two boxes' intersection, so it comes out once and no shuffle is needed to drop repeats.
+
+Boxes that live in one cell are at least a quarter as wide as the cell, so a crowded cell is one whose boxes
+overlap in truth.  Its searching rows are counted (a distributed count by cell) and dealt over so many slices that
+none has more than ``SLICE``, with the boxes at home copied to each: one cell, even if it holds most of the rows,
+is the work of many tasks.
 """
 
 from __future__ import annotations
@@ -17,55 +23,62 @@ from pyspark.sql import types as T
 from ..functions import geometry as G
 from ..functions.shapes import overlap_areas
 
-STEP = 8
-
+STEP = 4
+#: Searching rows that one (cell, slice) may have.
+SLICE = 4_096
 
-def _cells(low: Column, high: Column, size: Column) -> Column:
-    return F.sequence(F.floor(low / size), F.floor(high / size))
 
-
-def choose_cell(boxes: DataFrame, box: str = "box", share: float = 0.9) -> float:
-    """A cell as wide as ``share`` of all boxes at most (approximate percentile, one number to the driver)."""
+def choose_cell(boxes: DataFrame, box: str = "box", share: float = 0.1) -> float:
+    """The finest cell: as wide as ``share`` of all boxes at most (approximate percentile, one number to the driver)."""
     width = F.greatest(F.col(f"{box}.x1") - F.col(f"{box}.x0"), F.col(f"{box}.y1") - F.col(f"{box}.y0"))
-    got = boxes.agg(F.percentile_approx(width, share, 1000).alias("w")).first()["w"]
+    got = boxes.where(width > 0).agg(F.percentile_approx(width, share, 1000).alias("w")).first()["w"]
     return float(got) if got and got > 0 else 1.0
 
 
-def candidate_pairs(df: DataFrame, key: str, source: str, cell: float, box: str = "box", most_cells: int = 16, extra: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+def posted(rows: DataFrame, key: str, source: str, cell: float, box: str = "box", most: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(searching, at home): rows by (source, at, cx, cy, slice), the first on their own level and those above, the second on their own."""
+    most = most or SLICE
+    x0, y0, x1, y1 = (F.col(f"{box}.{c}") for c in ("x0", "y0", "x1", "y1"))
+    across = F.greatest(x1 - x0, y1 - y0) / F.lit(float(cell))
+    level = F.greatest(F.lit(0), F.ceil(F.log(F.greatest(across, F.lit(1e-9))) / F.log(F.lit(float(STEP))))).cast("int")
+    rows = rows.withColumn("level", level)
+    # A handful of numbers: there are no more levels than powers of STEP between the smallest and the largest box.
+    levels = F.array(*[F.lit(r[0]) for r in rows.select("level").distinct().orderBy("level").collect()]).cast("array<int>")
+    size = F.lit(float(cell)) * F.pow(F.lit(float(STEP)), F.col("at"))
+    cells = lambda low, high: F.explode(F.sequence(F.floor(low / size), F.floor(high / size)))
+    everywhere = rows.withColumn("at", F.explode(F.filter(levels, lambda k: k >= F.col("level"))))
+    searching = everywhere.withColumn("cx", cells(x0, x1)).withColumn("cy", cells(y0, y1))
+    where = [source, "at", "cx", "cy"]
+    home = rows.withColumn("at", F.col("level")).withColumn("cx", cells(x0, x1)).withColumn("cy", cells(y0, y1))
+    crowded = searching.groupBy(*where).agg(F.count("*").alias("n")).where(F.col("n") > most).select(*where, F.ceil(F.col("n") / most).cast("int").alias("slices"))
+    slices = F.coalesce("slices", F.lit(1))
+    own = F.pmod(F.xxhash64(key), slices).cast("int")
+    searching = searching.join(crowded, where, "left").withColumn("slice", own).drop("slices")
+    home = home.join(crowded, where, "left").withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1))).drop("slices")
+    return searching, home
+
+
+def candidate_pairs(df: DataFrame, key: str, source: str, cell: float, box: str = "box", extra: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Pairs (key_a < key_b) of one source whose boxes overlap, with ``<column>_a`` and ``<column>_b`` of ``keep``.
 
-    ``extra``: a further condition on a.* and b.*, tried before anything dear.
+    ``extra``: a further condition on a.* and b.*, the same whichever of the two is a, tried before anything dear.
     """
-    x0, y0, x1, y1 = (F.col(f"{box}.{c}") for c in ("x0", "y0", "x1", "y1"))
-    rows = df.where(x0.isNotNull()).select(key, source, box, *keep)
-    # The finest grid on which the box touches few cells: level k has cells of cell * STEP ** k.
-    across = F.greatest(x1 - x0, y1 - y0) / F.lit(cell)
-    reach = F.lit(max(1.0, most_cells**0.5 - 1))
-    level = F.greatest(F.lit(0), F.ceil(F.log(F.greatest(across / reach, F.lit(1e-9))) / F.log(F.lit(float(STEP))))).cast("int")
-    rows = rows.withColumn("level", level)
-    levels = [r[0] for r in rows.select("level").distinct().orderBy("level").collect()]
-    out = None
-    for k in levels:
-        size = F.lit(cell * STEP**k)
-        # Pairs whose coarser member is of this level; finer records are posted on this grid too.
-        here = rows.where(F.col("level") <= k)
-        posted = here.withColumn("cx", F.explode(_cells(x0, x1, size))).withColumn("cy", F.explode(_cells(y0, y1, size)))
-        a, b = posted.alias("a"), posted.alias("b")
-        ax0, ay0, bx0, by0 = (F.col(f"{t}.{box}.{c}") for t in "ab" for c in ("x0", "y0"))
-        boxes = (ax0 < F.col(f"b.{box}.x1")) & (bx0 < F.col(f"a.{box}.x1")) & (ay0 < F.col(f"b.{box}.y1")) & (by0 < F.col(f"a.{box}.y1"))
-        corner = (F.floor(F.greatest(ax0, bx0) / size) == F.col("a.cx")) & (F.floor(F.greatest(ay0, by0) / size) == F.col("a.cy"))
-        same = (F.col(f"a.{source}") == F.col(f"b.{source}")) & (F.col("a.cx") == F.col("b.cx")) & (F.col("a.cy") == F.col("b.cy"))
-        condition = same & (F.col(f"a.{key}") < F.col(f"b.{key}")) & boxes & corner
-        if k:
-            condition &= F.greatest("a.level", "b.level") == k
-        if extra is not None:
-            condition &= extra
-        pairs = a.join(b, condition).select(F.col(f"a.{source}").alias(source), *[F.col(f"{t}.{c}").alias(f"{c}_{t}") for t in "ab" for c in (key, *keep)])
-        out = pairs if out is None else out.unionByName(pairs)
-    if out is None:
-        a = rows.alias("a").join(rows.alias("b"), F.lit(False))
-        out = a.select(F.col(f"a.{source}").alias(source), *[F.col(f"{t}.{c}").alias(f"{c}_{t}") for t in "ab" for c in (key, *keep)])
-    return out
+    rows = df.where(F.col(f"{box}.x0").isNotNull()).select(key, source, box, *keep)
+    searching, home = posted(rows, key, source, cell, box)
+    a, b = searching.alias("a"), home.alias("b")
+    ax0, ay0, bx0, by0 = (F.col(f"{t}.{box}.{c}") for t in "ab" for c in ("x0", "y0"))
+    boxes = (ax0 < F.col(f"b.{box}.x1")) & (bx0 < F.col(f"a.{box}.x1")) & (ay0 < F.col(f"b.{box}.y1")) & (by0 < F.col(f"a.{box}.y1"))
+    size = F.lit(float(cell)) * F.pow(F.lit(float(STEP)), F.col("a.at"))
+    corner = (F.floor(F.greatest(ax0, bx0) / size) == F.col("a.cx")) & (F.floor(F.greatest(ay0, by0) / size) == F.col("a.cy"))
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in (source, "at", "cx", "cy", "slice")]
+    # Boxes of one level find each other from both sides: the smaller key searches.
+    first = F.col(f"a.{key}") < F.col(f"b.{key}")
+    condition = same[0] & same[1] & same[2] & same[3] & same[4] & ((F.col("a.level") < F.col("b.level")) | first) & boxes & corner
+    if extra is not None:
+        condition &= extra
+    side = {"a": F.when(first, "a").otherwise("b"), "b": F.when(first, "b").otherwise("a")}
+    seen = lambda t, c: F.when(side[t] == "a", F.col(f"a.{c}")).otherwise(F.col(f"b.{c}")).alias(f"{c}_{t}")
+    return a.join(b, condition).select(F.col(f"a.{source}").alias(source), *[seen(t, c) for t in "ab" for c in (key, *keep)])
 
 
 def overlap_pairs(df: DataFrame, key: str, source: str, geom: str = "geom", parent: str | None = None, stacked: str | None = None, least_area: float = 1.0, cell: float | None = None) -> DataFrame:

@@ -267,6 +267,54 @@ FROM part
 """
 
 
+def looped_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each part a ring of two square loops, a bridge there and back between them; every other second loop runs the other way."""
+    x, y, s = corner()
+    dx, dy = F.col("p_partkey") % 13, F.col("p_partkey") % 7
+    loop = lambda a, b: [(a, b), (a + s, b), (a + s, b + s), (a, b + s), (a, b)]
+    ring = lambda ps: F.array(F.array(F.array(*[G.point(a, b) for a, b in ps])))
+    second = loop(x + dx, y + dy)
+    turned = ring([*loop(x, y), *second[::-1], (x, y)])
+    return table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_partkey") % 2 == 0, ring([*loop(x, y), *second, (x, y)])).otherwise(turned).alias("geom"))
+
+
+def geometry_repair_loops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loops that overlap: the ground that a ring winds round once or more, in valid parts."""
+    out = G.repair(looped_shapes(spark, sf_dir))
+    g = F.col("geom")
+    return out.select("p_partkey", "geometry_repaired", G.is_valid(g).alias("is_valid"), F.size(g).alias("n_parts"), G.area(g).alias("area"), G.perimeter(g).alias("perimeter"))
+
+
+GEOMETRY_REPAIR_LOOPS = """
+WITH s AS (SELECT p_partkey, p_partkey % 2 = 0 AS alike, p_size AS s, p_partkey % 13 AS dx, p_partkey % 7 AS dy FROM part),
+m AS (SELECT *, greatest(s - dx, 0) AS w, greatest(s - dy, 0) AS h FROM s),
+-- Two loops over each other, or side by side; of loops against each other that are one nothing is left, and they stay as they were.
+k AS (SELECT *, w * h > 0 AS over, (dx = s AND h > 0) OR (dy = s AND w > 0) AS beside, NOT alike AND dx = 0 AND dy = 0 AS gone FROM m)
+SELECT p_partkey, NOT gone AS geometry_repaired, NOT gone AS is_valid,
+       CASE WHEN gone OR beside OR (alike AND over) THEN 1 ELSE 2 END AS n_parts,
+       CAST(2 * s * s - CASE WHEN alike THEN 1 ELSE 2 END * w * h AS DOUBLE) AS area,
+       CAST(8 * s - CASE WHEN gone THEN 0 WHEN beside OR (alike AND over) THEN 2 * (w + h) WHEN over THEN CASE WHEN dx = 0 THEN 4 * h WHEN dy = 0 THEN 4 * w ELSE 0 END ELSE 0 END AS DOUBLE) AS perimeter
+FROM k
+"""
+
+
+def dissolved_outline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outline of all squares of a brand on a small lattice, where they share sides, parts of sides and ground."""
+    x, y, s = F.col("p_partkey") * 7 % 40, F.col("p_partkey") * 11 % 30, F.col("p_size") % 4 + 1
+    p = table(spark, sf_dir, "part").select("p_brand", G.rectangle(x, y, x + s, y + s).alias("geom"))
+    g = F.col("geom")
+    return G.dissolve(p, ["p_brand"]).select("p_brand", G.area(g).alias("area"), G.perimeter(g).alias("perimeter"), G.is_valid(g).alias("is_valid"))
+
+
+DISSOLVED_OUTLINE = """
+WITH s AS (SELECT p_brand, p_partkey * 7 % 40 AS x, p_partkey * 11 % 30 AS y, p_size % 4 + 1 AS s FROM part),
+cells AS (SELECT DISTINCT p_brand, x + i AS cx, y + j AS cy FROM (SELECT *, unnest(range(0, s)) AS i FROM s) JOIN (SELECT unnest(range(0, 4)) AS j) ON j < s)
+SELECT a.p_brand, CAST(count(*) AS DOUBLE) AS area, CAST(4 * count(*) - 2 * (count(r.cx) + count(u.cx)) AS DOUBLE) AS perimeter, true AS is_valid
+FROM cells a LEFT JOIN cells r ON r.p_brand = a.p_brand AND r.cx = a.cx + 1 AND r.cy = a.cy LEFT JOIN cells u ON u.p_brand = a.p_brand AND u.cx = a.cx AND u.cy = a.cy + 1
+GROUP BY a.p_brand
+"""
+
+
 def geometry_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The extract's geometries: there, not empty, in one reference system, valid (a warning); and a vintage for each row."""
     observed = F.when(F.col("p_partkey") % 3 == 2, 2927).otherwise(4326)
@@ -446,6 +494,8 @@ QUERIES = {
     "merged_geometry": merged_geometry,
     "geometry_validity": geometry_validity,
     "geometry_repair": geometry_repair,
+    "geometry_repair_loops": geometry_repair_loops,
+    "dissolved_outline": dissolved_outline,
     "geometry_contracts": geometry_contracts,
     "geometry_simplify": geometry_simplify,
     "point_lookup": point_lookup,
@@ -464,6 +514,8 @@ SQL = {
     "merged_geometry": MERGED_GEOMETRY,
     "geometry_validity": GEOMETRY_VALIDITY,
     "geometry_repair": GEOMETRY_REPAIR,
+    "geometry_repair_loops": GEOMETRY_REPAIR_LOOPS,
+    "dissolved_outline": DISSOLVED_OUTLINE,
     "geometry_contracts": GEOMETRY_CONTRACTS,
     "geometry_simplify": GEOMETRY_SIMPLIFY,
     "point_lookup": POINT_LOOKUP,

@@ -1,11 +1,16 @@
 """Geometry by hand-checked shapes, and the overlap join."""
 
 import math
+import random
+import time
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from concord.functions import geometry as G
+from concord.functions import shapes
 from concord.operators import overlap
 
 SQUARE = [(0, 0), (2, 0), (2, 2), (0, 2), (0, 0)]
@@ -119,23 +124,169 @@ def test_overlap_area(spark, a, b, area):
         assert value(spark, G.overlap_area(F.col("a"), F.col("b")), geom(move(a)), geom(move(b))) == pytest.approx(area, abs=1e-6)
 
 
-def test_repair_and_simplify():
-    bow = [(0, 0), (2, 2), (2, 0), (0, 2), (0, 0)]
-    assert sorted(abs(G._area(r)) for r in G.repaired_ring(bow)) == [1, 1]
-    assert G.repaired_ring([(0, 0), (2, 0), (2, 0), (2, 2)]) == [[(0, 0), (2, 0), (2, 2), (0, 0)]]
-    assert G.repaired_ring([(0, 0), (2, 0), (5, 0), (2, 0), (2, 2), (0, 0)]) == [[(0, 0), (2, 0), (2, 2), (0, 0)]]
-    assert G.repaired_ring([(0, 0), (1, 0), (0, 0)]) == [] and G.repaired_ring([(0, 0), (math.nan, 0), (1, 1), (0, 0)]) == []
-    assert G.simplified_ring([(0, 0), (1, 0), (2, 0), (2, 2), (0, 2), (0, 0)], 0.1) == SQUARE
-    assert len(G.simplified_ring([(0, 0), (1e-7, 0), (1e-7, 1e-7), (0, 1e-7), (0, 0)], 1)) >= 4
+KIND = pa.list_(pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))))
+
+
+def fixed(*parts):
+    """What repair makes of a geometry: area of each polygon, points of its rings; and it is valid."""
+    out = G.repaired_geometry(geom(*parts))
+    if out is None:
+        return None
+    assert shapes.valid(pa.array([out], KIND)) == [True], out
+    area = lambda r: sum(a["x"] * b["y"] - b["x"] * a["y"] for a, b in zip(r, r[1:])) / 2
+    assert all((area(r) > 0) == (i == 0) for p in out for i, r in enumerate(p))
+    return sorted((sum(map(area, p)), [len(r) for r in p]) for p in out)
+
+
+def test_repair():
+    assert fixed([[(0, 0), (2, 2), (2, 0), (0, 2), (0, 0)]]) == [(1, [4]), (1, [4])]  # a bow-tie
+    assert fixed([[(0, 0), (2, 0), (2, 0), (2, 2)]]) == [(2, [4])]  # open, a point twice
+    assert fixed([[(0, 0), (2, 0), (5, 0), (2, 0), (2, 2), (0, 0)]]) == [(2, [4])]  # a spike
+    assert fixed([[(0, 0), (1, 0), (0, 0)]]) is None and fixed([[(0, 0), (math.nan, 0), (1, 1), (0, 0)]]) is None and fixed() is None
+    # Loops that overlap: once round each way in one direction, and in opposite ones.
+    loops = [*BOX(0, 0, 4), *BOX(2, 2, 4), (0, 0)]
+    assert fixed([loops]) == [(28, [9])]
+    assert fixed([[*BOX(0, 0, 4), *BOX(2, 2, 4)[::-1], (0, 0)]]) == [(12, [7]), (12, [7])]
+    star = [(math.cos(2 * math.pi * k * 2 / 5), math.sin(2 * math.pi * k * 2 / 5)) for k in range(5)]
+    ((area, sizes),) = fixed([[*star, star[0]]])
+    assert sizes == [11] and area == pytest.approx(1.122569941449)
+    # Holes: across the shell, over each other, outside; a part in another's hole, and one over another.
+    assert fixed([BOX(0, 0, 4), BOX(3, 3, 3)]) == [(15, [7])]
+    assert fixed([BOX(0, 0, 9), BOX(1, 1, 4), BOX(3, 3, 4)[::-1]]) == [(81 - 28, [5, 9])]
+    assert fixed([BOX(0, 0, 4), BOX(8, 8, 1)]) == [(16, [5])]
+    assert fixed([BOX(0, 0, 9), BOX(1, 1, 6)], [BOX(2, 2, 1)]) == [(1, [5]), (45, [5, 5])]
+    assert fixed([BOX(0, 0, 4)], [BOX(2, 2, 4)], [BOX(10, 0, 1)]) == [(1, [5]), (28, [9])]
+    # A ring that touches itself: the shell and its hole come apart; loops that touch in a point are two parts.
+    assert fixed([[(0, 0), (4, 0), (4, 4), (0, 4), (0, 0), (1, 2), (2, 1), (0, 0)]]) in ([(16 - 1.5, [5, 4])], [(16 + 0.0, [5])])
+    assert fixed([[*BOX(0, 0, 2), *BOX(2, 2, 2), (0, 0)]]) == [(4, [5]), (4, [5])]
+
+
+def crossings(n):
+    """A zigzag there and back: n crossings."""
+    there = [(float(i), float(i % 2)) for i in range(n + 1)]
+    return [*there, *[(x, 1 - y) for x, y in there[::-1]], there[0]]
+
+
+def test_repair_of_many_crossings_and_points():
+    out = fixed([crossings(500)])
+    assert len(out) == 501 and sum(a for a, _ in out) == pytest.approx(250)  # two triangles at the ends
+    n = 100_000
+    ring = [(math.cos(2 * math.pi * k / n) * (1 + 0.001 * (k % 2)), math.sin(2 * math.pi * k / n) * (1 + 0.001 * (k % 2))) for k in range(n)]
+    assert shapes.valid(pa.array([geom([[*ring, ring[0]]])], KIND)) == [True]
+    ring[10], ring[14] = ring[14], ring[10]
+    start = time.perf_counter()
+    assert shapes.valid(pa.array([geom([[*ring, ring[0]]])], KIND)) == [False]
+    out = fixed([[*ring, ring[0]]])
+    assert time.perf_counter() - start < 60
+    assert sum(a for a, _ in out) == pytest.approx(math.pi, rel=0.01)
+
+
+def test_regions_by_points():
+    """Random rings: a point is inside a repaired shape if the rings wind round it."""
+    rng = random.Random(11)
+
+    def winding(ring, x, y):
+        n = 0
+        for (a, b), (c, d) in zip(ring, [*ring[1:], ring[0]]):
+            if (b <= y) != (d <= y) and x < a + (y - b) * (c - a) / (d - b):
+                n += 1 if d > b else -1
+        return n
+
+    for trial in range(120):
+        grid = trial % 2  # corners on a small grid meet edges and each other
+        pick = (lambda: float(rng.randint(0, 6))) if grid else (lambda: rng.uniform(0, 6))
+        ring = [(pick(), pick()) for _ in range(rng.randint(3, 14))]
+        out = G.repaired_geometry(geom([ring]))
+        if out is not None:
+            assert shapes.valid(pa.array([out], KIND)) == [True], ring
+        rings = [[(p["x"], p["y"]) for p in r[:-1]] for part in out or [] for r in part]
+        for _ in range(60):
+            x, y = rng.uniform(-0.5, 6.5), rng.uniform(-0.5, 6.5)
+            assert (winding(ring, x, y) != 0) == (sum(winding(r, x, y) for r in rings) == 1), (ring, x, y)
+
+
+def test_sweep_finds_the_pairs_of_all_pairs(monkeypatch):
+    rng = np.random.default_rng(3)
+    group = np.sort(rng.integers(0, 5, 400))
+    x1, y1, x2, y2 = (np.round(rng.random(400) * 20, 1) for _ in range(4))
+    x2, y2 = x1 + (x2 - x1) * 0.1, y1 + (y2 - y1) * 0.1
+    found = []
+    for few, block in ((1_000, 1 << 20), (0, 1 << 20), (0, 50)):
+        monkeypatch.setattr(shapes, "FEW", few)
+        monkeypatch.setattr(shapes, "BLOCK", block)
+        found.append(sorted((int(i), int(j)) for a, b in shapes.near_pairs(group, x1, y1, x2, y2) for i, j in zip(a, b)))
+    assert found[0] == found[1] == found[2] and len(found[0]) > 50
+
+
+def test_dissolved_outlines(spark):
+    """Squares that share whole sides, parts of sides, corners or ground; a hole between them; a hot border."""
+    cells = [("touch", BOX(0, 0, 1)), ("touch", BOX(1, 0, 1)[::-1]), ("part", BOX(0, 0, 2)), ("part", BOX(2, 1, 4)), ("corner", BOX(0, 0, 1)), ("corner", BOX(1, 1, 1)), ("over", BOX(0, 0, 4)), ("over", BOX(2, 2, 4)), ("twice", BOX(0, 0, 1)), ("twice", BOX(0, 0, 1))]
+    cells += [("ring", BOX(x, y, 1)) for x in range(3) for y in range(3) if (x, y) != (1, 1)]
+    rows = [(k, geom([r])) for k, r in cells] + [("holed", geom([BOX(0, 0, 9), BOX(1, 1, 6)])), ("holed", geom([BOX(2, 2, 1)])), ("none", None), ("none", geom()), (None, geom([BOX(0, 0, 1)]))]
+    df = spark.createDataFrame(rows, f"k string, geom {G.GEOMETRY}").repartition(4)
+    out = G.dissolve(df, ["k"]).select("k", G.area(F.col("geom")).alias("a"), G.perimeter(F.col("geom")).alias("p"), G.is_valid(F.col("geom")).alias("ok"), F.transform("geom", lambda part: F.transform(part, F.size)).alias("n")).collect()
+    assert all(r.ok for r in out)
+    assert {r.k: (r.a, r.p, sorted(r.n)) for r in out} == {
+        "touch": (2, 6, [[7]]),
+        "part": (20, 22, [[9]]),
+        "corner": (2, 8, [[5], [5]]),
+        "over": (28, 24, [[9]]),
+        "twice": (1, 4, [[5]]),
+        "ring": (8, 16, [[13, 5]]),
+        "holed": (46, 64, [[5], [5, 5]]),
+        None: (1, 4, [[5]]),
+    }
+
+
+def thinner(ring, tolerance, *others):
+    new = shapes.simplified(pa.array([geom([ring, *others])], KIND), tolerance).to_pylist()[0]
+    return [[(p["x"], p["y"]) for p in r] for r in new[0]]
+
+
+def test_simplification():
+    assert thinner([(0, 0), (1, 0), (2, 0), (2, 2), (0, 2), (0, 0)], 0.1) == [SQUARE]
+    assert len(thinner([(0, 0), (1e-7, 0), (1e-7, 1e-7), (0, 1e-7), (0, 0)], 1)[0]) >= 4
+    rng = random.Random(4)
+
+    def plain(ring, tolerance):
+        """Splitting at the farthest point, one line after another."""
+
+        def far(a, b, p):
+            dx, dy = b[0] - a[0], b[1] - a[1]
+            size = math.hypot(dx, dy)
+            return math.hypot(p[0] - a[0], p[1] - a[1]) if size == 0 else abs(dx * (p[1] - a[1]) - (p[0] - a[0]) * dy) / size
+
+        keep = {0, len(ring) - 1, max(range(len(ring)), key=lambda i: math.hypot(ring[i][0] - ring[0][0], ring[i][1] - ring[0][1]))}
+        todo = list(zip(sorted(keep), sorted(keep)[1:]))
+        while todo:
+            i, j = todo.pop()
+            if j - i > 1 and far(ring[i], ring[j], ring[k := max(range(i + 1, j), key=lambda k: far(ring[i], ring[j], ring[k]))]) > tolerance:
+                keep.add(k)
+                todo += [(i, k), (k, j)]
+        return [ring[i] for i in sorted(keep)]
+
+    for _ in range(30):
+        n = rng.randint(5, 200)
+        ring = [(r * math.cos(2 * math.pi * k / n), r * math.sin(2 * math.pi * k / n)) for k in range(n) for r in [5 + rng.random()]]
+        ring.append(ring[0])
+        got = thinner(ring, 0.3)[0]
+        assert set(plain(ring, 0.3)) <= set(got) and shapes.valid(pa.array([geom([got])], KIND)) == [True]
 
 
 def test_simplification_keeps_shapes_valid(spark):
-    """Without the tip of the shell the hole in it would lie outside."""
+    """Without the tip of the shell the hole in it would lie outside; a line may not cut a neck."""
     shell = [(0, 0), (10, 0), (10, 10), (5, 10.4), (0, 10), (0, 0)]
     hole = [(4.8, 10.1), (5.2, 10.1), (5, 10.2), (4.8, 10.1)]
-    df = spark.createDataFrame([(1, geom([shell, hole])), (2, geom([shell])), (3, None)], f"k int, geom {G.GEOMETRY}")
-    got = {r.k: None if r.geom is None else [len(ring) for ring in r.geom[0]] for r in G.simplify(df, tolerance=0.5).collect()}
-    assert got == {1: [6, 4], 2: [5], 3: None}
+    df = spark.createDataFrame([(1, geom([shell, hole])), (2, geom([shell])), (3, None), (4, geom())], f"k int, geom {G.GEOMETRY}")
+    got = {r.k: None if r.geom is None else [len(ring) for part in r.geom for ring in part] for r in G.simplify(df, tolerance=0.5).collect()}
+    assert got == {1: [6, 4], 2: [5], 3: None, 4: []}
+    # Only what is in the way comes back: the rest of the outline stays simplified.
+    n = 60
+    wavy = [(k / 10, -0.01 * (k % 2)) for k in range(10 * n + 1)]
+    ring = [*wavy, (60, 10), (31, 10), (30, 0.05), (29, 10), (0, 10), (0, 0)]
+    ring = [(x, y if 0 < y or abs(x - 30) > 3 else y - 0.2 * (1 - abs(x - 30) / 3)) for x, y in ring]
+    new = thinner(ring, 0.4)[0]
+    assert shapes.valid(pa.array([geom([ring]), geom([new])], KIND)) == [True, True] and len(new) < 30
 
 
 def squares(spark, *rows):
@@ -165,6 +316,45 @@ def test_overlap_join(spark):
     assert overlap.overlap_pairs(df.limit(0), "key", "source", cell=1.0).count() == 0
 
 
+def box_frame(spark, rows):
+    data = [(k, src, (float(x), float(y), float(x + w), float(y + h))) for k, src, x, y, w, h in rows]
+    return spark.createDataFrame(data, "key long, source string, box struct<x0:double,y0:double,x1:double,y1:double>").repartition(8)
+
+
+def brute_pairs(rows):
+    out = set()
+    for i, (k, s, x, y, w, h) in enumerate(rows):
+        for m, t, u, v, p, q in rows[i + 1 :]:
+            if s == t and x < u + p and u < x + w and y < v + q and v < y + h:
+                out.add((min(k, m), max(k, m)))
+    return out
+
+
+@pytest.mark.parametrize("cell", [0.5, 7.0, 100_000.0])
+def test_candidates_of_mixed_sizes(spark, cell):
+    rng = random.Random(6)
+    rows = [(k, rng.choice("AB"), rng.uniform(-300, 300), rng.uniform(-300, 300), rng.choice([0.1, 1, 4, 30, 700]) * rng.random(), rng.choice([0.1, 1, 4, 30, 700]) * rng.random()) for k in range(700)]
+    got = [(r.key_a, r.key_b) for r in overlap.candidate_pairs(box_frame(spark, rows), "key", "source", cell).collect()]
+    assert len(got) == len(set(got)) and set(got) == brute_pairs(rows)
+
+
+def test_crowded_cells_are_dealt_over_slices(spark, monkeypatch):
+    """Copies of one box among others: the same pairs, and no (cell, slice) with many more searching rows than the bound."""
+    rng = random.Random(7)
+    rows = [(k, "A", 10, 10, 3, 3) for k in range(300)] + [(k, "A", rng.uniform(0, 90), rng.uniform(0, 90), rng.uniform(1, 9), 2) for k in range(300, 900)]
+    df = box_frame(spark, rows)
+    searching, home = overlap.posted(df, "key", "source", 2.0, most=50)
+    where = ["at", "cx", "cy"]
+    n = {tuple(r[:4]): r["count"] for r in searching.groupBy(*where, "slice").count().collect()}
+    whole = {tuple(r[:3]): r["count"] for r in searching.groupBy(*where).count().collect()}
+    assert max(whole.values()) > 300 and max(n.values()) <= 100
+    copies = {tuple(r[:3]): r["count"] for r in home.where("key = 0").groupBy(*where).count().collect()}
+    assert all(c == -(-whole[w] // 50) for w, c in copies.items())
+    monkeypatch.setattr(overlap, "SLICE", 50)
+    got = [(r.key_a, r.key_b) for r in overlap.candidate_pairs(df, "key", "source", 2.0).collect()]
+    assert len(got) == len(set(got)) and set(got) == brute_pairs(rows)
+
+
 def test_state_plane_round_trip(spark):
     p = geom([[(-122.3, 47.6), (-122.2, 47.6), (-122.2, 47.7), (-122.3, 47.6)]])
     for srid in (2926, 2927, 3857):
