@@ -11,8 +11,10 @@ range, with a stack of the rules that are open:
 * a rule whose interval crosses range borders is handed to each range that it reaches, as one more
   opening: a range gets as many as the rules nest there, however many rules there are in all.
 
-Hot hosts: URLs are first reduced to distinct (host, path) by a hash aggregate with map-side
-combination, and ranges split a host's paths.  Rows without a host and path, however many, meet a
+Hot hosts and hot ancestors: URLs are first reduced to distinct (host, path) by a hash aggregate with map-side
+combination, and the keys of all their ancestors to distinct (ancestor, path) with the number of hosts below, so no
+key is swept twice, however many hosts an ancestor has, and ranges split its paths.  A key's rule comes back to
+its hosts by a join in which frequent keys are broadcast (``skew``).  Rows without a host and path, however many, meet a
 broadcast of one row instead of a shuffle.  Nothing else is broadcast by hand.
 
 Defined results: a null URL or one without ``://`` has an empty host and path and no rule but one
@@ -28,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .skew import split_join
 from .store import stored
 from .text import free_name
 
@@ -58,24 +61,26 @@ def _key(host: Column, path: Column) -> Column:
     return F.encode(F.concat(F.array_join(F.reverse(F.split(host, r"\.")), "."), F.lit("/"), path), "utf-8")
 
 
-_EVENT = "key binary, turn int, step int, rule struct<host:string,path:string,verdict:string>, host string, path string"
+def _ancestors(keys: DataFrame) -> DataFrame:
+    """(host, path) once for each ancestor of the host, itself included, as ``level``."""
+    labels = F.split("host", r"\.")
+    levels = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    return keys.select("host", "path", F.explode(levels).alias("level"))
 
 
-def _events(keys: DataFrame, rules: DataFrame) -> DataFrame:
-    """Openings (step 1) and ends (-1) of the rules' intervals, and the keys of each (host, path) to be judged (0)."""
+def _events(points: DataFrame, rules: DataFrame) -> DataFrame:
+    """Openings (step 1) and ends (-1) of the rules' intervals, and each distinct (level, path) to be judged (0) with its number of hosts."""
     rules = rules.where("host is not null and path is not null and verdict is not null")
     rules = rules.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))  # 'block' > 'allow'
     # 0xff is in no UTF-8 text: behind it end all keys that begin alike.
     ends = F.array(*[F.struct(k.alias("key"), F.lit(turn).alias("turn"), F.lit(step).alias("step")) for k, turn, step in ((_key(F.col("host"), F.col("path")), 1, 1), (F.concat(_key(F.col("host"), F.col("path")), F.lit(bytearray(b"\xff"))), 0, -1))])
     borders = rules.select(F.struct("host", "path", "verdict").alias("rule"), F.inline(ends))
-    labels = F.split("host", r"\.")
-    levels = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    points = keys.select("host", "path", F.explode(levels).alias("level")).select(_key(F.col("level"), F.col("path")).alias("key"), F.lit(2).alias("turn"), F.lit(0).alias("step"), "host", "path")
-    return points.unionByName(borders, allowMissingColumns=True)
+    once = points.groupBy("level", "path").agg(F.count("*").alias("n"))
+    return once.select(_key(F.col("level"), F.col("path")).alias("key"), F.lit(2).alias("turn"), F.lit(0).alias("step"), "level", "path", "n").unionByName(borders, allowMissingColumns=True)
 
 
 def sweep(events: DataFrame, ranges: int) -> DataFrame:
-    """host, path and the innermost rule around each key; a (host, path) comes once for each ancestor that has one."""
+    """level, path, n and the innermost rule around each key that has one."""
     dealt = stored(events.repartitionByRange(ranges, "key").withColumn("range", F.spark_partition_id()), "ranges")
     reach = dealt.where("step <> 0").groupBy("rule").agg(F.max(F.when(F.col("step") == 1, F.col("range"))).alias("first"), F.max("range").alias("last"), F.min("key").alias("key"))
     handed = reach.where("last > first").select("rule", "key", F.lit(1).alias("turn"), F.lit(1).alias("step"), F.explode(F.sequence(F.col("first") + 1, F.col("last"))).alias("range"))
@@ -84,7 +89,7 @@ def sweep(events: DataFrame, ranges: int) -> DataFrame:
     so_far = W.orderBy("key", "turn").rowsBetween(W.unboundedPreceding, 0)
     deep = whole.withColumn("depth", F.sum("step").over(so_far.partitionBy("range")))
     top = F.last(F.when(F.col("step") == 1, F.col("rule")), ignorenulls=True).over(so_far.partitionBy("range", "depth"))
-    return deep.withColumn("top", top).where("step = 0 and top is not null").select("host", "path", F.col("top").alias("rule"))
+    return deep.withColumn("top", top).where("step = 0 and top is not null").select("level", "path", "n", F.col("top").alias("rule"))
 
 
 def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow", ranges: int | None = None) -> DataFrame:
@@ -97,7 +102,9 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     others = [c for c in pages.columns if c.lower() not in own]
     # In a struct of their own, the other columns may have any name.
     rows = pages.select(F.struct(F.lit(0).alias(free_name(others, "_")), *[F.col(f"`{c}`") for c in others]).alias("page"), url_host(F.col(f"`{url}`")).alias("host"), url_path(F.col(f"`{url}`")).alias("path"))
-    held = sweep(_events(rows.select("host", "path").distinct(), rules.select("host", "path", "verdict")), ranges)
+    points = _ancestors(rows.select("host", "path").distinct())
+    swept = stored(sweep(_events(points, rules.select("host", "path", "verdict")), ranges), "swept")
+    held = split_join(points, swept, ["level", "path"], "n")
     size = F.length("rule.host") + F.length("rule.path")
     best = held.groupBy("host", "path").agg(F.max(F.struct(size.alias("size"), F.length("rule.host").alias("of_host"), F.concat("rule.host", "rule.path").alias("rule"), F.col("rule.verdict").alias("verdict"))).alias("best"))
     blank = (F.col("host") == "") & (F.col("path") == "")

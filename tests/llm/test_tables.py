@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from concord.llm import chunk_dedup, components, kd_shards, near_dedup, queries, suffix_dedup, toxicity, url_filter
+from concord.llm import chunk_dedup, components, kd_shards, near_dedup, queries, skew, suffix_dedup, toxicity, url_filter
 
 
 def brute_suffix(texts, size=200):
@@ -230,6 +230,22 @@ def test_components(spark):
     assert got == {x: find(x) for x in linked}
 
 
+def test_url_filter_sweeps_a_common_ancestor_once(spark, monkeypatch):
+    """One path on many hosts of one ancestor: ranges of the sweep are about as large as each other, and hosts get the ancestor's rule."""
+    n = 4_000
+    pages = spark.range(n).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h"), F.col("id").cast("string"), F.lit(".com/")).alias("url")).repartition(4)
+    rules = url_filter.rule_frame(spark, [("com", "/", "block"), ("h7.com", "/", "allow"), ("org", "/", "allow")])
+    points = url_filter._ancestors(pages.select(url_filter.url_host(F.col("url")).alias("host"), url_filter.url_path(F.col("url")).alias("path")).distinct())
+    events = url_filter._events(points, rules)
+    assert events.where("step = 0").count() == n + 1  # each host, and their ancestor once
+    sizes = [r["count"] for r in events.repartitionByRange(8, "key").groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) <= 2 * sum(sizes) / 8
+    for bound in (1_000, 10):  # with the hot key broadcast, and without
+        monkeypatch.setattr(skew, "LEAST_ROWS", bound)
+        out = url_filter.filter_urls(pages, rules, ranges=8)
+        assert {(r.rule, r.verdict): r["count"] for r in out.groupBy("rule", "verdict").count().collect()} == {("com/", "block"): n - 1, ("h7.com/", "allow"): 1}
+
+
 def test_url_filter_against_sql_and_brute_force(spark, sf):
     want = duckdb.connect()
     want.execute(f"CREATE VIEW pages AS SELECT * FROM '{sf}/pages.parquet'")
@@ -406,7 +422,7 @@ def brute_chain(texts, ys, fold, scored):
         w = ahead = last = np.zeros(x.shape[1])
         weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y <= 0).sum()))
         rate = 1 / ((weight @ (x**2).sum(axis=1)) / 4 + 1e-2 / len(y))
-        for t in range(1, 601):
+        for t in range(1, 301):
             grad = x.T @ ((1 / (1 + np.exp(-np.clip(x @ ahead, -30, 30))) - y) * weight) + 1e-3 * np.append(ahead[:-1], 0) / len(y) * 10
             w = ahead - rate * grad
             ahead = w + (t - 1) / (t + 2) * (w - last)
