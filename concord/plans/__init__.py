@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import conforming, judging, mapping, reconciling, scoring, vintages
+from . import conforming, ingesting, judging, mapping, reconciling, scoring, vintages
 
 Query = Callable[[SparkSession, str], DataFrame]
-_MODULES = (conforming, judging, reconciling, scoring, vintages, mapping)
+_MODULES = (conforming, judging, reconciling, scoring, vintages, mapping, ingesting)
 
 
 def queries() -> dict[str, Query]:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +50,30 @@ def scan_windows(df: DataFrame, key: str, window_frame: DataFrame, where: str |
     return rows.join(window_frame, "start").where((F.col(key) >= F.col("start")) & (F.col(key) < F.col("stop"))).drop("stop")
 
 
+def equal_windows(df: DataFrame, key: str, n: int, where: str | None = None) -> DataFrame:
+    """Half-open ranges (start, stop), at most ``n``, that tile the keys and hold about equally many rows each, however the keys lie.
+
+    The borders are quantiles from a mergeable sketch, a hundredth of a window off at most; one row of n numbers comes to the
+    driver.  A key on many rows stays in one window.
+    """
+    rows = df.where(where) if where else df
+    shares = [i / n for i in range(1, n)]
+    got = rows.agg(F.min(key).alias("low"), F.max(key).alias("high"), F.percentile_approx(key, shares or [0.5], 100 * n).alias("q")).first()
+    if got["low"] is None:
+        return df.sparkSession.createDataFrame([], "start long, stop long")
+    starts = sorted({got["low"], *(q + 1 for q in got["q"] if shares and q < got["high"])})
+    return df.sparkSession.createDataFrame(list(zip(starts, [*starts[1:], got["high"] + 1])), "start long, stop long")
+
+
+def window_start(key: Column, starts: Sequence[int]) -> Column:
+    """The start of the window that a key is in (starts ascending), null before the first: two short searches, no join."""
+    size = max(1, math.isqrt(len(starts)))
+    groups = [list(starts[i : i + size]) for i in range(0, len(starts), size)]
+    upto = lambda values: F.size(F.filter(values, lambda s: s <= key))
+    group = F.get(F.lit(groups), upto(F.lit([g[0] for g in groups])) - 1)
+    return F.get(group, upto(group) - 1)
+
+
 def read_jdbc_windows(spark: SparkSession, url: str, table: str, key: str, low: int, high: int, size: int, most: int = 64, **options: str) -> DataFrame:
     """A table over JDBC, one partition and connection for each key window; filters and columns are pushed to the source.
 

@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,7 +41,10 @@ def load_figures(df: DataFrame, key: str | None) -> DataFrame:
 
 def check_load(df: DataFrame, key: str | None = None, expected: int | None = None) -> LoadReport:
     """Not empty, as many rows as expected, keys present and unique; a table without the key is only counted."""
-    r = load_figures(df, key).first().asDict()
+    return _report(load_figures(df, key).first().asDict(), expected)
+
+
+def _report(r: dict, expected: int | None) -> LoadReport:
     problems = []
     if r["rows"] == 0:
         problems.append("empty")
@@ -61,7 +64,10 @@ def _fs(spark: SparkSession, path: str):
 
 
 def contracted_load(df: DataFrame, root: str, table: str, version: str, key: str | None = None, expected: int | None = None) -> LoadReport:
-    """Writes a version, validates it as written, and only then points the table at it.
+    """Writes a version, validates it, and only then points the table at it.
+
+    Rows and missing keys are counted while they are written, so the input is read once; what is read back is the key's column
+    alone, whose distinct values a partial aggregate counts.
 
     The pointer is a file that is written beside the old one and renamed over it in one step, so that the table
     always has a whole version.  On failure, or if the version is there already, the staged files go, the
@@ -69,8 +75,15 @@ def contracted_load(df: DataFrame, root: str, table: str, version: str, key: str
     """
     spark = df.sparkSession
     staged, final = f"{root}/{table}/__loading_{version}_{uuid.uuid4().hex}", f"{root}/{table}/version={version}"
-    df.write.mode("overwrite").parquet(staged)
-    report = check_load(spark.read.parquet(staged), key, expected)
+    keyed = bool(key) and key in df.columns
+    seen, figures = Observation(), [F.count(F.lit(1)).alias("rows")]
+    if keyed:
+        figures.append(F.count_if(F.col(key).isNull()).alias("null_keys"))
+    df.observe(seen, *figures).write.mode("overwrite").parquet(staged)
+    counted = dict(seen.get)
+    if keyed:
+        counted["distinct_keys"] = spark.read.parquet(staged).agg(F.countDistinct(key)).first()[0]
+    report = _report(counted, expected)
     fs, staged_path = _fs(spark, staged)
     if not report.ok:
         fs.delete(staged_path, True)
@@ -126,6 +139,54 @@ def append_history(df: DataFrame, path: str, run: str = "captured_at") -> None:
     df.write.mode("append").partitionBy(run).parquet(path)
 
 
+def publish_changed(df: DataFrame, decisions: DataFrame, path: str, source: str) -> list[str]:
+    """Recomputes and replaces the partitions of changed sources; the files of the others stay as they are.
+
+    ``decisions``: of vintage.freshness, one row a source (there are as many as the manifest names).  The names of what
+    was replaced are returned.  A changed source without rows keeps what it has, as a load that is empty would.
+    """
+    changed = sorted(r[0] for r in decisions.where("changed").select(source).distinct().collect())
+    if changed:
+        rows = df.where(F.col(source).isin(changed))  # reaches the scan, so the others aren't read
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(source).parquet(path)
+    return changed
+
+
+def curve_place(x: Column, y: Column, extent: tuple[float, float, float, float], bits: int = 16) -> Column:
+    """Place of a point on a Z-shaped curve over the extent (x0, y0, x1, y1): its coordinates' bits in turn."""
+
+    def spread(v: Column, low: float, high: float) -> Column:
+        cells = (1 << bits) - 1
+        at = F.least(F.greatest(F.floor((v - low) / ((high - low) or 1.0) * cells), F.lit(0)), F.lit(cells)).cast("long")
+        for step, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+            at = at.bitwiseOR(F.shiftleft(at, step)).bitwiseAND(F.lit(mask))
+        return at
+
+    return spread(x, extent[0], extent[2]).bitwiseOR(F.shiftleft(spread(y, extent[1], extent[3]), 1))
+
+
+def store_clustered(df: DataFrame, path: str, box: str = "box", files: int | None = None, group_bytes: int = 8 << 20) -> None:
+    """Features in the order of a curve through their boxes' middles, the box as columns x0, y0, x1, y1 of their own.
+
+    Neighbours lie in the same row groups, so the statistics of the four columns let a lookup by place pass over nearly all others.
+    """
+    corners = [F.col(f"{box}.{c}").alias(c) for c in ("x0", "y0", "x1", "y1")]
+    rows = df.select(*[c for c in df.columns if c != box], *corners)
+    middle = (F.col("x0") + F.col("x1")) / 2, (F.col("y0") + F.col("y1")) / 2
+    e = rows.agg(*[f(m) for f in (F.min, F.max) for m in middle]).first()
+    extent = (e[0], e[1], e[2], e[3]) if e[0] is not None else (0.0, 0.0, 1.0, 1.0)
+    files = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.withColumn("_place", curve_place(*middle, extent)).repartitionByRange(files, "_place").sortWithinPartitions("_place").drop("_place")
+    rows.write.mode("overwrite").option("parquet.block.size", group_bytes).parquet(path)
+
+
+def near_point(spark: SparkSession, path: str, x: float, y: float) -> DataFrame:
+    """Features of store_clustered() whose box holds the point, the box put together again; the four comparisons are pushed to the scan."""
+    rows = spark.read.parquet(path).where((F.col("x0") <= x) & (F.col("x1") >= x) & (F.col("y0") <= y) & (F.col("y1") >= y))
+    corners = ("x0", "y0", "x1", "y1")
+    return rows.withColumn("box", F.struct(*corners)).drop(*corners)
+
+
 def is_geometry(field: T.StructField) -> bool:
     return field.dataType.simpleString() == GEOMETRY or field.name.lower() in ("geom", "geometry")
 

@@ -112,6 +112,100 @@ def test_windows(spark):
     assert [r.k for r in pages.scan_windows(rows, "k", w, "k % 2 = 0").orderBy("k").collect()] == [4, 6, 8, 10, 12]
 
 
+def test_windows_of_equal_counts(spark):
+    rows = spark.range(0, 20_000).select((F.col("id") * F.col("id") * 7).alias("k"))
+    w = [(r.start, r.stop) for r in pages.equal_windows(rows, "k", 20).orderBy("start").collect()]
+    assert w[0][0] == 0 and all(a[1] == b[0] for a, b in zip(w, w[1:])) and w[-1][1] == 7 * 19_999**2 + 1
+    starts = [a for a, _ in w]
+    n = [r["count"] for r in rows.groupBy(pages.window_start(F.col("k"), starts).alias("s")).count().collect()]
+    assert len(n) == 20 and sum(n) == 20_000 and max(n) <= 1_100 and min(n) >= 900
+    got = {r.k: r.s for r in spark.createDataFrame([(-1,), (0,), (starts[7] - 1,), (starts[7],), (10**12,)], "k long").select("k", pages.window_start(F.col("k"), starts).alias("s")).collect()}
+    assert got == {-1: None, 0: 0, starts[7] - 1: starts[6], starts[7]: starts[7], 10**12: starts[-1]}
+    assert pages.equal_windows(rows.limit(0), "k", 4).count() == 0
+    assert [tuple(r) for r in pages.equal_windows(spark.createDataFrame([(5,)] * 9, "k long"), "k", 4).collect()] == [(5, 6)]
+
+
+def test_page_source_opens_only_the_windows_that_a_filter_wants(spark, tmp_path):
+    from concord.sources import feature_pages
+
+    rows = spark.range(0, 1000).select(F.col("id").alias("objectid"), F.concat(F.lit("n"), F.col("id").cast("string")).alias("pin"), F.expr("id div 100").alias("window"))
+    layer = {"name": "L", "geometryType": None, "objectIdField": "OBJECTID", "fields": [{"name": "OBJECTID", "type": "esriFieldTypeOID"}, {"name": "PIN", "type": "esriFieldTypeString"}, {"name": "GONE", "type": "esriFieldTypeDouble"}]}
+    root = str(tmp_path / "p")
+    feature_pages.write_pages(rows, root, layer, "objectid")
+    read = lambda: feature_pages.read_pages(spark, root)
+    assert read().columns == ["objectid", "pin", "gone", "page"] and read().count() == 1000 and read().rdd.getNumPartitions() == 10
+    for where, pages_read, n in (("objectid = 250", 1, 1), ("objectid > 99 and objectid <= 300", 3, 201), ("objectid in (5, 105)", 2, 2), ("objectid >= 950", 1, 50), ("objectid < 0", 1, 0), ("pin = 'n7'", 10, 1), ("objectid between 120 and 130 and pin like 'n12%'", 1, 10)):
+        df = read().where(where)
+        assert (df.rdd.getNumPartitions(), df.count()) == (pages_read, n), where
+    # A page that isn't wanted may be missing or broken.
+    next((tmp_path / "p" / "pages" / "window=9").glob("part*")).write_text("{")
+    assert read().where("objectid < 900").count() == 900
+    with pytest.raises(Exception):
+        read().count()
+
+
+def test_page_values_that_do_not_fit(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from concord.sources.feature_pages import _fit, _parts
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    for kind, value, want in ((T.IntegerType(), "7", 7), (T.IntegerType(), "x", None), (T.IntegerType(), 1.5, None), (T.ShortType(), 40_000, None), (T.LongType(), None, None), (T.DoubleType(), "1.5", 1.5), (T.DoubleType(), {}, None), (T.StringType(), 3, "3"), (T.IntegerType(), 3.0, 3), (T.IntegerType(), float("nan"), None)):
+        assert _fit(value, to_arrow_type(kind)) == want
+    assert _parts({"type": "Polygon", "coordinates": [[[0, 1], [2, 3]]]}) == [[[{"x": 0.0, "y": 1.0}, {"x": 2.0, "y": 3.0}]]] and _parts(None) is None and _parts({"type": "Point", "coordinates": [1, 2]}) is None
+
+
+def test_a_load_reads_its_rows_once(spark, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    df = spark.range(0, 500, 1, 4).mapInArrow(count, "id long")
+    report = sinks.contracted_load(df, str(tmp_path), "t", "v1", "id", 500)
+    assert report.ok and (report.rows, report.distinct_keys, report.null_keys) == (500, 500, 0) and reads.value == 500
+
+
+def test_changed_sources_alone_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "s")
+    rows = lambda v: spark.createDataFrame([("a", v), ("b", v), ("c", v)], "src string, v int")
+    rows(1).write.partitionBy("src").parquet(path)
+    times = lambda: {f: f.stat().st_mtime_ns for f in (tmp_path / "s").rglob("part*") if "src=b" not in str(f)}
+    before = times()
+    decisions = spark.createDataFrame([("a", False), ("b", True), ("c", False), ("d", True)], "src string, changed boolean")
+    assert sinks.publish_changed(rows(2), decisions, path, "src") == ["b", "d"]
+    assert times() == before and {r.src: r.v for r in spark.read.parquet(path).collect()} == {"a": 1, "b": 2, "c": 1}
+    assert sinks.publish_changed(rows(3), decisions.where("not changed"), path, "src") == []
+
+
+def test_lookup_reads_few_row_groups(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    path = str(tmp_path / "c")
+    x, y = F.col("id") * 7919 % 10_007, F.col("id") * 104_729 % 10_009
+    rows = spark.range(0, 40_000).select("id", F.struct(*[c.cast("double").alias(n) for n, c in (("x0", x), ("y0", y), ("x1", x + 20), ("y1", y + 20))]).alias("box"), F.repeat(F.sha2(F.col("id").cast("string"), 512), 8).alias("load"))
+    sinks.store_clustered(rows, path, files=8, group_bytes=1 << 19)
+    groups = [pq.ParquetFile(f).metadata.row_group(i) for f in (tmp_path / "c").glob("part*") for i in range(pq.ParquetFile(f).metadata.num_row_groups)]
+    px, py = 5000.0, 2500.0
+
+    def may_hold(g):
+        s = {g.column(i).path_in_schema: g.column(i).statistics for i in range(g.num_columns)}
+        return s["x0"].min <= px and s["x1"].max >= px and s["y0"].min <= py and s["y1"].max >= py
+
+    assert len(groups) >= 40 and sum(map(may_hold, groups)) <= 0.05 * len(groups)
+    near = sinks.near_point(spark, path, px, py)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+    assert all(f"({c},5000.0)" in pushed for c in ("x0", "x1")) and all(f"({c},2500.0)" in pushed for c in ("y0", "y1")) and sorted(near.columns) == ["box", "id", "load"]
+    held = rows.where((F.col("box.x0") <= px) & (F.col("box.x1") >= px) & (F.col("box.y0") <= py) & (F.col("box.y1") >= py))
+    assert sorted(r.id for r in near.collect()) == sorted(r.id for r in held.collect())
+    sinks.store_clustered(rows.limit(0), path)
+    assert sinks.near_point(spark, path, px, py).count() == 0
+
+
 def test_contracted_load_swaps_only_what_is_sound(spark, tmp_path):
     root = str(tmp_path)
     good, bad = spark.range(5), spark.createDataFrame([(1,), (1,), (None,)], "id long")
