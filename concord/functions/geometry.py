@@ -118,7 +118,7 @@ def overlap_area(a: Column, b: Column) -> Column:
 
 def union_area(geom: Column) -> Column:
     """Area that the parts of a geometry cover, what they share counted once; null for a null geometry."""
-    return F.arrow_udf(lambda g: pa.array(shapes.union_areas(g), pa.float64()), "double")(geom)
+    return F.arrow_udf(lambda g: pa.array(planar.covered_areas(g), pa.float64()), "double")(geom)
 
 
 def contains(geom: Column, x: Column, y: Column) -> Column:
@@ -132,7 +132,7 @@ def is_valid(geom: Column) -> Column:
 
     Rings are closed, finite and simple (no edge meets another but at the vertex they share, no spike) and have
     an area; holes lie inside their shell and not in each other, parts lie outside each other; rings may
-    touch in points.  Whether holes that touch cut the interior in two is not tested.
+    touch in points, unless that cuts the inside of a part in two.
     """
     return F.arrow_udf(lambda g: pa.array(shapes.valid(g), pa.bool_()), "boolean")(geom)
 
@@ -233,39 +233,41 @@ def reproject(geom: Column, source: int, target: int) -> Column:
 # --- Repair, dissolved outlines and simplification: Arrow functions.
 
 
-def _arrays(geom) -> planar.Rings:
-    return [[np.array([(p["x"], p["y"]) for p in ring], float).reshape(-1, 2) for ring in part] for part in geom or []]
-
-
 def _points(polygons: planar.Rings) -> list | None:
     return [[[{"x": x, "y": y} for x, y in ring.tolist()] for ring in rings] for rings in polygons] or None
 
 
 def repaired_geometry(geom) -> list | None:
     """What the rings of a geometry go round, as valid polygons (see planar.repaired); None if that is nothing."""
-    return _points(planar.repaired(_arrays(geom)))
+    return _points(planar.repaired(planar.arrays(geom)))
 
 
-def repair(df: DataFrame, geom: str = "geom") -> DataFrame:
+def repair(df: DataFrame, geom: str = "geom", valid: str | None = None) -> DataFrame:
     """Adds geometry_repaired and repairs what is not valid; a shape of which nothing is left stays as it was.
 
-    Validity is tested for a batch at once; only invalid shapes are taken apart, each by itself.
+    Validity is tested for a batch at once; only invalid shapes are taken apart, each by itself.  ``valid`` names a column for
+    the validity of the result, which is known here without a test of its own.
     """
-    schema = T.StructType([*(f for f in df.schema.fields if f.name != "geometry_repaired"), T.StructField("geometry_repaired", T.BooleanType(), False)])
-    df = df.select(*[F.col(f"`{f.name}`") for f in schema.fields[:-1]])
+    added = ["geometry_repaired", *([valid] if valid else [])]
+    fields = [f for f in df.schema.fields if f.name not in added]
+    schema = T.StructType([*fields, T.StructField("geometry_repaired", T.BooleanType(), False), *([T.StructField(valid, T.BooleanType())] if valid else [])])
+    df = df.select(*[F.col(f"`{f.name}`") for f in fields])
     at = df.columns.index(geom)
 
     def run(batches):
         for batch in batches:
             shape = batch.column(at)
-            bad = [i for i, ok in enumerate(shapes.valid(shape)) if ok is False]
+            ok = shapes.valid(shape)
+            bad = [i for i, sound in enumerate(ok) if sound is False]
             new = pa.array([repaired_geometry(g) for g in shape.take(pa.array(bad, pa.int64())).to_pylist()], shape.type)
-            sound = [k for k, ok in enumerate(shapes.valid(new)) if ok]
+            sound = [k for k, fine in enumerate(shapes.valid(new)) if fine]
             index = np.arange(len(shape))
             index[[bad[k] for k in sound]] = len(shape) + np.array(sound, np.int64)
             columns = list(batch.columns)
             columns[at] = pa.concat_arrays([shape, new]).take(pa.array(index))
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(index >= len(shape))], names=[f.name for f in schema.fields])
+            for k in sound:
+                ok[bad[k]] = True
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(index >= len(shape)), *([pa.array(ok, pa.bool_())] if valid else [])], names=[f.name for f in schema.fields])
 
     return df.mapInArrow(run, schema)
 

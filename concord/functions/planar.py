@@ -1,7 +1,7 @@
 """Regions of the plane from edges that cross: a planar graph is built, its faces are walked, some are kept.
 
 Edges carry weights: how often rings run along them, one column for each kind of ring.  They are cut wherever they
-meet (pairs come from the sweep in ``shapes``), what runs along a piece is summed, and pieces along which as much
+meet (pairs come from ``edge_pairs``), what runs along a piece is summed, and pieces along which as much
 runs one way as the other (spikes, bridges, borders that two parts share) fall out.  Around each face runs a cycle
 of half-edges with the face on its left; the winding numbers of neighbouring faces differ by the weight of the edge
 between them, so one walk over the faces gives them all.  Rings are the borders between faces that are kept and
@@ -13,8 +13,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 
-from .shapes import near_pairs
+from .edge_pairs import near_pairs
 
 Rings = list[list[np.ndarray]]
 
@@ -248,6 +249,26 @@ def union(polygons: Rings) -> Rings:
     return of_rings([[r for rings in polygons for r in rings]], lambda w: w[:, 0] > 0)
 
 
+def oriented(polygons: Rings) -> Rings:
+    """Rings in their right direction: shells counter-clockwise, holes clockwise."""
+    return [[r if (_double_area(r) > 0) == (i == 0) else r[::-1] for i, r in enumerate(rings)] for rings in polygons]
+
+
+def arrays(geom) -> Rings:
+    """A geometry (parts, rings, points with x and y) as arrays of coordinates."""
+    return [[np.array([(p["x"], p["y"]) for p in ring], float).reshape(-1, 2) for ring in part] for part in geom or []]
+
+
+def covered_areas(geoms: pa.Array) -> list[float | None]:
+    """Area that the (valid) parts of each geometry cover, what several cover counted once."""
+    out: list[float | None] = []
+    for g in geoms.to_pylist():
+        polygons = oriented([[r for r in rings if len(r) > 2] for rings in arrays(g)])
+        whole = union(polygons) if len(polygons) > 1 else polygons
+        out.append(None if g is None else sum(_double_area(r) for rings in whole for r in rings) / 2)
+    return out
+
+
 def repaired(parts: Rings) -> Rings:
     """Valid polygons of what the rings of each part go round, its holes left out, and of all parts together.
 

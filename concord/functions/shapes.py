@@ -1,8 +1,7 @@
 """Edges against edges, in numpy over Arrow arrays of geometries (parts -> rings -> points).
 
-All shapes of a batch are taken at once: pairs of edges are listed in blocks of at most ``BLOCK``,
-whatever the number of edges of one shape, so memory stays bounded and there is no loop over shapes.
-Edges of large shapes are swept in the order of one coordinate, each beside those alone that begin before it ends.
+All shapes of a batch are taken at once: pairs of edges come in blocks (``edge_pairs``), so memory stays bounded and
+there is no loop over shapes.
 """
 
 from __future__ import annotations
@@ -13,10 +12,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-#: Pairs of edges looked at together.
-BLOCK = 1 << 20
-#: Shapes of so many edges are not worth sorting.
-FEW = 24
+from . import edge_pairs, planar
+from .edge_pairs import blocks, near_pairs, sweep
+
 
 
 # The byte order and type numbers of well-known binary.
@@ -97,57 +95,22 @@ def edges_of(geoms: pa.Array) -> Edges:
     return Edges(x[a], y[a], x[a + 1], y[a + 1], of_ring, geom, sign, start, part, area, whole, shell, geom_of_part)
 
 
-def _blocks(first: np.ndarray, low: np.ndarray, high: np.ndarray):
-    """Index arrays of (first[k], each of low[k] to high[k] - 1, k), in blocks."""
-    n = np.maximum(high - low, 0)
-    total = np.cumsum(n)
-    at = 0
-    while at < len(n):
-        stop = max(int(np.searchsorted(total, (total[at - 1] if at else 0) + BLOCK, side="right")), at + 1)
-        m = n[at:stop]
-        k = np.repeat(np.arange(at, stop), m)
-        yield first[k], low[k] + np.arange(len(k)) - np.repeat(np.cumsum(m) - m, m), k
-        at = stop
-
-
-def _sweep(group: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The edges by group and where they begin; and for each in this order the place behind the last that begins before it ends."""
-    n = len(low)
-    order = np.lexsort((np.repeat((0, 1), n), np.concatenate((low, high)), np.concatenate((group, group))))
-    begins = order < n
-    stop = np.empty(n, np.int64)
-    stop[order[~begins] - n] = np.cumsum(begins)[~begins]
-    order = order[begins]
-    return order, stop[order]
-
-
-def near_pairs(group: np.ndarray, x1: np.ndarray, y1: np.ndarray, x2: np.ndarray, y2: np.ndarray):
-    """Blocks of pairs (i, j), i < j, of edges of one group whose boxes meet; edges come group by group.
-
-    A group is swept along the coordinate that leaves fewer pairs.
-    """
-    low, high = (np.minimum(x1, x2), np.minimum(y1, y2)), (np.maximum(x1, x2), np.maximum(y1, y2))
-    size = np.bincount(group, minlength=1) if len(group) else np.zeros(1, np.int64)
-
-    def boxes_meet(i, j):
-        near = np.flatnonzero((low[0][i] <= high[0][j]) & (low[0][j] <= high[0][i]) & (low[1][i] <= high[1][j]) & (low[1][j] <= high[1][i]))
-        return np.minimum(i[near], j[near]), np.maximum(i[near], j[near])
-
-    few = np.flatnonzero(size[group] <= FEW)
-    for i, j, _ in _blocks(few, few + 1, np.searchsorted(group, group[few], side="right")):
-        yield boxes_meet(i, j)
-    many = np.flatnonzero(size[group] > FEW)
-    if not len(many):
+def _facing(a: Edges, b: Edges):
+    """Blocks of (edge of a, edge of b) of one pair of geometries: all of small ones, those whose x overlap of large ones."""
+    few = np.diff(a.start) * np.diff(b.start) <= edge_pairs.FEW**2
+    own = np.flatnonzero(few[a.geom])
+    for i, j, _ in blocks(own, b.start[a.geom[own]], b.start[a.geom[own] + 1]):
+        yield i, j
+    i, j = np.flatnonzero(~few[a.geom]), np.flatnonzero(~few[b.geom])
+    n = len(i)
+    if not n or not len(j):
         return
-    of = group[many]
-    pairs = []
-    for a, b in zip(low, high):
-        order, stop = _sweep(of, a[many], b[many])
-        pairs.append(np.bincount(of[order], stop - np.arange(len(many)), len(size)))
-    along_x = (pairs[0] <= pairs[1])[of]
-    order, stop = _sweep(of, *(np.where(along_x, b[0][many], b[1][many]) for b in (low, high)))
-    for i, j, _ in _blocks(np.arange(len(many)), np.arange(len(many)) + 1, stop):
-        yield boxes_meet(many[order[i]], many[order[j]])
+    ends = [np.concatenate([f(e.x1[k], e.x2[k]) for e, k in ((a, i), (b, j))]) for f in (np.minimum, np.maximum)]
+    order, stop = sweep(np.concatenate((a.geom[i], b.geom[j])), *ends)
+    for p, q, _ in blocks(np.arange(len(order)), np.arange(len(order)) + 1, stop):
+        p, q = np.minimum(order[p], order[q]), np.maximum(order[p], order[q])
+        both = np.flatnonzero((p < n) & (q >= n))
+        yield i[p[both]], j[q[both] - n]
 
 
 def overlap_areas(left: pa.Array, right: pa.Array) -> np.ndarray:
@@ -164,7 +127,7 @@ def overlap_areas(left: pa.Array, right: pa.Array) -> np.ndarray:
         np.minimum.at(low_y, e.geom, np.minimum(e.y1, e.y2))
     out = np.zeros(n)
     pair = a.geom
-    for i, j, _ in _blocks(np.arange(len(pair)), b.start[pair], b.start[pair + 1]):
+    for i, j in _facing(a, b):
         lo = np.maximum(np.minimum(a.x1[i], a.x2[i]), np.minimum(b.x1[j], b.x2[j]))
         hi = np.minimum(np.maximum(a.x1[i], a.x2[i]), np.maximum(b.x1[j], b.x2[j]))
         both = np.flatnonzero(lo < hi)
@@ -194,7 +157,7 @@ def valid(geoms: pa.Array) -> list[bool | None]:
 def judged(geoms: pa.Array) -> tuple[list[bool | None], np.ndarray]:
     """Validity of each geometry, and a mask of the edges (in the order of ``edges_of``) that meet another as they may not."""
     e = edges_of(geoms)
-    crossed = np.zeros(len(e.x1), bool)
+    crossed, touching = np.zeros(len(e.x1), bool), np.zeros(len(geoms), bool)
     n, n_rings = len(geoms), len(e.part)
     geom_of_ring = e.geom_of_part[e.part] if n_rings else np.zeros(0, np.int64)
     bad = np.bincount(geom_of_ring, minlength=n) == 0  # empty
@@ -223,9 +186,10 @@ def judged(geoms: pa.Array) -> tuple[list[bool | None], np.ndarray]:
         beside = same & ((j == i + 1) | ((i == ring_first[i]) & (j == ring_last[j])))
         wrong = np.where(beside, along, np.where(same, touch, proper | along))
         bad[geom[i[wrong]]] = True
+        touching[geom[i[touch & ~same]]] = True
         crossed[numbers[i[wrong]]] = crossed[numbers[j[wrong]]] = True
     for g in np.flatnonzero(~bad & (np.bincount(geom_of_ring, minlength=n) > 1)):
-        bad[g] = not _nested(e, int(g))
+        bad[g] = not _nested(e, int(g)) or (touching[g] and not _whole(e, int(g)))
     known = geoms.is_valid().to_pylist()
     return [not b if k else None for b, k in zip(bad.tolist(), known)], crossed
 
@@ -322,6 +286,16 @@ def _inside(e: Edges, ring: slice, x: np.ndarray, y: np.ndarray) -> bool | None:
     return None
 
 
+def _whole(e: Edges, g: int) -> bool:
+    """Whether the inside of each part is one, though its rings touch each other."""
+    own = slice(int(e.start[g]), int(e.start[g + 1]))
+    part = e.part[e.ring[own]]
+    xy = np.column_stack((e.x1[own], e.y1[own], e.x2[own], e.y2[own]))
+    # Shells count up and holes down, whichever way they run.
+    weight = e.sign[own].astype(np.int64)
+    return all(len(planar.region(xy[part == p], weight[part == p], lambda w: w[:, 0] > 0)) == 1 for p in np.unique(part))
+
+
 def _nested(e: Edges, g: int) -> bool:
     """Whether the rings of a geometry, none across another, lie in each other as they should."""
     edges = slice(int(e.start[g]), int(e.start[g + 1]))
@@ -343,50 +317,3 @@ def _nested(e: Edges, g: int) -> bool:
                 if not any(_inside(e, where[h], *points[other]) for h in own):
                     return False
     return True
-
-
-def union_areas(geoms: pa.Array) -> list[float | None]:
-    """Area covered by the parts of each geometry (simple rings), what several cover counted once.
-
-    Between two neighbours of all corners' and crossings' x no edges cross, so what is covered there is a stack
-    of trapezoids: its width times the covered length in the middle.
-    """
-    e = edges_of(geoms)
-    known = geoms.is_valid().to_pylist()
-    out: list[float | None] = [0.0 if k else None for k in known]
-    n_parts = np.bincount(e.geom_of_part, minlength=len(geoms)) if len(geoms) else np.zeros(0, np.int64)
-    size = np.abs(np.bincount(e.geom, e.sign * ((e.x1 - e.x1[e.start[:-1].clip(max=max(len(e.x1) - 1, 0))][e.geom]) * (e.y2 - e.y1) - (e.x2 - e.x1) * (e.y1 - e.y1[e.start[:-1].clip(max=max(len(e.x1) - 1, 0))][e.geom])) / 2, len(geoms))) if len(e.x1) else np.zeros(len(geoms))
-    for g in np.flatnonzero([k is not None for k in out]):
-        out[g] = float(size[g]) if n_parts[g] < 2 else _covered(e, slice(int(e.start[g]), int(e.start[g + 1])))
-    return out
-
-
-def _covered(e: Edges, own: slice) -> float:
-    x0, y0 = e.x1[own].min(), e.y1[own].min()
-    x1, y1, x2, y2 = e.x1[own] - x0, e.y1[own] - y0, e.x2[own] - x0, e.y2[own] - y0
-    part = e.part[e.ring[own]]
-    up = np.flatnonzero(x1 != x2)
-    x1, y1, x2, y2, part = (v[up] for v in (x1, y1, x2, y2, part))
-    stops = [x1, x2]
-    slope = (y2 - y1) / (x2 - x1)
-    height = y1 - slope * x1
-    for i, j, _ in _blocks(np.arange(len(x1)), np.arange(len(x1)) + 1, np.full(len(x1), len(x1))):
-        turned = np.flatnonzero(slope[i] != slope[j])
-        i, j = i[turned], j[turned]
-        x = (height[j] - height[i]) / (slope[i] - slope[j])
-        in_i = (np.minimum(x1[i], x2[i]) < x) & (x < np.maximum(x1[i], x2[i]))
-        stops.append(x[in_i & (np.minimum(x1[j], x2[j]) < x) & (x < np.maximum(x1[j], x2[j]))])
-    xs = np.unique(np.concatenate(stops))
-    total = 0.0
-    low, high = np.minimum(x1, x2), np.maximum(x1, x2)
-    for a, b in zip(xs, xs[1:]):
-        mid = (a + b) / 2
-        here = np.flatnonzero((low < mid) & (mid < high))
-        y = height[here] + slope[here] * mid
-        order = np.lexsort((y, part[here]))
-        y = y[order].reshape(-1, 2)  # each part's borders come in pairs
-        y = y[np.argsort(y[:, 0])]
-        top = np.maximum.accumulate(y[:, 1])
-        floor = np.maximum(y[:, 0], np.concatenate(([-np.inf], top[:-1])))
-        total += (b - a) * float(np.maximum(y[:, 1] - floor, 0).sum())
-    return total

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from ..functions import geometry as G
 from ..functions.shapes import overlap_areas
+from ..sources.sinks import scratch_folder
 
 STEP = 4
 #: Searching rows that one (cell, slice) may have.
@@ -51,6 +52,11 @@ def posted(rows: DataFrame, key: str, source: str, cell: float, box: str = "box"
     where = [source, "at", "cx", "cy"]
     home = rows.withColumn("at", F.col("level")).withColumn("cx", cells(x0, x1)).withColumn("cy", cells(y0, y1))
     crowded = searching.groupBy(*where).agg(F.count("*").alias("n")).where(F.col("n") > most).select(*where, F.ceil(F.col("n") / most).cast("int").alias("slices"))
+    path = scratch_folder(rows.sparkSession, "crowded")
+    crowded.write.parquet(path)
+    crowded = rows.sparkSession.read.schema(crowded.schema).parquet(path)
+    if crowded.isEmpty():
+        return searching.withColumn("slice", F.lit(0)), home.withColumn("slice", F.lit(0))
     slices = F.coalesce("slices", F.lit(1))
     own = F.pmod(F.xxhash64(key), slices).cast("int")
     searching = searching.join(crowded, where, "left").withColumn("slice", own).drop("slices")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
+from ..operators import conform
 from ..operators import findings as X
 from ..operators import vintage as V
 from ..sources import feature_pages as FP
@@ -202,6 +203,40 @@ LANDED_PAGES = f"""
 SELECT count(*) AS n, CAST(sum(p_partkey) AS BIGINT) AS keys, count(*) FILTER (p_partkey % 17 = 0) AS n_unknown FROM part GROUP BY p_partkey // {SIZE}
 """
 
+def seed_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A seed written as CSV and read with declared types: codes stay text, empty notes are missing."""
+    path = S.scratch_folder(spark, "seed")
+    n = table(spark, sf_dir, "nation")
+    note = F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("region "), F.col("n_regionkey").cast("string")))
+    n.select(F.lpad(F.col("n_nationkey").cast("string"), 3, "0").alias("code"), F.col("n_name").alias("label"), note.alias("note")).write.csv(path, header=True)
+    return P.read_seed(spark, path)
+
+
+def mapped_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns that a manifest maps and the source no longer publishes, with the rows that go without."""
+    published = table(spark, sf_dir, "orders").drop("o_orderpriority")
+    source = conform.Source("O", "orders", "o_orderkey", {"status": "o_orderstatus", "priority": "o_orderpriority", "clerk": "o_clerkname", "total": "o_totalprice * 2"}, key_fields=("o_custkey",))
+    missing = F.array(*[F.lit(c) for c in conform.missing_columns(source, published.columns)])
+    return published.agg(F.count("*").alias("n_rows")).select(F.explode(missing).alias("missing"), "n_rows")
+
+
+def geometry_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single polygons as multi ones, each in one of two reference systems or in none that is known, all brought into one."""
+    x, y = F.col("p_partkey") % 100 + F.lit(0.25), F.col("p_partkey") % 60 + F.lit(0.5)
+    ring = G.polygon([(x, y), (x + 1, y), (x, y + 1)])
+    known = F.element_at(F.array(F.lit(4326), F.lit(3857), F.lit(9999)), (F.col("p_partkey") % 3 + 1).cast("int"))
+    tagged = G.transformed(G.with_srid(G.multi(F.get(ring, F.lit(0))), known), 3857, (4326, 3857))
+    first = F.get(G.points(G.shape(tagged)), F.lit(0))
+    return table(spark, sf_dir, "part").select("p_partkey", G.srid(tagged).alias("srid"), F.size(G.shape(tagged)).alias("n_parts"), F.round(first.x, 3).alias("x"), F.round(first.y, 3).alias("y"))
+
+
+GEOMETRY_TRANSFORM = """
+WITH p AS (SELECT p_partkey, p_partkey % 3 AS kind, CAST(p_partkey % 100 + 0.25 AS DOUBLE) AS x, CAST(p_partkey % 60 + 0.5 AS DOUBLE) AS y FROM part)
+SELECT p_partkey, CASE WHEN kind < 2 THEN 3857 END AS srid, CASE WHEN kind < 2 THEN 1 END AS n_parts,
+       CASE kind WHEN 0 THEN round(radians(x) * 6378137.0, 3) WHEN 1 THEN x END AS x, CASE kind WHEN 0 THEN round(ln(tan(pi() / 4 + radians(y) / 2)) * 6378137.0, 3) WHEN 1 THEN y END AS y
+FROM p
+"""
+
 QUERIES = {
     "page_scan": page_scan,
     "attribute_pages": attribute_pages,
@@ -212,6 +247,9 @@ QUERIES = {
     "incremental_publish": incremental_publish,
     "clustered_lookup": clustered_lookup,
     "landed_pages": landed_pages,
+    "seed_labels": seed_labels,
+    "mapped_columns": mapped_columns,
+    "geometry_transform": geometry_transform,
 }
 SQL = {
     "page_scan": PAGE_SCAN,
@@ -226,4 +264,7 @@ WITH f AS (SELECT p_partkey AS feature_id, p_brand FROM part WHERE 500.5 BETWEEN
 SELECT feature_id, p_brand, (SELECT count(*) FROM f) AS total FROM f ORDER BY feature_id LIMIT 6
 """,
     "landed_pages": LANDED_PAGES,
+    "seed_labels": "SELECT lpad('' || n_nationkey, 3, '0') AS code, n_name AS label, CASE WHEN n_nationkey % 2 = 0 THEN 'region ' || n_regionkey END AS note FROM nation",
+    "mapped_columns": "SELECT m AS missing, count(*) AS n_rows FROM orders, (VALUES ('o_clerkname'), ('o_orderpriority')) v(m) GROUP BY m",
+    "geometry_transform": GEOMETRY_TRANSFORM,
 }

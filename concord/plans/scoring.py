@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import tri_state
-from ..functions.geometry import is_valid, repair
+from ..functions.geometry import repair
 from ..operators import scorecard as S
 from ..operators.records import flag_duplicates
 from ..operators.rules import Rule, registry_frame, split
@@ -65,7 +65,7 @@ def _long(spark: SparkSession, sf_dir: str, judged: DataFrame, recon: DataFrame)
             "stacked_components": F.when(F.col("is_final"), "stacked").otherwise("not_stacked"),
         },
     )
-    stored = repair(odd_shapes(spark, sf_dir).withColumn("source", source())).withColumn("valid", is_valid(F.col("geom")))
+    stored = repair(odd_shapes(spark, sf_dir).withColumn("source", source()), valid="valid")
     shapes = S.record_checks(stored, "source", {"geometry_valid": F.when(F.col("valid"), "valid").when(~F.col("valid"), "invalid"), "geometry_repaired": F.when(F.col("geometry_repaired"), "repaired")})
     # The date that each source was last published, beside the number of its records: aggregated before the join.
     last = table(spark, sf_dir, "lineitem").groupBy(F.col("l_returnflag").alias("source")).agg(F.max(F.col("l_shipdate").cast("date")).cast("string").alias("outcome"))

@@ -25,8 +25,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain, fitted on the labelled ones among them, calls toxic go.
 
     Null and empty texts have no features and stay unless the models' base rate is toxic; rows that
-    repeat go or stay together; p_toxic at the threshold is toxic; an empty table stays empty, and
-    without labels nothing goes.  Columns of any name are kept as they are.
+    repeat go or stay together; p_toxic at the threshold is toxic; very long texts are scored by all their
+    words; an empty table stays empty, and without labels nothing goes.  Columns of any name are kept as they are.
     """
     ship_package(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -38,7 +38,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Ties (rows that share the smallest id) are broken by a hash of the text, then by the other columns; of
     rows that repeat whole one stays.  Null ids come last.  Null and empty texts link with nothing and
-    all stay.  An empty table stays empty.  Columns of any name are kept as they are.
+    all stay.  Very long texts are compared by all their shingles.  An empty table stays empty.  Columns of any
+    name are kept as they are.
     """
     ship_package(spark)
     return _together(near_dedup.drop_near_duplicates(_apart(docs)), docs)
@@ -48,7 +49,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes in strings of 200 bytes that occur elsewhere are cut out of the texts; a column n_chars follows, if there is one.
 
     No row goes: a text that repeats whole is left empty in each of its rows, a null text becomes empty,
-    a text under 200 bytes stays.  There are no ties: every occurrence is cut.  An empty table stays
+    a text under 200 bytes stays, a very long one is cut like any, in pieces.  There are no ties: every occurrence is cut.  An empty table stays
     empty.  All other columns, of any name, are kept as they are.
     """
     ship_package(spark)
@@ -61,8 +62,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a window of a benchmark item go.
 
-    Null and empty texts have no words and stay; rows that repeat go or stay together; there are no ties.
-    An empty table stays empty, and without benchmark items nothing goes.  Columns of any name are kept.
+    Null and empty texts have no words and stay; very long texts are scanned to their end; rows that repeat go or
+    stay together; there are no ties.  An empty table stays empty, and without benchmark items nothing goes.  Columns of any name are kept.
     """
     ship_package(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -72,8 +73,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens of the texts that are left: their number, and digests of the ids and of the decoded text.
 
-    One row for each row, repeated or not; null and empty texts have no tokens; an empty table gives
-    none.  Only doc_id of the other columns is returned, whatever their names.
+    One row for each row, repeated or not; null and empty texts have no tokens, very long ones all of theirs;
+    there are no ties; an empty table gives none.  Only doc_id of the other columns is returned, whatever their names.
     """
     ship_package(spark)
     return bpe.bpe_round_trip(docs.select("doc_id", "text"), bpe.default_vocabulary(spark))

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from concord.functions import geometry as G
-from concord.functions import shapes
+from concord.functions import edge_pairs, planar, shapes
 from concord.operators import overlap
 
 SQUARE = [(0, 0), (2, 0), (2, 2), (0, 2), (0, 0)]
@@ -50,6 +50,9 @@ BOX = lambda x, y, w: [(x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y)]
         ([BOX(0, 0, 4), BOX(3, 3, 3)], False),  # a hole across the shell
         ([BOX(0, 0, 9), BOX(1, 1, 4), BOX(2, 2, 1)], False),  # a hole in a hole
         ([[(0, 0), (1, 0), (1, 0), (1, 1), (0, 0)]], True),  # a point twice
+        ([BOX(0, 0, 4), [(0, 2), (2, 1), (2, 3), (0, 2)], [(2, 1), (4, 2), (3, 3), (2, 1)]], False),  # holes that touch cut the inside in two
+        ([BOX(0, 0, 4), [(1, 2), (2, 1), (2, 3), (1, 2)], [(2, 1), (4, 2), (3, 3), (2, 1)]], True),  # these don't
+        ([BOX(0, 0, 4), [(2, 0), (3, 2), (2, 4), (1, 2), (2, 0)]], False),  # a hole from side to side
     ],
 )
 def test_validity_of_rings(spark, shape, ok):
@@ -63,15 +66,15 @@ def test_validity_of_parts(spark):
 
 
 def test_union_area_and_blocks(spark, monkeypatch):
-    from concord.functions import shapes
+    from concord.functions import edge_pairs, planar, shapes
 
     parts = geom([BOX(0, 0, 4)], [BOX(2, 2, 4)], [BOX(3, 3, 1)], [[(10, 0), (12, 0), (11, 2), (10, 0)]], [[(10, 2), (12, 2), (11, 0), (10, 2)]])
     for block in (1 << 20, 5):
-        monkeypatch.setattr(shapes, "BLOCK", block)
+        monkeypatch.setattr(edge_pairs, "BLOCK", block)
         import pyarrow as pa
 
         kind = pa.list_(pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))))
-        got = shapes.union_areas(pa.array([parts, None, geom(), geom([BOX(1, 1, 2)])], kind))
+        got = planar.covered_areas(pa.array([parts, None, geom(), geom([BOX(1, 1, 2)[::-1]])], kind))
         assert got[0] == pytest.approx(16 + 16 - 4 + 3) and got[1:] == [None, 0, 4]
         assert shapes.overlap_areas(pa.array([parts[:1], geom()], kind), pa.array([parts[1:2], parts[:1]], kind)).tolist() == [4, 0]
         assert shapes.valid(pa.array([parts[:1], parts[:2], None, geom()], kind)) == [True, False, None, False]
@@ -212,12 +215,29 @@ def test_sweep_finds_the_pairs_of_all_pairs(monkeypatch):
     x2, y2 = x1 + (x2 - x1) * 0.1, y1 + (y2 - y1) * 0.1
     found = []
     for few, block in ((1_000, 1 << 20), (0, 1 << 20), (0, 50)):
-        monkeypatch.setattr(shapes, "FEW", few)
-        monkeypatch.setattr(shapes, "BLOCK", block)
-        found.append(sorted((int(i), int(j)) for a, b in shapes.near_pairs(group, x1, y1, x2, y2) for i, j in zip(a, b)))
+        monkeypatch.setattr(edge_pairs, "FEW", few)
+        monkeypatch.setattr(edge_pairs, "BLOCK", block)
+        found.append(sorted((int(i), int(j)) for a, b in edge_pairs.near_pairs(group, x1, y1, x2, y2) for i, j in zip(a, b)))
     assert found[0] == found[1] == found[2] and len(found[0]) > 50
 
 
+def test_overlaps_of_large_shapes_by_the_sweep(monkeypatch):
+    rng = random.Random(9)
+
+    def star(n):
+        x, y = rng.random(), rng.random()
+        ring = [(x + r * math.cos(2 * math.pi * k / n), y + r * math.sin(2 * math.pi * k / n)) for k in range(n) for r in [0.5 + rng.random()]]
+        return geom([[*ring, ring[0]]])
+
+    left, right = (pa.array([star(rng.randint(3, 60)) for _ in range(20)] + [geom()], KIND) for _ in "ab")
+    want = shapes.overlap_areas(left, right)
+    for few, block in ((0, 1 << 20), (0, 64), (10_000, 100)):
+        monkeypatch.setattr(edge_pairs, "FEW", few)
+        monkeypatch.setattr(edge_pairs, "BLOCK", block)
+        assert np.allclose(shapes.overlap_areas(left, right), want, atol=1e-9)
+    assert (want[:20] > 0).any() and want[20] == 0
+
+
 def test_dissolved_outlines(spark):
     """Squares that share whole sides, parts of sides, corners or ground; a hole between them; a hot border."""
     cells = [("touch", BOX(0, 0, 1)), ("touch", BOX(1, 0, 1)[::-1]), ("part", BOX(0, 0, 2)), ("part", BOX(2, 1, 4)), ("corner", BOX(0, 0, 1)), ("corner", BOX(1, 1, 1)), ("over", BOX(0, 0, 4)), ("over", BOX(2, 2, 4)), ("twice", BOX(0, 0, 1)), ("twice", BOX(0, 0, 1))]
