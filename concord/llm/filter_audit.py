@@ -42,7 +42,7 @@ from .text import blocks, byte_buffer, mapped
 #: Bounds of a block's words, and so of a task's memory.
 WORDS, WORD_BYTES = 400_000, 16 << 20
 #: Bytes of packed words that a bucket may have.
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 4 << 20
 FILTERS = "ABCDE"
 _SHARDS = "block long, kind int, rows binary, numbers binary, counts binary, words binary"
 

@@ -23,7 +23,8 @@ smallest of the set under as many hash functions; a class is posted under each (
   100 * intersection >= 75 * union.
 
 Defined results: null texts and texts without words have the empty set and link with nothing; a text
-of fewer than 5 words has one shingle, its whole sequence; very long texts are hashed whole, in pieces.
+of fewer than 5 words has one shingle, its whole sequence; very long texts are hashed whole, at about 40 bytes of
+memory for each byte of the longest.
 Repeated rows link with each other and get equal rows.  Ties: of documents that share the smallest id
 of a component each is kept.  A null id never is a component's id unless no document of the component
 has one; such documents are kept if they are alone.  An empty table gives an empty table.  Only the id
