@@ -26,7 +26,7 @@ from ..sources.sinks import scratch_folder
 
 STEP = 4
 #: Searching rows that one (cell, slice) may have.
-SLICE = 4_096
+SLICE = 1_024
 
 
 def choose_cell(boxes: DataFrame, box: str = "box", share: float = 0.1) -> float:
