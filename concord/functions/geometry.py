@@ -233,19 +233,15 @@ def reproject(geom: Column, source: int, target: int) -> Column:
 # --- Repair, dissolved outlines and simplification: Arrow functions.
 
 
-def _points(polygons: planar.Rings) -> list | None:
-    return [[[{"x": x, "y": y} for x, y in ring.tolist()] for ring in rings] for rings in polygons] or None
-
-
-def repaired_geometry(geom) -> list | None:
-    """What the rings of a geometry go round, as valid polygons (see planar.repaired); None if that is nothing."""
-    return _points(planar.repaired(planar.arrays(geom)))
+def repaired_geometries(geoms: pa.Array) -> pa.Array:
+    """What the rings of each geometry go round, as valid polygons (see planar.repaired); null if that is nothing."""
+    return planar.geometries(planar.repaired(planar.arrays(geoms)), geoms.type)
 
 
 def repair(df: DataFrame, geom: str = "geom", valid: str | None = None) -> DataFrame:
     """Adds geometry_repaired and repairs what is not valid; a shape of which nothing is left stays as it was.
 
-    Validity is tested for a batch at once; only invalid shapes are taken apart, each by itself.  ``valid`` names a column for
+    Validity is tested for a batch at once, and the invalid shapes of a batch are taken apart together.  ``valid`` names a column for
     the validity of the result, which is known here without a test of its own.
     """
     added = ["geometry_repaired", *([valid] if valid else [])]
@@ -259,7 +255,7 @@ def repair(df: DataFrame, geom: str = "geom", valid: str | None = None) -> DataF
             shape = batch.column(at)
             ok = shapes.valid(shape)
             bad = [i for i, sound in enumerate(ok) if sound is False]
-            new = pa.array([repaired_geometry(g) for g in shape.take(pa.array(bad, pa.int64())).to_pylist()], shape.type)
+            new = repaired_geometries(shape.take(pa.array(bad, pa.int64())))
             sound = [k for k, fine in enumerate(shapes.valid(new)) if fine]
             index = np.arange(len(shape))
             index[[bad[k] for k in sound]] = len(shape) + np.array(sound, np.int64)
@@ -315,9 +311,9 @@ def dissolve(df: DataFrame, keys: list[str], geom: str = "geom") -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         edges = np.column_stack([table.column(f"_{p}{c}").to_numpy() for p in "ab" for c in "xy"])
-        found = _points(planar.region(edges, table.column("weight").to_numpy(), lambda w: w[:, 0] > 0))
+        found = planar.region(edges, table.column("weight").to_numpy(), lambda w: w[:, 0] > 0)
         one = [table.column(k).combine_chunks().slice(0, 1) for k in keys]
-        return pa.Table.from_arrays([*one, pa.array([found], kind)], names=[f.name for f in schema.fields])
+        return pa.Table.from_arrays([*one, planar.geometries([found], kind)], names=[f.name for f in schema.fields])
 
     return left.groupBy(*keys).applyInArrow(run, schema).where(F.col(geom).isNotNull())
 

@@ -130,9 +130,13 @@ def test_overlap_area(spark, a, b, area):
 KIND = pa.list_(pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))))
 
 
+def repaired(*parts):
+    return G.repaired_geometries(pa.array([geom(*parts)], KIND)).to_pylist()[0]
+
+
 def fixed(*parts):
     """What repair makes of a geometry: area of each polygon, points of its rings; and it is valid."""
-    out = G.repaired_geometry(geom(*parts))
+    out = repaired(*parts)
     if out is None:
         return None
     assert shapes.valid(pa.array([out], KIND)) == [True], out
@@ -199,7 +203,7 @@ def test_regions_by_points():
         grid = trial % 2  # corners on a small grid meet edges and each other
         pick = (lambda: float(rng.randint(0, 6))) if grid else (lambda: rng.uniform(0, 6))
         ring = [(pick(), pick()) for _ in range(rng.randint(3, 14))]
-        out = G.repaired_geometry(geom([ring]))
+        out = repaired([ring])
         if out is not None:
             assert shapes.valid(pa.array([out], KIND)) == [True], ring
         rings = [[(p["x"], p["y"]) for p in r[:-1]] for part in out or [] for r in part]
@@ -208,6 +212,22 @@ def test_regions_by_points():
             assert (winding(ring, x, y) != 0) == (sum(winding(r, x, y) for r in rings) == 1), (ring, x, y)
 
 
+def test_a_batch_is_repaired_like_its_shapes(spark):
+    """Shapes of a batch lie over each other, repeat, and are null or empty among sound ones; each comes out as it does alone."""
+    rng = random.Random(5)
+    pick = lambda: (float(rng.randint(0, 6)), float(rng.randint(0, 6)))
+    batch = [geom(*[[[pick() for _ in range(rng.randint(0, 9))] for _ in range(rng.randint(1, 3))] for _ in range(rng.randint(1, 3))]) for _ in range(150)]
+    batch += [None, geom(), geom([[]]), geom([BOX(0, 0, 4)], [BOX(8, 8, 1)]), batch[3], batch[3]]
+    got = G.repaired_geometries(pa.array(batch, KIND))
+    assert got.to_pylist() == [G.repaired_geometries(pa.array([g], KIND)).to_pylist()[0] for g in batch]
+    assert all(v in (None, True) for v in shapes.valid(got)) and got.null_count < 60
+    sliced = pa.array(batch, KIND).slice(7, 90)
+    assert G.repaired_geometries(sliced).to_pylist() == got.to_pylist()[7:97]
+    rows = spark.createDataFrame([(k, g) for k, g in enumerate(batch)], f"k int, geom {G.GEOMETRY}").coalesce(1)
+    found = {r.k: r for r in G.repair(rows, valid="ok").collect()}
+    assert all(found[k].geometry_repaired == (ok is False and new is not None) for k, (ok, new) in enumerate(zip(shapes.valid(pa.array(batch, KIND)), got.to_pylist())))
+
+
 def test_sweep_finds_the_pairs_of_all_pairs(monkeypatch):
     rng = np.random.default_rng(3)
     group = np.sort(rng.integers(0, 5, 400))
