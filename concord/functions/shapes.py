@@ -157,7 +157,7 @@ def valid(geoms: pa.Array) -> list[bool | None]:
 def judged(geoms: pa.Array) -> tuple[list[bool | None], np.ndarray]:
     """Validity of each geometry, and a mask of the edges (in the order of ``edges_of``) that meet another as they may not."""
     e = edges_of(geoms)
-    crossed, touching = np.zeros(len(e.x1), bool), np.zeros(len(geoms), bool)
+    crossed, touching = np.zeros(len(e.x1), bool), np.zeros(len(e.geom_of_part), bool)
     n, n_rings = len(geoms), len(e.part)
     geom_of_ring = e.geom_of_part[e.part] if n_rings else np.zeros(0, np.int64)
     bad = np.bincount(geom_of_ring, minlength=n) == 0  # empty
@@ -186,10 +186,12 @@ def judged(geoms: pa.Array) -> tuple[list[bool | None], np.ndarray]:
         beside = same & ((j == i + 1) | ((i == ring_first[i]) & (j == ring_last[j])))
         wrong = np.where(beside, along, np.where(same, touch, proper | along))
         bad[geom[i[wrong]]] = True
-        touching[geom[i[touch & ~same]]] = True
+        touching[e.part[ring[i[touch & ~same & (e.part[ring[i]] == e.part[ring[j]])]]]] = True
         crossed[numbers[i[wrong]]] = crossed[numbers[j[wrong]]] = True
     for g in np.flatnonzero(~bad & (np.bincount(geom_of_ring, minlength=n) > 1)):
-        bad[g] = not _nested(e, int(g)) or (touching[g] and not _whole(e, int(g)))
+        bad[g] = not _nested(e, int(g))
+    split = np.flatnonzero(touching & ~bad[e.geom_of_part])
+    bad[e.geom_of_part[split[_inside_splits(e, split)]]] = True
     known = geoms.is_valid().to_pylist()
     return [not b if k else None for b, k in zip(bad.tolist(), known)], crossed
 
@@ -286,14 +288,14 @@ def _inside(e: Edges, ring: slice, x: np.ndarray, y: np.ndarray) -> bool | None:
     return None
 
 
-def _whole(e: Edges, g: int) -> bool:
-    """Whether the inside of each part is one, though its rings touch each other."""
-    own = slice(int(e.start[g]), int(e.start[g + 1]))
-    part = e.part[e.ring[own]]
-    xy = np.column_stack((e.x1[own], e.y1[own], e.x2[own], e.y2[own]))
+def _inside_splits(e: Edges, parts: np.ndarray) -> np.ndarray:
+    """A mask of the parts, whose rings touch each other, with an inside that isn't one."""
+    own = np.flatnonzero(np.isin(e.part[e.ring], parts))
+    group = np.searchsorted(parts, e.part[e.ring[own]])
     # Shells count up and holes down, whichever way they run.
-    weight = e.sign[own].astype(np.int64)
-    return all(len(planar.region(xy[part == p], weight[part == p], lambda w: w[:, 0] > 0)) == 1 for p in np.unique(part))
+    weight = e.sign[own].astype(np.int64)[:, None]
+    found = planar.regions(group, np.column_stack((e.x1[own], e.y1[own], e.x2[own], e.y2[own])), weight, lambda w: w[:, 0] > 0, len(parts))
+    return np.array([len(polygons) != 1 for polygons in found], bool)
 
 
 def _nested(e: Edges, g: int) -> bool:
