@@ -168,6 +168,14 @@ def test_repair():
     assert fixed([[*BOX(0, 0, 2), *BOX(2, 2, 2), (0, 0)]]) == [(4, [5]), (4, [5])]
 
 
+def test_crossings_on_axes_are_exact():
+    """Two loops against each other whose crossing, as a part of the one edge, isn't on the other by rounding."""
+    for k, s in ((4269973, 47), (4246973, 47), (4222919, 47), (4211973, 47)):
+        x, y, dx, dy = k * 37 % 1000, k * 91 % 1000, k % 13, k % 7
+        out = fixed([[*BOX(x, y, s), *BOX(x + dx, y + dy, s)[::-1], (x, y)]])
+        assert sum(a for a, _ in out) == 2 * s * s - 2 * (s - dx) * (s - dy), (k, out)
+
+
 def crossings(n):
     """A zigzag there and back: n crossings."""
     there = [(float(i), float(i % 2)) for i in range(n + 1)]
