@@ -11,6 +11,9 @@ Boxes that live in one cell are at least a quarter as wide as the cell, so a cro
 overlap in truth.  Its searching rows are counted (a distributed count by cell) and dealt over so many slices that
 none has more than ``SLICE``, with the boxes at home copied to each: one cell, even if it holds most of the rows,
 is the work of many tasks.
+
+Shapes that are the same, point for point, are one class: classes alone go through the grid and have their areas taken.
+Pairs of records come from the classes by a join, their number and lists of counterparts from the classes' figures.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from pyspark.sql import types as T
 
 from ..functions import geometry as G
 from ..functions.shapes import overlap_areas
-from ..sources.sinks import scratch_folder
+from ..sources.sinks import materialise, scratch_folder
 
 STEP = 4
 #: Searching rows that one (cell, slice) may have.
@@ -84,28 +87,43 @@ def candidate_pairs(df: DataFrame, key: str, source: str, cell: float, box: str
         condition &= extra
     side = {"a": F.when(first, "a").otherwise("b"), "b": F.when(first, "b").otherwise("a")}
     seen = lambda t, c: F.when(side[t] == "a", F.col(f"a.{c}")).otherwise(F.col(f"b.{c}")).alias(f"{c}_{t}")
-    return a.join(b, condition).select(F.col(f"a.{source}").alias(source), *[seen(t, c) for t in "ab" for c in (key, *keep)])
+    # Never broadcast by the size of the file that the boxes are made of.
+    return a.join(b.hint("merge"), condition).select(F.col(f"a.{source}").alias(source), *[seen(t, c) for t in "ab" for c in (key, *keep)])
 
 
-def overlap_pairs(df: DataFrame, key: str, source: str, geom: str = "geom", parent: str | None = None, stacked: str | None = None, least_area: float = 1.0, cell: float | None = None) -> DataFrame:
-    """Pairs that overlap by more than ``least_area``: overlap_area and overlap_ratio (to the smaller of the two).
+def shape_classes(df: DataFrame, key: str, source: str, geom: str = "geom", parent: str | None = None, stacked: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(members, classes) of the shapes that aren't empty: key and parent of each record with its ``shape``; and source, ``shape``, n, box, area, stacked and geometry of each class, kept as a table.
 
-    ``key`` is unique; records of one ``parent`` never pair, nor do two ``stacked`` ones.  The grid join moves
-    keys and boxes only; geometries join what is left of the pairs, and the area comes from an Arrow
-    function over them, which the optimiser neither repeats nor pulls into the join.
+    Records of one source whose shapes are the same and which are flagged alike have one ``shape``, 128 bits of digest.
     """
-    keep = tuple(c for c in ("area", parent, stacked) if c)
-    rows = df.where(F.col(geom).isNotNull() & ~G.is_empty(F.col(geom)))
-    rows = rows.withColumn("box", G.bbox(F.col(geom))).withColumn("area", G.area(F.col(geom)))
-    extra = None
+    rows = df.where(F.col(geom).isNotNull() & ~G.is_empty(F.col(geom)) & F.col(source).isNotNull())
     if parent:
-        extra = F.col(f"a.{parent}") != F.col(f"b.{parent}")
+        rows = rows.where(F.col(parent).isNotNull())  # of no known parent: pairs with none
+    flag = [F.coalesce(F.col(stacked).cast("string"), F.lit("unknown"))] if stacked else []
+    digest = F.struct(*[F.xxhash64(F.lit(k), source, *flag, geom).alias(c) for k, c in ((1, "h1"), (2, "h2"))])
+    rows = rows.withColumn("shape", digest)
+    members = rows.select("shape", key, *([parent] if parent else []))
+    first = [F.first(c).alias(c) for c in ([stacked] if stacked else [])]
+    classes = rows.groupBy(source, "shape").agg(F.count("*").alias("n"), *first, F.first(geom).alias(geom))
+    return members, materialise(classes.withColumn("box", G.bbox(F.col(geom))).withColumn("area", G.area(F.col(geom))), "shape_classes")
+
+
+def class_pairs(classes: DataFrame, source: str, geom: str = "geom", stacked: str | None = None, least_area: float = 1.0, cell: float | None = None) -> DataFrame:
+    """Pairs of classes (shape_a < shape_b, and each class of several records with itself) that overlap by more than ``least_area``.
+
+    The grid join moves digests and boxes only; geometries join what is left of the pairs, and the area comes from an
+    Arrow function over them, which the optimiser neither repeats nor pulls into the join.
+    """
+    keep = tuple(c for c in ("area", "n", stacked) if c)
+    extra = None
+    alone = (F.col("n") > 1) & (F.col("box.x0") < F.col("box.x1")) & (F.col("box.y0") < F.col("box.y1"))
     if stacked:
-        not_both = ~(F.coalesce(F.col(f"a.{stacked}"), F.lit(False)) & F.coalesce(F.col(f"b.{stacked}"), F.lit(False)))
-        extra = not_both if extra is None else extra & not_both
-    pairs = candidate_pairs(rows, key, source, cell or choose_cell(rows), extra=extra, keep=keep)
+        extra = ~(F.coalesce(F.col(f"a.{stacked}"), F.lit(False)) & F.coalesce(F.col(f"b.{stacked}"), F.lit(False)))
+        alone &= ~F.coalesce(F.col(stacked), F.lit(False))
+    pairs = candidate_pairs(classes, "shape", source, cell or choose_cell(classes), extra=extra, keep=keep)
+    pairs = pairs.unionByName(classes.where(alone).select(source, *[F.col(c).alias(f"{c}_{t}") for t in "ab" for c in ("shape", *keep)]))
     for t in "ab":
-        pairs = pairs.join(rows.select(F.col(key).alias(f"{key}_{t}"), F.col(geom).alias(f"{geom}_{t}")), f"{key}_{t}")
+        pairs = pairs.join(classes.select(F.col("shape").alias(f"shape_{t}"), F.col(geom).alias(f"{geom}_{t}")).hint("merge"), f"shape_{t}")
     stay = [c for c in pairs.columns if c not in (f"{geom}_a", f"{geom}_b")]
     pairs = pairs.select(*stay, f"{geom}_a", f"{geom}_b")
     schema = T.StructType([*pairs.schema.fields[: len(stay)], T.StructField("overlap_area", T.DoubleType(), False)])
@@ -119,6 +137,66 @@ def overlap_pairs(df: DataFrame, key: str, source: str, geom: str = "geom", pare
     return pairs.withColumn("overlap_ratio", F.col("overlap_area") / F.nullif(F.least("area_a", "area_b"), F.lit(0.0)))
 
 
+def overlap_pairs(df: DataFrame, key: str, source: str, geom: str = "geom", parent: str | None = None, stacked: str | None = None, least_area: float = 1.0, cell: float | None = None) -> DataFrame:
+    """Pairs that overlap by more than ``least_area``: overlap_area and overlap_ratio (to the smaller of the two).
+
+    ``key`` is unique; records of one ``parent`` never pair, nor do two ``stacked`` ones.  Pairs of classes are joined
+    by their members, those of large classes in slices of about ``SLICE``.
+    """
+    members, classes = shape_classes(df, key, source, geom, parent, stacked)
+    pairs = class_pairs(classes, source, geom, stacked, least_area, cell)
+    large = classes.where(F.col("n") > SLICE).select("shape", F.ceil(F.col("n") / SLICE).cast("int").alias("slices"))
+    dealt = members.join(large, "shape", "left").withColumn("slice", F.pmod(F.xxhash64(key), F.coalesce("slices", F.lit(1))).cast("int"))
+    own = [key, *([parent] if parent else [])]
+    left = members.select(F.col("shape").alias("shape_a"), *[F.col(c).alias(f"_{c}_a") for c in own])
+    right = dealt.select(F.col("shape").alias("shape_b"), "slice", *[F.col(c).alias(f"_{c}_b") for c in own])
+    both = pairs.join(left.hint("merge"), "shape_a").withColumn("slice", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n_b") / SLICE).cast("int") - 1)))
+    first = F.col(f"_{key}_a") < F.col(f"_{key}_b")
+    apart = (F.col("left.shape_b") == F.col("right.shape_b")) & (F.col("left.slice") == F.col("right.slice")) & ((F.col("left.shape_a") != F.col("left.shape_b")) | first)
+    if parent:
+        apart &= F.col(f"_{parent}_a") != F.col(f"_{parent}_b")
+    both = both.alias("left").join(right.alias("right").hint("merge"), apart)
+    names = {key: f"_{key}", "area": "area", **({parent: f"_{parent}"} if parent else {}), **({stacked: stacked} if stacked else {})}
+    turned = lambda c, t: F.when(first, F.col(f"{c}_{t}")).otherwise(F.col(f"{c}_{'b' if t == 'a' else 'a'}"))
+    return both.select(source, *[turned(c, t).alias(f"{n}_{t}") for t in "ab" for n, c in names.items()], "overlap_area", "overlap_ratio")
+
+
+def counted_pairs(df: DataFrame, key: str, source: str, geom: str = "geom", parent: str | None = None, stacked: str | None = None, least_area: float = 1.0, cell: float | None = None) -> DataFrame:
+    """Pairs of classes with ``n_pairs``, the number of the pairs of ``overlap_pairs`` that are of them; none without any.
+
+    All pairs of members but those of one parent, which are counted from the classes within each parent.
+    """
+    members, classes = shape_classes(df, key, source, geom, parent, stacked)
+    pairs = class_pairs(classes, source, geom, stacked, least_area, cell)
+    n_a, n_b = F.col("n_a"), F.col("n_b")
+    same = F.col("shape_a") == F.col("shape_b")
+    every = F.when(same, (n_a * (n_a - 1) / 2).cast("long")).otherwise(n_a * n_b)
+    if not parent:
+        return pairs.withColumn("n_pairs", every).where("n_pairs > 0")
+    within = members.groupBy(parent, "shape").agg(F.count("*").alias("m"))
+    a, b = (within.select(parent, F.col("shape").alias(f"shape_{t}"), F.col("m").alias(f"m_{t}")) for t in "ab")
+    kin = F.when(same, (F.col("m_a") * (F.col("m_a") - 1) / 2).cast("long")).otherwise(F.col("m_a") * F.col("m_b"))
+    related = a.join(b.hint("merge"), parent).where("shape_a <= shape_b").groupBy("shape_a", "shape_b").agg(F.sum(kin).alias("related"))
+    return pairs.join(related.hint("merge"), ["shape_a", "shape_b"], "left").withColumn("n_pairs", every - F.coalesce("related", F.lit(0))).drop("related").where("n_pairs <> 0")
+
+
+def parents_in_reach(df: DataFrame, key: str, source: str, parent: str, geom: str = "geom", stacked: str | None = None, least_area: float = 1.0, flags: dict[str, Column] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(members, reach): each record with its shape and parent; and for each class the parents of what overlaps it, once, with the largest area and whether any such pair has a flag.
+
+    A record's counterparts are the parents that its class reaches, without its own: what is left out of pairs are those
+    of one parent.  ``flags``: conditions on classified pairs.
+    """
+    members, classes = shape_classes(df, key, source, geom, parent, stacked)
+    flags = flags or {}
+    pairs = classify_overlaps(class_pairs(classes, source, geom, stacked, least_area), stacked).select("shape_a", "shape_b", "overlap_area", *[c.alias(n) for n, c in flags.items()])
+    ways = F.array(F.struct(F.col("shape_a").alias("shape"), F.col("shape_b").alias("other")), F.struct(F.col("shape_b").alias("shape"), F.col("shape_a").alias("other")))
+    ways = F.when(F.col("shape_a") == F.col("shape_b"), F.slice(ways, 1, 1)).otherwise(ways)
+    directed = pairs.select(F.explode(ways).alias("w"), "overlap_area", *flags).select("w.*", "overlap_area", *flags)
+    parents = members.select(F.col("shape").alias("other"), F.col(parent).alias("counterpart")).distinct()
+    reach = directed.join(parents.hint("merge"), "other").groupBy("shape", "counterpart").agg(F.max("overlap_area").alias("area"), *[F.bool_or(n).alias(n) for n in flags])
+    return members, materialise(reach, "shape_reach")
+
+
 def classify_overlaps(pairs: DataFrame, stacked: str | None = None, coincident: float = 0.8) -> DataFrame:
     """Adds overlap_class and unflagged_coincident (coincident though neither record is flagged as stacked)."""
     out = pairs.withColumn("overlap_class", F.when(F.col("overlap_ratio") >= coincident, "coincident").otherwise("encroachment"))
@@ -126,15 +204,18 @@ def classify_overlaps(pairs: DataFrame, stacked: str | None = None, coincident:
     return out.withColumn("unflagged_coincident", (F.col("overlap_class") == "coincident") & ~flagged[0] & ~flagged[1])
 
 
-def overlap_invariants(key: str, parent: str, stacked: str, least_area: float = 1.0, coincident: float = 0.8) -> dict[str, Column]:
-    """What no pair may be, by name: conditions on classified pairs that only wrong code can make true."""
+def overlap_invariants(key: str, parent: str | None, stacked: str, least_area: float = 1.0, coincident: float = 0.8) -> dict[str, Column]:
+    """What no pair may be, by name: conditions on classified pairs that only wrong code can make true.
+
+    Without ``parent`` the pairs are of classes, with n_pairs: more of them were left out as of one parent than there are.
+    """
     both = F.coalesce(F.col(f"{stacked}_a"), F.lit(False)) & F.coalesce(F.col(f"{stacked}_b"), F.lit(False))
     either = F.coalesce(F.col(f"{stacked}_a"), F.lit(False)) | F.coalesce(F.col(f"{stacked}_b"), F.lit(False))
     is_coincident = F.col("overlap_class") == "coincident"
     return {
         "both_stacked": both,
-        "not_ordered": F.col(f"{key}_a") >= F.col(f"{key}_b"),
-        "one_parent": F.col(f"{parent}_a") == F.col(f"{parent}_b"),
+        "not_ordered": F.col(f"{key}_a") >= F.col(f"{key}_b") if parent else F.col(f"{key}_a") > F.col(f"{key}_b"),
+        "one_parent": F.col(f"{parent}_a") == F.col(f"{parent}_b") if parent else F.col("n_pairs") < 0,
         "ratio_out_of_range": F.col("overlap_ratio").isNull() | (F.col("overlap_ratio") <= 0) | (F.col("overlap_ratio") > 1.0000001),
         "area_too_small": F.col("overlap_area") <= least_area,
         "wrongly_unflagged": F.col("unflagged_coincident") & (~is_coincident | either),

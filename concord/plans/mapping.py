@@ -40,6 +40,11 @@ def pairs(spark: SparkSession, sf_dir: str, by: str = "p_brand") -> DataFrame:
     return O.classify_overlaps(O.overlap_pairs(rectangles(spark, sf_dir), "p_partkey", by, parent="parent", stacked="stacked"), "stacked")
 
 
+def counted_pairs(spark: SparkSession, sf_dir: str, by: str = "p_brand") -> DataFrame:
+    """The same pairs by classes of equal shapes, with their number."""
+    return O.classify_overlaps(O.counted_pairs(rectangles(spark, sf_dir), "p_partkey", by, parent="parent", stacked="stacked"), "stacked")
+
+
 def outcome() -> Column:
     return F.when(F.col("unflagged_coincident"), "coincident_unflagged").otherwise(F.col("overlap_class"))
 
@@ -70,9 +75,10 @@ PAIRS_SQL = pairs_sql()
 
 def overlap_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs by source and outcome, and the invariants they break (none)."""
-    p = pairs(spark, sf_dir)
-    broken = [F.count_if(c).alias(n) for n, c in O.overlap_invariants("p_partkey", "parent", "stacked").items()]
-    return p.groupBy("p_brand", outcome().alias("outcome")).agg(F.count("*").alias("n"), F.sum("overlap_area").alias("area"), *broken)
+    p = counted_pairs(spark, sf_dir)
+    number = F.abs("n_pairs")
+    broken = [F.sum(F.when(c, number).otherwise(0)).alias(n) for n, c in O.overlap_invariants("shape", None, "stacked").items()]
+    return p.groupBy("p_brand", outcome().alias("outcome")).agg(F.sum("n_pairs").alias("n"), F.sum(F.col("overlap_area") * F.col("n_pairs")).alias("area"), *broken)
 
 
 OVERLAP_CLASSES = f"""
@@ -104,14 +110,10 @@ SELECT ka AS p_partkey_a, kb AS p_partkey_b, round(t * t / 2, 6) AS overlap_area
 """
 
 
-def directed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = {"p_partkey": ("p_partkey_a", "p_partkey_b"), "counterpart": ("parent_b", "parent_a")}
-    return O.both_directions(pairs(spark, sf_dir), columns, ["overlap_area", "overlap_class", "unflagged_coincident"])
-
-
 def counterpart_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     flags = {"has_encroachment": F.col("overlap_class") == "encroachment", "has_unflagged_coincident": F.col("unflagged_coincident")}
-    return X.counterparts(directed(spark, sf_dir), ["p_partkey"], "counterpart", "overlap_area", flags)
+    members, reach = O.parents_in_reach(rectangles(spark, sf_dir), "p_partkey", "p_brand", "parent", stacked="stacked", flags=flags)
+    return X.reached_counterparts(members, reach, "p_partkey", "parent", list(flags))
 
 
 COUNTERPARTS_SQL = (

@@ -12,7 +12,7 @@ from ..operators.records import flag_duplicates
 from ..operators.rules import Rule, registry_frame, split
 from ..sources.sinks import materialise
 from .common import JUDGED_SQL, judged_lines, table
-from .mapping import SOURCE_SQL, odd_shapes, outcome, pairs, pairs_sql, source
+from .mapping import SOURCE_SQL, counted_pairs, odd_shapes, outcome, pairs_sql, source
 from .reconciling import RECONCILED_SQL, reconciled, theirs
 
 CHECKS = [
@@ -76,7 +76,7 @@ def _long(spark: SparkSession, sf_dir: str, judged: DataFrame, recon: DataFrame)
     parts = [
         records,
         shapes,
-        S.group_check(pairs(spark, sf_dir, "source"), "source", "geometry_overlap", outcome()),
+        S.group_check(counted_pairs(spark, sf_dir, "source"), "source", "geometry_overlap", outcome(), F.sum("n_pairs")),
         vintage,
         S.group_check(rejected, "source", "rejection", F.col("rejection_reason")),
         S.group_check(recon, "source", "reconciliation", F.col("reconciliation_class")),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from concord.functions import geometry as G
 from concord.functions import edge_pairs, planar, shapes
-from concord.operators import overlap
+from concord.operators import findings, overlap
 
 SQUARE = [(0, 0), (2, 0), (2, 2), (0, 2), (0, 0)]
 
@@ -364,6 +364,33 @@ def test_overlap_join(spark):
     assert overlap.overlap_pairs(df.limit(0), "key", "source", cell=1.0).count() == 0
 
 
+def test_copies_of_shapes_meet_as_one(spark, monkeypatch):
+    """Many copies of few shapes, in slices: all pairs, their number and the lists of counterparts, by brute force."""
+    rng = random.Random(9)
+    kinds = [(rng.choice("AB"), rng.choice([True, False, None]), rng.randint(0, 12), rng.randint(0, 12), rng.randint(2, 6)) for _ in range(20)]
+    rows = [(k, src, rng.choice([f"p{k // 3}", f"p{k // 3}", None]), st, x, y, w) for k in range(130) for src, st, x, y, w in [rng.choice(kinds)]]
+    wanted = {}
+    for i, (k, s, p, st, x, y, w) in enumerate(rows):
+        for m, t, q, su, u, v, z in rows[i + 1 :]:
+            dx, dy = min(x + w, u + z) - max(x, u), min(y + w, v + z) - max(y, v)
+            if s == t and p and q and p != q and not (st and su) and dx > 0 and dy > 0 and dx * dy > 1:
+                wanted[k, m] = (float(dx * dy), w * w, z * z, p, q, st, su)
+    monkeypatch.setattr(overlap, "SLICE", 3)
+    df = squares(spark, *rows).repartition(5)
+    out = overlap.overlap_pairs(df, "key", "source", parent="parent", stacked="stacked")
+    got = {(r.key_a, r.key_b): (r.overlap_area, r.area_a, r.area_b, r.parent_a, r.parent_b, r.stacked_a, r.stacked_b) for r in out.collect()}
+    assert got == wanted and out.count() == len(wanted) > 300
+    # Tables are never broadcast by the size of their file: rows of a small one make large shapes.
+    assert "BroadcastExchange" not in out._jdf.queryExecution().sparkPlan().toString()
+    counted = overlap.counted_pairs(df, "key", "source", parent="parent", stacked="stacked").agg(F.sum("n_pairs"), F.sum(F.col("n_pairs") * F.col("overlap_area")), F.min("n_pairs")).first()
+    assert counted[0] == len(wanted) and counted[1] == sum(a for a, *_ in wanted.values()) and counted[2] > 0
+    members, reach = overlap.parents_in_reach(df, "key", "source", "parent", stacked="stacked", flags={"alike": F.col("overlap_class") == "coincident"})
+    lists = {r.key: r for r in findings.reached_counterparts(members, reach, "key", "parent", ["alike"]).collect()}
+    directed = [(k, q, a, a / min(b, c) >= 0.8) for (k, m), (a, b, c, p, q, *_) in wanted.items()] + [(m, p, a, a / min(b, c) >= 0.8) for (k, m), (a, b, c, p, q, *_) in wanted.items()]
+    plain = {r.key: r for r in findings.counterparts(spark.createDataFrame(directed, "key int, counterpart string, area double, flag boolean"), ["key"], "counterpart", "area", {"alike": F.col("flag")}).collect()}
+    assert {k: (r.n_counterparts, r.counterparts, r.alike) for k, r in lists.items()} == {k: (r.n_counterparts, r.counterparts, r.alike) for k, r in plain.items()}
+
+
 def box_frame(spark, rows):
     data = [(k, src, (float(x), float(y), float(x + w), float(y + h))) for k, src, x, y, w, h in rows]
     return spark.createDataFrame(data, "key long, source string, box struct<x0:double,y0:double,x1:double,y1:double>").repartition(8)
