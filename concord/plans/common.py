@@ -14,6 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows of a table dealt over tasks by key, before work that is dear by row: a small file is read by one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def money(c: str | Column) -> Column:
     """Exact to the cent, so that sums don't depend on their order."""
     return (F.col(c) if isinstance(c, str) else c).cast("decimal(14,2)")

@@ -14,7 +14,7 @@ from ..operators.reconcile import Comparable, disagreement_text, reconcile
 from ..operators.records import merge_records
 from ..operators.rules import Rule, judge, split
 from ..sources.sinks import export, feature_columns, materialise, scratch_folder
-from .common import table
+from .common import spread, table
 
 PARENT = "p_partkey div 2"
 SOURCE_SQL = "CASE p_partkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'N' ELSE 'R' END"
@@ -32,7 +32,7 @@ def corner() -> tuple[Column, Column, Column]:
 def rectangles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A square for each part: its source is the brand, two parts share a parent, some are stacked."""
     x, y, s = corner()
-    p = table(spark, sf_dir, "part")
+    p = spread(table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", "p_type"), "p_partkey")
     return p.select("p_partkey", "p_brand", "p_size", source().alias("source"), F.expr(PARENT).alias("parent"), (F.col("p_type") == "ECONOMY").alias("stacked"), G.rectangle(x, y, x + s, y + s).alias("geom"))
 
 
@@ -159,9 +159,10 @@ def _origins(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Da
     key = _answer_key(spark, sf_dir)
     recon = reconcile(published.select("uid", F.col("p_brand").alias("brand"), F.col("p_size").cast("long").alias("size")), key, "uid", RECONCILED_FIELDS)
     classes = recon.select("uid", "reconciliation_class", disagreement_text(RECONCILED_FIELDS).alias("disagreements"))
-    fine = published.join(counterpart_list(spark, sf_dir), "p_partkey", "left").join(classes, "uid", "left")
+    # A small file makes large rows: none of these is broadcast by its size.
+    fine = published.join(counterpart_list(spark, sf_dir).hint("merge"), "p_partkey", "left").join(classes.hint("merge"), "uid", "left")
     ours = X.feature_ids(fine.where(X.has_finding()), "ours-", "uid", F.col("area"), [F.col("p_partkey")])
-    missing = key.join(classes.where("reconciliation_class = 'theirs_only'").drop("disagreements"), "uid")
+    missing = key.join(classes.where("reconciliation_class = 'theirs_only'").drop("disagreements").hint("merge"), "uid")
     theirs = X.feature_ids(missing.select("uid", "area", "row", "reconciliation_class"), "theirs-", "uid", F.col("area"), [F.col("row")])
     rejected = X.feature_ids(quarantined.drop("geometry_repaired"), "quarantine-", "uid", F.col("area"), [F.col("p_partkey")])
     return ours, theirs, rejected
@@ -246,7 +247,7 @@ def odd_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 4, F.array().cast(G.GEOMETRY))
         .when(kind == 5, ring([pts[0], pts[1], pts[0], pts[1], pts[0]]))
     )
-    return table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", geom.alias("geom"))
+    return spread(table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size"), "p_partkey").select("p_partkey", "p_brand", "p_size", geom.alias("geom"))
 
 
 def geometry_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -288,7 +289,7 @@ def looped_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ring = lambda ps: F.array(F.array(F.array(*[G.point(a, b) for a, b in ps])))
     second = loop(x + dx, y + dy)
     turned = ring([*loop(x, y), *second[::-1], (x, y)])
-    return table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_partkey") % 2 == 0, ring([*loop(x, y), *second, (x, y)])).otherwise(turned).alias("geom"))
+    return spread(table(spark, sf_dir, "part").select("p_partkey", "p_size"), "p_partkey").select("p_partkey", F.when(F.col("p_partkey") % 2 == 0, ring([*loop(x, y), *second, (x, y)])).otherwise(turned).alias("geom"))
 
 
 def geometry_repair_loops(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -331,9 +332,10 @@ GROUP BY a.p_brand
 def geometry_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The extract's geometries: there, not empty, in one reference system, valid (a warning); and a vintage for each row."""
     observed = F.when(F.col("p_partkey") % 3 == 2, 2927).otherwise(4326)
-    rows = G.repair(odd_shapes(spark, sf_dir)).withColumn("tagged", G.with_srid(F.col("geom"), observed))
-    # Both sides of the split as tables of their own; where a row is comes from the file that it is read from.
     root = scratch_folder(spark, "split")
+    # Repaired once: every contract reads the shapes.
+    rows = materialise(G.repair(odd_shapes(spark, sf_dir)), "repaired", root).withColumn("tagged", G.with_srid(F.col("geom"), observed))
+    # Both sides of the split as tables of their own; where a row is comes from the file that it is read from.
     for side, part in zip(("published", "quarantine"), split(judge(rows.select("p_partkey", "p_size"), SHAPE_RULES))):
         materialise(part, side, root)
     stored = spark.read.schema("p_partkey long, p_size int, rejection_reason string").parquet(f"{root}/published", f"{root}/quarantine").withColumn("location", F.element_at(F.split(F.input_file_name(), "/"), -2))
