@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 REDUCERS = {
@@ -44,3 +45,14 @@ def flag_duplicates(df: DataFrame, ident: str, flag: str = "duplicate_id") -> Da
     # Rows without an id, however many, stay where they are: the join would send them to one task.
     known = df.where(F.col(ident).isNotNull()).join(again, ident, "left").select(*df.columns, F.coalesce(flag, F.lit(False)).alias(flag))
     return known.unionByName(df.where(F.col(ident).isNull()).withColumn(flag, F.lit(False)))
+
+
+def count_duplicates(df: DataFrame, ident: str, by: str, flag: str = "duplicate_id") -> DataFrame:
+    """What flag_duplicates() flags, counted: ``by``, the flag, n_rows and n_keys (distinct ids).
+
+    Rows are counted by id and ``by`` first and not joined back, so that an id of many rows, or no id, is one row for each ``by``.
+    """
+    one = df.groupBy(ident, by).agg(F.count("*").alias("n"))
+    again = F.col(ident).isNotNull() & (F.sum("n").over(W.partitionBy(ident)) > 1)
+    counted = one.withColumn(flag, again).groupBy(by, flag).agg(F.sum("n").alias("n_rows"), F.count(ident).alias("n_keys"))
+    return counted.withColumn("n_rows", F.coalesce("n_rows", F.lit(0)).cast("long"))

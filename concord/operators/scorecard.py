@@ -14,14 +14,17 @@ from ..functions.columns import percent
 ADVERSE = ("flagged", "coincident_unflagged", "both_differ", "attribute_sparse", "unmapped")
 
 
-def record_checks(df: DataFrame, source: str, checks: Mapping[str, Column]) -> DataFrame:
-    """All checks of one row each in a single pass: a row's outcomes are unpivoted and counted together.
+def record_checks(df: DataFrame, source: str, checks: Mapping[str, Column], n: str | None = None) -> DataFrame:
+    """All checks of one row each in a single pass: rows of the same outcomes are counted, and the outcomes of these unpivoted.
 
-    A check whose outcome is null doesn't count the row.
+    A check whose outcome is null doesn't count the row.  ``n``: a column of the number of records that a row stands for.
     """
-    outcomes = F.array(*[F.struct(F.lit(name).alias("check_name"), outcome.cast("string").alias("outcome")) for name, outcome in checks.items()])
-    rows = df.select(source, F.explode(outcomes).alias("c")).where("c.outcome is not null")
-    return rows.groupBy(source, F.col("c.check_name").alias("check_name"), F.col("c.outcome").alias("outcome")).agg(F.count("*").alias("n"))
+    names = [f"_{i}" for i in range(len(checks))]
+    alike = df.select(F.col(source), *[c.cast("string").alias(a) for a, c in zip(names, checks.values())], *([F.col(n).alias("_n")] if n else []))
+    alike = alike.groupBy(source, *names).agg((F.sum("_n") if n else F.count("*")).alias("n"))
+    outcomes = F.array(*[F.struct(F.lit(name).alias("check_name"), F.col(a).alias("outcome")) for a, name in zip(names, checks)])
+    rows = alike.select(source, F.explode(outcomes).alias("c"), "n").where("c.outcome is not null")
+    return rows.groupBy(source, F.col("c.check_name").alias("check_name"), F.col("c.outcome").alias("outcome")).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n"))
 
 
 def group_check(df: DataFrame, source: str, name: str, outcome: Column, n: Column | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import tri_state
 from ..functions.geometry import repair
 from ..operators import scorecard as S
-from ..operators.records import flag_duplicates
+from ..operators.records import count_duplicates
 from ..operators.rules import Rule, registry_frame, split
 from ..sources.sinks import materialise
 from .common import JUDGED_SQL, judged_lines, table
@@ -39,9 +39,15 @@ CHECKS = [
 FIELD_NAMES = ["lines", "status", "priority", "year"]
 
 
+#: What the blocks read of the two layers; aggregates that make other columns are not computed.
+JUDGED_COLUMNS = ["source", "uid", "unit_price_off", "discount_high", "discount", "status", "is_final", "source_record_count", "rejection_reason"]
+RECON_COLUMNS = ["source", "reconciliation_class", "value_drift", *[f"{f}_status" for f in FIELD_NAMES]]
+
+
 def _layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Judged records and their reconciliation, kept as tables: several blocks read them. They go with the session."""
-    return materialise(judged_lines(spark, sf_dir), "judged_lines"), materialise(reconciled(spark, sf_dir), "reconciled_orders")
+    judged, recon = judged_lines(spark, sf_dir).select(*JUDGED_COLUMNS), reconciled(spark, sf_dir).select(*RECON_COLUMNS)
+    return materialise(judged, "judged_lines"), materialise(recon, "reconciled_orders")
 
 
 def scorecard_long(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,14 +56,12 @@ def scorecard_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _long(spark: SparkSession, sf_dir: str, judged: DataFrame, recon: DataFrame) -> DataFrame:
     published, rejected = split(judged)
-    published = flag_duplicates(published, "uid", "duplicate_uid")
     records = S.record_checks(
         published,
         "source",
         {
             "unit_price_off": tri_state(F.col("unit_price_off")),
             "discount_high": tri_state(F.col("discount_high")),
-            "duplicate_uid": tri_state(F.col("duplicate_uid")),
             "discount_coverage": F.when(F.col("discount") > 0, "measurable").otherwise("no_roll_figure"),
             "status_coverage": F.coalesce(F.when(F.col("status") == "F", "derived"), F.lit("unmapped")),
             "attribute_completeness": F.when(F.coalesce(F.nullif(F.col("status"), F.lit("O")), F.col("discount").cast("string")).isNotNull(), "complete").otherwise("attribute_sparse"),
@@ -65,16 +69,20 @@ def _long(spark: SparkSession, sf_dir: str, judged: DataFrame, recon: DataFrame)
             "stacked_components": F.when(F.col("is_final"), "stacked").otherwise("not_stacked"),
         },
     )
-    stored = repair(odd_shapes(spark, sf_dir).withColumn("source", source()), valid="valid")
-    shapes = S.record_checks(stored, "source", {"geometry_valid": F.when(F.col("valid"), "valid").when(~F.col("valid"), "invalid"), "geometry_repaired": F.when(F.col("geometry_repaired"), "repaired")})
+    # Shapes of a source that are equal are repaired once.
+    alike = odd_shapes(spark, sf_dir).groupBy(source().alias("source"), "geom").agg(F.count("*").alias("n_shapes"))
+    stored = repair(alike, valid="valid")
+    shapes = S.record_checks(stored, "source", {"geometry_valid": F.when(F.col("valid"), "valid").when(~F.col("valid"), "invalid"), "geometry_repaired": F.when(F.col("geometry_repaired"), "repaired")}, n="n_shapes")
     # The date that each source was last published, beside the number of its records: aggregated before the join.
     last = table(spark, sf_dir, "lineitem").groupBy(F.col("l_returnflag").alias("source")).agg(F.max(F.col("l_shipdate").cast("date")).cast("string").alias("outcome"))
-    counted = published.groupBy("source").agg(F.countDistinct("record_key").alias("n"))
+    # Merged records that are published have a key, each its own.
+    counted = published.groupBy("source").agg(F.count("*").alias("n"))
     vintage = last.join(counted, "source", "left").select("source", F.lit("source_vintage").alias("check_name"), "outcome", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
     key = table(spark, sf_dir, "orders").select(F.element_at(F.array(F.lit("A"), F.lit("N"), F.lit("R"), F.lit("X")), (F.col("o_orderkey") % 4 + 1).cast("int")).alias("source"), F.when(F.col("o_custkey") % 19 != 0, F.col("o_orderkey") - F.col("o_orderkey") % 8 + F.col("o_orderkey") % 4).alias("ident"), F.col("o_orderdate").cast("date").alias("day"))
     groups = key.where("ident is not null").groupBy("source", "ident").agg(F.count("*").alias("n")).where("n > 1")
     parts = [
         records,
+        S.group_check(count_duplicates(published, "uid", "source", "duplicate_uid"), "source", "duplicate_uid", tri_state(F.col("duplicate_uid")), F.sum("n_rows")),
         shapes,
         S.group_check(counted_pairs(spark, sf_dir, "source"), "source", "geometry_overlap", outcome(), F.sum("n_pairs")),
         vintage,

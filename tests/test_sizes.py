@@ -2,7 +2,10 @@
 
 import pytest
 
-from concord.plans import mapping
+from pyspark.sql import functions as F
+
+from concord.operators import records, scorecard
+from concord.plans import mapping, scoring
 
 
 @pytest.mark.parametrize("made", [mapping.rectangles, mapping.odd_shapes, mapping.looped_shapes])
@@ -18,3 +21,38 @@ def test_findings_broadcast_no_rows_with_lists_or_shapes(spark, sf):
 def test_shapes_are_repaired_once_for_all_contracts(spark, sf):
     plan = mapping.geometry_contracts(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInArrow" not in plan
+
+
+def test_scorecard_layers_hold_what_blocks_read(spark, sf, monkeypatch):
+    kept = []
+    monkeypatch.setattr(scoring, "materialise", lambda df, name: kept.append(df) or df)
+    scoring._layers(spark, sf)
+    for layer in kept:
+        plan = layer._jdf.queryExecution().optimizedPlan().toString()
+        assert "Expand" not in plan and "distinct" not in plan
+        assert not {"record_key", "ours_status_variants"} & set(layer.columns)
+
+
+def test_duplicates_are_counted_without_joining_rows(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b"), (2, "a"), (None, "a"), (None, "a"), (None, "c"), (3, "c"), (3, "c")], "k int, s string")
+    got = records.count_duplicates(rows, "k", "s")
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    want = records.flag_duplicates(rows, "k").groupBy("s", "duplicate_id").agg(F.count("*").alias("n_rows"), F.countDistinct("k").alias("n_keys"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) == [("a", False, 3, 1), ("a", True, 1, 1), ("b", True, 2, 1), ("c", False, 1, 0), ("c", True, 2, 1)]
+
+
+def test_checks_of_rows_that_stand_for_several(spark):
+    rows = spark.createDataFrame([("s", 1, 2), ("s", 2, 3), ("s", 1, 5), ("t", None, 7)], "source string, k int, n int")
+    checks = {"one": F.when(F.col("k") == 1, "yes"), "known": F.when(F.col("k").isNull(), "no").otherwise("yes")}
+    got = sorted(map(tuple, scorecard.record_checks(rows, "source", checks, n="n").collect()))
+    assert got == [("s", "known", "yes", 10), ("s", "one", "yes", 7), ("t", "known", "no", 7)]
+    assert sorted(map(tuple, scorecard.record_checks(rows, "source", checks).collect())) == [("s", "known", "yes", 3), ("s", "one", "yes", 2), ("t", "known", "no", 1)]
+
+
+def test_equal_shapes_are_repaired_once_for_the_scorecard(spark, sf, monkeypatch):
+    seen = []
+    monkeypatch.setattr(scoring, "repair", lambda df, **kw: seen.append(df) or df.withColumn("valid", F.lit(True)).withColumn("geometry_repaired", F.lit(False)))
+    monkeypatch.setattr(scoring, "materialise", lambda df, name: df)
+    monkeypatch.setattr(scoring, "odd_shapes", lambda spark, sf: mapping.odd_shapes(spark, sf).where("p_partkey < 50").withColumn("p_partkey", F.lit(3)).withColumn("geom", F.array().cast("array<array<array<struct<x:double,y:double>>>>")))
+    scoring._long(spark, sf, *scoring._layers(spark, sf))
+    assert [tuple(r)[2] for r in seen[0].collect()] == [50]
