@@ -215,7 +215,8 @@ def merged_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = r.withColumn("geom", F.when(F.col("p_size") > 2, F.col("geom")))
     merged = merge_records(r, "key", "record_signature", {"geom": "union", "stacked": "any"})
     own = O.overlap_pairs(r, "p_partkey", "key", least_area=0.0).groupBy("key").agg(F.sum("overlap_area").alias("overlap"))
-    out = merged.join(own, "key", "left")
+    # Both are by key already; nothing is broadcast by the size of a small file.
+    out = merged.join(own.hint("merge"), "key", "left")
     return out.select("key", "stacked", "source_record_count", F.coalesce(F.size("geom"), F.lit(0)).alias("n_parts"), F.coalesce(G.area(F.col("geom")), F.lit(0.0)).alias("area"), F.coalesce("overlap", F.lit(0.0)).alias("shared_area"), F.coalesce(G.union_area(F.col("geom")), F.lit(0.0)).alias("union_area"))
 
 

@@ -56,3 +56,7 @@ def test_equal_shapes_are_repaired_once_for_the_scorecard(spark, sf, monkeypatch
     monkeypatch.setattr(scoring, "odd_shapes", lambda spark, sf: mapping.odd_shapes(spark, sf).where("p_partkey < 50").withColumn("p_partkey", F.lit(3)).withColumn("geom", F.array().cast("array<array<array<struct<x:double,y:double>>>>")))
     scoring._long(spark, sf, *scoring._layers(spark, sf))
     assert [tuple(r)[2] for r in seen[0].collect()] == [50]
+
+
+def test_merged_geometry_broadcasts_nothing(spark, sf):
+    assert "BroadcastExchange" not in mapping.merged_geometry(spark, sf)._jdf.queryExecution().sparkPlan().toString()
