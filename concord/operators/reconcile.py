@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.columns import field_status
@@ -33,14 +34,27 @@ def classifying(fields: Sequence[Comparable]) -> list[Comparable]:
 
 
 def collapse(df: DataFrame, key: str, fields: Sequence[Comparable], side: str) -> DataFrame:
-    """One row per key with ``side_<field>`` (and ``side_<field>_variants``) and ``side_records``."""
+    """One row per key with ``side_<field>`` (and ``side_<field>_variants``) and ``side_records``.
+
+    Rows that are alike in key and representatives are summed first, so that a key of many rows is few.  What is left is dealt by
+    key once; distinct values are those that differ from the one before in order, so that neither they nor the join by key move
+    a row again, and no row is copied for each counter.
+    """
+    summed = [f.name for f in fields if f.how == "sum"]
+    apart = [f.name for f in fields if f.how != "sum"]
+    alike = df.where(F.col(key).isNotNull()).groupBy(key, *apart).agg(F.count("*").alias("_records"), *[F.sum(c).alias(c) for c in summed])
+    rows = alike.repartition(key)
+    for name in apart:
+        before = F.lag(name).over(W.partitionBy(key).orderBy(name))
+        rows = rows.withColumn(f"_new_{name}", (F.col(name).isNotNull() & ~F.col(name).eqNullSafe(before)).cast("long"))
     columns: list[Column] = []
     for f in fields:
         c = F.col(f.name)
-        columns.append((F.sum(c) if f.how == "sum" else F.min(c)).alias(f"{side}_{f.name}"))
+        # A sum of sums has the type of the sum.
+        columns.append((F.sum(c).cast(alike.schema[f.name].dataType) if f.how == "sum" else F.min(c)).alias(f"{side}_{f.name}"))
         if f.how != "sum":
-            columns.append(F.countDistinct(c).alias(f"{side}_{f.name}_variants"))
-    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias(f"{side}_records"), *columns)
+            columns.append(F.coalesce(F.sum(f"_new_{f.name}"), F.lit(0)).cast("long").alias(f"{side}_{f.name}_variants"))
+    return rows.groupBy(key).agg(F.sum("_records").alias(f"{side}_records"), *columns)
 
 
 def record_class(statuses: list[Column]) -> Column:

@@ -4,7 +4,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from concord.operators import records, scorecard
+from concord.operators import reconcile, records, scorecard
 from concord.plans import mapping, scoring
 
 
@@ -60,3 +60,12 @@ def test_equal_shapes_are_repaired_once_for_the_scorecard(spark, sf, monkeypatch
 
 def test_merged_geometry_broadcasts_nothing(spark, sf):
     assert "BroadcastExchange" not in mapping.merged_geometry(spark, sf)._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_rows_are_not_copied_for_each_distinct_counter(spark):
+    rows = spark.createDataFrame([(1, "b", 2, 1.0), (1, "a", 2, 2.0), (1, "b", None, 4.0), (1, "b", 2, 1.0), (2, None, None, None), (None, "z", 1, 9.0)], "k int, t string, y int, v double")
+    fields = [reconcile.Comparable("t"), reconcile.Comparable("y"), reconcile.Comparable("v", "sum")]
+    got = reconcile.collapse(rows, "k", fields, "ours")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan
+    assert sorted(map(tuple, got.collect())) == [(1, 4, "a", 2, 2, 1, 8.0), (2, 1, None, 0, None, 0, None)]
