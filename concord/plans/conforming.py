@@ -16,7 +16,7 @@ from ..functions.columns import (
     sentinel_to_null,
 )
 from ..operators.conform import Source, Target, conform_union, retained
-from ..operators.records import flag_duplicates
+from ..operators.records import count_duplicates
 from ..sources.pages import bounds, scan_windows, windows
 from .common import KEYED_SQL, MERGED_SQL, keyed_lines, merged_lines, table
 
@@ -108,8 +108,7 @@ def record_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows whose key is shared, counted by source: which sources duplicates are confined to."""
-    lines = keyed_lines(spark, sf_dir)
-    return flag_duplicates(lines, "record_key").groupBy("l_returnflag", "duplicate_id").agg(F.count("*").alias("n_rows"), F.countDistinct("record_key").alias("n_keys"))
+    return count_duplicates(keyed_lines(spark, sf_dir), "record_key", "l_returnflag")
 
 
 DUPLICATE_IDS = f"""

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from concord.operators import reconcile, records, scorecard
-from concord.plans import mapping, scoring
+from concord.plans import conforming, mapping, scoring
 
 
 @pytest.mark.parametrize("made", [mapping.rectangles, mapping.odd_shapes, mapping.looped_shapes])
@@ -69,3 +69,7 @@ def test_rows_are_not_copied_for_each_distinct_counter(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Expand" not in plan
     assert sorted(map(tuple, got.collect())) == [(1, 4, "a", 2, 2, 1, 8.0), (2, 1, None, 0, None, 0, None)]
+
+
+def test_duplicate_ids_join_no_rows(spark, sf):
+    assert "Join" not in conforming.duplicate_ids(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
