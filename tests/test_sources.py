@@ -144,6 +144,52 @@ def test_page_source_opens_only_the_windows_that_a_filter_wants(spark, tmp_path)
         read().count()
 
 
+def test_pages_are_written_and_listed_in_one_pass(spark, tmp_path):
+    from concord.sources import feature_pages
+
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    values = [(1, "a"), (2, "a"), (3, "b/c %"), (4, None), (5, "é"), (6, ""), (None, "n")]
+    rows = spark.createDataFrame(values, "objectid long, window string").repartition(2)
+    layer = {"name": "L", "geometryType": None, "objectIdField": "OBJECTID", "fields": [{"name": "OBJECTID", "type": "esriFieldTypeOID"}]}
+    root = str(tmp_path / "p")
+    spark.sparkContext.setJobGroup("pages", "")
+    try:
+        feature_pages.write_pages(rows.mapInArrow(count, rows.schema), root, layer, "objectid")
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    status = spark.sparkContext.statusTracker()
+    stages = {i for job in status.getJobIdsForGroup("pages") for i in status.getJobInfo(job).stageIds}
+    dealt = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert reads.value == 7 and dealt in [status.getStageInfo(i).numTasks for i in stages if status.getStageInfo(i)]
+    back = feature_pages.read_pages(spark, root)
+    assert {r.objectid for r in back.collect()} == {1, 2, 3, 4, 5, 6, None} and back.count() == 7 and back.where("objectid = 3").count() == 1
+    assert {(r.k, r.window) for r in spark.read.option("inferSchema", False).json(f"{root}/pages").selectExpr("explode(features.properties.OBJECTID) k", "window").collect()} == {(k, w or None) for k, w in values}
+    held = sorted((r.low, r.high, r.n) for r in spark.read.json(f"{root}/manifest").where("low is not null").collect())
+    assert held == [(1, 2, 2), (3, 3, 1), (4, 4, 1), (5, 5, 1), (6, 6, 1)] and not list((tmp_path / "p/pages").rglob(".*"))
+    with pytest.raises(Exception):  # there are pages already
+        feature_pages.write_pages(rows, root, layer, "objectid")
+    assert feature_pages.read_pages(spark, root).count() == 7
+
+
+def test_pages_of_a_write_that_fails_or_is_empty(spark, tmp_path):
+    from concord.sources import feature_pages
+
+    layer = {"name": "L", "geometryType": None, "objectIdField": "OBJECTID", "fields": [{"name": "OBJECTID", "type": "esriFieldTypeOID"}]}
+    rows = spark.range(0, 400, 1, 4).select(F.col("id").alias("objectid"), F.expr("id div 10").alias("window"))
+    none, broken = str(tmp_path / "none"), str(tmp_path / "broken")
+    feature_pages.write_pages(rows.where("objectid < 0"), none, layer, "objectid")
+    assert feature_pages.read_pages(spark, none).count() == 0 and landing.page_stream(spark, f"{none}/pages", pages.declared_schema([("OBJECTID", "esriFieldTypeOID")])).isStreaming
+    with pytest.raises(Exception):
+        feature_pages.write_pages(rows.withColumn("pin", F.expr("if(objectid = 399, raise_error('x'), 'y')")), broken, layer, "objectid")
+    assert not list((tmp_path / "broken").rglob("part*"))
+
+
 def test_page_values_that_do_not_fit(spark, tmp_path):
     from pyspark.sql import types as T
 
@@ -247,6 +293,22 @@ def test_landing_takes_each_page_once(spark, layer, tmp_path):
     assert spark.read.parquet(target).count() == 16
 
 
+def test_a_stream_lists_many_folders_in_few_tasks(spark, tmp_path):
+    for k in range(100):
+        (tmp_path / "pages" / f"window={k}").mkdir(parents=True)
+        (tmp_path / "pages" / f"window={k}" / "0.json").write_text(json.dumps({"features": [{"properties": {"objectid": k}}]}))
+    status, schema = spark.sparkContext.statusTracker(), pages.declared_schema([("OBJECTID", "esriFieldTypeOID")])
+    spark.sparkContext.setJobGroup("listing", "")
+    try:
+        stream = landing.page_stream(spark, str(tmp_path / "pages"), schema, files_a_batch=40)
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    tasks = [status.getStageInfo(i).numTasks for job in status.getJobIdsForGroup("listing") for i in status.getJobInfo(job).stageIds]
+    assert tasks and max(tasks) <= 4 * spark.sparkContext.defaultParallelism
+    landing.land_available(stream, str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination()
+    assert sorted(r.objectid for r in spark.read.parquet(str(tmp_path / "t")).collect()) == list(range(100))
+
+
 def test_manifest_checks(spark):
     source = conform.Source("X", "x", "id", {"name": "label", "n": "size + 1", "flag": "nosuch > 1"})
     assert conform.missing_columns(source, ["ID", "size"]) == ["label"]
