@@ -1,9 +1,10 @@
 """Exact byte-pair encoding in linear time, and decoding through an offset table.
 
-The encoder never replays merges.  An Aho-Corasick automaton over the vocabulary lists, for each
-position of a word, the tokens that start there; the longest is taken unless the pair-compatibility
-table says that it can't stand beside its predecessor, in which case the next shorter one is tried
-or the predecessor is taken back.  Each position is given up at most once, so the work is linear.
+The encoder never replays merges.  An Aho-Corasick automaton over the vocabulary walks a word from
+longest token to longest token; each is taken unless the pair-compatibility table says that it can't
+stand beside its predecessor, in which case the next shorter one is tried or the predecessor is taken
+back, and the walk goes on from there.  Each position is given up at most once, so the work is linear.
+Words are encoded once and kept; when the table is full, those not asked for lately go.
 Decoding gathers bytes from one blob by the offsets of the ids.
 
 Defined results: a null text counts as empty; an empty text has no tokens and decodes to ``""``.
@@ -17,6 +18,8 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import ahocorasick
 import numpy as np
@@ -28,10 +31,12 @@ from tokenizers import Tokenizer
 
 from .text import blocks, mapped, sha256_hex
 
-#: A task forgets a table of words, word pieces or pairs when it holds so many; results don't depend on it.
-WORD_TABLE, PIECE_TABLE, PAIR_TABLE = 300_000, 100_000, 100_000
+#: A task keeps so many words, texts with rare characters between spaces, and pairs; results don't depend on it.
+WORD_TABLE, CHUNK_TABLE, PAIR_TABLE = 300_000, 100_000, 100_000
 #: Longer words are encoded where they stand and not kept.
 KEPT_LENGTH = 64
+#: A text is cut into words about so many characters at a time, which bounds memory.
+SLICE = 1 << 20
 _END = 0xE000  # a word's last symbol is moved here, so that it differs from the same byte inside
 
 
@@ -42,6 +47,25 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in shown else chr(next(spare)) for b in range(256)]
 
 
+class _Kept(dict):
+    """``make(key)`` for each key asked for; when there are ``most``, the half that was not asked for lately goes."""
+
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        super().__init__()
+        self.make, self.half, self.older = make, most // 2, {}
+
+    def __missing__(self, key: str) -> bytes:
+        got = self.older.pop(key, None)
+        if got is None:
+            got = self.make(key)
+        if len(key) <= KEPT_LENGTH:
+            if len(self) >= self.half:
+                self.older = dict(self)
+                self.clear()
+            self[key] = got
+        return got
+
+
 class WordBpe:
     """A word-level BPE vocabulary with word ends, read from a tokenizers JSON file."""
 
@@ -64,7 +88,10 @@ class WordBpe:
                 self.tokens.append(token)
                 self.parts.append(pair)
             self.merged.setdefault(pair, order[token])
-        self.ids = np.array([vocab.get(self._outer(t), -1) for t in self.tokens], np.int64)
+        raw = np.array([vocab.get(self._outer(t), -1) for t in self.tokens], np.int32).tobytes()
+        self.ids = [raw[at : at + 4] for at in range(0, len(raw), 4)]
+        self.sizes = [len(t) for t in self.tokens]
+        self.shorts: dict[int, int] = {}
         self.fits: dict[tuple[int, int], bool] = {}
         self.automaton = ahocorasick.Automaton()
         for i, t in enumerate(self.tokens):
@@ -80,8 +107,7 @@ class WordBpe:
         #: Fixed value: the pattern for which _LATIN is a faster equal.
         self.plain = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
         self.texts = {**{i: t for t, i in vocab.items()}, **{i: t for t, i in self.special.items()}}
-        self.table: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.words, self.chunks = _Kept(self.word, WORD_TABLE), _Kept(self.chunk, CHUNK_TABLE)
 
     def _own(self, token: str) -> str:
         if token.endswith(self.suffix) and len(token) > len(self.suffix):
@@ -133,54 +159,59 @@ class WordBpe:
             self.fits[key] = result
         return result
 
+    def shorter(self, token: int) -> int:
+        """The longest token that another one begins with, or -1."""
+        found = self.shorts.get(token)
+        if found is None:
+            text = self.tokens[token]
+            begun = (self.automaton.get(text[:n], None) for n in range(len(text) - 1, 0, -1))
+            found = self.shorts[token] = next((b[1] for b in begun if b), -1)
+        return found
+
     def encode_word(self, word: str) -> list[int]:
         """Token ordinals of one word in the vocabulary's own symbols."""
-        starts: list[list[tuple[int, int]]] = [[] for _ in word]
-        for end, (size, token) in self.automaton.iter(word):
-            starts[end + 1 - size].append((size, token))  # shorter ones first
-        alive = bytearray(b"\1") * (len(word) + 1)
+        sizes, fits, walk = self.sizes, self.fits, self.automaton.iter_long
         out: list[int] = []
-        choice: list[int] = []  # index into starts of each token taken
-        pos, k = 0, len(starts[0]) - 1
+        dead: set[int] = set()  # positions given up
+        pos, last, ahead = 0, -1, walk(word)
         while pos < len(word):
-            while k >= 0:
-                size, token = starts[pos][k]
-                if alive[pos + size] and (not out or self.compatible(out[-1], token)):
-                    break
-                k -= 1
-            if k >= 0:
-                out.append(token)
-                choice.append(k)
-                pos += size
-                k = len(starts[pos]) - 1 if pos < len(word) else 0
-            else:
-                alive[pos] = 0
-                if not out:
-                    raise ValueError(f"no encoding of {word!r}")
-                k = choice.pop()
-                pos -= len(self.tokens[out.pop()])
-                k -= 1
+            if ahead is None:
+                ahead = walk(word, pos)
+            token = next(ahead)[1][1]  # the longest at pos
+            while True:
+                if token < 0:
+                    dead.add(pos)
+                    if not out:
+                        raise ValueError(f"no encoding of {word!r}")
+                    token = out.pop()
+                    pos -= sizes[token]
+                    last = out[-1] if out else -1
+                elif pos + sizes[token] not in dead:
+                    if last < 0:
+                        break
+                    good = fits.get((last, token))
+                    if good or good is None and self.compatible(last, token):
+                        break
+                token, ahead = self.shorter(token), None
+            out.append(token)
+            pos += sizes[token]
+            last = token
         return out
 
-    def split_word(self, chunk: str) -> list[str]:
-        """The pieces of a text without white space, in the vocabulary's symbols."""
-        if self.plain and max(chunk) < "\u0250":  # composed Latin letters, the same in every version of Unicode
-            return [p if p.isascii() and p.isprintable() else "".join([self.symbols[b] for b in p.encode()]) for p in _LATIN.findall(chunk.lower())]
-        return [p for p, _ in self.split(self.normalise(chunk))]
+    def piece(self, piece: str) -> bytes:
+        """The ids of a word in the vocabulary's symbols, as int32 bytes."""
+        return b"".join([self.ids[t] for t in self.encode_word(piece[:-1] + chr(_END + ord(piece[-1])))])
+
+    def word(self, word: str) -> bytes:
+        """The ids of a lower-case word of plain characters."""
+        return self.piece(word if word.isascii() and word.isprintable() else "".join([self.symbols[b] for b in word.encode()]))
 
     def chunk(self, chunk: str) -> bytes:
-        """The ids of a text without white space, as int32 bytes."""
-        out: list[bytes] = []
-        for piece in self.split_word(chunk):
-            got = self.pieces.get(piece)
-            if got is None:
-                got = self.ids[self.encode_word(piece[:-1] + chr(_END + ord(piece[-1])))].astype(np.int32).tobytes()
-                if len(piece) <= KEPT_LENGTH:
-                    if len(self.pieces) >= PIECE_TABLE:
-                        self.pieces.clear()
-                    self.pieces[piece] = got
-            out.append(got)
-        return b"".join(out)
+        """The ids of a text without white space by the vocabulary's own rules."""
+        return b"".join([self.piece(p) for p, _ in self.split(self.normalise(chunk))])
+
+    def is_plain(self, text: str) -> bool:
+        return self.plain and (text.isascii() or not _RARE.search(text))
 
     def encode(self, text: str) -> np.ndarray:
         """All ids of a text; special strings in it become their own ids."""
@@ -188,17 +219,15 @@ class WordBpe:
             parts, marks = self.split_special.split(text), self.split_special.findall(text)
         else:
             parts, marks = [text], []
-        table, out = self.table, []
-        for i, part in enumerate(parts):
-            for c in _CHUNK.findall(part) if any(c in part for c in _ODD_SPACE) else part.split():
-                got = table.get(c)
-                if got is None:
-                    got = self.chunk(c)
-                    if len(c) <= KEPT_LENGTH:
-                        if len(table) >= WORD_TABLE:
-                            table.clear()
-                        table[c] = got
-                out.append(got)
+        word, chunk, out = self.words.__getitem__, self.chunks.__getitem__, []
+        for i, whole in enumerate(parts):
+            for part in _slices(whole):
+                if self.is_plain(part):
+                    out.append(b"".join(map(word, _LATIN.findall(part.lower()))))
+                    continue
+                chunks = _CHUNK.findall(part) if any(c in part for c in _ODD_SPACE) else part.split()
+                for plain, group in groupby(chunks, self.is_plain):
+                    out.append(b"".join(map(word, _LATIN.findall(" ".join(group).lower())) if plain else map(chunk, group)))
             if i < len(marks):
                 out.append(np.array([self.special[marks[i]]], np.int32).tobytes())
         return np.frombuffer(b"".join(out), np.int32)
@@ -208,8 +237,19 @@ class WordBpe:
 _ODD_SPACE = "\x1c\x1d\x1e\x1f"
 _CHUNK = re.compile("(?:[^\\s]|[\x1c-\x1f])+")
 
+# Plain: up to composed Latin letters, the same in every version of Unicode. Of some the lower case lies above them.
+_RARE = re.compile("[^\x00-\u024f]")
+_LATIN = re.compile("[a-zªµºß-öø-\u02af\u2c65\u2c66]+|'(?:[stmd]|re|ve|ll)|[\\d²³¹¼½¾]|(?:[^\\s\\w]|_|[\x1c-\x1f])+")
+_SPACE = re.compile("[ \t\n\r]")
+
 
-_LATIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[\d²³¹¼½¾]|(?:[^\s\w]|_|[\x1c-\x1f])+")
+def _slices(text: str) -> Iterator[str]:
+    """The text in slices that begin at white space, of ``SLICE`` characters and what is left of a word."""
+    at = 0
+    while len(text) - at > SLICE and (space := _SPACE.search(text, at + SLICE)):
+        yield text[at : space.start()]
+        at = space.start()
+    yield text[at:]
 
 
 class OffsetTable:

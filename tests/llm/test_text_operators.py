@@ -51,6 +51,36 @@ def test_bpe_ids_and_decode(spark, vocabulary):
     assert bpe.bpe_encode(frame(spark, []), vocabulary).count() == 0
 
 
+def invented(seed, n):
+    """Words of syllables, which merge over many borders."""
+    rng = random.Random(seed)
+    parts = ["th", "er", "on", "an", "tion", "ing", "ou", "éa", "ß", "ch", "le", "ö", "nd", "s", "ê"]
+    return list(dict.fromkeys("".join(rng.choices(parts, k=rng.randint(2, 9))) for _ in range(n)))
+
+
+def test_bpe_encodes_each_word_once(vocabulary):
+    words, made = bpe.WordBpe(vocabulary), invented(7, 150_000)
+    seen, one = Counter(), words.encode_word
+    words.encode_word = lambda w: seen.update([w]) or one(w)
+    for between in (" ", ", "):
+        words.encode(between.join(made))
+    assert len(seen) == len(made) + 1 > 110_000 and set(seen.values()) == {1}
+
+
+@pytest.mark.parametrize("most", [2, 40])
+def test_bpe_with_small_tables_is_the_library_s(vocabulary, monkeypatch, most):
+    from tokenizers import Tokenizer
+
+    for name in ("WORD_TABLE", "CHUNK_TABLE", "SLICE"):
+        monkeypatch.setattr(bpe, name, most)
+    words, lib = bpe.WordBpe(vocabulary), Tokenizer.from_str(vocabulary)
+    latin = [chr(c) for c in range(0x250)]
+    texts = [" ".join(invented(8, 3000)), *odd_texts(9, 100), "’".join(invented(10, 50)) + " plain words 漢 and words", "".join(latin), " ".join(latin), "".join(f"a{c}{c}9'{c}s " for c in latin)]
+    for t in texts:
+        assert words.encode(t).tolist() == lib.encode(t, add_special_tokens=False).ids, repr(t[:200])
+    assert len(words.words) <= most and len(words.chunks) <= most
+
+
 def test_token_counts_are_the_library_s(spark):
     import sentencepiece
 
