@@ -91,6 +91,7 @@ class WordBpe:
         raw = np.array([vocab.get(self._outer(t), -1) for t in self.tokens], np.int32).tobytes()
         self.ids = [raw[at : at + 4] for at in range(0, len(raw), 4)]
         self.sizes = [len(t) for t in self.tokens]
+        self.longest = max(self.sizes)
         self.shorts: dict[int, int] = {}
         self.fits: dict[tuple[int, int], bool] = {}
         self.automaton = ahocorasick.Automaton()
@@ -173,10 +174,11 @@ class WordBpe:
         sizes, fits, walk = self.sizes, self.fits, self.automaton.iter_long
         out: list[int] = []
         dead: set[int] = set()  # positions given up
-        pos, last, ahead = 0, -1, walk(word)
-        while pos < len(word):
-            if ahead is None:
-                ahead = walk(word, pos)
+        pos, last, ahead, stop, size = 0, -1, None, 0, len(word)
+        while pos < size:
+            if ahead is None or stop < size and pos + self.longest > stop:
+                stop = min(pos + 16 * self.longest, size)  # the automaton copies what it walks over
+                ahead = walk(word[pos:stop])
             token = next(ahead)[1][1]  # the longest at pos
             while True:
                 if token < 0:

@@ -75,7 +75,7 @@ def test_bpe_with_small_tables_is_the_library_s(vocabulary, monkeypatch, most):
         monkeypatch.setattr(bpe, name, most)
     words, lib = bpe.WordBpe(vocabulary), Tokenizer.from_str(vocabulary)
     latin = [chr(c) for c in range(0x250)]
-    texts = [" ".join(invented(8, 3000)), *odd_texts(9, 100), "’".join(invented(10, 50)) + " plain words 漢 and words", "".join(latin), " ".join(latin), "".join(f"a{c}{c}9'{c}s " for c in latin)]
+    texts = [" ".join(invented(8, 3000)), *odd_texts(9, 100), "’".join(invented(10, 50)) + " plain words 漢 and words", "".join(invented(11, 2000)), "".join(latin), " ".join(latin), "".join(f"a{c}{c}9'{c}s " for c in latin)]
     for t in texts:
         assert words.encode(t).tolist() == lib.encode(t, add_special_tokens=False).ids, repr(t[:200])
     assert len(words.words) <= most and len(words.chunks) <= most
