@@ -111,6 +111,15 @@ def area(geom: Column) -> Column:
     return F.aggregate(F.filter(geom, lambda rings: F.size(rings) > 0), F.lit(0.0), lambda s, rings: s + part(rings))
 
 
+def fills(geom: Column, box: Column) -> Column:
+    """Whether a geometry is all of its box: one ring of four corners around no less than the box; false where that isn't known."""
+    rings = F.get(geom, F.lit(0))
+    ring = F.get(rings, F.lit(0))
+    around = F.abs(signed_area(ring))
+    whole = (around == (box.x1 - box.x0) * (box.y1 - box.y0)) & (around > 0) & (around < float("inf"))
+    return F.coalesce((F.size(geom) == 1) & (F.size(rings) == 1) & (F.size(ring) == 5) & (F.get(ring, F.lit(0)) == F.get(ring, F.lit(4))) & whole, F.lit(False))
+
+
 def overlap_area(a: Column, b: Column) -> Column:
     """Area common to two geometries of simple rings."""
     return F.arrow_udf(lambda g, h: pa.array(shapes.overlap_areas(g, h)), "double")(a, b)

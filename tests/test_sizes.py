@@ -73,3 +73,13 @@ def test_rows_are_not_copied_for_each_distinct_counter(spark):
 
 def test_duplicate_ids_join_no_rows(spark, sf):
     assert "Join" not in conforming.duplicate_ids(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_dealing_of_boxes_is_not_done_twice(spark, sf):
+    import re
+
+    from concord.operators import overlap
+
+    _, classes = overlap.shape_classes(mapping.rectangles(spark, sf), "p_partkey", "p_brand", parent="parent", stacked="stacked")
+    plan = overlap.candidate_pairs(classes, "shape", "p_brand", 4.0)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"\bExchange ", plan)) == 2
