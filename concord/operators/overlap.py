@@ -13,8 +13,8 @@ none has more than ``SLICE``, with the boxes at home copied to each: one cell, e
 is the work of many tasks.
 
 Shapes that are the same, point for point, are one class: classes alone go through the grid and have their areas taken.
-A pair of classes stays in the cell where it was found, unless it has a shape that isn't all of its box.
-Pairs of records come from the classes by a join, their number and lists of counterparts from the classes' figures.
+A pair of classes stays in the cell where it was found, unless it has a shape that isn't all of its box: pairs of records come
+from the classes' lists of members there, their number and lists of counterparts from the classes' figures.
 """
 
 from __future__ import annotations
@@ -167,25 +167,26 @@ def class_pairs(rows: DataFrame, classes: DataFrame, source: str, geom: str = "g
 def overlap_pairs(df: DataFrame, key: str, source: str, geom: str = "geom", parent: str | None = None, stacked: str | None = None, least_area: float = 1.0, cell: float | None = None) -> DataFrame:
     """Pairs that overlap by more than ``least_area``: overlap_area and overlap_ratio (to the smaller of the two).
 
-    ``key`` is unique; records of one ``parent`` never pair, nor do two ``stacked`` ones.  Pairs of classes are joined
-    by their members, those of large classes in slices of about ``SLICE``.
+    ``key`` is unique; records of one ``parent`` never pair, nor do two ``stacked`` ones.  Classes go through the grid with
+    their members, large ones in pieces of about ``SLICE``, and pairs of records come from both lists where the pieces meet:
+    no pair is moved.
     """
     members, classes = shape_classes(df, key, source, geom, parent, stacked)
-    pairs = class_pairs(classes, classes, source, geom, stacked, least_area, cell)
+    member = F.struct(F.col(key).alias("k"), *([F.col(parent).alias("p")] if parent else []))
     large = classes.where(F.col("n") > SLICE).select("shape", F.ceil(F.col("n") / SLICE).cast("int").alias("slices"))
-    dealt = members.join(large, "shape", "left").withColumn("slice", F.pmod(F.xxhash64(key), F.coalesce("slices", F.lit(1))).cast("int"))
-    own = [key, *([parent] if parent else [])]
-    left = members.select(F.col("shape").alias("shape_a"), *[F.col(c).alias(f"_{c}_a") for c in own])
-    right = dealt.select(F.col("shape").alias("shape_b"), "slice", *[F.col(c).alias(f"_{c}_b") for c in own])
-    both = pairs.join(left.hint("merge"), "shape_a").withColumn("slice", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n_b") / SLICE).cast("int") - 1)))
-    first = F.col(f"_{key}_a") < F.col(f"_{key}_b")
-    apart = (F.col("left.shape_b") == F.col("right.shape_b")) & (F.col("left.slice") == F.col("right.slice")) & ((F.col("left.shape_a") != F.col("left.shape_b")) | first)
+    dealt = members.join(large.hint("merge"), "shape", "left").withColumn("slice", F.pmod(F.xxhash64(key), F.coalesce("slices", F.lit(1))).cast("int"))
+    pieces = dealt.groupBy("shape", "slice").agg(F.collect_list(member).alias("members")).join(classes.drop(geom).hint("merge"), "shape")
+    pieces = materialise(pieces.withColumn("piece", F.monotonically_increasing_id()), "shape_pieces")
+    pairs = class_pairs(pieces, classes, source, geom, stacked, least_area, cell, "piece", ("members",))
+    stay = [c for c in pairs.columns if not c.startswith("members_")]
+    both = pairs.select(*stay, F.explode("members_a").alias("_a"), "members_b").select(*stay, "_a", F.explode("members_b").alias("_b"))
+    first = F.col("_a.k") < F.col("_b.k")
+    apart = (F.col("piece_a") != F.col("piece_b")) | first
     if parent:
-        apart &= F.col(f"_{parent}_a") != F.col(f"_{parent}_b")
-    both = both.alias("left").join(right.alias("right").hint("merge"), apart)
-    names = {key: f"_{key}", "area": "area", **({parent: f"_{parent}"} if parent else {}), **({stacked: stacked} if stacked else {})}
-    turned = lambda c, t: F.when(first, F.col(f"{c}_{t}")).otherwise(F.col(f"{c}_{'b' if t == 'a' else 'a'}"))
-    return both.select(source, *[turned(c, t).alias(f"{n}_{t}") for t in "ab" for n, c in names.items()], "overlap_area", "overlap_ratio")
+        apart &= F.col("_a.p") != F.col("_b.p")
+    names = {key: "_{}.k", "area": "area_{}", **({parent: "_{}.p"} if parent else {}), **({stacked: stacked + "_{}"} if stacked else {})}
+    turned = lambda c, t: F.when(first, F.col(c.format(t))).otherwise(F.col(c.format("b" if t == "a" else "a")))
+    return both.where(apart).select(source, *[turned(c, t).alias(f"{n}_{t}") for t in "ab" for n, c in names.items()], "overlap_area", "overlap_ratio")
 
 
 def counted_pairs(df: DataFrame, key: str, source: str, geom: str = "geom", parent: str | None = None, stacked: str | None = None, least_area: float = 1.0, cell: float | None = None) -> DataFrame:

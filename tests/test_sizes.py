@@ -75,6 +75,14 @@ def test_duplicate_ids_join_no_rows(spark, sf):
     assert "Join" not in conforming.duplicate_ids(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_pairs_of_records_are_made_where_their_shapes_meet(spark, sf):
+    """Above the join in the grid nothing is joined or moved: members come out of the lists that both sides have there."""
+    plan = mapping.overlap_pairs(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    boxes = plan[: plan.index("MapInArrow")]
+    assert "Generate explode(members_b" in boxes and boxes.count("Join") == 1
+    assert boxes.rindex("Generate explode(members_") < boxes.index("Join")
+
+
 def test_dealing_of_boxes_is_not_done_twice(spark, sf):
     import re
 
