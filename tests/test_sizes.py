@@ -91,3 +91,17 @@ def test_dealing_of_boxes_is_not_done_twice(spark, sf):
     _, classes = overlap.shape_classes(mapping.rectangles(spark, sf), "p_partkey", "p_brand", parent="parent", stacked="stacked")
     plan = overlap.candidate_pairs(classes, "shape", "p_brand", 4.0)._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall(r"\bExchange ", plan)) == 2
+
+
+def test_findings_keep_no_list_of_all_parents_in_reach(spark, sf, tmp_path, monkeypatch):
+    """Many shapes of one source that overlap: each table that is kept on the way has no more rows than there are shapes."""
+    from concord.operators import overlap
+
+    part = spark.range(2000).selectExpr("id AS p_partkey", "'B' AS p_brand", "if(id % 7 = 0, 'ECONOMY', 'LARGE') AS p_type", "int(id * 13 % 50 + 1) AS p_size")
+    part.write.parquet(str(tmp_path / "part.parquet"))
+    spark.read.parquet(f"{sf}/supplier.parquet").write.parquet(str(tmp_path / "supplier.parquet"))
+    kept, keep = [], overlap.materialise
+    monkeypatch.setattr(overlap, "materialise", lambda df, name: kept.append(keep(df, name)) or kept[-1])
+    ours = mapping._origins(spark, str(tmp_path))[0]
+    assert kept and max(k.count() for k in kept) <= 2000
+    assert ours.agg(F.sum("n_counterparts")).first()[0] > 4000
